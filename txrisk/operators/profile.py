@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from txrisk.functions.fixedpoint import nan_to_null
 from pyspark.sql.types import BooleanType, DateType, NumericType, TimestampNTZType, TimestampType
 
 
@@ -74,7 +75,7 @@ def describe(df: DataFrame, columns: list[str] | None = None, exact: bool = True
     probs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
     aggs = []
     for c in cols:
-        x = F.col(c).cast("double")
+        x = nan_to_null(F.col(c).cast("double"))
         q = F.percentile(x, probs) if exact else F.percentile_approx(x, probs, 10000)
         aggs.append(F.struct(
             F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
