@@ -54,8 +54,9 @@ def main() -> None:
     run(testdata.read_table(spark, sf_dir, "region"))
 
     def pipeline(src):
-        base = testdata.transactions(spark, sf_dir, src)
-        bronze = layers.features(base, checkpoint=False)
+        # the source table the pipeline reads (adapter rows stored once)
+        testdata.transactions(spark, sf_dir, src).write.mode("overwrite").parquet(f"{root}/{src}/source")
+        bronze = layers.features(spark.read.parquet(f"{root}/{src}/source"))
         bronze.write.mode("overwrite").parquet(f"{root}/{src}/bronze")
         silver = layers.silver(spark.read.parquet(f"{root}/{src}/bronze"))
         silver.write.mode("overwrite").parquet(f"{root}/{src}/silver")

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txrisk.functions.fixedpoint import nan_to_null
+from txrisk.operators.quantile import exact_quantiles
 from txrisk.schema import LABEL
 
 
@@ -48,10 +49,14 @@ def histogram(df: DataFrame, column: str, bins: int, by: str | None = None) -> D
 
 def _quartiles(df: DataFrame, column: str, by: str, exact: bool) -> DataFrame:
     x = F.col(column).cast("double")
-    probs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    q = F.percentile(x, probs) if exact else F.percentile_approx(x, probs, 10000)
-    st = df.where(F.col(by).isNotNull() & x.isNotNull()).groupBy(by).agg(q.alias("_q"))
-    st = st.select(by, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
+    if exact:
+        long = exact_quantiles(df, [column], [0.25, 0.5, 0.75], by=[by])
+        st = long.groupBy(by).agg(*[F.max(F.when(F.col("p") == F.lit(p), F.col("value"))).alias(n)
+                                    for p, n in [(0.25, "q1"), (0.5, "median"), (0.75, "q3")]])
+    else:
+        q = F.percentile_approx(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 10000)
+        st = df.where(F.col(by).isNotNull() & x.isNotNull()).groupBy(by).agg(q.alias("_q"))
+        st = st.select(by, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
     iqr = F.col("q3") - F.col("q1")
     return st.select(by, "q1", "median", "q3", iqr.alias("iqr"),
                      (F.col("q1") - F.lit(1.5) * iqr).alias("lower_fence"),

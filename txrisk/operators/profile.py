@@ -68,22 +68,30 @@ def duplicate_count(df: DataFrame) -> DataFrame:
 def describe(df: DataFrame, columns: list[str] | None = None, exact: bool = True) -> DataFrame:
     """count, mean, std (sample), min, 25%, 50%, 75%, max per numeric column.
 
-    Quartiles interpolate linearly; ``exact=False`` swaps in the quantile
-    sketch.  Output: one row per column.
+    Moments come from one aggregate; quartiles interpolate linearly and are
+    computed by the distributed exact quantile operator (``exact=False``
+    swaps in the quantile sketch).  Output: one row per column.
     """
+    from txrisk.operators.quantile import exact_quantiles
+
     cols = columns or numeric_columns(df)
-    probs = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
+    probs = [0.25, 0.5, 0.75]
     aggs = []
     for c in cols:
         x = nan_to_null(F.col(c).cast("double"))
-        q = F.percentile(x, probs) if exact else F.percentile_approx(x, probs, 10000)
-        aggs.append(F.struct(
-            F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-            F.min(x).alias("min"), q[0].alias("p25"), q[1].alias("p50"), q[2].alias("p75"),
-            F.max(x).alias("max")).alias(c))
-    row = df.agg(*aggs)
-    long = _unpivot_row(row, cols, "s")
-    return long.select("column", "s.*")
+        fields = [F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
+                  F.min(x).alias("min"), F.max(x).alias("max")]
+        if not exact:
+            q = F.percentile_approx(x, F.array(*[F.lit(p) for p in probs]), 10000)
+            fields += [q[0].alias("p25"), q[1].alias("p50"), q[2].alias("p75")]
+        aggs.append(F.struct(*fields).alias(c))
+    long = _unpivot_row(df.agg(*aggs), cols, "s").select("column", "s.*")
+    if exact:
+        qs = exact_quantiles(df, cols, probs).groupBy("column").agg(
+            *[F.max(F.when(F.col("p") == F.lit(p), F.col("value"))).alias(n)
+              for p, n in zip(probs, ["p25", "p50", "p75"])])
+        long = long.join(qs, "column", "left")
+    return long.select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def amount_quality(df: DataFrame, column: str = "amount") -> DataFrame:

@@ -10,7 +10,7 @@ in generated code.  NULL/NaN stay NULL.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txrisk.functions.fixedpoint import nan_to_null
@@ -20,17 +20,25 @@ from txrisk.operators.impute import APPROX_ACCURACY
 def qcut_edges(df: DataFrame, column: str, q: int = 10, exact: bool = True, prefix: str = "_e") -> DataFrame:
     """One row with q+1 edge columns ``{prefix}0 .. {prefix}q``.
 
-    ``exact=True`` is the interpolated percentile (what the checks compare
-    against); ``exact=False`` uses the bounded-memory quantile sketch.
+    ``exact=True``: interpolated quantiles from :func:`exact_quantiles`
+    (distributed); ``exact=False``: the bounded-memory quantile sketch.
     """
+    return _edges_row(df, [(column, prefix)], q, exact)
+
+
+def _edges_row(df: DataFrame, specs: list[tuple[str, str]], q: int, exact: bool) -> DataFrame:
+    """One row holding the q+1 edges of every (column, prefix) spec."""
     probs = [i / q for i in range(q + 1)]
-    x = nan_to_null(F.col(column).cast("double"))
     if exact:
-        arr = F.percentile(x, F.array(*[F.lit(p) for p in probs]))
-    else:
-        arr = F.percentile_approx(x, F.array(*[F.lit(p) for p in probs]), APPROX_ACCURACY)
-    row = df.agg(arr.alias("_edges"))
-    return row.select(*[F.col("_edges")[i].alias(f"{prefix}{i}") for i in range(q + 1)])
+        long = exact_quantiles(df, [c for c, _ in specs], probs)
+        return long.agg(*[
+            F.max(F.when((F.col("column") == c) & (F.col("p") == F.lit(p)), F.col("value"))).alias(f"{prefix}{i}")
+            for c, prefix in specs for i, p in enumerate(probs)])
+    arr = F.array(*[F.lit(p) for p in probs])
+    row = df.agg(*[F.percentile_approx(nan_to_null(F.col(c).cast("double")), arr, APPROX_ACCURACY).alias(f"_arr{k}")
+                   for k, (c, _) in enumerate(specs)])
+    return row.select(*[F.col(f"_arr{k}")[i].alias(f"{prefix}{i}")
+                        for k, (_, prefix) in enumerate(specs) for i in range(q + 1)])
 
 
 def qcut_bin(x: Column, q: int = 10, prefix: str = "_e", base: int = 0) -> Column:
@@ -45,26 +53,67 @@ def qcut_bin(x: Column, q: int = 10, prefix: str = "_e", base: int = 0) -> Colum
 
 def add_qcut(df: DataFrame, column: str, out: str, q: int = 10, base: int = 0, exact: bool = True) -> DataFrame:
     """Append a quantile-bin column (1-based labels: ``base=1``)."""
-    prefix = f"_e_{out}_"
-    edges = qcut_edges(df, column, q, exact, prefix)
-    joined = df.crossJoin(F.broadcast(edges))
-    return joined.select(*df.columns, qcut_bin(F.col(column), q, prefix, base).alias(out))
+    return add_qcuts(df, [(column, out, base)], q, exact)
 
 
 def add_qcuts(df: DataFrame, specs: list[tuple[str, str, int]], q: int = 10, exact: bool = True) -> DataFrame:
-    """Several quantile-bin columns from ONE edges aggregate.
+    """Several quantile-bin columns from ONE edges computation.
 
     ``specs``: (source column, output column, label base).
     """
-    probs = F.array(*[F.lit(i / q) for i in range(q + 1)])
-    aggs = []
-    for column, out, _ in specs:
-        x = nan_to_null(F.col(column).cast("double"))
-        arr = F.percentile(x, probs) if exact else F.percentile_approx(x, probs, APPROX_ACCURACY)
-        aggs.append(arr.alias(f"_edges_{out}"))
-    row = df.agg(*aggs)
-    edges = row.select(*[F.col(f"_edges_{out}")[i].alias(f"_e_{out}_{i}")
-                         for _, out, _ in specs for i in range(q + 1)])
+    edges = _edges_row(df, [(column, f"_e_{out}_") for column, out, _ in specs], q, exact)
     joined = df.crossJoin(F.broadcast(edges))
     return joined.select(*df.columns, *[qcut_bin(F.col(column), q, f"_e_{out}_", base).alias(out)
                                         for column, out, base in specs])
+
+
+def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], by: list[str] | None = None,
+                    partitions: int | None = None) -> DataFrame:
+    """Exact linear-interpolated quantiles, distributed (long form).
+
+    Output: (*by, column, p, value).  No task ever holds a whole column:
+
+    1. values -> (group, column, value, count): a group-by with map-side
+       combine, so a value repeated by a third of all rows is one row;
+    2. the distinct values are range-partitioned on (group, column, value);
+       each partition's total (a few rows per partition) gives the offset of
+       the partition through a small window, and a running sum inside each
+       range partition gives the global rank span of every value;
+    3. the rank positions p*(n-1) are looked up with a join against a
+       target table of (groups x columns x probs) rows and interpolated as
+       ``lo + (hi - lo) * frac``.
+    """
+    by = list(by or [])
+    keys = [*by, "column"]
+    spark = df.sparkSession
+    nparts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    items = [F.struct(F.lit(c).alias("column"), nan_to_null(F.col(c).cast("double")).alias("v")) for c in columns]
+    src = df
+    for b in by:
+        src = src.where(F.col(b).isNotNull())
+    long = (src.select(*by, F.explode(F.array(*items)).alias("_kv"))
+            .select(*by, "_kv.column", "_kv.v").where(F.col("v").isNotNull()))
+    counts = long.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("_c"))
+    ranged = counts.repartitionByRange(nparts, *keys, "v").withColumn("_pid", F.spark_partition_id())
+    run = Window.partitionBy("_pid", *keys).orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = ranged.select(*keys, "v", "_c", "_pid", F.sum("_c").over(run).alias("_local"))
+    totals = ranged.groupBy("_pid", *keys).agg(F.sum("_c").alias("_ps"))
+    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_pid", *keys, F.coalesce(F.sum("_ps").over(before), F.lit(0)).alias("_off"),
+                            F.sum("_ps").over(Window.partitionBy(*keys)).alias("_n"))
+    spans = local.join(offsets, ["_pid", *keys]).select(
+        *keys, "v", (F.col("_off") + F.col("_local") - F.col("_c")).alias("_first"),
+        (F.col("_off") + F.col("_local")).alias("_end"))
+    targets = (offsets.select(*keys, "_n").distinct()
+               .select(*keys, "_n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p")))
+    pos = (F.col("_n") - 1).cast("double") * F.col("p")
+    targets = targets.select(*keys, "p", F.floor(pos).alias("_klo"), F.ceil(pos).alias("_khi"),
+                             (pos - F.floor(pos)).alias("_frac"))
+
+    def covers(k: str) -> Column:
+        return (F.col("_first") <= F.col(k)) & (F.col(k) < F.col("_end"))
+
+    hits = spans.join(targets, keys).where(covers("_klo") | covers("_khi"))
+    agg = hits.groupBy(*keys, "p", "_frac").agg(F.max(F.when(covers("_klo"), F.col("v"))).alias("_lo"),
+                                                F.max(F.when(covers("_khi"), F.col("v"))).alias("_hi"))
+    return agg.select(*keys, "p", (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_frac")).alias("value"))

@@ -41,6 +41,9 @@ def range_window_features(df: DataFrame, key: str = "customer_id", ts: str = "ti
         (F.floor(F.col("_t") / F.lit(WEEK_US)) + F.col("_ctx")).alias("_bucket"),
         *[F.when(F.col("_ctx") == 0, F.col(c)).alias(c) for c in payload],
     )
+    # Explicit shuffle on (customer, bucket): without it Catalyst may reuse an
+    # upstream customer-only partitioning, which keeps a hot customer in one task.
+    doubled = doubled.repartition(key, "_bucket")
     w = Window.partitionBy(key, "_bucket").orderBy("_t")
     w24 = w.rangeBetween(-DAY_US, 0)
     w7d = w.rangeBetween(-WEEK_US, 0)

@@ -140,7 +140,8 @@ def materialize_layers(spark, sf):
     """bronze -> silver -> gold as stored tables; each layer reads the
     previous stored table (what the declared pipeline tables do)."""
     root = _scratch(spark, "layers")
-    b = layers.features(base(spark, sf, "line"), checkpoint=False)
+    write_parquet(base(spark, sf, "line"), f"{root}/source")
+    b = layers.features(spark.read.parquet(f"{root}/source"))
     write_parquet(b, f"{root}/bronze")
     s = layers.silver(spark.read.parquet(f"{root}/bronze"))
     write_parquet(s, f"{root}/silver")
@@ -213,7 +214,7 @@ register("impute_median",
          lambda s, sf: impute_median(testdata.doc_label_nulls(s, sf), _DOC_NUM),
          f"WITH x AS ({O.DOC_LABEL_NULLS}), m AS (SELECT "
          + ", ".join(f"quantile_disc({c}, 0.5) AS m_{c}" for c in _DOC_NUM)
-         + ") SELECT doc_id, lang, source, "
+         + " FROM x) SELECT doc_id, lang, source, "
          + ", ".join(f"COALESCE({c}, CAST(m_{c} AS {'BIGINT' if c == 'n_chars' else 'INTEGER'})) AS {c}" for c in _DOC_NUM)
          + " FROM x, m")
 register("impute_mode",
