@@ -16,8 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txrisk.functions import bins, calendar
-from txrisk.functions.fixedpoint import decode, encode
+from txrisk.functions import calendar
 from txrisk.operators import correlation, distribution, profile, rates
 from txrisk.operators.clean import (
     dedup_full_row, drop_columns, fill_null_constant, fixed_point_decode, fixed_point_encode, reorder_columns,
@@ -32,7 +31,7 @@ from txrisk.schema import (
     SILVER_UNSCALED, SOURCE_COLUMNS,
 )
 from txrisk.sources import testdata
-from txrisk.sources.sinks import read_back, write_csv, write_parquet
+from txrisk.sources.sinks import read_back, write_parquet
 from txrisk.session import checkpoint_dir
 
 ROUND = 6
@@ -306,16 +305,23 @@ def _where_keys(keys):
     return " AND ".join(f"{O.q(k)} IS NOT NULL" for k in keys)
 
 
-def rate_query(layer, src, keys, value=LABEL, scale=100.0, alias="fraud_rate", order="key", rounded=False):
+def _fixed_mean_sql(x: str, fp: int = 100) -> str:
+    units = f"CAST(round(CAST({x} AS DOUBLE) * {O.d(fp)}) AS BIGINT)"
+    return f"CAST(SUM({units}) AS DOUBLE) / COUNT({units}) / {O.d(fp)}"
+
+
+def rate_query(layer, src, keys, value=LABEL, scale=100.0, alias="fraud_rate", order="key", rounded=False,
+               fixed_point=None):
     def run(spark, sf):
         df = VIEW[layer](spark, sf, src)
         okeys = None
         if order == "key" and "month" in keys and layer in ("av", "avd"):
             okeys = [calendar.month_num_of_name(F.col(k)) if k == "month" else F.col(k) for k in keys]
-        out = rates.rate_by(df, keys, value, scale, alias, order, okeys)
+        out = rates.rate_by(df, keys, value, scale, alias, order, okeys, fixed_point=fixed_point)
         return out.select(*keys, rnd(alias)) if rounded else out
     k = ", ".join(O.q(x) for x in keys)
-    expr = f"avg(CAST({O.q(value)} AS DOUBLE))" + (f" * {O.d(scale)}" if scale != 1 else "")
+    mean = _fixed_mean_sql(O.q(value), fixed_point) if fixed_point else f"avg(CAST({O.q(value)} AS DOUBLE))"
+    expr = mean + (f" * {O.d(scale)}" if scale != 1 else "")
     if rounded:
         expr = f"(round({expr}, {ROUND}) + 0.0)"
     sql = O.with_layers(layer, src, f"SELECT {k}, {expr} AS {alias} FROM {layer} WHERE {_where_keys(keys)} GROUP BY {k}")
@@ -386,9 +392,9 @@ RATE_REPORTS = [
     ("rate_by_location_channel", "av", "line", ["location", "channel"], {}),
     ("rate_by_five_keys", "gold", "line", FIVE_KEYS, {"scale": 1.0, "order": "desc"}),
     ("mean_risk_by_customer", "gold", "line", ["customer_id"],
-     {"value": "composite_risk", "scale": 1.0, "alias": "mean_composite_risk", "rounded": True}),
+     {"value": "composite_risk", "scale": 1.0, "alias": "mean_composite_risk", "fixed_point": 100}),
     ("mean_log_by_velocity", "av", "line", ["velocity_score"],
-     {"value": "amount_log", "scale": 1.0, "alias": "mean_amount_log", "rounded": True}),
+     {"value": "amount_log", "scale": 1.0, "alias": "mean_amount_log", "fixed_point": 100}),
 ]
 for seg in SEGMENTS:
     short = "merchant" if seg == "merchant_category" else seg
@@ -613,10 +619,13 @@ register("hist_amount_by_label", *hist_query("av", "line", "amount", 50, LABEL))
 register("hist_amount_log", *hist_query("av", "line", "amount_log", 50))
 register("hist_amount_log_by_label", *hist_query("av", "line", "amount_log", 20, LABEL))
 register("hist_velocity_by_label", *hist_query("av", "line", "velocity_score", 50, LABEL))
+register("hist_merchant_risk_by_label", *hist_query("av", "line", "merchant_risk_score", 50, LABEL))
+register("hist_composite_by_label", *hist_query("av", "line", "composite_risk", 50, LABEL))
+register("hist_ratio_by_label", *hist_query("gold", "line", "amount_vs_mean_ratio", 50, LABEL))
 register("hist_customer_risk", *hist_query(
     "gold", "line", "composite_risk", 30,
-    pre=lambda g: g.groupBy("customer_id").agg(F.avg("composite_risk").alias("composite_risk")),
-    pre_sql="SELECT AVG(composite_risk) AS _x FROM gold GROUP BY customer_id"))
+    pre=lambda g: g.groupBy("customer_id").agg(rates.fixed_mean(F.col("composite_risk"), 100).alias("composite_risk")),
+    pre_sql=f"SELECT {_fixed_mean_sql('composite_risk')} AS _x FROM gold GROUP BY customer_id"))
 register("hist_customer_rate", *hist_query(
     "gold", "line", "is_fraud", 30,
     pre=lambda g: g.groupBy("customer_id").agg((F.avg("is_fraud") * F.lit(100.0)).alias("is_fraud")),
@@ -672,13 +681,16 @@ def kde_q(spark, sf):
 
 
 _KDE_SQL = O.with_layers("av", "line", f"""
-SELECT v.{LABEL}, g.point,
-       (round(s._lo + g.point * (s._hi - s._lo) / {O.d(KDE_POINTS - 1)}, {ROUND}) + 0.0) AS x,
-       (round(SUM(v._c * exp(-0.5 * ((s._lo + g.point * ((s._hi - s._lo) / {O.d(KDE_POINTS - 1)}) - v._x) / s._h)
-                               * ((s._lo + g.point * ((s._hi - s._lo) / {O.d(KDE_POINTS - 1)}) - v._x) / s._h)))
-             * {O.d(1.0 / (2.0 * 3.141592653589793) ** 0.5)} / (s._n * s._h), {ROUND}) + 0.0) AS density
-FROM kv v JOIN ks s ON v.{LABEL} = s.{LABEL} CROSS JOIN (SELECT CAST(range AS INTEGER) AS point FROM range({KDE_POINTS})) g
-GROUP BY ALL
+SELECT {LABEL}, point,
+       (round(_lo + point * (_hi - _lo) / {O.d(KDE_POINTS - 1)}, {ROUND}) + 0.0) AS x,
+       (round(_s * {O.d(1.0 / (2.0 * 3.141592653589793) ** 0.5)} / (_n * _h), {ROUND}) + 0.0) AS density
+FROM (
+  SELECT v.{LABEL}, g.point, s._lo, s._hi, s._n, s._h,
+         SUM(v._c * exp(-0.5 * ((s._lo + g.point * ((s._hi - s._lo) / {O.d(KDE_POINTS - 1)}) - v._x) / s._h)
+                             * ((s._lo + g.point * ((s._hi - s._lo) / {O.d(KDE_POINTS - 1)}) - v._x) / s._h))) AS _s
+  FROM kv v JOIN ks s ON v.{LABEL} = s.{LABEL} CROSS JOIN (SELECT CAST(range AS INTEGER) AS point FROM range({KDE_POINTS})) g
+  GROUP BY v.{LABEL}, g.point, s._lo, s._hi, s._n, s._h
+)
 """, [("kx", f"SELECT {LABEL}, CAST(velocity_score AS DOUBLE) AS _x FROM av WHERE {LABEL} IS NOT NULL AND velocity_score IS NOT NULL"),
       ("ks0", f"SELECT {LABEL}, MIN(_x) AS _lo, MAX(_x) AS _hi, STDDEV_SAMP(_x) AS _sd, COUNT(*) AS _n FROM kx GROUP BY {LABEL}"),
       ("ks", f"SELECT {LABEL}, _lo, _hi, _n, CASE WHEN 1.06 * _sd * pow(CAST(_n AS DOUBLE), -0.2) > 0"
