@@ -202,3 +202,22 @@ def test_pivot_fill_zero(spark):
     df = spark.createDataFrame([("m1", "A", 1), ("m1", "B", 0), ("m2", "A", 0)], "m string, b string, is_fraud int")
     got = {r.m: (r.A, r.B) for r in rates.pivot_rate(df, "m", "b").collect()}
     assert got == {"m1": (100.0, 0.0), "m2": (0.0, 0.0)}
+
+
+def test_corr_matrix_paths_match_pandas(spark):
+    rng = np.random.default_rng(11)
+    pdf = pd.DataFrame({"a": rng.normal(size=200), "b": rng.normal(size=200), "k": [0.1] * 200})
+    pdf["c"] = pdf.a * 0.5 + rng.normal(size=200) * 0.1
+    exp = pdf.corr()
+    fast = {(r.col1, r.col2): r.corr for r in correlation.corr_matrix(spark.createDataFrame(pdf)).collect()}
+    with_null = pdf.copy()
+    with_null.loc[3, "b"] = np.nan
+    exp_n = with_null.corr()
+    slow = {(r.col1, r.col2): r.corr for r in correlation.corr_matrix(spark.createDataFrame(with_null)).collect()}
+    for got, e in [(fast, exp), (slow, exp_n)]:
+        assert len(got) == 16
+        for (x, y), v in got.items():
+            if math.isnan(e.loc[x, y]):
+                assert v is None
+            else:
+                assert math.isclose(v, e.loc[x, y], rel_tol=1e-9, abs_tol=1e-12)

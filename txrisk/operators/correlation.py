@@ -28,9 +28,43 @@ def _prepared(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def corr_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Long-form matrix (col1, col2, corr) over all ordered pairs incl. the
-    diagonal; each unordered pair is computed once."""
+    diagonal.
+
+    One small aggregate first gives, per column, the non-NULL count and the
+    range (k rows of statistics, k = number of columns).  Without any
+    NULL the matrix comes from Spark ML's ``Correlation`` (a vector Gram
+    aggregation merged across tasks; one k x k matrix reaches the driver);
+    constant columns are NULL, the diagonal 1.  With NULLs, every pair is
+    computed over its complete rows by :func:`_pairwise_matrix`.
+    """
     cols = columns or numeric_columns(df)
     src = _prepared(df, cols)
+    stats = src.agg(F.count(F.lit(1)).alias("_rows"),
+                    *[F.struct(F.count(c).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi")).alias(c)
+                      for c in cols]).first()
+    if any(stats[c]["n"] != stats["_rows"] for c in cols) or stats["_rows"] < 2:
+        return _pairwise_matrix(src, cols)
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+
+    vec = VectorAssembler(inputCols=cols, outputCol="_v").transform(src).select("_v")
+    m = Correlation.corr(vec, "_v").first()[0].toArray()
+    constant = {c for c in cols if stats[c]["lo"] == stats[c]["hi"]}
+    rows = []
+    for i, a in enumerate(cols):
+        for j, b in enumerate(cols):
+            if a in constant or b in constant:
+                v = None
+            elif i == j:
+                v = 1.0
+            else:
+                v = float(m[i][j])
+            rows.append((a, b, v))
+    return df.sparkSession.createDataFrame(rows, "col1 string, col2 string, corr double")
+
+
+def _pairwise_matrix(src: DataFrame, cols: list[str]) -> DataFrame:
+    """All pairs in ONE aggregate with pairwise-complete rows."""
     aggs = []
     for i, a in enumerate(cols):
         for b in cols[i:]:
