@@ -1,8 +1,9 @@
 """Tables behind histograms, box plots, violins and scatter samples (D6, D7).
 
-Global statistics (range, quartiles per label) are small aggregates joined
-back by broadcast (a global aggregate is one row; per-label statistics are
-one row per label value).  No operator gathers the rows of a group.
+Global statistics (the value range) are one-row aggregates broadcast back;
+per-group statistics (quartiles, bandwidths) are joined back on the group
+key and AQE broadcasts them only when their measured size is small.  No
+operator gathers the rows of a group.
 """
 
 from __future__ import annotations
@@ -71,7 +72,7 @@ def box_stats(df: DataFrame, column: str, by: str = LABEL, exact: bool = True) -
     x = F.col(column)
     inside = (x >= F.col("lower_fence")) & (x <= F.col("upper_fence"))
     agg = (src.where(F.col(by).isNotNull() & x.isNotNull())
-           .join(F.broadcast(st.select(by, "lower_fence", "upper_fence")), by)
+           .join(st.select(by, "lower_fence", "upper_fence"), by)
            .groupBy(by).agg(
                F.min(F.when(inside, x)).alias("whisker_low"),
                F.max(F.when(inside, x)).alias("whisker_high"),
@@ -86,7 +87,7 @@ def box_outliers(df: DataFrame, column: str, by: str = LABEL, exact: bool = True
     st = _quartiles(src, column, by, exact)
     x = F.col(column)
     return (src.where(F.col(by).isNotNull() & x.isNotNull())
-            .join(F.broadcast(st.select(by, "lower_fence", "upper_fence")), by)
+            .join(st.select(by, "lower_fence", "upper_fence"), by)
             .where((x < F.col("lower_fence")) | (x > F.col("upper_fence")))
             .select(by, column))
 
@@ -107,7 +108,7 @@ def kde(df: DataFrame, column: str, by: str = LABEL, points: int = 64) -> DataFr
     h = F.lit(1.06) * F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2))
     st = st.select(by, "_lo", "_hi", "_n", F.when(h > 0, h).otherwise(F.lit(1.0)).alias("_h"))
     vals = src.groupBy(by, "_x").agg(F.count(F.lit(1)).alias("_c"))
-    joined = vals.join(F.broadcast(st), by)
+    joined = vals.join(st, by)
     step = (F.col("_hi") - F.col("_lo")) / F.lit(float(max(points - 1, 1)))
     norm = F.lit(1.0 / math.sqrt(2.0 * math.pi))
     sums = []
@@ -127,10 +128,20 @@ def kde(df: DataFrame, column: str, by: str = LABEL, points: int = 64) -> DataFr
     ).orderBy(by, "point")
 
 
-def sample_rows(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
+def sample_rows(df: DataFrame, n: int, seed: int = 42, oversample: float = 3.0) -> DataFrame:
     """Uniform sample of min(n, rows) rows without replacement.
 
-    ``orderBy(rand).limit(n)`` plans as a per-task top-n and a merge of n
-    rows per task; no full sort, no driver-side row list.
+    Rows are first thinned by a Bernoulli sample expected to keep
+    ``oversample * n`` rows, then ordered by an independent random key and
+    cut at n.  The top-n then merges about 3n rows instead of n rows from
+    every task; a uniform n-subset of a Bernoulli sample is a uniform
+    n-subset of the input.  If the thinned set is short of n (probability
+    ~e^-n), the whole input is used.
     """
+    total = df.count()
+    fraction = min(1.0, oversample * n / max(total, 1))
+    if fraction < 1.0:
+        thinned = df.sample(withReplacement=False, fraction=fraction, seed=seed + 1)
+        if thinned.count() >= n:
+            df = thinned
     return df.orderBy(F.rand(seed)).limit(n)

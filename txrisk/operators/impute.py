@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 APPROX_ACCURACY = 10000  # rank error 1/10000, tighter than a 0.01 sketch
 
 
-def median_stats(df: DataFrame, columns: Iterable[str], exact: bool = False) -> DataFrame:
+def median_stats(df: DataFrame, columns: Iterable[str], exact: bool = False,
+                 accuracy: int = APPROX_ACCURACY) -> DataFrame:
     """One row: ``_med_<c>`` per column (NULLs ignored; all-NULL -> 0.0).
 
     ``exact=False`` uses the mergeable quantile sketch (bounded memory per
@@ -29,7 +30,7 @@ def median_stats(df: DataFrame, columns: Iterable[str], exact: bool = False) ->
         if exact:
             med = F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY CAST(`{c}` AS DOUBLE))")
         else:
-            med = F.percentile_approx(x, 0.5, APPROX_ACCURACY)
+            med = F.percentile_approx(x, 0.5, accuracy)
         aggs.append(F.coalesce(med, F.lit(0.0)).alias(f"_med_{c}"))
     return df.agg(*aggs)
 
@@ -82,7 +83,7 @@ def impute_mode(df: DataFrame, columns: Iterable[str], fallback=None) -> DataFra
 
 
 def impute(df: DataFrame, numeric: Iterable[str], categorical: Iterable[str],
-           exact: bool = False, fallback=None) -> DataFrame:
+           exact: bool = False, fallback=None, accuracy: int = APPROX_ACCURACY) -> DataFrame:
     """Median + mode imputation with both statistics in ONE broadcast row."""
     num = [c for c in numeric if c in df.columns]
     cat = [c for c in categorical if c in df.columns]
@@ -90,7 +91,7 @@ def impute(df: DataFrame, numeric: Iterable[str], categorical: Iterable[str],
         return df
     stats = None
     if num:
-        stats = median_stats(df, num, exact)
+        stats = median_stats(df, num, exact, accuracy)
     if cat:
         modes = mode_stats(df, cat, fallback)
         stats = modes if stats is None else stats.crossJoin(modes)

@@ -20,7 +20,7 @@ from txrisk.operators.impute import impute
 from txrisk.operators.windows import customer_totals, range_window_features
 from txrisk.schema import (
     ANALYSIS_DROP_FIRST, ANALYSIS_DROP_SECOND, COMPOSITE_WEIGHTS, DATA_QUALITY_SCORE,
-    FRAUD_TECHNIQUE_FILL, GOLD_CATEGORICAL, GOLD_LEADING, GOLD_NUMERIC, HIGH_FREQUENCY_COUNT,
+    FRAUD_TECHNIQUE_FILL, GOLD_CATEGORICAL, MEDIAN_RELATIVE_ERROR, GOLD_LEADING, GOLD_NUMERIC, HIGH_FREQUENCY_COUNT,
     MODE_FALLBACK, SILVER_UNSCALED, SOURCE_COLUMNS,
 )
 from txrisk.session import cut_lineage
@@ -101,7 +101,9 @@ def gold(silver_df: DataFrame, scale: int = 100, exact_median: bool = False,
     num = GOLD_NUMERIC if numeric is None else numeric
     cat = GOLD_CATEGORICAL if categorical is None else categorical
     df = fixed_point_decode(silver_df, num, scale)
-    df = impute(df, num, cat, exact=exact_median, fallback=MODE_FALLBACK)
+    # the sketch uses the same 0.01 relative rank error as the original
+    df = impute(df, num, cat, exact=exact_median, fallback=MODE_FALLBACK,
+                accuracy=int(round(1 / MEDIAN_RELATIVE_ERROR)))
     df = df.withColumns({
         "risk_category": bins.risk_category(F.col("composite_risk")),
         "is_fraudulent": bins.is_fraudulent(F.col("is_fraud")),

@@ -43,6 +43,9 @@ GOLD_NUMERIC = [
     "velocity_score", "merchant_risk_score", "composite_risk",
 ]
 
+# Gold's median imputation is approximate with this relative rank error.
+MEDIAN_RELATIVE_ERROR = 0.01
+
 # Gold mode-imputes these categorical columns; fallback when no value exists.
 GOLD_CATEGORICAL = ["merchant_category", "bank", "location", "age_group"]
 MODE_FALLBACK = "Unknown"
