@@ -10,6 +10,8 @@ both sides.
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -57,15 +59,34 @@ def register(key: str, run, sql: str | None) -> None:
 
 
 # --------------------------------------------------------------------------
-# layer access (each query builds its own lazy chain)
+# layer access
+#
+# bronze (the feature table) and gold are pipeline tables: the first query
+# that needs one writes it as parquet under the session's checkpoint folder,
+# later queries of the same application read the stored table (as the
+# notebook reads the stored gold table).  silver and the analysis views are
+# lazy plans over the stored tables.
 # --------------------------------------------------------------------------
 
+_STORED: dict[tuple, str] = {}
+
+
+def _stored(spark: SparkSession, sf: str, src: str, layer: str, build) -> DataFrame:
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf), src, layer)
+    path = _STORED.get(key)
+    if path is None:
+        path = _scratch(spark, f"{layer}-{src}")
+        build().write.mode("overwrite").parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(path)
+
+
 def base(spark, sf, src):
     return testdata.transactions(spark, sf, src)
 
 
 def bronze(spark, sf, src):
-    return layers.features(base(spark, sf, src))
+    return _stored(spark, sf, src, "bronze", lambda: layers.features(base(spark, sf, src)))
 
 
 def silver(spark, sf, src):
@@ -73,7 +94,7 @@ def silver(spark, sf, src):
 
 
 def gold(spark, sf, src):
-    return layers.gold(silver(spark, sf, src))
+    return _stored(spark, sf, src, "gold", lambda: layers.gold(silver(spark, sf, src)))
 
 
 def gold_nots(spark, sf, src):
@@ -131,7 +152,6 @@ register("analysis_deciles", lambda s, sf: avd(s, sf, "line").drop("gold_process
 
 
 def _scratch(spark: SparkSession, name: str) -> str:
-    import uuid
     return f"{checkpoint_dir(spark).rstrip('/')}/txrisk-tables/{name}-{uuid.uuid4().hex}"
 
 
