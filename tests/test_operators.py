@@ -95,6 +95,10 @@ def test_range_windows_match_bruteforce_across_buckets(spark):
                          float(np.round(rng.uniform(1, 100), 2))))
     df = spark.createDataFrame(recs, "customer_id int, timestamp timestamp_ntz, amount double")
     got = range_window_features(df).toPandas().sort_values(["customer_id", "timestamp", "amount"])
+    fine = range_window_features(df, bucket_us=86_400_000_000).toPandas().sort_values(
+        ["customer_id", "timestamp", "amount"])
+    assert fine.tx_count_24h.tolist() == got.tx_count_24h.tolist()
+    assert np.allclose(fine.amount_mean_7d.tolist(), got.amount_mean_7d.tolist())
     pdf = pd.DataFrame(recs, columns=["customer_id", "timestamp", "amount"])
     exp24, exp7 = [], []
     for _, r in pdf.iterrows():

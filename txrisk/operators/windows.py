@@ -1,13 +1,13 @@
 """Behavioural features: per-customer time-range windows and totals.
 
-RANGE frames are evaluated per (customer, 7-day bucket) instead of per
+RANGE frames are evaluated per (customer, time bucket) instead of per
 customer, so one very active customer is spread over many tasks.  Each row
-is emitted once into its own bucket (as a *current* row) and once into the
-next bucket (as *context*, payload columns nulled).  A frame of at most
-seven days ending at a current row only reaches back into the previous
-bucket, so every frame is complete inside its partition and the result is
-exact; the context copies are filtered out after the window.  One sort per
-partition serves both the 24 h and the 7 d frame.
+is emitted once into its own bucket (as a *current* row) and into the next
+buckets a 7-day frame can reach (as *context*, payload columns nulled; one
+copy with the default 7-day bucket).  Every frame ending at a current row
+is therefore complete inside its partition and the result is exact; the
+context copies are filtered out after the window.  One sort per partition
+serves both the 24 h and the 7 d frame.
 """
 
 from __future__ import annotations
@@ -24,21 +24,25 @@ WEEK_US = 7 * DAY_US
 
 
 def range_window_features(df: DataFrame, key: str = "customer_id", ts: str = "timestamp",
-                          amount: str = "amount") -> DataFrame:
+                          amount: str = "amount", bucket_us: int = WEEK_US) -> DataFrame:
     """Adds tx_count_24h, amount_sum_24h, amount_mean_7d, amount_std_7d.
 
     Frames are ``RANGE BETWEEN <span> PRECEDING AND CURRENT ROW`` on the
     event time (both ends inclusive, peers of the current row included).
-    Amount sums are exact integer cents.
+    Amount sums are exact integer cents.  ``bucket_us`` is the time bucket
+    of a task; a row is copied as context into the next
+    ``ceil(7 days / bucket)`` buckets, so a finer bucket (e.g. one day)
+    splits an extremely dense key further at the price of more copies.
     """
+    copies = -(-WEEK_US // bucket_us)  # buckets a 7-day frame can reach back
     base = df.withColumn("_t", epoch_micros(F.col(ts))).withColumn("_cents", cents(F.col(amount)))
     keep_in_context = {key, "_t", "_cents", amount}
     payload = [c for c in base.columns if c not in keep_in_context]
-    ctx = F.explode(F.array(F.lit(0), F.lit(1))).alias("_ctx")
+    ctx = F.explode(F.array(*[F.lit(i) for i in range(copies + 1)])).alias("_ctx")
     doubled = base.select(*base.columns, ctx)
     doubled = doubled.select(
         F.col(key), F.col("_t"), F.col("_cents"), F.col(amount), F.col("_ctx"),
-        (F.floor(F.col("_t") / F.lit(WEEK_US)) + F.col("_ctx")).alias("_bucket"),
+        (F.floor(F.col("_t") / F.lit(bucket_us)) + F.col("_ctx")).alias("_bucket"),
         *[F.when(F.col("_ctx") == 0, F.col(c)).alias(c) for c in payload],
     )
     # Explicit shuffle on (customer, bucket): without it Catalyst may reuse an
