@@ -17,11 +17,14 @@ from tools.check_oracle import TABLES, row_hash
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
 
+DUCK_TYPE = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+             "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
+
 SUBSET = [
     "rate_by_channel", "silver_event", "gold_event", "impute_mode", "label_counts", "describe",
     "velocity_decile_event", "hist_amount_by_label", "box_amount", "pivot_merchant_bank",
     "corr_with_label", "tx_count_24h", "dedup_full_row", "duplicate_count", "null_counts",
-    "kde_velocity_by_label", "rate_by_month_bank", "distinct_values",
+    "kde_velocity_by_label", "rate_by_month_bank", "distinct_values", "amount_quality", "box_velocity",
 ]
 
 
@@ -58,6 +61,8 @@ def test_matches_oracle(spark, duck, key):
     dcols = [c[0] for c in res.description]
     drows = [tuple(r) for r in res.fetchall()]
     assert sorted(sdf.columns) == sorted(dcols)
+    spark_types = {f.name: DUCK_TYPE.get(f.dataType.simpleString()) for f in sdf.schema.fields}
+    assert spark_types == {c: str(t) for c, t in zip(dcols, duck.sql(E.oracle_sql()[key]).types)}
     assert len(srows) == len(drows)
     assert row_hash(srows, sdf.columns) == row_hash(drows, dcols)
 

@@ -483,7 +483,7 @@ register("schema_profile", lambda s, sf: profile.schema_profile(gold(s, sf, "lin
 
 _DOC_COLS = ["doc_id", "lang", "source", "n_chars", "quality", "toxic"]
 _NULLS_SQL = (f"WITH x AS ({O.DOC_LABEL_NULLS}) SELECT \"column\", null_count FROM (UNPIVOT (SELECT "
-              + ", ".join(f"COUNT_IF({c} IS NULL) AS {c}" for c in _DOC_COLS)
+              + ", ".join(f"CAST(COUNT_IF({c} IS NULL) AS BIGINT) AS {c}" for c in _DOC_COLS)
               + " FROM x) ON COLUMNS(*) INTO NAME \"column\" VALUE null_count)")
 register("null_counts", lambda s, sf: profile.null_counts(testdata.doc_label_nulls(s, sf)), _NULLS_SQL)
 register("null_total", lambda s, sf: profile.null_total(testdata.doc_label_nulls(s, sf)),
@@ -491,7 +491,7 @@ register("null_total", lambda s, sf: profile.null_total(testdata.doc_label_nulls
 register("null_counts_gold_event", lambda s, sf: profile.null_counts(gold_nots(s, sf, "event")), O.with_layers(
     "gold", "event",
     "SELECT \"column\", null_count FROM (UNPIVOT (SELECT "
-    + ", ".join(f"COUNT_IF({O.q(c)} IS NULL{' OR isnan(' + O.q(c) + ')' if c not in GOLD_TYPES else ''}) AS {O.q(c)}"
+    + ", ".join(f"CAST(COUNT_IF({O.q(c)} IS NULL{' OR isnan(' + O.q(c) + ')' if c not in GOLD_TYPES else ''}) AS BIGINT) AS {O.q(c)}"
                 for c in O.GOLD_COLUMNS_NO_TS)
     + " FROM gold) ON COLUMNS(*) INTO NAME \"column\" VALUE null_count)"))
 register("duplicate_count", lambda s, sf: profile.duplicate_count(testdata.event_type_pairs(s, sf)),
@@ -522,7 +522,7 @@ def _describe_sql():
 register("describe", describe_q, _describe_sql())
 register("amount_quality", lambda s, sf: profile.amount_quality(gold(s, sf, "line")), O.with_layers(
     "gold", "line",
-    f"SELECT MIN(amount) AS \"min\", MAX(amount) AS \"max\", COUNT_IF(amount < 0) AS negative,"
+    f"SELECT MIN(amount) AS \"min\", MAX(amount) AS \"max\", CAST(COUNT_IF(amount < 0) AS BIGINT) AS negative,"
     f" COUNT_IF(amount < 0) * {O.d(100.0)} / COUNT(*) AS negative_pct FROM gold"))
 register("time_range", lambda s, sf: profile.time_range(av(s, sf, "event")), O.with_layers(
     "av", "event", "SELECT MIN(\"time\") AS min_time, MAX(\"time\") AS max_time FROM av"))
@@ -666,7 +666,7 @@ def box_query(column, src="line"):
 SELECT f.{LABEL}, {', '.join(f'(round(f.{c}, {ROUND}) + 0.0) AS {c}' for c in _BOX_OUT[:6])},
        (round(MIN(CASE WHEN _x >= lower_fence AND _x <= upper_fence THEN _x END), {ROUND}) + 0.0) AS whisker_low,
        (round(MAX(CASE WHEN _x >= lower_fence AND _x <= upper_fence THEN _x END), {ROUND}) + 0.0) AS whisker_high,
-       COUNT_IF(NOT (_x >= lower_fence AND _x <= upper_fence)) AS n_outliers,
+       CAST(COUNT_IF(NOT (_x >= lower_fence AND _x <= upper_fence)) AS BIGINT) AS n_outliers,
        (round(MIN(_x), {ROUND}) + 0.0) AS "min", (round(MAX(_x), {ROUND}) + 0.0) AS "max", COUNT(*) AS n
 FROM bx JOIN fen f ON bx.{LABEL} = f.{LABEL}
 GROUP BY ALL
