@@ -225,3 +225,18 @@ def test_corr_matrix_paths_match_pandas(spark):
                 assert v is None
             else:
                 assert math.isclose(v, e.loc[x, y], rel_tol=1e-9, abs_tol=1e-12)
+
+
+def test_exact_quantiles_edges(spark):
+    from txrisk.operators.quantile import exact_quantiles
+    rows = [(1, 5.0, None), (2, 1.0, None), (2, 1.0, None), (2, 1.0, None), (2, 9.0, None), (2, float("nan"), None)]
+    df = spark.createDataFrame(rows, "g int, x double, y double")
+    got = {(r.g, r.column, r.p): r.value for r in exact_quantiles(df, ["x", "y"], [0.0, 0.5, 0.9, 1.0], by=["g"]).collect()}
+    # single row group: every quantile is that value
+    assert all(got[(1, "x", p)] == 5.0 for p in (0.0, 0.5, 0.9, 1.0))
+    # hot duplicate value and NaN ignored: [1, 1, 1, 9]
+    vals = np.array([1.0, 1.0, 1.0, 9.0])
+    for p in (0.0, 0.5, 0.9, 1.0):
+        assert math.isclose(got[(2, "x", p)], np.quantile(vals, p))
+    # an all-NULL column yields no rows
+    assert not any(k[1] == "y" for k in got)

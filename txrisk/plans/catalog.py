@@ -281,6 +281,8 @@ for key, layer, src, cols, dbl in [
     ("composite_risk", "gold", "event",
      ["merchant_risk_score", "amount_vs_mean_ratio", "velocity_score", "tx_count_24h", "composite_risk"], ()),
     ("tx_count_24h", "feat", "event", ["customer_id", "timestamp", "tx_count_24h", "amount_sum_24h"], ("amount_sum_24h",)),
+    ("amount_sum_24h", "feat", "line", ["customer_id", "timestamp", "amount", "amount_sum_24h"],
+     ("amount", "amount_sum_24h")),
     ("amount_stats_7d", "feat", "event", ["customer_id", "timestamp", "amount_mean_7d", "amount_std_7d"],
      ("amount_mean_7d", "amount_std_7d")),
     ("customer_totals", "feat", "line", ["customer_id", "tx_count_total", "amount_mean_total", "amount_std_total"],
