@@ -240,3 +240,26 @@ def test_exact_quantiles_edges(spark):
         assert math.isclose(got[(2, "x", p)], np.quantile(vals, p))
     # an all-NULL column yields no rows
     assert not any(k[1] == "y" for k in got)
+
+
+def test_prefix_window_matches_bruteforce_dense_key(spark):
+    from txrisk.operators.windows import range_window_features_prefix
+    rng = np.random.default_rng(9)
+    base = dt.datetime(2023, 1, 1)
+    recs = [(0, base + dt.timedelta(seconds=int(rng.integers(0, 3 * 86400))), float(np.round(rng.uniform(1, 50), 2)))
+            for _ in range(400)]
+    recs += [(1, base, 3.0), (1, base, 4.0), (1, base + dt.timedelta(days=1), 5.0)]  # peers + exact 24h edge
+    df = spark.createDataFrame(recs, "customer_id int, timestamp timestamp_ntz, amount double")
+    got = range_window_features_prefix(df, partitions=12).toPandas()
+    pdf = pd.DataFrame(recs, columns=["customer_id", "timestamp", "amount"])
+    for _, r in got.sample(60, random_state=1).iterrows():
+        same = pdf[pdf.customer_id == r.customer_id]
+        w24 = same[(same.timestamp <= r.timestamp) & (same.timestamp >= r.timestamp - pd.Timedelta(days=1))]
+        w7 = same[(same.timestamp <= r.timestamp) & (same.timestamp >= r.timestamp - pd.Timedelta(days=7))]
+        assert r.tx_count_24h == len(w24)
+        assert math.isclose(r.amount_sum_24h, round(w24.amount.sum(), 2), abs_tol=1e-9)
+        assert math.isclose(r.amount_mean_7d, w7.amount.mean(), rel_tol=1e-12)
+        exp_std = w7.amount.std(ddof=1) if len(w7) > 1 else 0.0
+        assert math.isclose(r.amount_std_7d, exp_std, rel_tol=1e-9, abs_tol=1e-9)
+    edge = got[got.customer_id == 1].sort_values(["timestamp", "amount"])
+    assert edge.tx_count_24h.tolist() == [2.0, 2.0, 3.0]

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from txrisk.functions.fixedpoint import nan_to_null
 from txrisk.operators.impute import APPROX_ACCURACY
+from txrisk.session import cut_lineage
 
 
 def qcut_edges(df: DataFrame, column: str, q: int = 10, exact: bool = True, prefix: str = "_e") -> DataFrame:
@@ -75,7 +76,8 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], by: l
 
     1. values -> (group, column, value, count): a group-by with map-side
        combine, so a value repeated by a third of all rows is one row;
-    2. the distinct values are range-partitioned on (group, column, value);
+    2. the distinct values are range-partitioned on (group, column, value)
+       and checkpointed (the partition ids must be the same for both uses);
        each partition's total (a few rows per partition) gives the offset of
        the partition through a small window, and a running sum inside each
        range partition gives the global rank span of every value;
@@ -95,6 +97,9 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], by: l
             .select(*by, "_kv.column", "_kv.v").where(F.col("v").isNotNull()))
     counts = long.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("_c"))
     ranged = counts.repartitionByRange(nparts, *keys, "v").withColumn("_pid", F.spark_partition_id())
+    # The range bounds come from sampling that may differ between two
+    # evaluations, so the partition ids are frozen before both uses below.
+    ranged = cut_lineage(ranged)
     run = Window.partitionBy("_pid", *keys).orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = ranged.select(*keys, "v", "_c", "_pid", F.sum("_c").over(run).alias("_local"))
     totals = ranged.groupBy("_pid", *keys).agg(F.sum("_c").alias("_ps"))

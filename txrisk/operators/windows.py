@@ -86,3 +86,73 @@ def customer_totals(df: DataFrame, key: str = "customer_id", amount: str = "amou
         "amount_std_total", "channel_diversity", "location_diversity",
         (F.col("_online").cast("double") / F.col("tx_count_total")).alias("online_channel_ratio"),
     )
+
+
+def range_window_features_prefix(df: DataFrame, key: str = "customer_id", ts: str = "timestamp",
+                                 amount: str = "amount", partitions: int | None = None) -> DataFrame:
+    """Same four features as :func:`range_window_features`, for keys of any density.
+
+    Frame aggregates are differences of prefix sums: for a row at time t,
+    ``count_24h = N(<= t) - N(< t - 24h)`` and likewise for sums of cents and
+    squared cents (exact decimals).  The prefix values come from ONE sort:
+    the rows are unioned with three boundary points per row (t after its
+    peers, t - 24h and t - 7d before theirs), range-partitioned on
+    (key, time) so a dense key is split across tasks by time, summed
+    inside each partition, and offset by the totals of the key's earlier
+    partitions (a table of partitions x keys rows).  The boundary values
+    are then pivoted back per row.  Row ids and range-partition ids are
+    frozen by reliable checkpoints, so recomputation after a lost executor
+    joins back to the same rows and partitions.
+    """
+    from txrisk.session import cut_lineage
+
+    spark = df.sparkSession
+    nparts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    base = (df.withColumn("_t", epoch_micros(F.col(ts))).withColumn("_cents", cents(F.col(amount)))
+            .withColumn("_rid", F.monotonically_increasing_id()))
+    base = cut_lineage(base)
+    dec = "decimal(38,0)"
+    c = F.col("_cents").cast(dec)
+    zero = F.lit(0).cast(dec)
+    events = base.select(F.col(key), F.col("_t").alias("_q"), F.lit(1).alias("_ord"),
+                         F.lit(None).cast("long").alias("_rid"), F.lit(None).cast("int").alias("_kind"),
+                         F.lit(1).cast("long").alias("_n"), c.alias("_s"), (c * c).cast(dec).alias("_ss"))
+    bounds = F.explode(F.array(
+        F.struct(F.col("_t").alias("_q"), F.lit(2).alias("_ord"), F.lit(0).alias("_kind")),
+        F.struct((F.col("_t") - F.lit(DAY_US)).alias("_q"), F.lit(0).alias("_ord"), F.lit(1).alias("_kind")),
+        F.struct((F.col("_t") - F.lit(WEEK_US)).alias("_q"), F.lit(0).alias("_ord"), F.lit(2).alias("_kind")),
+    )).alias("_b")
+    points = base.select(F.col(key), F.col("_rid"), bounds).select(
+        F.col(key), F.col("_b._q").alias("_q"), F.col("_b._ord").alias("_ord"), F.col("_rid"),
+        F.col("_b._kind").alias("_kind"), F.lit(0).cast("long").alias("_n"), zero.alias("_s"), zero.alias("_ss"))
+    ranged = (events.unionByName(points).repartitionByRange(nparts, key, "_q", "_ord")
+              .withColumn("_pid", F.spark_partition_id()))
+    # range bounds come from sampling that may differ between evaluations:
+    # freeze the partition ids before the two uses (running sums, totals)
+    ranged = cut_lineage(ranged)
+    run = Window.partitionBy("_pid", key).orderBy("_q", "_ord").rowsBetween(Window.unboundedPreceding,
+                                                                            Window.currentRow)
+    local = ranged.select(key, "_pid", "_rid", "_kind", *[F.sum(x).over(run).alias(f"_l{x}") for x in ("_n", "_s", "_ss")])
+    totals = ranged.groupBy("_pid", key).agg(*[F.sum(x).alias(f"_t{x}") for x in ("_n", "_s", "_ss")])
+    before = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_pid", key, *[F.coalesce(F.sum(f"_t{x}").over(before), F.lit(0)).alias(f"_o{x}")
+                                           for x in ("_n", "_s", "_ss")])
+    prefix = local.where(F.col("_rid").isNotNull()).join(offsets, ["_pid", key]).select(
+        "_rid", "_kind", *[(F.col(f"_o{x}") + F.col(f"_l{x}")).alias(x) for x in ("_n", "_s", "_ss")])
+    per_row = prefix.groupBy("_rid").agg(*[
+        F.max(F.when(F.col("_kind") == k, F.col(x))).alias(f"{x}{k}") for k in (0, 1, 2) for x in ("_n", "_s", "_ss")])
+    out = base.join(per_row, "_rid")
+    n24 = F.col("_n0") - F.col("_n1")
+    n7 = F.col("_n0") - F.col("_n2")
+    s7 = (F.col("_s0") - F.col("_s2")).cast(dec)
+    ss7 = (F.col("_ss0") - F.col("_ss2")).cast(dec)
+    var_num = (n7.cast(dec) * ss7 - s7 * s7).cast("double")
+    std7 = F.when(n7 > 1, F.sqrt(var_num / (n7 * (n7 - 1)).cast("double")) / F.lit(100.0)).otherwise(F.lit(0.0))
+    keep = [x for x in df.columns]
+    return out.select(
+        *keep,
+        n24.cast("double").alias("tx_count_24h"),
+        ((F.col("_s0") - F.col("_s1")).cast("double") / F.lit(100.0)).alias("amount_sum_24h"),
+        (s7.cast("double") / n7 / F.lit(100.0)).alias("amount_mean_7d"),
+        std7.alias("amount_std_7d"),
+    )

@@ -293,6 +293,17 @@ for key, layer, src, cols, dbl in [
     register(key, *_cols(layer, src, cols, dbl))
 
 
+def window_prefix_q(spark, sf):
+    """Prefix-sum window method on the line source (exact columns only)."""
+    from txrisk.operators.windows import range_window_features_prefix
+    out = range_window_features_prefix(base(spark, sf, "line").select(*BASE_COLS))
+    return out.select("customer_id", "timestamp", "amount", "tx_count_24h", "amount_sum_24h", "amount_mean_7d")
+
+
+register("window_features_prefix", window_prefix_q, O.with_layers(
+    "feat", "line", "SELECT customer_id, \"timestamp\", amount, tx_count_24h, amount_sum_24h, amount_mean_7d FROM w"))
+
+
 def parse_timestamp_q(spark, sf):
     b = base(spark, sf, "event")
     text = F.date_format(F.col("timestamp"), calendar.TIMESTAMP_FORMAT)

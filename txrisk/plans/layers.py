@@ -17,7 +17,7 @@ from txrisk.operators.clean import (
     fixed_point_encode, reorder_columns,
 )
 from txrisk.operators.impute import impute
-from txrisk.operators.windows import customer_totals, range_window_features
+from txrisk.operators.windows import customer_totals, range_window_features, range_window_features_prefix
 from txrisk.schema import (
     ANALYSIS_DROP_FIRST, ANALYSIS_DROP_SECOND, COMPOSITE_WEIGHTS, DATA_QUALITY_SCORE,
     FRAUD_TECHNIQUE_FILL, GOLD_CATEGORICAL, MEDIAN_RELATIVE_ERROR, GOLD_LEADING, GOLD_NUMERIC, HIGH_FREQUENCY_COUNT,
@@ -36,7 +36,7 @@ def _minmax_norm(x: str) -> F.Column:
     return F.when(hi > lo, (F.col(x) - lo) / (hi - lo)).otherwise(F.lit(0.0))
 
 
-def features(base: DataFrame, checkpoint: bool = True) -> DataFrame:
+def features(base: DataFrame, checkpoint: bool = True, window_method: str = "bucket") -> DataFrame:
     """Raw transactions (38 dictionary columns) from base transaction rows.
 
     Calendar ints, cyclic encodings, log/round flags, RANGE-window
@@ -44,9 +44,15 @@ def features(base: DataFrame, checkpoint: bool = True) -> DataFrame:
     (min-max normalised over the input).  The row set after windows and
     the customer join feeds both the global min/max and the rows, so it is
     checkpointed once (``checkpoint=False`` keeps the plan fully lazy).
+    ``window_method``: 'bucket' (one shuffle, a customer x 7-day bucket per
+    task) or 'prefix' (prefix sums over a range-partitioned sort: any key
+    density, several more shuffles).
     """
     ts = F.col("timestamp")
-    windowed = range_window_features(base.select(*BASE_COLUMNS))
+    if window_method == "prefix":
+        windowed = range_window_features_prefix(base.select(*BASE_COLUMNS))
+    else:
+        windowed = range_window_features(base.select(*BASE_COLUMNS))
     totals = customer_totals(base.select("customer_id", "amount", "channel", "location"))
     rows = windowed.join(totals, "customer_id")
     rows = rows.select(
