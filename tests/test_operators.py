@@ -263,3 +263,14 @@ def test_prefix_window_matches_bruteforce_dense_key(spark):
         assert math.isclose(r.amount_std_7d, exp_std, rel_tol=1e-9, abs_tol=1e-9)
     edge = got[got.customer_id == 1].sort_values(["timestamp", "amount"])
     assert edge.tx_count_24h.tolist() == [2.0, 2.0, 3.0]
+
+
+def test_exact_discrete_median_matches_percentile_disc(spark):
+    from txrisk.operators.impute import median_stats
+    rng = np.random.default_rng(4)
+    vals = [float(v) for v in rng.integers(0, 50, 301)] + [None] * 5
+    df = spark.createDataFrame([(v, v) for v in vals] + [(1.0, 2.0)], "a double, b double")
+    got = median_stats(df, ["a", "b"], exact=True).first()
+    exp = df.selectExpr("percentile_disc(0.5) WITHIN GROUP (ORDER BY a) AS a",
+                        "percentile_disc(0.5) WITHIN GROUP (ORDER BY b) AS b").first()
+    assert (got["_med_a"], got["_med_b"]) == (exp.a, exp.b)

@@ -21,17 +21,18 @@ def median_stats(df: DataFrame, columns: Iterable[str], exact: bool = False,
     """One row: ``_med_<c>`` per column (NULLs ignored; all-NULL -> 0.0).
 
     ``exact=False`` uses the mergeable quantile sketch (bounded memory per
-    task, partial aggregation); ``exact=True`` uses ``percentile_disc``,
-    which holds every distinct value of a column in one task.
+    task, partial aggregation); ``exact=True`` takes the exact lower median
+    (``percentile_disc(0.5)``) from the distributed exact quantile operator.
     """
-    aggs = []
-    for c in columns:
-        x = F.col(c).cast("double")
-        if exact:
-            med = F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY CAST(`{c}` AS DOUBLE))")
-        else:
-            med = F.percentile_approx(x, 0.5, accuracy)
-        aggs.append(F.coalesce(med, F.lit(0.0)).alias(f"_med_{c}"))
+    cols = list(columns)
+    if exact:
+        from txrisk.operators.quantile import exact_quantiles
+
+        long = exact_quantiles(df, cols, [0.5], discrete=True)
+        return long.agg(*[F.coalesce(F.max(F.when(F.col("column") == c, F.col("value"))), F.lit(0.0))
+                          .alias(f"_med_{c}") for c in cols])
+    aggs = [F.coalesce(F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy), F.lit(0.0)).alias(f"_med_{c}")
+            for c in cols]
     return df.agg(*aggs)
 
 

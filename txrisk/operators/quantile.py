@@ -69,7 +69,7 @@ def add_qcuts(df: DataFrame, specs: list[tuple[str, str, int]], q: int = 10, exa
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], by: list[str] | None = None,
-                    partitions: int | None = None) -> DataFrame:
+                    partitions: int | None = None, discrete: bool = False) -> DataFrame:
     """Exact linear-interpolated quantiles, distributed (long form).
 
     Output: (*by, column, p, value).  No task ever holds a whole column:
@@ -84,6 +84,9 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], by: l
     3. the rank positions p*(n-1) are looked up with a join against a
        target table of (groups x columns x probs) rows and interpolated as
        ``lo + (hi - lo) * frac``.
+
+    ``discrete=True`` returns an element instead (``percentile_disc``: the
+    value at 0-based rank ceil(p * n) - 1).
     """
     by = list(by or [])
     keys = [*by, "column"]
@@ -111,9 +114,13 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], by: l
         (F.col("_off") + F.col("_local")).alias("_end"))
     targets = (offsets.select(*keys, "_n").distinct()
                .select(*keys, "_n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p")))
-    pos = (F.col("_n") - 1).cast("double") * F.col("p")
-    targets = targets.select(*keys, "p", F.floor(pos).alias("_klo"), F.ceil(pos).alias("_khi"),
-                             (pos - F.floor(pos)).alias("_frac"))
+    if discrete:
+        k = F.greatest(F.ceil(F.col("p") * F.col("_n").cast("double")) - 1, F.lit(0))
+        targets = targets.select(*keys, "p", k.alias("_klo"), k.alias("_khi"), F.lit(0.0).alias("_frac"))
+    else:
+        pos = (F.col("_n") - 1).cast("double") * F.col("p")
+        targets = targets.select(*keys, "p", F.floor(pos).alias("_klo"), F.ceil(pos).alias("_khi"),
+                                 (pos - F.floor(pos)).alias("_frac"))
 
     def covers(k: str) -> Column:
         return (F.col("_first") <= F.col(k)) & (F.col(k) < F.col("_end"))
