@@ -44,6 +44,7 @@ def test_every_query_has_oracle_or_is_a_sample():
     qs, sqls = E.queries(), E.oracle_sql()
     assert len(qs) >= 100
     assert set(qs) - set(sqls) == {"scatter_sample", "pairplot_sample"}
+    assert "describe_datetime" in sqls and "window_features_prefix" in sqls
 
 
 def test_entry_smoke(spark):

@@ -274,3 +274,15 @@ def test_exact_discrete_median_matches_percentile_disc(spark):
     exp = df.selectExpr("percentile_disc(0.5) WITHIN GROUP (ORDER BY a) AS a",
                         "percentile_disc(0.5) WITHIN GROUP (ORDER BY b) AS b").first()
     assert (got["_med_a"], got["_med_b"]) == (exp.a, exp.b)
+
+
+def test_describe_datetime_matches_pandas(spark):
+    ts = pd.to_datetime(["2024-01-01 00:00:00", "2024-01-01 06:00:00.000003", "2024-01-02 00:00:00",
+                         "2024-01-05 12:30:00", None], format="ISO8601")
+    df = spark.createDataFrame(pd.DataFrame({"t": ts}).astype({"t": "datetime64[us]"}), "t timestamp_ntz")
+    r = profile.describe_datetime(df, ["t"]).first()
+    exp = pd.Series(ts).describe()
+    assert r["count"] == exp["count"]
+    for k, e in [("min", "min"), ("max", "max"), ("p25", "25%"), ("p50", "50%"), ("p75", "75%"), ("mean", "mean")]:
+        # floored to the microsecond; pandas interpolates in nanoseconds
+        assert abs(pd.Timestamp(r[k]) - exp[e]) < pd.Timedelta(microseconds=1), (k, r[k], exp[e])

@@ -94,6 +94,34 @@ def describe(df: DataFrame, columns: list[str] | None = None, exact: bool = True
     return long.select("column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
+def describe_datetime(df: DataFrame, columns: list[str]) -> DataFrame:
+    """count, mean, min, 25%, 50%, 75%, max of timestamp columns.
+
+    Computed on epoch microseconds: the mean is an exact integer division of
+    a decimal sum, quartiles interpolate linearly through the distributed
+    exact quantile operator and are floored to the microsecond.
+    """
+    from txrisk.functions.calendar import epoch_micros
+    from txrisk.operators.quantile import exact_quantiles
+
+    micros = df.select(*[epoch_micros(F.col(c)).alias(c) for c in columns])
+    row = micros.agg(*[F.struct(
+        F.count(c).alias("count"),
+        F.expr(f"sum(cast(`{c}` AS decimal(38,0))) div count(`{c}`)").alias("mean"),
+        F.min(c).alias("min"), F.max(c).alias("max")).alias(c) for c in columns])
+    moments = _unpivot_row(row, columns, "s").select("column", "s.*")
+    qs = exact_quantiles(micros, columns, [0.25, 0.5, 0.75]).groupBy("column").agg(
+        *[F.max(F.when(F.col("p") == F.lit(p), F.floor(F.col("value")))).alias(n)
+          for p, n in [(0.25, "p25"), (0.5, "p50"), (0.75, "p75")]])
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+    def ts(c: str):
+        return F.timestamp_add("MICROSECOND", F.col(c).cast("long"), epoch).alias(c)
+
+    return moments.join(qs, "column", "left").select(
+        "column", "count", ts("mean"), ts("min"), ts("p25"), ts("p50"), ts("p75"), ts("max"))
+
+
 def amount_quality(df: DataFrame, column: str = "amount") -> DataFrame:
     """min, max, negative count and negative percent of a column."""
     x = F.col(column)

@@ -533,6 +533,20 @@ def _describe_sql():
 
 
 register("describe", describe_q, _describe_sql())
+def _describe_dt_sql(layer, src, col):
+    u = f"epoch_us({O.q(col)})"
+    qs = ", ".join(f"make_timestamp(CAST(floor(quantile_cont(CAST({u} AS DOUBLE), {p})) AS BIGINT)) AS {n}"
+                   for p, n in [(0.25, "p25"), (0.5, "p50"), (0.75, "p75")])
+    return O.with_layers(layer, src, (
+        f"SELECT '{col}' AS \"column\", COUNT({O.q(col)}) AS \"count\","
+        f" make_timestamp(CAST(SUM(CAST({u} AS HUGEINT)) // COUNT({O.q(col)}) AS BIGINT)) AS mean,"
+        f" MIN({O.q(col)}) AS \"min\", {qs}, MAX({O.q(col)}) AS \"max\" FROM {layer}"))
+
+
+register("describe_datetime", lambda s, sf: profile.describe_datetime(gold(s, sf, "event"), ["timestamp"]),
+         _describe_dt_sql("gold", "event", "timestamp"))
+register("describe_datetime_line", lambda s, sf: profile.describe_datetime(gold(s, sf, "line"), ["timestamp"]),
+         _describe_dt_sql("gold", "line", "timestamp"))
 register("amount_quality", lambda s, sf: profile.amount_quality(gold(s, sf, "line")), O.with_layers(
     "gold", "line",
     f"SELECT MIN(amount) AS \"min\", MAX(amount) AS \"max\", CAST(COUNT_IF(amount < 0) AS BIGINT) AS negative,"
