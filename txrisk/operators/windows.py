@@ -8,6 +8,10 @@ copy with the default 7-day bucket).  Every frame ending at a current row
 is therefore complete inside its partition and the result is exact; the
 context copies are filtered out after the window.  One sort per partition
 serves both the 24 h and the 7 d frame.
+
+:func:`range_window_features_prefix` computes the same features for keys
+that are dense even inside one bucket: frame aggregates become differences
+of prefix sums taken over one range-partitioned sort of (key, time).
 """
 
 from __future__ import annotations
