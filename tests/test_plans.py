@@ -42,3 +42,17 @@ def test_gold_statistics_use_bounded_sketch(spark):
     assert "percentile_approx(" in p
     assert "percentile(" not in p.replace("percentile_approx(", "")
     assert gold.where(F.col("amount").isNull()).count() == 0
+
+
+def test_statistics_attach_without_cross_join(spark):
+    from txrisk.operators import distribution
+    vals = {c: F.when(F.col("id") > 3, F.col("id") * 100).alias(c)
+            for c in ["amount", "composite_risk", "hour", "is_fraud"]}
+    base = spark.range(50).select(F.col("id").cast("string").alias("transaction_id"),
+                                  F.when(F.col("id") > 2, F.lit("Lagos")).alias("location"), *vals.values())
+    for df in [layers.gold(base, numeric=list(vals), categorical=["location"]),
+               distribution.histogram(base, "amount", 5, "is_fraud"),
+               rates.label_counts(base)]:
+        p = plan(df)
+        assert "NestedLoopJoin" not in p and "CartesianProduct" not in p
+        df.collect()

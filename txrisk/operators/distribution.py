@@ -1,6 +1,7 @@
 """Tables behind histograms, box plots, violins and scatter samples (D6, D7).
 
-Global statistics (the value range) are one-row aggregates broadcast back;
+Global statistics (the value range) are one-row aggregates read as scalar
+subqueries;
 per-group statistics (quartiles, bandwidths) are joined back on the group
 key and AQE broadcasts them only when their measured size is small.  No
 operator gathers the rows of a group.
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from txrisk.functions.fixedpoint import nan_to_null
 from txrisk.operators.quantile import exact_quantiles
+from txrisk.operators.stats import scalars
 from txrisk.schema import LABEL
 
 
@@ -29,14 +31,12 @@ def histogram(df: DataFrame, column: str, bins: int, by: str | None = None) -> D
     src = df.select(*([F.col(by)] if by else []), x.alias("_x")).where(F.col("_x").isNotNull())
     if by:
         src = src.where(F.col(by).isNotNull())
-    rng = src.agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+    rng = scalars(src.agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi")))
+    lo, hi = rng["_lo"], rng["_hi"]
     n = F.lit(bins)
-    width = F.when(F.col("_hi") > F.col("_lo"), (F.col("_hi") - F.col("_lo")) / n).otherwise(F.lit(1.0))
-    b = F.when(F.col("_hi") > F.col("_lo"),
-               F.least(F.floor((F.col("_x") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * n),
-                       F.lit(bins - 1))).otherwise(F.lit(0)).cast("int")
-    keyed = src.crossJoin(F.broadcast(rng)).select(
-        *([F.col(by)] if by else []), b.alias("bin"), F.col("_lo"), width.alias("_w"))
+    width = F.when(hi > lo, (hi - lo) / n).otherwise(F.lit(1.0))
+    b = F.when(hi > lo, F.least(F.floor((F.col("_x") - lo) / (hi - lo) * n), F.lit(bins - 1))).otherwise(F.lit(0))
+    keyed = src.select(*([F.col(by)] if by else []), b.cast("int").alias("bin"), lo.alias("_lo"), width.alias("_w"))
     keys = ([by] if by else []) + ["bin"]
     out = keyed.groupBy(*keys, "_lo", "_w").agg(F.count(F.lit(1)).alias("count"))
     return out.select(

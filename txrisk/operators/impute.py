@@ -1,9 +1,8 @@
 """Median and mode imputation from ONE statistics pass each.
 
-Statistics are computed lazily as a one-row DataFrame (a global aggregate
-always returns exactly one row, so broadcasting it is size-bounded) and
-applied with a broadcast cross join + ``coalesce``: no driver round trip,
-no literal baked into the plan, one scan for all columns.
+Statistics are computed lazily as a one-row DataFrame (a global aggregate)
+and read by every row as scalar subqueries + ``coalesce``: no driver round
+trip, no join, one aggregate for all columns.
 """
 
 from __future__ import annotations
@@ -13,6 +12,8 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from txrisk.operators.stats import scalars
+
 APPROX_ACCURACY = 10000  # rank error 1/10000, tighter than a 0.01 sketch
 
 
@@ -62,10 +63,9 @@ def impute_median(df: DataFrame, columns: Iterable[str], exact: bool = False) ->
     cols = [c for c in columns if c in df.columns]
     if not cols:
         return df
-    stats = median_stats(df, cols, exact)
-    joined = df.crossJoin(F.broadcast(stats))
-    return joined.select(*[
-        F.coalesce(F.col(c), F.col(f"_med_{c}").cast(df.schema[c].dataType)).alias(c) if c in cols else F.col(c)
+    med = scalars(median_stats(df, cols, exact))
+    return df.select(*[
+        F.coalesce(F.col(c), med[f"_med_{c}"].cast(df.schema[c].dataType)).alias(c) if c in cols else F.col(c)
         for c in df.columns
     ])
 
@@ -75,34 +75,32 @@ def impute_mode(df: DataFrame, columns: Iterable[str], fallback=None) -> DataFra
     cols = [c for c in columns if c in df.columns]
     if not cols:
         return df
-    stats = mode_stats(df, cols, fallback)
-    joined = df.crossJoin(F.broadcast(stats))
-    return joined.select(*[
-        F.coalesce(F.col(c), F.col(f"_mode_{c}").cast(df.schema[c].dataType)).alias(c) if c in cols else F.col(c)
+    mode = scalars(mode_stats(df, cols, fallback))
+    return df.select(*[
+        F.coalesce(F.col(c), mode[f"_mode_{c}"].cast(df.schema[c].dataType)).alias(c) if c in cols else F.col(c)
         for c in df.columns
     ])
 
 
 def impute(df: DataFrame, numeric: Iterable[str], categorical: Iterable[str],
            exact: bool = False, fallback=None, accuracy: int = APPROX_ACCURACY) -> DataFrame:
-    """Median + mode imputation with both statistics in ONE broadcast row."""
+    """Median + mode imputation: one statistics aggregate per kind, read as
+    scalar subqueries."""
     num = [c for c in numeric if c in df.columns]
     cat = [c for c in categorical if c in df.columns]
     if not num and not cat:
         return df
-    stats = None
+    stat: dict = {}
     if num:
-        stats = median_stats(df, num, exact, accuracy)
+        stat.update(scalars(median_stats(df, num, exact, accuracy)))
     if cat:
-        modes = mode_stats(df, cat, fallback)
-        stats = modes if stats is None else stats.crossJoin(modes)
-    joined = df.crossJoin(F.broadcast(stats))
+        stat.update(scalars(mode_stats(df, cat, fallback)))
     out = []
     for c in df.columns:
         if c in num:
-            out.append(F.coalesce(F.col(c), F.col(f"_med_{c}").cast(df.schema[c].dataType)).alias(c))
+            out.append(F.coalesce(F.col(c), stat[f"_med_{c}"].cast(df.schema[c].dataType)).alias(c))
         elif c in cat:
-            out.append(F.coalesce(F.col(c), F.col(f"_mode_{c}").cast(df.schema[c].dataType)).alias(c))
+            out.append(F.coalesce(F.col(c), stat[f"_mode_{c}"].cast(df.schema[c].dataType)).alias(c))
         else:
             out.append(F.col(c))
-    return joined.select(*out)
+    return df.select(*out)

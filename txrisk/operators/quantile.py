@@ -1,7 +1,7 @@
 """Quantile bins with pandas ``qcut`` semantics (E7, E8).
 
 Edges are the linear-interpolated quantiles at 0, 1/q, ..., 1 (one global
-aggregate -> one row -> broadcast).  Duplicate edges collapse; bins are
+aggregate -> one row, read as scalar subqueries).  Duplicate edges collapse; bins are
 right-closed with the first one closed on the left, so a value's bin is
 the number of distinct edges strictly below it, minus one (floored at 0).
 The edge count is unrolled into q+1 comparisons so the projection stays
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from txrisk.functions.fixedpoint import nan_to_null
 from txrisk.operators.impute import APPROX_ACCURACY
+from txrisk.operators.stats import scalars
 from txrisk.session import cut_lineage
 
 
@@ -42,13 +43,18 @@ def _edges_row(df: DataFrame, specs: list[tuple[str, str]], q: int, exact: bool)
                         for k, (_, prefix) in enumerate(specs) for i in range(q + 1)])
 
 
-def qcut_bin(x: Column, q: int = 10, prefix: str = "_e", base: int = 0) -> Column:
-    """Bin number of ``x`` given broadcast edge columns (see module doc)."""
+def qcut_bin(x: Column, q: int = 10, prefix: str = "_e", base: int = 0, edges: dict | None = None) -> Column:
+    """Bin number of ``x`` given the edges ``{prefix}0 .. {prefix}q`` (see
+    module doc); ``edges`` maps those names to Columns (e.g. scalar
+    subqueries), otherwise they are read as columns of the row."""
+    def e(i: int) -> Column:
+        name = f"{prefix}{i}"
+        return edges[name] if edges is not None else F.col(name)
+
     x = nan_to_null(x.cast("double"))
-    below = F.when(F.col(f"{prefix}0") < x, 1).otherwise(0)
+    below = F.when(e(0) < x, 1).otherwise(0)
     for i in range(1, q + 1):
-        e, prev = F.col(f"{prefix}{i}"), F.col(f"{prefix}{i - 1}")
-        below = below + F.when((e < x) & (e > prev), 1).otherwise(0)
+        below = below + F.when((e(i) < x) & (e(i) > e(i - 1)), 1).otherwise(0)
     return F.when(x.isNotNull(), F.greatest(below - 1, F.lit(0)) + F.lit(base))
 
 
@@ -62,10 +68,9 @@ def add_qcuts(df: DataFrame, specs: list[tuple[str, str, int]], q: int = 10, exa
 
     ``specs``: (source column, output column, label base).
     """
-    edges = _edges_row(df, [(column, f"_e_{out}_") for column, out, _ in specs], q, exact)
-    joined = df.crossJoin(F.broadcast(edges))
-    return joined.select(*df.columns, *[qcut_bin(F.col(column), q, f"_e_{out}_", base).alias(out)
-                                        for column, out, base in specs])
+    edges = scalars(_edges_row(df, [(column, f"_e_{out}_") for column, out, _ in specs], q, exact))
+    return df.select(*df.columns, *[qcut_bin(F.col(column), q, f"_e_{out}_", base, edges).alias(out)
+                                    for column, out, base in specs])
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], by: list[str] | None = None,

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from txrisk.operators.stats import scalars
 from txrisk.schema import LABEL
 
 
@@ -70,12 +71,11 @@ def label_counts(df: DataFrame, label: str = LABEL) -> DataFrame:
     """Count and percent share per label value (bar + pie tables).
 
     The share divides by a global total computed by a one-row aggregate
-    (broadcast cross join), not by an unpartitioned window.
+    (read as a scalar subquery), not by an unpartitioned window.
     """
     counts = count_by(df, [label], order="none")
-    total = counts.agg(F.sum("count").alias("_total"))
-    return (counts.crossJoin(F.broadcast(total))
-            .select(label, "count", (F.col("count") * F.lit(100.0) / F.col("_total")).alias("percent"))
+    total = scalars(counts.agg(F.sum("count").alias("_total")))["_total"]
+    return (counts.select(label, "count", (F.col("count") * F.lit(100.0) / total).alias("percent"))
             .orderBy(F.col("count").desc(), label))
 
 

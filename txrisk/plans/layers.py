@@ -17,6 +17,7 @@ from txrisk.operators.clean import (
     fixed_point_encode, reorder_columns,
 )
 from txrisk.operators.impute import impute
+from txrisk.operators.stats import scalars
 from txrisk.operators.windows import customer_totals, range_window_features, range_window_features_prefix
 from txrisk.schema import (
     ANALYSIS_DROP_FIRST, ANALYSIS_DROP_SECOND, COMPOSITE_WEIGHTS, DATA_QUALITY_SCORE,
@@ -31,8 +32,8 @@ BASE_COLUMNS = [
 ]
 
 
-def _minmax_norm(x: str) -> F.Column:
-    lo, hi = F.col(f"_min_{x}"), F.col(f"_max_{x}")
+def _minmax_norm(x: str, stat: dict) -> F.Column:
+    lo, hi = stat[f"_min_{x}"], stat[f"_max_{x}"]
     return F.when(hi > lo, (F.col(x) - lo) / (hi - lo)).otherwise(F.lit(0.0))
 
 
@@ -65,16 +66,16 @@ def features(base: DataFrame, checkpoint: bool = True, window_method: str = "buc
     )
     if checkpoint:
         rows = cut_lineage(rows)
-    stats = rows.agg(
+    stat = scalars(rows.agg(
         F.min("amount_vs_mean_ratio").alias("_min_amount_vs_mean_ratio"),
         F.max("amount_vs_mean_ratio").alias("_max_amount_vs_mean_ratio"),
         F.min("velocity_score").alias("_min_velocity_score"),
         F.max("velocity_score").alias("_max_velocity_score"),
-    )
+    ))
     w_m, w_r, w_v, w_f = COMPOSITE_WEIGHTS
     composite = (F.lit(w_m) * F.col("merchant_risk_score")
-                 + F.lit(w_r) * _minmax_norm("amount_vs_mean_ratio")
-                 + F.lit(w_v) * _minmax_norm("velocity_score")
+                 + F.lit(w_r) * _minmax_norm("amount_vs_mean_ratio", stat)
+                 + F.lit(w_v) * _minmax_norm("velocity_score", stat)
                  + F.lit(w_f) * F.when(F.col("tx_count_24h") > HIGH_FREQUENCY_COUNT, 1.0).otherwise(0.0))
     derived = {
         "hour_sin": cyclic(F.col("hour"), 24, "sin"),
@@ -87,8 +88,7 @@ def features(base: DataFrame, checkpoint: bool = True, window_method: str = "buc
         "amount_rounded": amount_rounded(F.col("amount")),
         "composite_risk": composite,
     }
-    out = rows.crossJoin(F.broadcast(stats))
-    return out.select(*[derived[c].alias(c) if c in derived else F.col(c) for c in SOURCE_COLUMNS])
+    return rows.select(*[derived[c].alias(c) if c in derived else F.col(c) for c in SOURCE_COLUMNS])
 
 
 def silver(bronze: DataFrame, scale: int = 100) -> DataFrame:
