@@ -1,7 +1,7 @@
 """Tables behind histograms, box plots, violins and scatter samples (D6, D7).
 
-Global statistics (the value range) are one-row aggregates read as scalar
-subqueries;
+Global statistics (the value range) are one-row aggregates read through a
+scalar subquery;
 per-group statistics (quartiles, bandwidths) are joined back on the group
 key and AQE broadcasts them only when their measured size is small.  No
 operator gathers the rows of a group.
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from txrisk.functions.fixedpoint import nan_to_null
 from txrisk.operators.quantile import exact_quantiles
-from txrisk.operators.stats import scalars
+from txrisk.operators.stats import attach
 from txrisk.schema import LABEL
 
 
@@ -31,7 +31,7 @@ def histogram(df: DataFrame, column: str, bins: int, by: str | None = None) -> D
     src = df.select(*([F.col(by)] if by else []), x.alias("_x")).where(F.col("_x").isNotNull())
     if by:
         src = src.where(F.col(by).isNotNull())
-    rng = scalars(src.agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi")))
+    src, rng = attach(src, src.agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi")), "_range")
     lo, hi = rng["_lo"], rng["_hi"]
     n = F.lit(bins)
     width = F.when(hi > lo, (hi - lo) / n).otherwise(F.lit(1.0))

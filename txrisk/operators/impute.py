@@ -1,8 +1,8 @@
 """Median and mode imputation from ONE statistics pass each.
 
 Statistics are computed lazily as a one-row DataFrame (a global aggregate)
-and read by every row as scalar subqueries + ``coalesce``: no driver round
-trip, no join, one aggregate for all columns.
+and read by every row through one scalar subquery + ``coalesce``: no driver
+round trip, no join, one aggregate for all columns.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from txrisk.operators.stats import scalars
+from txrisk.operators.stats import attach
 
 APPROX_ACCURACY = 10000  # rank error 1/10000, tighter than a 0.01 sketch
 
@@ -63,8 +63,8 @@ def impute_median(df: DataFrame, columns: Iterable[str], exact: bool = False) ->
     cols = [c for c in columns if c in df.columns]
     if not cols:
         return df
-    med = scalars(median_stats(df, cols, exact))
-    return df.select(*[
+    src, med = attach(df, median_stats(df, cols, exact), "_med")
+    return src.select(*[
         F.coalesce(F.col(c), med[f"_med_{c}"].cast(df.schema[c].dataType)).alias(c) if c in cols else F.col(c)
         for c in df.columns
     ])
@@ -75,8 +75,8 @@ def impute_mode(df: DataFrame, columns: Iterable[str], fallback=None) -> DataFra
     cols = [c for c in columns if c in df.columns]
     if not cols:
         return df
-    mode = scalars(mode_stats(df, cols, fallback))
-    return df.select(*[
+    src, mode = attach(df, mode_stats(df, cols, fallback), "_mode")
+    return src.select(*[
         F.coalesce(F.col(c), mode[f"_mode_{c}"].cast(df.schema[c].dataType)).alias(c) if c in cols else F.col(c)
         for c in df.columns
     ])
@@ -84,17 +84,20 @@ def impute_mode(df: DataFrame, columns: Iterable[str], fallback=None) -> DataFra
 
 def impute(df: DataFrame, numeric: Iterable[str], categorical: Iterable[str],
            exact: bool = False, fallback=None, accuracy: int = APPROX_ACCURACY) -> DataFrame:
-    """Median + mode imputation: one statistics aggregate per kind, read as
-    scalar subqueries."""
+    """Median + mode imputation: one statistics aggregate per kind, each read
+    through one scalar subquery."""
     num = [c for c in numeric if c in df.columns]
     cat = [c for c in categorical if c in df.columns]
     if not num and not cat:
         return df
     stat: dict = {}
+    src = df
     if num:
-        stat.update(scalars(median_stats(df, num, exact, accuracy)))
+        src, med = attach(src, median_stats(df, num, exact, accuracy), "_med")
+        stat.update(med)
     if cat:
-        stat.update(scalars(mode_stats(df, cat, fallback)))
+        src, mode = attach(src, mode_stats(df, cat, fallback), "_mode")
+        stat.update(mode)
     out = []
     for c in df.columns:
         if c in num:
@@ -103,4 +106,4 @@ def impute(df: DataFrame, numeric: Iterable[str], categorical: Iterable[str],
             out.append(F.coalesce(F.col(c), stat[f"_mode_{c}"].cast(df.schema[c].dataType)).alias(c))
         else:
             out.append(F.col(c))
-    return df.select(*out)
+    return src.select(*out)

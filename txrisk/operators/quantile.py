@@ -1,7 +1,7 @@
 """Quantile bins with pandas ``qcut`` semantics (E7, E8).
 
 Edges are the linear-interpolated quantiles at 0, 1/q, ..., 1 (one global
-aggregate -> one row, read as scalar subqueries).  Duplicate edges collapse; bins are
+aggregate -> one row, read through one scalar subquery).  Duplicate edges collapse; bins are
 right-closed with the first one closed on the left, so a value's bin is
 the number of distinct edges strictly below it, minus one (floored at 0).
 The edge count is unrolled into q+1 comparisons so the projection stays
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from txrisk.functions.fixedpoint import nan_to_null
 from txrisk.operators.impute import APPROX_ACCURACY
-from txrisk.operators.stats import scalars
+from txrisk.operators.stats import attach
 from txrisk.session import cut_lineage
 
 
@@ -68,9 +68,9 @@ def add_qcuts(df: DataFrame, specs: list[tuple[str, str, int]], q: int = 10, exa
 
     ``specs``: (source column, output column, label base).
     """
-    edges = scalars(_edges_row(df, [(column, f"_e_{out}_") for column, out, _ in specs], q, exact))
-    return df.select(*df.columns, *[qcut_bin(F.col(column), q, f"_e_{out}_", base, edges).alias(out)
-                                    for column, out, base in specs])
+    src, edges = attach(df, _edges_row(df, [(column, f"_e_{out}_") for column, out, _ in specs], q, exact), "_edges")
+    return src.select(*df.columns, *[qcut_bin(F.col(column), q, f"_e_{out}_", base, edges).alias(out)
+                                     for column, out, base in specs])
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], by: list[str] | None = None,

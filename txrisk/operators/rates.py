@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txrisk.operators.stats import scalars
+from txrisk.operators.stats import attach
 from txrisk.schema import LABEL
 
 
@@ -74,8 +74,8 @@ def label_counts(df: DataFrame, label: str = LABEL) -> DataFrame:
     (read as a scalar subquery), not by an unpartitioned window.
     """
     counts = count_by(df, [label], order="none")
-    total = scalars(counts.agg(F.sum("count").alias("_total")))["_total"]
-    return (counts.select(label, "count", (F.col("count") * F.lit(100.0) / total).alias("percent"))
+    src, total = attach(counts, counts.agg(F.sum("count").alias("_total")), "_sum")
+    return (src.select(label, "count", (F.col("count") * F.lit(100.0) / total["_total"]).alias("percent"))
             .orderBy(F.col("count").desc(), label))
 
 

@@ -1,16 +1,20 @@
 """Attach global statistics to rows without a join.
 
-A global aggregate returns exactly one row.  Its values are referenced as
-uncorrelated scalar subqueries: Spark computes the aggregate once (scalar
-subqueries over the same aggregate are merged and reused) and every row
-reads the value, so no cross join or broadcast of a data-sized side occurs.
+A global aggregate returns exactly one row.  Its values are packed into one
+struct and read by every row through ONE uncorrelated scalar subquery,
+which Spark computes once.  There is no cross join, and no broadcast of a
+data-sized side.  Reading the struct as a column keeps it to a single
+subquery however many fields are used.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 
-def scalars(one_row: DataFrame) -> dict[str, Column]:
-    """Column name -> scalar-subquery Column for a one-row DataFrame."""
-    return {c: one_row.select(c).scalar() for c in one_row.columns}
+def attach(df: DataFrame, one_row: DataFrame, name: str = "_stats") -> tuple[DataFrame, dict[str, Column]]:
+    """``df`` plus a struct column ``name`` holding the one-row frame's
+    values, and a map from each statistic to its field Column."""
+    packed = one_row.select(F.struct(*one_row.columns).alias(name)).scalar()
+    return df.withColumn(name, packed), {c: F.col(f"{name}.{c}") for c in one_row.columns}

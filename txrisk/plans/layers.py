@@ -17,7 +17,7 @@ from txrisk.operators.clean import (
     fixed_point_encode, reorder_columns,
 )
 from txrisk.operators.impute import impute
-from txrisk.operators.stats import scalars
+from txrisk.operators.stats import attach
 from txrisk.operators.windows import customer_totals, range_window_features, range_window_features_prefix
 from txrisk.schema import (
     ANALYSIS_DROP_FIRST, ANALYSIS_DROP_SECOND, COMPOSITE_WEIGHTS, DATA_QUALITY_SCORE,
@@ -66,12 +66,12 @@ def features(base: DataFrame, checkpoint: bool = True, window_method: str = "buc
     )
     if checkpoint:
         rows = cut_lineage(rows)
-    stat = scalars(rows.agg(
+    rows, stat = attach(rows, rows.agg(
         F.min("amount_vs_mean_ratio").alias("_min_amount_vs_mean_ratio"),
         F.max("amount_vs_mean_ratio").alias("_max_amount_vs_mean_ratio"),
         F.min("velocity_score").alias("_min_velocity_score"),
         F.max("velocity_score").alias("_max_velocity_score"),
-    ))
+    ), "_minmax")
     w_m, w_r, w_v, w_f = COMPOSITE_WEIGHTS
     composite = (F.lit(w_m) * F.col("merchant_risk_score")
                  + F.lit(w_r) * _minmax_norm("amount_vs_mean_ratio", stat)
