@@ -56,3 +56,15 @@ def test_statistics_attach_without_cross_join(spark):
         p = plan(df)
         assert "NestedLoopJoin" not in p and "CartesianProduct" not in p
         df.collect()
+
+
+def test_decile_edges_are_one_subquery(spark):
+    from txrisk.operators.quantile import add_qcuts
+    df = spark.range(200).select((F.col("id") * 1.5).alias("a"), (F.col("id") % 17).cast("double").alias("b"))
+    out = add_qcuts(df, [("a", "a_bin", 1), ("b", "b_bin", 0)])
+    p = plan(out)
+    # 2 x 11 edges, each read several times: a constant number of subquery
+    # nodes (the struct), not one per use of an edge
+    assert p.count("Subquery subquery") <= 2
+    assert "NestedLoopJoin" not in p
+    assert out.where(F.col("a_bin").isNull()).count() == 0
