@@ -8,6 +8,7 @@ session that names none (tests).
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,3 +59,10 @@ def let(value: Column, body) -> Column:
 def text_of(column: str = "text") -> Column:
     """The text, empty where null."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet in the shared folder and read again."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
