@@ -83,10 +83,12 @@ def contents(shared: DataFrame) -> DataFrame:
 
 def with_text(heads: DataFrame, docs: DataFrame, columns: list[str]) -> DataFrame:
     """(doc_id, th, text, heads): documents that hold heads, each with the
-    array of its heads (struct of start and ``columns``)."""
+    array of its heads (struct of start and ``columns``).  Rows that repeat
+    a document give its heads again; their contents have several copies
+    anyway, so no count of "twice or more" changes."""
     per_doc = heads.groupBy(F.col("head.doc_id").alias("doc_id"), F.col("head.th").alias("th")).agg(
         F.collect_list(F.struct(F.col("head.start").alias("start"), *columns)).alias("heads"))
-    return keyed(docs).dropDuplicates(["doc_id", "th"]).alias("d").join(per_doc.alias("h"), same_document("d", "h")) \
+    return keyed(docs).alias("d").join(per_doc.alias("h"), same_document("d", "h")) \
         .select("d.doc_id", "d.th", "d.text", "h.heads")
 
 
