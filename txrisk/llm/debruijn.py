@@ -48,7 +48,7 @@ def pieces(docs: DataFrame, k: int = K_WORDS, anchor: int = ANCHOR_WORDS) -> Dat
         "p.doc_id", "p.th", "p.start", "n", "anchor", "content", "head", "kinds") \
         .withColumn("is_head", F.struct("doc_id", "th", "start").eqNullSafe(F.col("head")))
     copies = whole.where((F.col("kinds") == 1) | ~F.col("is_head")).select(
-        "doc_id", "th", "start", "n", F.struct("anchor", "content").alias("piece"), (~F.col("is_head")).alias("later"))
+        "doc_id", "th", "start", "n", F.xxhash64("anchor", "content").alias("piece"), (~F.col("is_head")).alias("later"))
     texts = R.with_text(known.where("kinds > 1"), docs, ["anchor", "content", "copies", "n"])
     edges = stored(R.head_windows(texts, word_symbols, k))
     first = edges.groupBy("anchor", "code").agg(
@@ -56,33 +56,48 @@ def pieces(docs: DataFrame, k: int = K_WORDS, anchor: int = ANCHOR_WORDS) -> Dat
         .where("m > 1")
     single = edges.join(first, ["anchor", "code"]).select(
         "doc_id", "th", (F.col("start") + F.col("i")).alias("start"), F.lit(1).alias("n"),
-        F.struct("anchor", F.col("code").alias("content")).alias("piece"), "first") \
+        F.xxhash64("anchor", "code").alias("piece"), "first") \
         .withColumn("later", ~F.struct("doc_id", "th", "start").eqNullSafe(F.col("first"))).drop("first")
     return copies.unionByName(single)
 
 
-def passages(docs: DataFrame, k: int = K_WORDS, anchor: int = ANCHOR_WORDS) -> DataFrame:
-    """(doc_id, th, passage, start, end, later): occurrences of maximal
-    nonbranching repeated passages, words [start, end) of their documents."""
-    found = stored(pieces(docs, k, anchor))
+def compacted(found: DataFrame) -> DataFrame:
+    """(piece, passage, at): the nonbranching path that a piece lies on and
+    its word offset there.
+
+    A piece goes on with another if every occurrence of it does and the other
+    has no further occurrences.  Along the first occurrences, which stand in
+    the same order in their source, such steps chain the pieces."""
     in_order = Window.partitionBy("doc_id", "th").orderBy("start")
-    linked = found.withColumns({"next": F.lead("piece").over(in_order), "next_start": F.lead("start").over(in_order),
-                                "prior": F.lag("piece").over(in_order), "prior_end": F.lag(F.col("start") + F.col("n")).over(in_order)})
-    linked = linked.withColumns({"next": F.when(F.col("next_start") == F.col("start") + F.col("n"), F.col("next")),
-                                 "prior": F.when(F.col("prior_end") == F.col("start"), F.col("prior"))})
-    one = linked.groupBy("piece").agg(
-        F.min("next").alias("out"), (F.min("next").eqNullSafe(F.max("next")) & (F.count("next") == F.count("*"))).alias("one_out"),
-        F.min("prior").alias("into"), (F.min("prior").eqNullSafe(F.max("prior")) & (F.count("prior") == F.count("*"))).alias("one_in"))
-    out = one.where("one_out").select(F.col("piece").alias("a"), F.col("out").alias("b"))
-    into = one.where("one_in").select(F.col("into").alias("a"), F.col("piece").alias("b"))
-    joint = out.join(into, ["a", "b"]).select(F.col("b").alias("piece"), F.lit(True).alias("goes_on"))
-    marked = found.join(joint, "piece", "left").withColumn("opens", F.when(F.col("goes_on"), 0).otherwise(1))
+    linked = found.withColumn("next", F.when(F.lead("start").over(in_order) == F.col("start") + F.col("n"),
+                                             F.lead("piece").over(in_order)))
+    nodes = linked.groupBy("piece").agg(
+        F.count("*").alias("m"), F.when((F.count("next") == F.count("*")) & (F.min("next") == F.max("next")), F.min("next")).alias("next"),
+        F.min(F.struct("doc_id", "th", "start", "n")).alias("head"))
+    steps = nodes.where("next is not null").select(F.col("next").alias("piece"), F.col("m").alias("before"))
+    chained = nodes.join(steps.groupBy("piece").agg(F.max("before").alias("before")), "piece", "left") \
+        .select("piece", "head.*", F.when(F.col("before") == F.col("m"), 0).otherwise(1).alias("opens"))
     running = in_order.rowsBetween(Window.unboundedPreceding, 0)
-    numbered = marked.withColumn("run", F.sum("opens").over(running))
-    return numbered.groupBy("doc_id", "th", "run", "later").agg(
-        F.min(F.struct("start", "piece")).alias("_first"), F.max(F.col("start") + F.col("n")).alias("_last")) \
-        .select("doc_id", "th", F.col("_first.piece").alias("passage"), F.col("_first.start").alias("start"),
-                (F.col("_last") + (k - 1)).alias("end"), "later")
+    opening = F.when(F.col("opens") == 1, F.struct("start", "piece"))
+    return chained.withColumn("first", F.last(opening, ignorenulls=True).over(running)).select(
+        "piece", F.coalesce("first.piece", "piece").alias("passage"), (F.col("start") - F.coalesce("first.start", "start")).alias("at"))
+
+
+def passages(docs: DataFrame, k: int = K_WORDS, anchor: int = ANCHOR_WORDS, later_only: bool = False) -> DataFrame:
+    """(doc_id, th, passage, begin, start, end, later): occurrences of the
+    pieces of repeated passages, words [start, end) of their documents; rows
+    that agree in passage and begin are one occurrence of the passage."""
+    found = stored(pieces(docs, k, anchor))
+    wanted = found.where("later") if later_only else found
+    return wanted.join(compacted(found), "piece").select(
+        "doc_id", "th", "passage", (F.col("start") - F.col("at")).alias("begin"), "start",
+        (F.col("start") + F.col("n") + (k - 1)).alias("end"), "later")
+
+
+def spans(occurrences: DataFrame) -> DataFrame:
+    """(doc_id, th, start, end): verified spans, the pieces of one passage
+    occurrence joined by their source coordinates."""
+    return occurrences.groupBy("doc_id", "th", "passage", "begin").agg(F.min("start").alias("start"), F.max("end").alias("end"))
 
 
 def keep_words(docs: DataFrame, spans: DataFrame) -> DataFrame:
@@ -117,7 +132,7 @@ def keep_words(docs: DataFrame, spans: DataFrame) -> DataFrame:
 
 def deduplicate(docs: DataFrame) -> DataFrame:
     """(doc_id, n_words, n_removed, kept binary) per document."""
-    return keep_words(docs, passages(docs).where("later"))
+    return keep_words(docs, spans(passages(docs, later_only=True)))
 
 
 def digest(docs: DataFrame) -> DataFrame:

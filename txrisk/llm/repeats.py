@@ -31,7 +31,7 @@ Symbols = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
 def text_hash() -> Column:
-    return F.xxhash64(F.coalesce("text", F.lit("")))
+    return F.hash(F.coalesce("text", F.lit("")))
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -58,7 +58,7 @@ def places(docs: DataFrame, symbols: Symbols, window: int, gram: int) -> DataFra
                      pa.array(found["content"].view(np.int64)), pa.array(found["start"].astype(np.int32)),
                      pa.array(found["n"].astype(np.int32))],
                     ["doc_id", "th", "anchor", "content", "start", "n"])
-    return keyed(docs).mapInArrow(run, f"doc_id {kind}, th long, anchor long, content long, start int, n int")
+    return keyed(docs).mapInArrow(run, f"doc_id {kind}, th int, anchor long, content long, start int, n int")
 
 
 def shared_places(docs: DataFrame, symbols: Symbols, window: int, gram: int) -> DataFrame:
@@ -126,7 +126,7 @@ def head_windows(texts: DataFrame, symbols: Symbols, window: int) -> DataFrame:
                      batch.column(0).take(take), batch.column(1).take(take), pa.array(head["start"][own].astype(np.int32)),
                      pa.array(step.astype(np.int32)), pa.array(code.view(np.int64))],
                     ["anchor", "content", "copies", "doc_id", "th", "start", "i", "code"])
-    return texts.mapInArrow(run, f"anchor long, content long, copies long, doc_id {kind}, th long, start int, i int, code long")
+    return texts.mapInArrow(run, f"anchor long, content long, copies long, doc_id {kind}, th int, start int, i int, code long")
 
 
 def spans_per_document(docs: DataFrame, spans: DataFrame) -> DataFrame:
