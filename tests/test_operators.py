@@ -5,6 +5,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from txrisk.operators import correlation, distribution, profile, rates
@@ -286,3 +287,88 @@ def test_describe_datetime_matches_pandas(spark):
     for k, e in [("min", "min"), ("max", "max"), ("p25", "25%"), ("p50", "50%"), ("p75", "75%"), ("mean", "mean")]:
         # floored to the microsecond; pandas interpolates in nanoseconds
         assert abs(pd.Timestamp(r[k]) - exp[e]) < pd.Timedelta(microseconds=1), (k, r[k], exp[e])
+
+
+def _null_rows(spark):
+    import datetime as dt
+    t0 = dt.datetime(2023, 5, 1)
+    rows = [("a", 0, 1.0), ("a", 1, None), ("a", 30, 3.0), ("a", 30, 5.0), ("a", 24 * 6, float("nan")), (None, 2, 7.0),
+            (None, 3, None), ("b", 5, None), ("b", 24 * 9, 2.5), ("a", 24 * 7, 4.0), ("a", 24 * 7 + 1, 9.0)]
+    return spark.createDataFrame([(c, t0 + dt.timedelta(hours=h), x) for c, h, x in rows],
+                                 "customer_id string, timestamp timestamp_ntz, amount double")
+
+
+def test_windows_with_null_keys_and_amounts(spark):
+    import math
+    import statistics
+    from txrisk.operators.windows import DAY_US, WEEK_US, range_window_features, range_window_features_prefix
+    df = _null_rows(spark)
+    src = [(r.customer_id, r.timestamp, r.amount) for r in df.collect()]
+
+    def ok(x):
+        return x is not None and not math.isnan(x)
+
+    def frame(c, t, us):
+        return [x for k, s, x in src if k == c and 0 <= (t - s).total_seconds() * 1e6 <= us]
+
+    for method in (range_window_features, range_window_features_prefix):
+        out = method(df).collect()
+        assert len(out) == len(src)
+        for r in out:
+            day, week = frame(r.customer_id, r.timestamp, DAY_US), [x for x in frame(r.customer_id, r.timestamp, WEEK_US) if ok(x)]
+            assert r.tx_count_24h == len(day)
+            seen = [x for x in day if ok(x)]
+            assert r.amount_sum_24h == (sum(seen) if seen else None)
+            assert r.amount_mean_7d == (pytest.approx(sum(week) / len(week)) if week else None)
+            assert r.amount_std_7d == pytest.approx(statistics.stdev(week) if len(week) > 1 else 0.0)
+
+
+def test_features_keep_rows_without_customer(spark):
+    from txrisk.plans import layers
+    df = _null_rows(spark).selectExpr(
+        "'t' AS transaction_id", "customer_id", "timestamp", "amount", "'Web' AS channel", "'m' AS merchant_category",
+        "'k' AS bank", "'l' AS location", "'g' AS age_group", "0 AS is_fraud", "CAST(NULL AS STRING) AS fraud_technique",
+        "0.5D AS merchant_risk_score")
+    out = layers.features(df).collect()
+    assert len(out) == df.count()
+    means = {r.customer_id: r.amount_mean_total for r in out}
+    assert means == {"a": pytest.approx(22 / 5), None: 7.0, "b": 2.5}
+    assert {r.online_channel_ratio for r in out} == {1.0}
+
+
+def test_dense_key_windows_grow_linearly(spark):
+    import time
+    from pyspark.sql import functions as F
+    from txrisk.operators.windows import range_window_features
+
+    def seconds(n):
+        df = spark.range(n).select(F.lit("c").alias("customer_id"), F.lit(1.5).alias("amount"),
+                                   F.timestamp_seconds(F.col("id") * (500_000 / n)).cast("timestamp_ntz").alias("timestamp"))
+        began = time.perf_counter()
+        range_window_features(df).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - began
+
+    seconds(2000)
+    small, large = seconds(10_000), seconds(40_000)
+    assert large < 8 * max(small, 0.5)
+
+
+def test_sample_is_deterministic(spark):
+    from txrisk.operators.distribution import sample_rows
+    df = spark.range(5000).selectExpr("id", "id % 7 AS g")
+    one = {r.id for r in sample_rows(df.repartition(2), 300).collect()}
+    two = {r.id for r in sample_rows(df.repartition(16), 300).collect()}
+    assert one == two and len(one) == 300
+    assert sample_rows(df, 9000).count() == 5000
+
+
+def test_pivot_width_is_bounded(spark):
+    from pyspark.errors import AnalysisException
+    from txrisk.operators.rates import pivot_rate
+    df = spark.range(20).selectExpr("'r' AS a", "CAST(id AS STRING) AS b", "1 AS is_fraud")
+    spark.conf.set("spark.sql.pivotMaxValues", "5")
+    try:
+        with pytest.raises(AnalysisException):
+            pivot_rate(df, "a", "b").collect()
+    finally:
+        spark.conf.unset("spark.sql.pivotMaxValues")

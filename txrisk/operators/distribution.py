@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txrisk.functions.fixedpoint import nan_to_null
@@ -128,20 +128,17 @@ def kde(df: DataFrame, column: str, by: str = LABEL, points: int = 64) -> DataFr
     ).orderBy(by, "point")
 
 
-def sample_rows(df: DataFrame, n: int, seed: int = 42, oversample: float = 3.0) -> DataFrame:
-    """Uniform sample of min(n, rows) rows without replacement.
+def sample_rows(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
+    """Uniform sample of min(n, rows) rows without replacement, lazily.
 
-    Rows are first thinned by a Bernoulli sample expected to keep
-    ``oversample * n`` rows, then ordered by an independent random key and
-    cut at n.  The top-n then merges about 3n rows instead of n rows from
-    every task; a uniform n-subset of a Bernoulli sample is a uniform
-    n-subset of the input.  If the thinned set is short of n (probability
-    ~e^-n), the whole input is used.
+    Each row's key is a hash of its content and the seed, so the same rows
+    come out under any partitioning.  Rows are counted per hash prefix (a
+    small group-by); a running sum over the prefixes tells up to which one n
+    rows stand, so the final top-n sees about n rows.
     """
-    total = df.count()
-    fraction = min(1.0, oversample * n / max(total, 1))
-    if fraction < 1.0:
-        thinned = df.sample(withReplacement=False, fraction=fraction, seed=seed + 1)
-        if thinned.count() >= n:
-            df = thinned
-    return df.orderBy(F.rand(seed)).limit(n)
+    rows = df.withColumn("_h", F.xxhash64(F.lit(seed), *df.columns)).withColumn("_prefix", F.shiftright("_h", 48))
+    counts = rows.groupBy("_prefix").agg(F.count("*").alias("_c"))
+    before = F.coalesce(F.sum("_c").over(Window.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    last = counts.withColumn("_before", before).where(F.col("_before") < n).agg(F.max("_prefix").alias("_last"))
+    rows, stat = attach(rows, last, "_sampled")
+    return rows.where(F.col("_prefix") <= stat["_last"]).orderBy("_h").limit(n).select(*df.columns)

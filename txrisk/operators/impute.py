@@ -12,6 +12,8 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from txrisk.functions.fixedpoint import nan_to_null
+
 from txrisk.operators.stats import attach
 
 APPROX_ACCURACY = 10000  # rank error 1/10000, tighter than a 0.01 sketch
@@ -32,7 +34,7 @@ def median_stats(df: DataFrame, columns: Iterable[str], exact: bool = False,
         long = exact_quantiles(df, cols, [0.5], discrete=True)
         return long.agg(*[F.coalesce(F.max(F.when(F.col("column") == c, F.col("value"))), F.lit(0.0))
                           .alias(f"_med_{c}") for c in cols])
-    aggs = [F.coalesce(F.percentile_approx(F.col(c).cast("double"), 0.5, accuracy), F.lit(0.0)).alias(f"_med_{c}")
+    aggs = [F.coalesce(F.percentile_approx(nan_to_null(F.col(c).cast("double")), 0.5, accuracy), F.lit(0.0)).alias(f"_med_{c}")
             for c in cols]
     return df.agg(*aggs)
 

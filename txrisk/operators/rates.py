@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from txrisk.functions.fixedpoint import nan_to_null
 from txrisk.operators.stats import attach
 from txrisk.schema import LABEL
 
@@ -27,7 +28,7 @@ def fixed_mean(x: Column, fixed_point: int) -> Column:
     """Mean of a column stored on a 1/fixed_point grid (gold decodes its
     numerics from hundredths): an exact integer sum divided once, so the
     result does not depend on partitioning or combine order."""
-    units = F.round(x.cast("double") * F.lit(float(fixed_point)), 0).cast("long")
+    units = F.round(nan_to_null(x.cast("double")) * F.lit(float(fixed_point)), 0).cast("long")
     return F.sum(units).cast("double") / F.count(units) / F.lit(float(fixed_point))
 
 
@@ -94,14 +95,13 @@ def pivot_rate(df: DataFrame, rows: str, cols: str, value: str = LABEL, scale: f
                values: Sequence | None = None, order_keys: Sequence[Column] | None = None) -> DataFrame:
     """Wide matrix of ``mean(value)*scale``; empty cells -> 0.
 
-    The pivot values are the distinct non-NULL values of ``cols`` (bounded
-    by ``spark.sql.pivotMaxValues``; a pivot's width is its output schema),
-    found by a distributed distinct; pass ``values`` to skip that job.
+    The rates are aggregated once to (row, column, rate); that small table
+    is pivoted.  Without ``values`` Spark finds the columns itself, so
+    ``spark.sql.pivotMaxValues`` bounds the width of the result.
     """
     src = df.where(F.col(rows).isNotNull() & F.col(cols).isNotNull())
-    if values is None:
-        values = [r[0] for r in src.select(cols).distinct().orderBy(cols).collect()]
     rate = F.avg(F.col(value).cast("double")) * F.lit(float(scale))
-    wide = src.groupBy(rows).pivot(cols, list(values)).agg(rate)
-    wide = wide.na.fill(0.0, subset=[str(v) for v in values])
+    cells = src.groupBy(rows, cols).agg(rate.alias("_rate"))
+    wide = cells.groupBy(rows).pivot(cols, list(values) if values is not None else None).agg(F.first("_rate"))
+    wide = wide.na.fill(0.0, subset=[c for c in wide.columns if c != rows])
     return wide.orderBy(*(order_keys or [rows]))

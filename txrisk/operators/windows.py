@@ -1,17 +1,17 @@
 """Behavioural features: per-customer time-range windows and totals.
 
-RANGE frames are evaluated per (customer, time bucket) instead of per
-customer, so one very active customer is spread over many tasks.  Each row
-is emitted once into its own bucket (as a *current* row) and into the next
-buckets a 7-day frame can reach (as *context*, payload columns nulled; one
-copy with the default 7-day bucket).  Every frame ending at a current row
-is therefore complete inside its partition and the result is exact; the
-context copies are filtered out after the window.  One sort per partition
-serves both the 24 h and the 7 d frame.
+Frames are evaluated per (customer, time bucket) instead of per customer, so
+one very active customer is spread over many tasks.  Each row is emitted
+into its own bucket and, with its payload nulled, into the next buckets that
+a 7-day frame can reach (one with the default 7-day bucket), so everything a
+frame needs is inside one partition.  A frame aggregate is the difference of
+two running sums: at the row's time, and at a boundary point that each row
+puts at the beginning of its frame.  Work per partition is one sort and a
+linear pass, whatever the number of rows in a frame.
 
 :func:`range_window_features_prefix` computes the same features for keys
-that are dense even inside one bucket: frame aggregates become differences
-of prefix sums taken over one range-partitioned sort of (key, time).
+that are dense even inside one bucket: its running sums go over one
+range-partitioned sort of (key, time).
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from txrisk.functions.calendar import epoch_micros
+from txrisk.functions.fixedpoint import nan_to_null
 from txrisk.functions.numeric import cents
 from txrisk.schema import ONLINE_CHANNELS
 
@@ -33,38 +34,55 @@ def range_window_features(df: DataFrame, key: str = "customer_id", ts: str = "ti
 
     Frames are ``RANGE BETWEEN <span> PRECEDING AND CURRENT ROW`` on the
     event time (both ends inclusive, peers of the current row included).
-    Amount sums are exact integer cents.  ``bucket_us`` is the time bucket
-    of a task; a row is copied as context into the next
-    ``ceil(7 days / bucket)`` buckets, so a finer bucket (e.g. one day)
-    splits an extremely dense key further at the price of more copies.
+    Counts are of rows; sums, mean and deviation are of the amounts that are
+    there (NULL and NaN are not), exact in integer cents.  A NULL key is a
+    key like others.  A finer ``bucket_us`` (e.g. one day) splits an
+    extremely dense key further at the price of more context copies.
     """
     copies = -(-WEEK_US // bucket_us)  # buckets a 7-day frame can reach back
-    base = df.withColumn("_t", epoch_micros(F.col(ts))).withColumn("_cents", cents(F.col(amount)))
-    keep_in_context = {key, "_t", "_cents", amount}
-    payload = [c for c in base.columns if c not in keep_in_context]
-    ctx = F.explode(F.array(*[F.lit(i) for i in range(copies + 1)])).alias("_ctx")
-    doubled = base.select(*base.columns, ctx)
-    doubled = doubled.select(
-        F.col(key), F.col("_t"), F.col("_cents"), F.col(amount), F.col("_ctx"),
-        (F.floor(F.col("_t") / F.lit(bucket_us)) + F.col("_ctx")).alias("_bucket"),
-        *[F.when(F.col("_ctx") == 0, F.col(c)).alias(c) for c in payload],
-    )
+    dec = "decimal(38,0)"
+    payload = F.struct(*[F.col(c) for c in df.columns])
+    own = F.floor(F.col("_t") / F.lit(bucket_us))
+    points = [(0, own, F.col("_t")), *[(3, own + i, F.col("_t")) for i in range(1, copies + 1)],
+              (1, own, F.col("_t") - F.lit(DAY_US)), (2, own, F.col("_t") - F.lit(WEEK_US))]
+    base = df.select(F.col(key).alias("_key"), epoch_micros(F.col(ts)).alias("_t"), cents(F.col(amount)).alias("_cents"),
+                     payload.alias("_row"))
+    spread = base.withColumn("_p", F.explode(F.array(*[
+        F.struct(F.lit(kind).alias("kind"), bucket.alias("bucket"), at.alias("q")) for kind, bucket, at in points])))
+    event = F.col("_p.kind").isin(0, 3)
+    value = F.when(event, F.col("_cents"))
     # Explicit shuffle on (customer, bucket): without it Catalyst may reuse an
     # upstream customer-only partitioning, which keeps a hot customer in one task.
-    doubled = doubled.repartition(key, "_bucket")
-    w = Window.partitionBy(key, "_bucket").orderBy("_t")
-    w24 = w.rangeBetween(-DAY_US, 0)
-    w7d = w.rangeBetween(-WEEK_US, 0)
-    n7 = F.count(F.lit(1)).over(w7d)
-    out = doubled.select(
-        *[c for c in base.columns if c not in ("_t", "_cents")],
-        F.count(F.lit(1)).over(w24).cast("double").alias("tx_count_24h"),
-        (F.sum("_cents").over(w24) / F.lit(100.0)).alias("amount_sum_24h"),
-        (F.sum("_cents").over(w7d).cast("double") / n7 / F.lit(100.0)).alias("amount_mean_7d"),
-        F.coalesce(F.stddev_samp(F.col(amount)).over(w7d), F.lit(0.0)).alias("amount_std_7d"),
-        F.col("_ctx"),
+    spread = spread.select(
+        "_key", "_t", F.col("_p.kind").alias("_kind"), F.col("_p.bucket").alias("_bucket"), F.col("_p.q").alias("_q"),
+        F.when(event, 1).otherwise(0).alias("_order"), value.alias("_value"),
+        F.when(F.col("_p.kind") == 0, F.col("_row")).alias("_row")).repartition("_key", "_bucket")
+    running = Window.partitionBy("_key", "_bucket").orderBy("_q", "_order").rowsBetween(Window.unboundedPreceding, 0)
+    sums = F.struct(F.sum("_order").over(running).alias("n"), F.count("_value").over(running).alias("m"),
+                    F.coalesce(F.sum("_value").over(running), F.lit(0)).alias("s"),
+                    F.coalesce(F.sum(F.col("_value").cast(dec) * F.col("_value").cast(dec)).over(running).cast(dec),
+                               F.lit(0).cast(dec)).alias("ss"))
+    # rows of one time have the sums of its last row: the one with the most rows before it
+    together = Window.partitionBy("_key", "_bucket", "_t")
+
+    def at(*kinds):
+        return F.max(F.when(F.col("_kind").isin(*kinds), F.col("_sums"))).over(together)
+
+    found = spread.withColumn("_sums", sums).select(
+        "_kind", "_row", at(0, 3).alias("_now"), at(1).alias("_day"), at(2).alias("_week")).where("_kind = 0")
+    n7 = F.col("_now.m") - F.col("_week.m")
+    s7 = F.col("_now.s") - F.col("_week.s")
+    ss7 = (F.col("_now.ss") - F.col("_week.ss")).cast(dec)
+    spread7 = (n7.cast(dec) * ss7 - s7.cast(dec) * s7.cast(dec)).cast("double")
+    has24 = F.col("_now.m") - F.col("_day.m") > 0
+    return found.select(
+        "_row.*",
+        (F.col("_now.n") - F.col("_day.n")).cast("double").alias("tx_count_24h"),
+        F.when(has24, (F.col("_now.s") - F.col("_day.s")) / F.lit(100.0)).alias("amount_sum_24h"),
+        F.when(n7 > 0, s7.cast("double") / n7 / F.lit(100.0)).alias("amount_mean_7d"),
+        F.when(n7 > 1, F.sqrt(spread7 / (n7 * (n7 - 1)).cast("double")) / F.lit(100.0)).otherwise(F.lit(0.0))
+        .alias("amount_std_7d"),
     )
-    return out.where(F.col("_ctx") == 0).drop("_ctx")
 
 
 def customer_totals(df: DataFrame, key: str = "customer_id", amount: str = "amount",
@@ -80,13 +98,15 @@ def customer_totals(df: DataFrame, key: str = "customer_id", amount: str = "amou
     return df.groupBy(key).agg(
         n.cast("int").alias("tx_count_total"),
         F.sum(cents(F.col(amount))).alias("_total_cents"),
-        F.coalesce(F.stddev_samp(F.col(amount)), F.lit(0.0)).alias("amount_std_total"),
+        F.count(cents(F.col(amount))).alias("_amounts"),
+        F.coalesce(F.stddev_samp(nan_to_null(F.col(amount).cast("double"))), F.lit(0.0)).alias("amount_std_total"),
         F.countDistinct(F.col(channel)).cast("int").alias("channel_diversity"),
         F.countDistinct(F.col(location)).cast("int").alias("location_diversity"),
         F.count_if(online).alias("_online"),
     ).select(
         key, "tx_count_total",
-        (F.col("_total_cents").cast("double") / F.col("tx_count_total") / F.lit(100.0)).alias("amount_mean_total"),
+        F.when(F.col("_amounts") > 0, F.col("_total_cents").cast("double") / F.col("_amounts") / F.lit(100.0))
+        .alias("amount_mean_total"),
         "amount_std_total", "channel_diversity", "location_diversity",
         (F.col("_online").cast("double") / F.col("tx_count_total")).alias("online_channel_ratio"),
     )
@@ -120,7 +140,8 @@ def range_window_features_prefix(df: DataFrame, key: str = "customer_id", ts: st
     zero = F.lit(0).cast(dec)
     events = base.select(F.col(key), F.col("_t").alias("_q"), F.lit(1).alias("_ord"),
                          F.lit(None).cast("long").alias("_rid"), F.lit(None).cast("int").alias("_kind"),
-                         F.lit(1).cast("long").alias("_n"), c.alias("_s"), (c * c).cast(dec).alias("_ss"))
+                         F.lit(1).cast("long").alias("_n"), F.when(c.isNotNull(), 1).otherwise(0).cast("long").alias("_m"),
+                         F.coalesce(c, zero).alias("_s"), F.coalesce((c * c).cast(dec), zero).alias("_ss"))
     bounds = F.explode(F.array(
         F.struct(F.col("_t").alias("_q"), F.lit(2).alias("_ord"), F.lit(0).alias("_kind")),
         F.struct((F.col("_t") - F.lit(DAY_US)).alias("_q"), F.lit(0).alias("_ord"), F.lit(1).alias("_kind")),
@@ -128,7 +149,7 @@ def range_window_features_prefix(df: DataFrame, key: str = "customer_id", ts: st
     )).alias("_b")
     points = base.select(F.col(key), F.col("_rid"), bounds).select(
         F.col(key), F.col("_b._q").alias("_q"), F.col("_b._ord").alias("_ord"), F.col("_rid"),
-        F.col("_b._kind").alias("_kind"), F.lit(0).cast("long").alias("_n"), zero.alias("_s"), zero.alias("_ss"))
+        F.col("_b._kind").alias("_kind"), F.lit(0).cast("long").alias("_n"), F.lit(0).cast("long").alias("_m"), zero.alias("_s"), zero.alias("_ss"))
     ranged = (events.unionByName(points).repartitionByRange(nparts, key, "_q", "_ord")
               .withColumn("_pid", F.spark_partition_id()))
     # range bounds come from sampling that may differ between evaluations:
@@ -136,18 +157,20 @@ def range_window_features_prefix(df: DataFrame, key: str = "customer_id", ts: st
     ranged = cut_lineage(ranged)
     run = Window.partitionBy("_pid", key).orderBy("_q", "_ord").rowsBetween(Window.unboundedPreceding,
                                                                             Window.currentRow)
-    local = ranged.select(key, "_pid", "_rid", "_kind", *[F.sum(x).over(run).alias(f"_l{x}") for x in ("_n", "_s", "_ss")])
-    totals = ranged.groupBy("_pid", key).agg(*[F.sum(x).alias(f"_t{x}") for x in ("_n", "_s", "_ss")])
+    local = ranged.select(key, "_pid", "_rid", "_kind", *[F.sum(x).over(run).alias(f"_l{x}") for x in ("_n", "_m", "_s", "_ss")])
+    totals = ranged.groupBy("_pid", key).agg(*[F.sum(x).alias(f"_t{x}") for x in ("_n", "_m", "_s", "_ss")])
     before = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_pid", key, *[F.coalesce(F.sum(f"_t{x}").over(before), F.lit(0)).alias(f"_o{x}")
-                                           for x in ("_n", "_s", "_ss")])
-    prefix = local.where(F.col("_rid").isNotNull()).join(offsets, ["_pid", key]).select(
-        "_rid", "_kind", *[(F.col(f"_o{x}") + F.col(f"_l{x}")).alias(x) for x in ("_n", "_s", "_ss")])
+                                           for x in ("_n", "_m", "_s", "_ss")])
+    offsets = offsets.withColumnsRenamed({"_pid": "_opid", key: "_okey"})
+    prefix = local.where(F.col("_rid").isNotNull()).join(
+        offsets, (F.col("_pid") == F.col("_opid")) & F.col(key).eqNullSafe(F.col("_okey"))).select(
+        "_rid", "_kind", *[(F.col(f"_o{x}") + F.col(f"_l{x}")).alias(x) for x in ("_n", "_m", "_s", "_ss")])
     per_row = prefix.groupBy("_rid").agg(*[
-        F.max(F.when(F.col("_kind") == k, F.col(x))).alias(f"{x}{k}") for k in (0, 1, 2) for x in ("_n", "_s", "_ss")])
+        F.max(F.when(F.col("_kind") == k, F.col(x))).alias(f"{x}{k}") for k in (0, 1, 2) for x in ("_n", "_m", "_s", "_ss")])
     out = base.join(per_row, "_rid")
     n24 = F.col("_n0") - F.col("_n1")
-    n7 = F.col("_n0") - F.col("_n2")
+    n7 = F.col("_m0") - F.col("_m2")
     s7 = (F.col("_s0") - F.col("_s2")).cast(dec)
     ss7 = (F.col("_ss0") - F.col("_ss2")).cast(dec)
     var_num = (n7.cast(dec) * ss7 - s7 * s7).cast("double")
@@ -156,7 +179,7 @@ def range_window_features_prefix(df: DataFrame, key: str = "customer_id", ts: st
     return out.select(
         *keep,
         n24.cast("double").alias("tx_count_24h"),
-        ((F.col("_s0") - F.col("_s1")).cast("double") / F.lit(100.0)).alias("amount_sum_24h"),
-        (s7.cast("double") / n7 / F.lit(100.0)).alias("amount_mean_7d"),
+        F.when(F.col("_m0") > F.col("_m1"), (F.col("_s0") - F.col("_s1")).cast("double") / F.lit(100.0)).alias("amount_sum_24h"),
+        F.when(n7 > 0, s7.cast("double") / n7 / F.lit(100.0)).alias("amount_mean_7d"),
         std7.alias("amount_std_7d"),
     )

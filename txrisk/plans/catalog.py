@@ -294,14 +294,16 @@ for key, layer, src, cols, dbl in [
 
 
 def window_prefix_q(spark, sf):
-    """Prefix-sum window method on the line source (exact columns only)."""
+    """Prefix-sum window method on the line source."""
     from txrisk.operators.windows import range_window_features_prefix
     out = range_window_features_prefix(base(spark, sf, "line").select(*BASE_COLS))
-    return out.select("customer_id", "timestamp", "amount", "tx_count_24h", "amount_sum_24h", "amount_mean_7d")
+    return out.select("customer_id", "timestamp", "amount", "tx_count_24h", "amount_sum_24h", "amount_mean_7d",
+                      rnd("amount_std_7d"))
 
 
 register("window_features_prefix", window_prefix_q, O.with_layers(
-    "feat", "line", "SELECT customer_id, \"timestamp\", amount, tx_count_24h, amount_sum_24h, amount_mean_7d FROM w"))
+    "feat", "line", "SELECT customer_id, \"timestamp\", amount, tx_count_24h, amount_sum_24h, amount_mean_7d,"
+    f" {sql_rnd('amount_std_7d')} FROM w"))
 
 
 def parse_timestamp_q(spark, sf):
@@ -445,17 +447,21 @@ register("fraud_rate_overall", lambda s, sf: profile.overall_rate(av(s, sf, "lin
 # --------------------------------------------------------------------------
 
 
+# FIXED VALUES: the columns of the pivots (banks are nations, merchant categories are part types)
+PIVOT_VALUES = {"bank": [f"NATION_{i}" for i in range(25)],
+                "merchant_category": ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]}
+
+
 def pivot_query(src, rows, cols):
     def run(spark, sf):
         df = av(spark, sf, src)
         okeys = [calendar.month_num_of_name(F.col(rows))] if rows == "month" else None
-        return rates.pivot_rate(df, rows, cols, order_keys=okeys)
-    sql = O.with_layers(
-        "av", src,
-        f"SELECT {O.q(rows)}, COALESCE(COLUMNS(* EXCLUDE ({O.q(rows)})), 0) FROM "
-        f"(PIVOT (SELECT {O.q(rows)}, {O.q(cols)}, CAST({LABEL} AS DOUBLE) AS _y FROM av"
-        f" WHERE {O.q(rows)} IS NOT NULL AND {O.q(cols)} IS NOT NULL)"
-        f" ON {O.q(cols)} USING avg(_y) * {O.d(100.0)} GROUP BY {O.q(rows)})")
+        return rates.pivot_rate(df, rows, cols, values=PIVOT_VALUES[cols], order_keys=okeys)
+    cells = ", ".join(
+        f"COALESCE(AVG(CASE WHEN {O.q(cols)} = '{v}' THEN CAST({LABEL} AS DOUBLE) END) * {O.d(100.0)}, 0) AS {O.q(v)}"
+        for v in PIVOT_VALUES[cols])
+    sql = O.with_layers("av", src, f"SELECT {O.q(rows)}, {cells} FROM av WHERE {O.q(rows)} IS NOT NULL"
+                                   f" AND {O.q(cols)} IS NOT NULL GROUP BY {O.q(rows)}")
     return run, sql
 
 
@@ -746,8 +752,11 @@ FROM (
 register("kde_velocity_by_label", kde_q, _KDE_SQL)
 
 register("scatter_sample", lambda s, sf: distribution.sample_rows(av(s, sf, "line"), SCATTER_SAMPLE_CAP, 42), None)
-register("pairplot_sample", lambda s, sf: distribution.sample_rows(
-    av(s, sf, "line").select(*PAIRPLOT_FEATURES, LABEL), SCATTER_SAMPLE_CAP, 7), None)
+_PAIR_COLS = [*PAIRPLOT_FEATURES, LABEL]
+register("pairplot_points", lambda s, sf: av(s, sf, "line").select(*_PAIR_COLS),
+         O.with_layers("av", "line", f"SELECT {_sel(_PAIR_COLS)} FROM av"))
+register("rug_velocity", lambda s, sf: av(s, sf, "line").select(LABEL, "velocity_score").where("velocity_score is not null"),
+         O.with_layers("av", "line", f"SELECT {LABEL}, velocity_score FROM av WHERE velocity_score IS NOT NULL"))
 
 # --------------------------------------------------------------------------
 # F: head rows

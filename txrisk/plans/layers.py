@@ -55,7 +55,9 @@ def features(base: DataFrame, checkpoint: bool = True, window_method: str = "buc
     else:
         windowed = range_window_features(base.select(*BASE_COLUMNS))
     totals = customer_totals(base.select("customer_id", "amount", "channel", "location"))
-    rows = windowed.join(totals, "customer_id")
+    # null-safe: rows without a customer are a group of their own
+    totals = totals.withColumnRenamed("customer_id", "_customer")
+    rows = windowed.join(totals, F.col("customer_id").eqNullSafe(F.col("_customer"))).drop("_customer")
     rows = rows.select(
         "*",
         *[e.alias(n) for n, e in calendar.calendar_ints(ts).items()],

@@ -110,7 +110,7 @@ def feature_ctes(src: str) -> list[tuple[str, str]]:
 SELECT b.*,
        CAST(COUNT(*) OVER w24 AS DOUBLE) AS tx_count_24h,
        SUM(_cents) OVER w24 / {d(100.0)} AS amount_sum_24h,
-       CAST(SUM(_cents) OVER w7 AS DOUBLE) / COUNT(*) OVER w7 / {d(100.0)} AS amount_mean_7d,
+       CAST(SUM(_cents) OVER w7 AS DOUBLE) / COUNT(_cents) OVER w7 / {d(100.0)} AS amount_mean_7d,
        COALESCE(STDDEV_SAMP(amount) OVER w7, {d(0.0)}) AS amount_std_7d
 FROM (SELECT *, epoch_us("timestamp") AS _t, {cents('amount')} AS _cents FROM base) b
 WINDOW w24 AS (PARTITION BY customer_id ORDER BY _t RANGE BETWEEN {DAY_US} PRECEDING AND CURRENT ROW),

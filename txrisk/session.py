@@ -45,12 +45,8 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime-settable engine defaults to an existing session."""
     for key, value in ENGINE_CONF.items():
-        if key == "spark.ui.enabled":
-            continue
-        try:
+        if spark.conf.isModifiable(key):  # a static setting of a shared session stays
             spark.conf.set(key, value)
-        except Exception:  # static conf on a shared session: keep theirs
-            pass
     return spark
 
 
@@ -58,7 +54,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
     Read from the session (``spark.checkpoint.dir`` / SparkContext); only
-    when it is unset (tests, a bare local session) a fresh folder is made.
+    when it is unset, and only on a local master (tests), a fresh folder is made.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -66,6 +62,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="txrisk-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
