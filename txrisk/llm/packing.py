@@ -1,8 +1,9 @@
 """Best-fit packing of tokenized documents by minimum bin slack.
 
 Tokens: white-space delimited chunks of a text are told apart by hash in
-array form, each distinct chunk is tokenized once per worker, and the ids of
-a document are gathered from its chunks.  A chunk is a pre-token boundary of
+array form, each distinct chunk is tokenized once per worker (from the ranks
+of the tokenizer's vocabulary, which give the tokenizer's ids), and the ids
+of a document are gathered from its chunks.  A chunk is a pre-token boundary of
 the byte-level BPE, so this gives the tokenizer's own ids; texts with white
 space outside ASCII or with the special token's string go to the tokenizer
 whole.
@@ -22,6 +23,8 @@ doc_id is kept.  Further columns are not read.
 
 from __future__ import annotations
 
+import base64
+import functools
 import re
 import zlib
 from collections.abc import Iterator
@@ -39,41 +42,62 @@ END = 0
 #: Ranks of one length are dealt in so many independent runs.
 RUNS = 64
 #: Distinct chunks a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 700_000
 
 _ODD = re.compile(rb"\xc2[\xa0\x85]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80|[\x1c-\x1f]|<\|endoftext\|>")
 
 
-def default_tokenizer() -> str:
+def default_tokenizer() -> tuple[str, str]:
+    """Paths of the tokenizer and of the same vocabulary as ranks."""
     import public_tokenizers
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+#: FIXED VALUE: pre-token pattern of the byte-level BPE.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+@functools.lru_cache(maxsize=2)
+def encoder_of(tokenizer: str, ranks: str | None) -> Encoder:
+    """One encoder for all tasks of a worker, so that it learns a chunk once."""
+    return Encoder(tokenizer, ranks)
 
 
 class Encoder:
     """Ids of whole batches of texts; see the module's text."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, tokenizer: str, ranks: str | None = None) -> None:
         from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = Tokenizer.from_file(tokenizer)
+        self.chunk_ids = lambda chunk: self.tokenizer.encode(chunk, add_special_tokens=False).ids
+        if ranks:  # the same ids for ordinary text, with far less work for a short string
+            import tiktoken
+            with open(ranks, "rb") as lines:
+                table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+            self.chunk_ids = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=table, special_tokens={}).encode_ordinary
         self._forget()
 
     def _forget(self) -> None:
         self.number: dict[int, int] = {}
-        self.first = [0]
+        self.known, self.first = 0, np.zeros(REMEMBERED + 1, np.int64)  # chunk k has ids first[k] to first[k + 1]
         self.ids = np.zeros(1 << 16, np.uint32)
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def _learn(self, keys: list[int], chunks: list[str]) -> None:
-        for key, got in zip(keys, self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False), strict=True):
-            a = self.first[-1]
-            b = a + len(got.ids)
-            if b > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), b), np.uint32)])
-            self.ids[a:b] = got.ids
-            self.number[key] = len(self.first) - 1
-            self.first.append(b)
+        a, every, ends, encode = int(self.first[self.known]), [], [], self.chunk_ids
+        for key, chunk in zip(keys, chunks, strict=True):
+            every += encode(chunk)
+            self.number[key] = self.known + len(ends)
+            ends.append(a + len(every))
+        if self.known + len(ends) >= len(self.first):  # one step alone may have more chunks
+            self.first = np.concatenate([self.first, np.zeros(self.known + len(ends), np.int64)])
+        self.first[self.known + 1: self.known + 1 + len(ends)] = ends
+        self.known += len(ends)
+        if a + len(every) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), len(every)), np.uint32)])
+        self.ids[a: a + len(every)] = every
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all documents in a row, and their offsets (no end ids)."""
@@ -100,8 +124,8 @@ class Encoder:
         raw = data.tobytes()
         self._learn([keys[i] for i in new], [raw[start[index[i]]: end[index[i]]].decode() for i in new])
         number = np.array([self.number[k] for k in keys])[inverse]
-        first = np.array(self.first)
-        count = (first[1:] - first[:-1])[number]
+        first = self.first
+        count = first[number + 1] - first[number]
         at = np.concatenate(([0], np.cumsum(count)))
         ids = self.ids[np.arange(int(at[-1])) + np.repeat(first[number] - at[:-1], count)]
         return ids, at[np.searchsorted(start, offsets)]
@@ -122,15 +146,17 @@ def _documents(encoder: Encoder, column: pa.Array) -> Iterator[np.ndarray]:
                 yield np.append(ids[first[d]: first[d + 1]], end)
 
 
-def pieces(docs: DataFrame, tokenizer: str | None = None, size: int = SIZE, with_ids: bool = False) -> DataFrame:
+def pieces(docs: DataFrame, tokenizer: tuple[str, str | None] | None = None, size: int = SIZE,
+           with_ids: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids]): documents in ids, only
-    those longer than ``size`` cut, their first piece the shorter one."""
-    path = tokenizer or default_tokenizer()
+    those longer than ``size`` cut, their first piece the shorter one.
+    ``tokenizer``: paths of a byte-level BPE and of its ranks (or None)."""
+    paths = tokenizer or default_tokenizer()
     id_type = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * with_ids
 
     def run(batches):
-        encoder = Encoder(path)
+        encoder = encoder_of(*paths)
         for batch in batches:
             row, piece, start, length, crc, kept = [], [], [], [], [], []
             for r, ids in enumerate(_documents(encoder, batch.column(1))):
@@ -243,6 +269,6 @@ def pack(cut_pieces: DataFrame, size: int = SIZE) -> DataFrame:
     return ranked.mapInArrow(place, schema)
 
 
-def digest(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
+def digest(docs: DataFrame, tokenizer: tuple[str, str | None] | None = None) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
     return pack(cut(pieces(docs, tokenizer)))
