@@ -55,9 +55,8 @@ def main() -> None:
         out = f"{root}/{tag}{src}"
         # the source table the pipeline reads (adapter rows stored once)
         testdata.transactions(spark, data_dir, src).write.mode("overwrite").parquet(f"{out}/source")
-        bronze = layers.features(spark.read.parquet(f"{out}/source"))
-        bronze.write.mode("overwrite").parquet(f"{out}/bronze")
-        silver = layers.silver(spark.read.parquet(f"{out}/bronze"))
+        # bronze: a projection of the table that features() stores
+        silver = layers.silver(layers.features(spark.read.parquet(f"{out}/source")))
         silver.write.mode("overwrite").parquet(f"{out}/silver")
         gold = layers.gold(spark.read.parquet(f"{out}/silver"))
         gold.write.mode("overwrite").parquet(f"{out}/gold")

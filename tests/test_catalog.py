@@ -26,6 +26,8 @@ SUBSET = [
     "corr_with_label", "tx_count_24h", "dedup_full_row", "duplicate_count", "null_counts",
     "kde_velocity_by_label", "rate_by_month_bank", "distinct_values", "amount_quality", "box_velocity",
     "window_features_prefix", "pivot_location_merchant", "pivot_month_bank", "features", "pairplot_points", "rug_velocity",
+    "bronze_scan", "silver_rescued", "features_nulls", "silver_nulls", "gold_nulls", "window_nulls", "window_nulls_prefix",
+    "corr_matrix", "online_ratio", "rate_time_bucket_by_bank", "box_outliers_amount",
 ]
 
 
@@ -84,3 +86,43 @@ def test_invariants(spark):
     rt = txn_line(spark, SF).select(F.col("amount"), decode(encode(F.col("amount"))).alias("rt"))
     assert rt.where(F.col("rt") != F.round("amount", 2)).count() == 0
     assert q["scatter_sample"](spark, SF).count() == min(10000, av.count())
+
+
+def test_every_branch_occurs_in_the_data(spark):
+    """The labels are stated here, not taken from the package."""
+    q = E.queries()
+
+    def values(key, column):
+        return {r[0] for r in q[key](spark, SF).select(column).distinct().collect()}
+
+    assert values("analysis_view", "amount_category") == {"Small", "Medium", "Large", "Very Large"}
+    assert values("analysis_view", "time_bucket") == {
+        "Midnight (00:00–04:59)", "Early Morning (05:00–07:59)", "Morning (08:00–11:59)", "Midday (12:00–14:59)",
+        "Afternoon (15:00–17:59)", "Evening (18:00–20:59)", "Night (21:00–23:59)"}
+    assert values("analysis_view", "month_category") == {
+        "Beginning (1st–10th)", "Mid Month (11th–20th)", "Month End (21st–31st)"}
+    assert values("analysis_view", "season") == {"Dry Season", "Rainy Season"}
+    assert values("analysis_view", "DayClassification") == {"Weekday", "Weekend"}
+    assert values("gold", "transaction_hour_category") == {"Morning", "Afternoon", "Evening", "Night"}
+    assert values("gold", "amount_rounded") == {0.0, 1.0}
+    assert len(values("online_ratio", "online_channel_ratio")) > 1
+    nulls, filled = q["silver_nulls"](spark, SF), q["gold_nulls"](spark, SF)
+    for c in ["amount", "bank", "location", "merchant_category", "age_group"]:
+        assert nulls.where(F.col(c).isNull()).count() > 0
+        assert filled.where(F.col(c).isNull()).count() == 0
+    assert {r[0] for r in filled.select("age_group").distinct().collect()} == {"Unknown"}
+    rows = E.catalog.base(spark, SF, "gaps")
+    assert rows.where(F.isnan("amount")).count() > 0 and rows.where("customer_id is null").count() > 0
+    assert q["features_nulls"](spark, SF).count() == rows.count()
+
+
+def test_stored_layers_follow_their_source(spark, tmp_path):
+    import shutil
+
+    shutil.copytree(SF, tmp_path / "sf")
+    key = lambda: E.queries()["features"](spark, str(tmp_path / "sf")).count()
+    before = key()
+    half = spark.read.parquet(f"{SF}/events.parquet").limit(10).toPandas()
+    os.remove(tmp_path / "sf" / "events.parquet")
+    half.to_parquet(tmp_path / "sf" / "events.parquet", coerce_timestamps="us")
+    assert before > 10 and key() == 10

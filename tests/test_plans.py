@@ -68,3 +68,45 @@ def test_decile_edges_are_one_subquery(spark):
     assert p.count("Subquery subquery") <= 2
     assert "NestedLoopJoin" not in p
     assert out.where(F.col("a_bin").isNull()).count() == 0
+
+
+def test_no_rows_are_dealt_by_label_or_column_name_alone(spark, tmp_path):
+    from txrisk.operators import distribution
+    from txrisk.operators.quantile import exact_quantiles
+    path = str(tmp_path / "t")
+    spark.range(2000).select((F.col("id") % 2).cast("int").alias("is_fraud"), (F.col("id") * 1.5).alias("x")).write.parquet(path)
+    df = spark.read.parquet(path)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for out in [distribution.box_stats(df, "x"), distribution.box_outliers(df, "x"), distribution.kde(df, "x")]:
+            joins = [x for x in plan(out).split("Join")[1:] if "_salt" in x.split("\n")[0]]
+            assert joins, plan(out)
+        quantiles = exact_quantiles(df, ["x"], [0.5])
+        for line in plan(quantiles).split("\n"):
+            assert "Join [column" not in line or "_pid" in line
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_corr_matrix_runs_no_job_before_its_action(spark):
+    from txrisk.operators import correlation
+    df = spark.range(50).select((F.col("id") * 1.5).alias("a"), F.raise_error(F.lit("ran")).cast("double").alias("b"))
+    correlation.corr_matrix(df, ["a", "b"])
+
+
+def test_raw_table_by_name_and_path(spark, tmp_path):
+    import pytest
+
+    from txrisk.schema import SOURCE_COLUMNS
+    from txrisk.sources import raw_transactions
+    df = spark.range(3).select(*[F.col("id").cast("string").alias(c) for c in SOURCE_COLUMNS],
+                               F.lit("{}").alias("_rescued_data"), F.lit(1).alias("other"))
+    df.createOrReplaceTempView("raw_fixture")
+    df.drop("_rescued_data").write.parquet(str(tmp_path / "raw"))
+    assert raw_transactions(spark, "raw_fixture").columns == [*SOURCE_COLUMNS, "_rescued_data"]
+    assert raw_transactions(spark, str(tmp_path / "raw")).columns == SOURCE_COLUMNS
+    assert "_rescued_data" not in layers.silver(raw_transactions(spark, "raw_fixture")).columns
+    df.drop("amount").createOrReplaceTempView("raw_fixture")
+    with pytest.raises(ValueError, match="amount"):
+        raw_transactions(spark, "raw_fixture")

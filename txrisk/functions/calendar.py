@@ -32,11 +32,6 @@ def epoch_micros(ts: Column) -> Column:
     return F.timestamp_diff("MICROSECOND", epoch, ts.cast("timestamp_ntz"))
 
 
-def weekday(ts: Column) -> Column:
-    """0 = Monday ... 6 = Sunday."""
-    return F.weekday(ts)
-
-
 def is_weekend(ts: Column) -> Column:
     return F.weekday(ts) >= 5
 

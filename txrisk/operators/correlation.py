@@ -1,7 +1,7 @@
 """Pearson correlation with pandas semantics (pairwise-complete rows,
-NULL for a constant column) in ONE aggregate over all pairs.
+NULL for a constant column).
 
-``corr = covar_pop(x, y) / (stddev_pop(x) * stddev_pop(y))`` where both
+With one target, ``corr = covar_pop(x, y) / (stddev_pop(x) * stddev_pop(y))`` where both
 standard deviations only see rows where the other column is present; a
 zero denominator gives NULL instead of a division error.
 """
@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txrisk.operators.profile import numeric_columns
+from txrisk.operators.stats import attach
 
 
 def pair_corr(x: Column, y: Column) -> Column:
@@ -28,56 +29,53 @@ def _prepared(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def corr_matrix(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Long-form matrix (col1, col2, corr) over all ordered pairs incl. the
-    diagonal.
-
-    One small aggregate first gives, per column, the non-NULL count and the
-    range (k rows of statistics, k = number of columns).  Without any
-    NULL the matrix comes from Spark ML's ``Correlation`` (a vector Gram
-    aggregation merged across tasks; one k x k matrix reaches the driver);
-    constant columns are NULL, the diagonal 1.  With NULLs, every pair is
-    computed over its complete rows by :func:`_pairwise_matrix`.
+    diagonal, over pairwise-complete rows; lazy.
+
+    Rows are shifted by the column means (for the digits; a correlation does
+    not change) and grouped by the pattern of columns that are there, with
+    partial aggregation.  Each pattern has the sums and cross products of its
+    columns, and a pair adds up the patterns that hold both.  Without NULLs
+    there is one pattern, so a full table costs one product a pair and row.
+    A column that is constant on the pair's rows gives NULL, the diagonal is
+    1; a result outside [-1, 1] by rounding is clipped.
     """
     cols = columns or numeric_columns(df)
     src = _prepared(df, cols)
-    stats = src.agg(F.count(F.lit(1)).alias("_rows"),
-                    *[F.struct(F.count(c).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi")).alias(c)
-                      for c in cols]).first()
-    if any(stats[c]["n"] != stats["_rows"] for c in cols) or stats["_rows"] < 2:
-        return _pairwise_matrix(src, cols)
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-
-    vec = VectorAssembler(inputCols=cols, outputCol="_v").transform(src).select("_v")
-    m = Correlation.corr(vec, "_v").first()[0].toArray()
-    constant = {c for c in cols if stats[c]["lo"] == stats[c]["hi"]}
-    rows = []
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            if a in constant or b in constant:
-                v = None
-            elif i == j:
-                v = 1.0
-            else:
-                v = float(m[i][j])
-            rows.append((a, b, v))
-    return df.sparkSession.createDataFrame(rows, "col1 string, col2 string, corr double")
-
-
-def _pairwise_matrix(src: DataFrame, cols: list[str]) -> DataFrame:
-    """All pairs in ONE aggregate with pairwise-complete rows."""
-    aggs = []
-    for i, a in enumerate(cols):
-        for b in cols[i:]:
-            aggs.append(pair_corr(F.col(a), F.col(b)).alias(f"{i}|{cols.index(b)}"))
-    row = src.agg(*aggs)
-    names = [f"{i}|{j}" for i in range(len(cols)) for j in range(i, len(cols))]
-    long = row.unpivot([], names, "pair", "corr")
-    idx = F.split(F.col("pair"), r"\|")
-    name_of = F.create_map(*[x for k, c in enumerate(cols) for x in (F.lit(str(k)), F.lit(c))])
-    upper = long.select(name_of[idx[0]].alias("col1"), name_of[idx[1]].alias("col2"), "corr")
-    lower = upper.where(F.col("col1") != F.col("col2")).select(
-        F.col("col2").alias("col1"), F.col("col1").alias("col2"), "corr")
-    return upper.unionByName(lower)
+    k = len(cols)
+    src, means = attach(src, src.agg(*[F.avg(c).alias(c) for c in cols]), "_means")
+    present = F.lit(0).cast("decimal(38,0)") if k > 63 else F.lit(0).cast("long")
+    for i, c in enumerate(cols):
+        present = present + F.when(F.col(c).isNotNull(), F.lit(2 ** i)).otherwise(F.lit(0))
+    shifted = src.select(present.alias("_present"), *[(F.col(c) - means[c]).alias(f"x{i}") for i, c in enumerate(cols)])
+    sums = [F.count(F.lit(1)).alias("n")]
+    for i in range(k):
+        sums += [F.sum(f"x{i}").alias(f"s{i}"), F.min(f"x{i}").alias(f"lo{i}"), F.max(f"x{i}").alias(f"hi{i}")]
+        sums += [F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"p{i}_{j}") for j in range(i, k)]
+    patterns = shifted.groupBy("_present").agg(*sums)
+    i, j = F.floor(F.col("_at") / k).cast("int"), (F.col("_at") % k).cast("int")
+    names = F.array(*[F.lit(c) for c in cols])
+    every = {name: F.array(*[F.col(f"{name}{at}") for at in range(k)]) for name in ("s", "lo", "hi")}
+    every["p"] = F.array(*[F.col(f"p{min(x, y)}_{max(x, y)}") for x in range(k) for y in range(k)])
+    pairs = patterns.select("n", *[array.alias(name) for name, array in every.items()],
+                            F.explode(F.sequence(F.lit(0), F.lit(k * k - 1))).alias("_at")).select(
+        "n", F.get(names, i).alias("col1"), F.get(names, j).alias("col2"),
+        *[F.get(F.col(name), at).alias(f"{name}_{side}") for side, at in (("a", i), ("b", j)) for name in ("s", "lo", "hi")],
+        F.get(F.col("p"), i * k + i).alias("aa"), F.get(F.col("p"), j * k + j).alias("bb"), F.get(F.col("p"), i * k + j).alias("ab"))
+    # a pattern without one of the pair's columns has no cross product
+    n = F.sum(F.when(F.col("ab").isNotNull(), F.col("n")))
+
+    def over(fn, name):
+        return fn(F.when(F.col("ab").isNotNull(), F.col(name)))
+
+    def centred(product, a, b):
+        return over(F.sum, product) - over(F.sum, a) * over(F.sum, b) / n
+
+    varies = (over(F.max, "hi_a") > over(F.min, "lo_a")) & (over(F.max, "hi_b") > over(F.min, "lo_b"))
+    squares = centred("aa", "s_a", "s_a") * centred("bb", "s_b", "s_b")
+    corr = F.greatest(F.least(centred("ab", "s_a", "s_b") / F.sqrt(F.when(squares > 0, squares)), F.lit(1.0)), F.lit(-1.0))
+    return (pairs.groupBy("col1", "col2")
+            .agg(F.when(varies & (F.col("col1") == F.col("col2")), F.lit(1.0)).when(varies & (squares > 0), corr)
+                 .alias("corr")))
 
 
 def corr_with(df: DataFrame, target: str, columns: list[str]) -> DataFrame:

@@ -3,8 +3,7 @@
 Global statistics (the value range) are one-row aggregates read through a
 scalar subquery;
 per-group statistics (quartiles, bandwidths) are joined back on the group
-key and AQE broadcasts them only when their measured size is small.  No
-operator gathers the rows of a group.
+key and a salt, so no operator gathers the rows of a group.
 """
 
 from __future__ import annotations
@@ -64,6 +63,17 @@ def _quartiles(df: DataFrame, column: str, by: str, exact: bool) -> DataFrame:
                      (F.col("q3") + F.lit(1.5) * iqr).alias("upper_fence"))
 
 
+def _with_group_stats(rows: DataFrame, stats: DataFrame, by: str) -> DataFrame:
+    """Rows of present groups joined with their group's statistics on (group,
+    salt): a group's rows are dealt over as many tasks as a shuffle has
+    partitions, and the statistics (a row a group) are repeated per salt.
+    The salt is the input partition, which a repeated task does not change."""
+    salts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+    copies = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return dealt.join(copies, [by, "_salt"])
+
+
 def box_stats(df: DataFrame, column: str, by: str = LABEL, exact: bool = True) -> DataFrame:
     """Per group: quartiles (linear), IQR, fences, whiskers (extreme values
     inside the fences), outlier count, min, max, n."""
@@ -71,14 +81,16 @@ def box_stats(df: DataFrame, column: str, by: str = LABEL, exact: bool = True) -
     st = _quartiles(src, column, by, exact)
     x = F.col(column)
     inside = (x >= F.col("lower_fence")) & (x <= F.col("upper_fence"))
-    agg = (src.where(F.col(by).isNotNull() & x.isNotNull())
-           .join(st.select(by, "lower_fence", "upper_fence"), by)
-           .groupBy(by).agg(
-               F.min(F.when(inside, x)).alias("whisker_low"),
-               F.max(F.when(inside, x)).alias("whisker_high"),
-               F.count_if(~inside).alias("n_outliers"),
-               F.min(x).alias("min"), F.max(x).alias("max"), F.count(F.lit(1)).alias("n")))
-    return st.join(agg, by).orderBy(by)
+    found = _with_group_stats(src.where(F.col(by).isNotNull() & x.isNotNull()), st, by)
+    parts = found.groupBy(by, "_salt").agg(
+        *[F.first(c).alias(c) for c in st.columns if c != by],
+        F.min(F.when(inside, x)).alias("whisker_low"), F.max(F.when(inside, x)).alias("whisker_high"),
+        F.count_if(~inside).alias("n_outliers"), F.min(x).alias("min"), F.max(x).alias("max"), F.count(F.lit(1)).alias("n"))
+    return parts.groupBy(by).agg(
+        *[F.first(c).alias(c) for c in st.columns if c != by],
+        F.min("whisker_low").alias("whisker_low"), F.max("whisker_high").alias("whisker_high"),
+        F.sum("n_outliers").alias("n_outliers"), F.min("min").alias("min"), F.max("max").alias("max"),
+        F.sum("n").alias("n")).orderBy(by)
 
 
 def box_outliers(df: DataFrame, column: str, by: str = LABEL, exact: bool = True) -> DataFrame:
@@ -86,8 +98,8 @@ def box_outliers(df: DataFrame, column: str, by: str = LABEL, exact: bool = True
     src = df.select(by, nan_to_null(F.col(column).cast("double")).alias(column))
     st = _quartiles(src, column, by, exact)
     x = F.col(column)
-    return (src.where(F.col(by).isNotNull() & x.isNotNull())
-            .join(st.select(by, "lower_fence", "upper_fence"), by)
+    return (_with_group_stats(src.where(F.col(by).isNotNull() & x.isNotNull()),
+                              st.select(by, "lower_fence", "upper_fence"), by)
             .where((x < F.col("lower_fence")) | (x > F.col("upper_fence")))
             .select(by, column))
 
@@ -108,7 +120,7 @@ def kde(df: DataFrame, column: str, by: str = LABEL, points: int = 64) -> DataFr
     h = F.lit(1.06) * F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2))
     st = st.select(by, "_lo", "_hi", "_n", F.when(h > 0, h).otherwise(F.lit(1.0)).alias("_h"))
     vals = src.groupBy(by, "_x").agg(F.count(F.lit(1)).alias("_c"))
-    joined = vals.join(st, by)
+    joined = _with_group_stats(vals, st, by)
     step = (F.col("_hi") - F.col("_lo")) / F.lit(float(max(points - 1, 1)))
     norm = F.lit(1.0 / math.sqrt(2.0 * math.pi))
     sums = []
@@ -116,7 +128,9 @@ def kde(df: DataFrame, column: str, by: str = LABEL, points: int = 64) -> DataFr
         g = F.col("_lo") + F.lit(float(i)) * step
         u = (g - F.col("_x")) / F.col("_h")
         sums.append(F.sum(F.col("_c") * F.exp(F.lit(-0.5) * u * u)).alias(f"_k{i}"))
-    wide = joined.groupBy(by, "_lo", "_hi", "_n", "_h").agg(*sums)
+    keys = [by, "_lo", "_hi", "_n", "_h"]
+    parts = joined.groupBy(*keys, "_salt").agg(*sums)
+    wide = parts.groupBy(*keys).agg(*[F.sum(f"_k{i}").alias(f"_k{i}") for i in range(points)])
     long = wide.select(by, "_lo", "_hi", "_n", "_h", F.explode(F.array(*[
         F.struct(F.lit(i).alias("point"), F.col(f"_k{i}").alias("_s")) for i in range(points)
     ])).alias("_p"))

@@ -153,7 +153,3 @@ def distinct_cardinality(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def overall_rate(df: DataFrame, label: str, scale: float = 100.0) -> DataFrame:
     return df.agg((F.avg(F.col(label).cast("double")) * F.lit(scale)).alias("fraud_rate"))
-
-
-def is_temporal(df: DataFrame, c: str) -> bool:
-    return isinstance(df.schema[c].dataType, (TimestampType, TimestampNTZType, DateType))

@@ -19,17 +19,13 @@ from txrisk.operators.stats import attach
 from txrisk.session import cut_lineage
 
 
-def qcut_edges(df: DataFrame, column: str, q: int = 10, exact: bool = True, prefix: str = "_e") -> DataFrame:
-    """One row with q+1 edge columns ``{prefix}0 .. {prefix}q``.
+def _edges_row(df: DataFrame, specs: list[tuple[str, str]], q: int, exact: bool) -> DataFrame:
+    """One row holding the q+1 edges ``{prefix}0 .. {prefix}q`` of every
+    (column, prefix) spec.
 
     ``exact=True``: interpolated quantiles from :func:`exact_quantiles`
     (distributed); ``exact=False``: the bounded-memory quantile sketch.
     """
-    return _edges_row(df, [(column, prefix)], q, exact)
-
-
-def _edges_row(df: DataFrame, specs: list[tuple[str, str]], q: int, exact: bool) -> DataFrame:
-    """One row holding the q+1 edges of every (column, prefix) spec."""
     probs = [i / q for i in range(q + 1)]
     if exact:
         long = exact_quantiles(df, [c for c, _ in specs], probs)
@@ -86,8 +82,9 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], by: l
        each partition's total (a few rows per partition) gives the offset of
        the partition through a small window, and a running sum inside each
        range partition gives the global rank span of every value;
-    3. the rank positions p*(n-1) are looked up with a join against a
-       target table of (groups x columns x probs) rows and interpolated as
+    3. the offsets tell which range partition holds a rank position
+       p*(n-1); partitions and positions are joined on (partition, group,
+       column), so the rows of a column stay spread, and interpolated as
        ``lo + (hi - lo) * frac``.
 
     ``discrete=True`` returns an element instead (``percentile_disc``: the
@@ -109,28 +106,40 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], by: l
     # evaluations, so the partition ids are frozen before both uses below.
     ranged = cut_lineage(ranged)
     run = Window.partitionBy("_pid", *keys).orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = ranged.select(*keys, "v", "_c", "_pid", F.sum("_c").over(run).alias("_local"))
     totals = ranged.groupBy("_pid", *keys).agg(F.sum("_c").alias("_ps"))
     before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_pid", *keys, F.coalesce(F.sum("_ps").over(before), F.lit(0)).alias("_off"),
+    offsets = totals.select("_pid", *keys, "_ps", F.coalesce(F.sum("_ps").over(before), F.lit(0)).alias("_off"),
                             F.sum("_ps").over(Window.partitionBy(*keys)).alias("_n"))
-    spans = local.join(offsets, ["_pid", *keys]).select(
-        *keys, "v", (F.col("_off") + F.col("_local") - F.col("_c")).alias("_first"),
-        (F.col("_off") + F.col("_local")).alias("_end"))
-    targets = (offsets.select(*keys, "_n").distinct()
-               .select(*keys, "_n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p")))
+    asked = offsets.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
     if discrete:
         k = F.greatest(F.ceil(F.col("p") * F.col("_n").cast("double")) - 1, F.lit(0))
-        targets = targets.select(*keys, "p", k.alias("_klo"), k.alias("_khi"), F.lit(0.0).alias("_frac"))
+        ranks = {"_klo": k, "_khi": k, "_frac": F.lit(0.0)}
     else:
         pos = (F.col("_n") - 1).cast("double") * F.col("p")
-        targets = targets.select(*keys, "p", F.floor(pos).alias("_klo"), F.ceil(pos).alias("_khi"),
-                                 (pos - F.floor(pos)).alias("_frac"))
+        ranks = {"_klo": F.floor(pos), "_khi": F.ceil(pos), "_frac": pos - F.floor(pos)}
+
+    def between(k: str, first: Column, end: Column) -> Column:
+        return (first <= F.col(k)) & (F.col(k) < end)
+
+    # only the one or two partitions that hold a rank are looked through
+    asked = asked.withColumns(ranks)
+    first, end = F.col("_off"), F.col("_off") + F.col("_ps")
+    asked = (asked.where(between("_klo", first, end) | between("_khi", first, end))
+             .groupBy("_pid", *keys, "_off")
+             .agg(F.collect_list(F.struct("p", "_klo", "_khi", "_frac")).alias("_asked")))
+    local = ranged.select(*keys, "v", "_c", "_pid", F.sum("_c").over(run).alias("_local"))
+    hits = (local.join(asked, ["_pid", *keys])
+            .select(*keys, "v", (F.col("_off") + F.col("_local") - F.col("_c")).alias("_first"),
+                    (F.col("_off") + F.col("_local")).alias("_end"), "_asked"))
 
     def covers(k: str) -> Column:
-        return (F.col("_first") <= F.col(k)) & (F.col(k) < F.col("_end"))
+        return between(k, F.col("_first"), F.col("_end"))
 
-    hits = spans.join(targets, keys).where(covers("_klo") | covers("_khi"))
+    hits = hits.withColumn("_asked", F.filter("_asked", lambda x: (
+        ((F.col("_first") <= x["_klo"]) & (x["_klo"] < F.col("_end")))
+        | ((F.col("_first") <= x["_khi"]) & (x["_khi"] < F.col("_end"))))))
+    hits = (hits.where(F.size("_asked") > 0).withColumn("_asked", F.explode("_asked"))
+            .select(*keys, "v", "_first", "_end", "_asked.*"))
     agg = hits.groupBy(*keys, "p", "_frac").agg(F.max(F.when(covers("_klo"), F.col("v"))).alias("_lo"),
                                                 F.max(F.when(covers("_khi"), F.col("v"))).alias("_hi"))
     return agg.select(*keys, "p", (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_frac")).alias("value"))

@@ -86,11 +86,6 @@ def daily_volume(df: DataFrame, ts: str = "timestamp") -> DataFrame:
             .agg(F.count(F.lit(1)).alias("transaction_count")).orderBy("date"))
 
 
-def fraud_funnel(df: DataFrame, key: str = "channel", label: str = LABEL) -> DataFrame:
-    """Fraudulent transactions per channel (filter pushed below the agg)."""
-    return count_by(df.where(F.col(label) == 1), [key], alias="fraud_transactions", order="key")
-
-
 def pivot_rate(df: DataFrame, rows: str, cols: str, value: str = LABEL, scale: float = 100.0,
                values: Sequence | None = None, order_keys: Sequence[Column] | None = None) -> DataFrame:
     """Wide matrix of ``mean(value)*scale``; empty cells -> 0.

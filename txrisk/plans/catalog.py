@@ -10,8 +10,6 @@ both sides.
 
 from __future__ import annotations
 
-import os
-import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -19,7 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from txrisk.functions import calendar
-from txrisk.operators import correlation, distribution, profile, rates
+from txrisk.functions.fixedpoint import nan_to_null
+from txrisk.operators import correlation, distribution, profile, rates, windows
 from txrisk.operators.clean import (
     dedup_full_row, drop_columns, fill_null_constant, fixed_point_decode, fixed_point_encode, reorder_columns,
 )
@@ -29,12 +28,13 @@ from txrisk.plans import layers
 from txrisk.plans import oracle as O
 from txrisk.schema import (
     ANALYSIS_DROP_FIRST, ANALYSIS_DROP_SECOND, BOX_FEATURES, CORR_TOP_K, DISTINCT_PROFILE_COLUMNS,
-    FIVE_KEYS, GOLD_LEADING, GOLD_NUMERIC, LABEL, PAIRPLOT_FEATURES, SCATTER_SAMPLE_CAP, SEGMENTS,
+    FIVE_KEYS, GOLD_LEADING, GOLD_NUMERIC, LABEL, PAIRPLOT_FEATURES, RESCUED_DATA, SCATTER_SAMPLE_CAP, SEGMENTS,
     SILVER_UNSCALED, SOURCE_COLUMNS,
 )
 from txrisk.sources import testdata
-from txrisk.sources.sinks import read_back, write_parquet
-from txrisk.session import checkpoint_dir
+from txrisk.sources.sinks import materialize, read_back, write_csv, write_parquet
+from txrisk.sources.tables import raw_transactions
+from txrisk.session import table_path
 
 ROUND = 6
 FEATURE_DOUBLES = [
@@ -63,22 +63,30 @@ def register(key: str, run, sql: str | None) -> None:
 #
 # bronze (the feature table) and gold are pipeline tables: the first query
 # that needs one writes it as parquet under the session's checkpoint folder,
-# later queries of the same application read the stored table (as the
-# notebook reads the stored gold table).  silver and the analysis views are
-# lazy plans over the stored tables.
+# later queries of the same application read the stored table while the
+# source's files are the same (as the notebook reads the stored gold table).
+# silver and the analysis views are lazy plans over the stored tables.
 # --------------------------------------------------------------------------
 
 _STORED: dict[tuple, str] = {}
 
 
-def _stored(spark: SparkSession, sf: str, src: str, layer: str, build) -> DataFrame:
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf), src, layer)
-    path = _STORED.get(key)
-    if path is None:
-        path = _scratch(spark, f"{layer}-{src}")
-        build().write.mode("overwrite").parquet(path)
-        _STORED[key] = path
-    return spark.read.parquet(path)
+def _stored(spark: SparkSession, sf: str, src: str, layer: str, build) -> str:
+    """Path of a layer's stored table."""
+    key = (spark.sparkContext.applicationId, _source_state(spark, sf, src), src, layer)
+    if key not in _STORED:
+        _STORED[key] = write_parquet(build(), table_path(spark, f"{layer}-{src}"))
+    return _STORED[key]
+
+
+def _source_state(spark: SparkSession, sf: str, src: str) -> tuple:
+    """Number, size and state of a source's files, so that a changed source
+    is not answered from the tables of the old one."""
+    paths = [f"{sf.rstrip('/')}/{t}.parquet" for t in testdata.SOURCE_TABLES[src]]
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+    seen = files.agg(F.count("*").alias("n"), F.sum("length").alias("size"),
+                     F.bit_xor(F.xxhash64("path", "modificationTime", "length")).alias("state")).first()
+    return sf.rstrip("/"), seen["n"], seen["size"], seen["state"]
 
 
 def base(spark, sf, src):
@@ -86,7 +94,7 @@ def base(spark, sf, src):
 
 
 def bronze(spark, sf, src):
-    return _stored(spark, sf, src, "bronze", lambda: layers.features(base(spark, sf, src)))
+    return spark.read.parquet(_stored(spark, sf, src, "bronze", lambda: layers.features(base(spark, sf, src))))
 
 
 def silver(spark, sf, src):
@@ -94,7 +102,18 @@ def silver(spark, sf, src):
 
 
 def gold(spark, sf, src):
-    return _stored(spark, sf, src, "gold", lambda: layers.gold(silver(spark, sf, src)))
+    # medians that fill real gaps are exact, so that the oracle can follow
+    return spark.read.parquet(_stored(spark, sf, src, "gold", lambda: layers.gold(
+        silver(spark, sf, src), exact_median=src == "gaps")))
+
+
+def raw_table(spark, sf):
+    """The line transactions as a raw table: timestamps as text and a rescue column."""
+    def build():
+        rescued = F.when(F.col(LABEL) == 1, F.concat(F.lit('{"technique": "'), F.col("fraud_technique"), F.lit('"}')))
+        text = F.date_format("timestamp", calendar.TIMESTAMP_FORMAT)
+        return bronze(spark, sf, "line").withColumns({"timestamp": text, RESCUED_DATA: rescued, "_file": F.lit("x")})
+    return raw_transactions(spark, _stored(spark, sf, "line", "raw", build))
 
 
 def gold_nots(spark, sf, src):
@@ -135,8 +154,25 @@ def _features_rounded(src):
     return run
 
 
-register("bronze_scan", _features_rounded("line"),
+_TEXT_TS = "strftime(\"timestamp\", '%Y-%m-%d %H:%M:%S') AS \"timestamp\""
+
+
+def bronze_scan(spark, sf):
+    raw = raw_table(spark, sf)
+    return raw.select(*[rnd(c) if c in FEATURE_DOUBLES else F.col(c) for c in raw.columns])
+
+
+register("bronze_scan", bronze_scan, O.with_layers(
+    "feat", "line", f"SELECT {_sel([c for c in SOURCE_COLUMNS if c != 'timestamp'], FEATURE_DOUBLES)}, {_TEXT_TS},"
+    " CASE WHEN is_fraud = 1 THEN '{\"technique\": \"' || fraud_technique || '\"}' END AS _rescued_data FROM feat"))
+register("silver_rescued", lambda s, sf: layers.silver(raw_table(s, sf)),
+         O.with_layers("silver", "line", f"SELECT * REPLACE ({_TEXT_TS}) FROM silver"))
+register("features_line", _features_rounded("line"),
          O.with_layers("feat", "line", f"SELECT {_sel(SOURCE_COLUMNS, FEATURE_DOUBLES)} FROM feat"))
+register("features_nulls", _features_rounded("gaps"),
+         O.with_layers("feat", "gaps", f"SELECT {_sel(SOURCE_COLUMNS, FEATURE_DOUBLES)} FROM feat"))
+register("silver_nulls", lambda s, sf: silver(s, sf, "gaps"), O.with_layers("silver", "gaps", "SELECT * FROM silver"))
+register("gold_nulls", lambda s, sf: gold_nots(s, sf, "gaps"), O.with_layers("gold", "gaps", "SELECT * FROM gold"))
 register("features", _features_rounded("event"),
          O.with_layers("feat", "event", f"SELECT {_sel(SOURCE_COLUMNS, FEATURE_DOUBLES)} FROM feat"))
 register("silver", lambda s, sf: silver(s, sf, "line"), O.with_layers("silver", "line", "SELECT * FROM silver"))
@@ -151,22 +187,14 @@ register("analysis_deciles", lambda s, sf: avd(s, sf, "line").drop("gold_process
          O.with_layers("avd", "line", "SELECT * FROM avd"))
 
 
-def _scratch(spark: SparkSession, name: str) -> str:
-    return f"{checkpoint_dir(spark).rstrip('/')}/txrisk-tables/{name}-{uuid.uuid4().hex}"
-
-
 def materialize_layers(spark, sf):
     """bronze -> silver -> gold as stored tables; each layer reads the
-    previous stored table (what the declared pipeline tables do)."""
-    root = _scratch(spark, "layers")
-    write_parquet(base(spark, sf, "line"), f"{root}/source")
-    b = layers.features(spark.read.parquet(f"{root}/source"))
-    write_parquet(b, f"{root}/bronze")
-    s = layers.silver(spark.read.parquet(f"{root}/bronze"))
-    write_parquet(s, f"{root}/silver")
-    g = layers.gold(spark.read.parquet(f"{root}/silver"))
-    write_parquet(g, f"{root}/gold")
-    return spark.read.parquet(f"{root}/gold").drop("gold_processed_timestamp")
+    previous stored table (what the declared pipeline tables do).  Bronze is
+    a projection of the table that ``features`` stores."""
+    root = table_path(spark, "layers")
+    b = layers.features(materialize(base(spark, sf, "line"), f"{root}/source"))
+    s = materialize(layers.silver(b), f"{root}/silver")
+    return materialize(layers.gold(s), f"{root}/gold").drop("gold_processed_timestamp")
 
 
 register("materialize_layers", materialize_layers, O.with_layers("gold", "line", "SELECT * FROM gold"))
@@ -176,14 +204,14 @@ _TS_OPTS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "timestampNTZForm
 
 def export_csv(spark, sf):
     df = av(spark, sf, "event").drop("gold_processed_timestamp")
-    path = _scratch(spark, "csv")
-    df.write.mode("overwrite").options(**_TS_OPTS).option("header", True).csv(path)
-    return spark.read.schema(df.schema).options(**_TS_OPTS).option("header", True).csv(path)
+    path = table_path(spark, "csv")
+    write_csv(df, path, **_TS_OPTS)
+    return read_back(spark, path, "csv", df.schema, **_TS_OPTS)
 
 
 def export_parquet(spark, sf):
     df = av(spark, sf, "line").drop("gold_processed_timestamp")
-    path = _scratch(spark, "parquet")
+    path = table_path(spark, "parquet")
     write_parquet(df, path)
     return read_back(spark, path)
 
@@ -288,15 +316,29 @@ for key, layer, src, cols, dbl in [
     ("customer_totals", "feat", "line", ["customer_id", "tx_count_total", "amount_mean_total", "amount_std_total"],
      ("amount_mean_total", "amount_std_total")),
     ("customer_diversity", "feat", "line", ["customer_id", "channel_diversity", "location_diversity"], ()),
-    ("online_ratio", "feat", "event", ["customer_id", "online_channel_ratio"], ("online_channel_ratio",)),
+    ("online_ratio", "feat", "line", ["customer_id", "online_channel_ratio"], ("online_channel_ratio",)),
 ]:
     register(key, *_cols(layer, src, cols, dbl))
 
 
+def _window_nulls(method):
+    def run(spark, sf):
+        out = method(base(spark, sf, "gaps").select(*BASE_COLS))
+        return out.select("transaction_id", "customer_id", nan_to_null(F.col("amount")).alias("amount"), "tx_count_24h",
+                          rnd("amount_sum_24h"), rnd("amount_mean_7d"), rnd("amount_std_7d"))
+    return run
+
+
+for _key, _method in [("window_nulls", windows.range_window_features),
+                      ("window_nulls_prefix", windows.range_window_features_prefix)]:
+    register(_key, _window_nulls(_method), O.with_layers(
+        "feat", "gaps", "SELECT transaction_id, customer_id, amount, tx_count_24h,"
+        f" {sql_rnd('amount_sum_24h')}, {sql_rnd('amount_mean_7d')}, {sql_rnd('amount_std_7d')} FROM w"))
+
+
 def window_prefix_q(spark, sf):
     """Prefix-sum window method on the line source."""
-    from txrisk.operators.windows import range_window_features_prefix
-    out = range_window_features_prefix(base(spark, sf, "line").select(*BASE_COLS))
+    out = windows.range_window_features_prefix(base(spark, sf, "line").select(*BASE_COLS))
     return out.select("customer_id", "timestamp", "amount", "tx_count_24h", "amount_sum_24h", "amount_mean_7d",
                       rnd("amount_std_7d"))
 

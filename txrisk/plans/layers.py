@@ -2,7 +2,7 @@
 
 Each layer is a lazy ``DataFrame -> DataFrame`` function; Catalyst sees the
 full chain (column pruning reaches the parquet scans of the adapters).
-The only eager step is the optional checkpoint inside :func:`features`.
+The only eager step is the optional stored table inside :func:`features`.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txrisk.functions import bins, calendar
+from txrisk.functions.fixedpoint import nan_to_null
 from txrisk.functions.numeric import amount_log, amount_rounded, cyclic, velocity_score
 from txrisk.operators.clean import (
     audit_columns, dedup_full_row, drop_columns, fill_null_constant, fixed_point_decode,
@@ -22,7 +23,7 @@ from txrisk.operators.windows import customer_totals, range_window_features, ran
 from txrisk.schema import (
     ANALYSIS_DROP_FIRST, ANALYSIS_DROP_SECOND, COMPOSITE_WEIGHTS, DATA_QUALITY_SCORE,
     FRAUD_TECHNIQUE_FILL, GOLD_CATEGORICAL, MEDIAN_RELATIVE_ERROR, GOLD_LEADING, GOLD_NUMERIC, HIGH_FREQUENCY_COUNT,
-    MODE_FALLBACK, SILVER_UNSCALED, SOURCE_COLUMNS,
+    MODE_FALLBACK, RESCUED_DATA, SILVER_UNSCALED, SOURCE_COLUMNS,
 )
 from txrisk.session import cut_lineage
 
@@ -42,14 +43,17 @@ def features(base: DataFrame, checkpoint: bool = True, window_method: str = "buc
 
     Calendar ints, cyclic encodings, log/round flags, RANGE-window
     velocity features, per-customer totals, velocity and composite risk
-    (min-max normalised over the input).  The row set after windows and
-    the customer join feeds both the global min/max and the rows, so it is
-    checkpointed once (``checkpoint=False`` keeps the plan fully lazy).
+    (min-max normalised over the input).  NaN in the double columns counts
+    as NULL.  The row set after windows and the customer join feeds both the
+    global min/max and the rows, so it is stored once as a Parquet table
+    (``checkpoint=False`` keeps the plan fully lazy).
     ``window_method``: 'bucket' (one shuffle, a customer x 7-day bucket per
     task) or 'prefix' (prefix sums over a range-partitioned sort: any key
     density, several more shuffles).
     """
     ts = F.col("timestamp")
+    base = base.select(*[nan_to_null(F.col(c)).alias(c) if t in ("double", "float") else F.col(c)
+                         for c, t in base.dtypes])
     if window_method == "prefix":
         windowed = range_window_features_prefix(base.select(*BASE_COLUMNS))
     else:
@@ -96,7 +100,7 @@ def features(base: DataFrame, checkpoint: bool = True, window_method: str = "buc
 def silver(bronze: DataFrame, scale: int = 100) -> DataFrame:
     """NULL fraud technique -> 'unknown', numerics as fixed point, drop the
     rescue column, full-row dedup (one projection + one aggregate)."""
-    df = drop_columns(bronze, ["_rescued_data"])
+    df = drop_columns(bronze, [RESCUED_DATA])
     df = fill_null_constant(df, "fraud_technique", FRAUD_TECHNIQUE_FILL)
     df = fixed_point_encode(df, exclude=[*SILVER_UNSCALED, "fraud_technique"], scale=scale)
     return dedup_full_row(df)

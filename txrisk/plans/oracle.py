@@ -51,9 +51,12 @@ def sql_list(values) -> str:
 BASE_LINE = f"""
 SELECT 'TXN_' || CAST(l.l_orderkey AS VARCHAR) || '_' || CAST(l.l_linenumber AS VARCHAR) AS transaction_id,
        o.o_custkey AS customer_id,
-       l.l_shipdate AS "timestamp",
-       l.l_extendedprice AS amount,
-       o.o_orderpriority AS channel,
+       l.l_shipdate + to_minutes(CAST(l.l_orderkey % 24 * 60 + (l.l_orderkey * 7 + l.l_linenumber * 13) % 60 AS BIGINT))
+           AS "timestamp",
+       CASE l.l_linenumber WHEN 1 THEN l.l_quantity * {d(1000)} WHEN 2 THEN l.l_quantity
+            WHEN 3 THEN l.l_quantity * {d(10)} WHEN 4 THEN l.l_quantity * {d(40)} ELSE l.l_extendedprice END AS amount,
+       CASE o.o_orderpriority WHEN '1-URGENT' THEN 'Mobile' WHEN '2-HIGH' THEN 'Web' WHEN '3-MEDIUM' THEN 'POS'
+            WHEN '4-NOT SPECIFIED' THEN 'ECOM' WHEN '5-LOW' THEN 'ATM' ELSE o.o_orderpriority END AS channel,
        p.p_type AS merchant_category,
        n.n_name AS bank,
        r.r_name AS location,
@@ -69,6 +72,18 @@ JOIN nation n ON c.c_nationkey = n.n_nationkey
 JOIN region r ON n.n_regionkey = r.r_regionkey
 """
 
+# NaN amounts count as NULL everywhere
+BASE_GAPS = f"""
+SELECT * EXCLUDE (_k) REPLACE (
+       CASE WHEN customer_id % 10 <> 0 THEN customer_id END AS customer_id,
+       CASE WHEN _k % 7 <> 0 AND _k % 211 <> 1 THEN amount END AS amount,
+       CASE WHEN _k % 5 <> 2 THEN bank END AS bank,
+       CASE WHEN _k % 3 <> 1 THEN location END AS location,
+       CASE WHEN _k % 11 <> 4 THEN merchant_category END AS merchant_category,
+       CAST(NULL AS VARCHAR) AS age_group)
+FROM (SELECT *, CAST(floor(amount) AS BIGINT) AS _k FROM ({BASE_LINE}))
+"""
+
 _K = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
 BASE_EVENT = f"""
 SELECT 'TXN_' || CAST(event_id AS VARCHAR) AS transaction_id,
@@ -105,21 +120,25 @@ def _cyclic(x: str, period: int, fn: str) -> str:
 
 
 def feature_ctes(src: str) -> list[tuple[str, str]]:
-    base = BASE_LINE if src == "line" else BASE_EVENT
+    base = {"line": BASE_LINE, "event": BASE_EVENT, "gaps": BASE_GAPS}[src]
+    # deviations from exact integer sums
     w = f"""
-SELECT b.*,
+SELECT * EXCLUDE (_n7, _s7, _ss7),
+       CASE WHEN _n7 > 1 THEN sqrt(CAST(_n7 * _ss7 - _s7 * _s7 AS DOUBLE) / CAST(_n7 * (_n7 - 1) AS DOUBLE)) / {d(100.0)}
+            ELSE {d(0.0)} END AS amount_std_7d
+FROM (SELECT b.*,
        CAST(COUNT(*) OVER w24 AS DOUBLE) AS tx_count_24h,
        SUM(_cents) OVER w24 / {d(100.0)} AS amount_sum_24h,
        CAST(SUM(_cents) OVER w7 AS DOUBLE) / COUNT(_cents) OVER w7 / {d(100.0)} AS amount_mean_7d,
-       COALESCE(STDDEV_SAMP(amount) OVER w7, {d(0.0)}) AS amount_std_7d
+       COUNT(_cents) OVER w7 AS _n7, SUM(_cents) OVER w7 AS _s7, SUM(_cents * _cents) OVER w7 AS _ss7
 FROM (SELECT *, epoch_us("timestamp") AS _t, {cents('amount')} AS _cents FROM base) b
 WINDOW w24 AS (PARTITION BY customer_id ORDER BY _t RANGE BETWEEN {DAY_US} PRECEDING AND CURRENT ROW),
-       w7 AS (PARTITION BY customer_id ORDER BY _t RANGE BETWEEN {WEEK_US} PRECEDING AND CURRENT ROW)
+       w7 AS (PARTITION BY customer_id ORDER BY _t RANGE BETWEEN {WEEK_US} PRECEDING AND CURRENT ROW))
 """
     tot = f"""
 SELECT customer_id,
        CAST(COUNT(*) AS INTEGER) AS tx_count_total,
-       CAST(SUM({cents('amount')}) AS DOUBLE) / CAST(COUNT(*) AS INTEGER) / {d(100.0)} AS amount_mean_total,
+       CAST(SUM({cents('amount')}) AS DOUBLE) / NULLIF(COUNT(amount), 0) / {d(100.0)} AS amount_mean_total,
        COALESCE(STDDEV_SAMP(amount), {d(0.0)}) AS amount_std_total,
        CAST(COUNT(DISTINCT channel) AS INTEGER) AS channel_diversity,
        CAST(COUNT(DISTINCT location) AS INTEGER) AS location_diversity,
@@ -137,7 +156,7 @@ SELECT w.* EXCLUDE (_t, _cents),
        hour(w."timestamp") IN ({sql_list(PEAK_HOURS)}) AS is_peak_hour,
        w.amount / NULLIF(tot.amount_mean_total, 0) AS amount_vs_mean_ratio,
        w.tx_count_24h * w.amount_sum_24h / (tot.amount_mean_total + {d(1.0)}) AS velocity_score
-FROM w JOIN tot ON w.customer_id = tot.customer_id
+FROM w JOIN tot ON w.customer_id IS NOT DISTINCT FROM tot.customer_id
 """
     st = """
 SELECT MIN(amount_vs_mean_ratio) AS _min_amount_vs_mean_ratio, MAX(amount_vs_mean_ratio) AS _max_amount_vs_mean_ratio,

@@ -24,6 +24,9 @@ SOURCE_COLUMNS = [
     "velocity_score", "merchant_risk_score", "composite_risk",
 ]
 
+# Column of values that did not fit the schema; silver drops it.
+RESCUED_DATA = "_rescued_data"
+
 # Silver keeps these columns as they are; every other column except
 # fraud_technique and _rescued_data is stored as fixed point (x 100).
 SILVER_UNSCALED = [

@@ -9,6 +9,7 @@ bounded by ``autoBroadcastJoinThreshold``).
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -70,11 +71,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder.
+    """The frame as a Parquet table in the shared checkpoint folder.
 
     Used where one intermediate feeds both a global statistic and the row
-    stream, so the expensive upstream (shuffle + window) runs once and a
-    lost executor re-reads the checkpoint instead of recomputing.
+    stream, so the expensive upstream (shuffle + window) runs once, a lost
+    executor re-reads the table instead of recomputing, and a statistic
+    reads its columns alone.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = table_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def table_path(spark: SparkSession, name: str) -> str:
+    """A new folder for a stored table beside the checkpoints."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/txrisk-tables/{name}-{uuid.uuid4().hex}"

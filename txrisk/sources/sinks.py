@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", **options: str) -> str:
     """CSV with a header row and no index column, written by the executors."""
-    df.write.mode(mode).option("header", True).csv(path)
+    df.write.mode(mode).options(**options).option("header", True).csv(path)
     return path
 
 
@@ -20,8 +20,8 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
     return path
 
 
-def read_back(spark: SparkSession, path: str, fmt: str = "parquet", schema=None) -> DataFrame:
-    reader = spark.read
+def read_back(spark: SparkSession, path: str, fmt: str = "parquet", schema=None, **options: str) -> DataFrame:
+    reader = spark.read.options(**options)
     if schema is not None:
         reader = reader.schema(schema)
     if fmt == "csv":

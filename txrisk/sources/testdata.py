@@ -13,6 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_LINE = ["lineitem", "part", "orders", "customer", "nation", "region"]
+SOURCE_TABLES = {"line": _LINE, "gaps": _LINE, "event": ["events"]}
+
+#: Channel of an order priority, and the factor on the quantity that gives
+#: the amount of an order's first lines (the others keep their price).
+LINE_CHANNELS = {"1-URGENT": "Mobile", "2-HIGH": "Web", "3-MEDIUM": "POS", "4-NOT SPECIFIED": "ECOM", "5-LOW": "ATM"}
+LINE_AMOUNTS = {1: 1000.0, 2: 1.0, 3: 10.0, 4: 40.0}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan one parquet table (Catalyst prunes columns and pushes filters)."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -21,6 +30,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def txn_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One transaction per order line.
 
+    Order priorities stand for channels, the first lines of an order have
+    small amounts or whole thousands, and order and line give a time of day,
+    so that every category of the layers occurs.
+
     lineitem x part x orders x customer x nation x region, all inner joins.
     The join order ends on the customer key so the shuffle feeding the
     per-customer feature windows can follow the customer partitioning;
@@ -28,7 +41,7 @@ def txn_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     size (no unchecked hint).
     """
     li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_extendedprice",
+        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_discount", "l_returnflag", "l_shipdate")
     part = read_table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_brand")
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
@@ -43,13 +56,21 @@ def txn_line(spark: SparkSession, sf_dir: str) -> DataFrame:
             .join(orders, li.l_orderkey == orders.o_orderkey)
             .join(geo, F.col("o_custkey") == F.col("c_custkey")))
     fraud = F.col("l_returnflag") == "R"
+    order, line = F.col("l_orderkey"), F.col("l_linenumber")
+    minute = (order % 24 * 60 + (order * 7 + line * 13) % 60).cast("int")
+    channel = F.col("o_orderpriority")
+    for priority, name in LINE_CHANNELS.items():
+        channel = F.when(F.col("o_orderpriority") == priority, name).otherwise(channel)
+    amount = F.col("l_extendedprice")
+    for number, factor in LINE_AMOUNTS.items():
+        amount = F.when(line == number, F.col("l_quantity") * F.lit(factor)).otherwise(amount)
     return rows.select(
         F.concat(F.lit("TXN_"), F.col("l_orderkey").cast("string"), F.lit("_"),
                  F.col("l_linenumber").cast("string")).alias("transaction_id"),
         F.col("o_custkey").alias("customer_id"),
-        F.col("l_shipdate").alias("timestamp"),
-        F.col("l_extendedprice").alias("amount"),
-        F.col("o_orderpriority").alias("channel"),
+        F.timestamp_add("MINUTE", minute, F.col("l_shipdate")).alias("timestamp"),
+        amount.alias("amount"),
+        channel.alias("channel"),
         F.col("p_type").alias("merchant_category"),
         F.col("n_name").alias("bank"),
         F.col("r_name").alias("location"),
@@ -60,6 +81,21 @@ def txn_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def txn_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The line transactions with values missing: NULL customers, NULL and
+    NaN amounts, NULL categories."""
+    rows = txn_line(spark, sf_dir)
+    k = F.floor("amount").cast("long")
+    return rows.withColumns({
+        "customer_id": F.when(F.col("customer_id") % 10 != 0, F.col("customer_id")),
+        "amount": F.when(k % 7 == 0, F.lit(None)).when(k % 211 == 1, F.lit(float("nan"))).otherwise(F.col("amount")),
+        "bank": F.when(k % 5 != 2, F.col("bank")),
+        "location": F.when(k % 3 != 1, F.col("location")),
+        "merchant_category": F.when(k % 11 != 4, F.col("merchant_category")),
+        "age_group": F.lit(None).cast("string"),
+    })
+
+
 def txn_event(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One transaction per event (real times of day).
 
@@ -92,6 +128,8 @@ def transactions(spark: SparkSession, sf_dir: str, source: str = "line") -> Data
         return txn_line(spark, sf_dir)
     if source == "event":
         return txn_event(spark, sf_dir)
+    if source == "gaps":
+        return txn_gaps(spark, sf_dir)
     raise ValueError(f"unknown transaction source {source!r}")
 
 
