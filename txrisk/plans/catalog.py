@@ -37,9 +37,10 @@ from txrisk.sources.tables import raw_transactions
 from txrisk.session import table_path
 
 ROUND = 6
+# Means and ratios of integer cents are the same doubles in both engines and are
+# not rounded (a mean can lie on a rounding tie).
 FEATURE_DOUBLES = [
-    "amount", "tx_count_24h", "amount_sum_24h", "amount_mean_7d", "amount_std_7d", "amount_mean_total",
-    "amount_std_total", "amount_vs_mean_ratio", "online_channel_ratio", "hour_sin", "hour_cos", "day_sin",
+    "amount", "tx_count_24h", "amount_sum_24h", "amount_std_7d", "amount_std_total", "online_channel_ratio", "hour_sin", "hour_cos", "day_sin",
     "day_cos", "month_sin", "month_cos", "amount_log", "velocity_score", "merchant_risk_score", "composite_risk",
 ]
 DECILES = [("velocity_score", "velocity_decile", 1), ("composite_risk", "risk_decile", 1), ("amount", "amount_decile", 0)]
@@ -314,7 +315,7 @@ for key, layer, src, cols, dbl in [
     ("amount_stats_7d", "feat", "event", ["customer_id", "timestamp", "amount_mean_7d", "amount_std_7d"],
      ("amount_mean_7d", "amount_std_7d")),
     ("customer_totals", "feat", "line", ["customer_id", "tx_count_total", "amount_mean_total", "amount_std_total"],
-     ("amount_mean_total", "amount_std_total")),
+     ("amount_std_total",)),
     ("customer_diversity", "feat", "line", ["customer_id", "channel_diversity", "location_diversity"], ()),
     ("online_ratio", "feat", "line", ["customer_id", "online_channel_ratio"], ("online_channel_ratio",)),
 ]:
