@@ -1,0 +1,21 @@
+"""Cases in which an operator once did less than its whole job."""
+
+import random
+
+import numpy as np
+
+from txrisk.llm import packing
+
+
+def test_white_space_before_a_word_keeps_the_tokenizers_ids():
+    tokenizer, ranks = packing.default_tokenizer()
+    r = random.Random(11)
+    texts = ["a\n\nb", "a\n\n\n\nb", "\t\tb", "x\n\n\n\ny", "", " \n", "a \n b", "\n\n", "b  c", "a\r\n\r\nb", "\n \n"]
+    texts += ["".join(r.choice([" ", "\n", "\t", "\r\n", "\x0b", "a", "it's", "9", "é", "."]) for _ in range(r.randint(0, 30)))
+              for _ in range(2000)]
+    raw = [t.encode() for t in texts]
+    offsets = np.cumsum([0, *map(len, raw)])
+    for encoder in (packing.Encoder(tokenizer, ranks), packing.Encoder(tokenizer)):
+        ids, at = encoder.encode(np.frombuffer(b"".join(raw), np.uint8), offsets)
+        for k, t in enumerate(texts):
+            assert ids[at[k]: at[k + 1]].tolist() == encoder.tokenizer.encode(t, add_special_tokens=False).ids, t

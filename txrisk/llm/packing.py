@@ -1,12 +1,13 @@
 """Best-fit packing of tokenized documents by minimum bin slack.
 
-Tokens: white-space delimited chunks of a text are told apart by hash in
-array form, each distinct chunk is tokenized once per worker (from the ranks
-of the tokenizer's vocabulary, which give the tokenizer's ids), and the ids
-of a document are gathered from its chunks.  A chunk is a pre-token boundary of
-the byte-level BPE, so this gives the tokenizer's own ids; texts with white
-space outside ASCII or with the special token's string go to the tokenizer
-whole.
+Tokens: chunks of a text are told apart by hash in array form, each distinct
+chunk is tokenized once per worker (from the ranks of the tokenizer's
+vocabulary, which give the tokenizer's ids), and the ids of a document are
+gathered from its chunks.  Chunks begin and end where pre-tokens of the
+byte-level BPE do: a word with the one space before it, and white space, of
+which the last character before a word stands apart (the BPE's ``\\s+(?!\\S)``
+gives it back).  So this gives the tokenizer's own ids; texts with white space
+outside ASCII or with the special token's string go to the tokenizer whole.
 
 Packing: pieces of equal length are interchangeable, so the bins are planned
 on the histogram of lengths (at most ``SIZE`` numbers, whatever the corpus).
@@ -108,11 +109,11 @@ class Encoder:
         begins[offsets[:-1][offsets[:-1] < len(data)]] = True
         begins[1:] |= white[:-1] & ~white[1:]          # a word after white space
         begins[1:] |= ~white[:-1] & white[1:]          # white space after a word
-        space = (data[:-1] == 0x20) & ~white[1:]       # one space before a word belongs to it
+        last = white[:-1] & ~white[1:]                 # the last white space before a word is no part of its run
         edges = offsets[1:-1]
-        space[edges[(edges > 0) & (edges < len(data))] - 1] = False
-        begins[1:][space] = False
-        begins[:-1] |= space
+        last[edges[(edges > 0) & (edges < len(data))] - 1] = False
+        begins[:-1] |= last
+        begins[1:][last & (data[:-1] == 0x20)] = False  # one space before a word belongs to it
         start = np.flatnonzero(begins)
         end = np.append(start[1:], len(data))
         hashes = K.span_hashes(data, start, end)
