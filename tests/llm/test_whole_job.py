@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 
-from txrisk.llm import packing
+from txrisk.llm import licenses, packing
 
 
 def test_white_space_before_a_word_keeps_the_tokenizers_ids():
@@ -19,3 +19,21 @@ def test_white_space_before_a_word_keeps_the_tokenizers_ids():
         ids, at = encoder.encode(np.frombuffer(b"".join(raw), np.uint8), offsets)
         for k, t in enumerate(texts):
             assert ids[at[k]: at[k + 1]].tolist() == encoder.tokenizer.encode(t, add_special_tokens=False).ids, t
+
+
+def test_license_rules_fire_without_a_gate_word(spark):
+    texts = {"CC0 1.0 Universal": "cc0-1.0", "CC BY-SA 4.0": "cc-by-sa-4.0",
+             "Creative Commons Attribution 4.0 International": "cc-by-4.0", "a Creative Commons by-nc work": "cc-by-nc",
+             "Released into the public\n * domain.": "public-domain", "All rights\nreserved": "proprietary",
+             "proprietary and confidential": "proprietary", "confidential and confidential": "proprietary",
+             "Redistribution and\n# use in source and binary forms, with or without\n# modification, are permitted": "bsd",
+             "released under Apache 2.0": "apache-2.0", "made available under the MPL, v 2.0": "mpl-2.0", "plain words": ""}
+    texts |= {pattern.replace("(?:at your option|\\(at your option\\))", "at your option"): label
+              for pattern, label, *_ in licenses.TEXTS if "(?:" not in pattern or "option" in pattern}
+    for element, names in licenses.CC_ELEMENTS:
+        texts |= {f"CC {name}" + " 4.0" * with_version: f"cc-{element}" + "-4.0" * with_version
+                  for name in names for with_version in (False, True)}
+    rows = list(texts.items())
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: r.labels.split(",") for r in licenses.digest(df).collect()}
+    assert [(t, label) for i, (t, label) in enumerate(rows) if label not in got[i]] == []

@@ -1,8 +1,10 @@
 """Licence scan by ordered signature rules (DataFrame functions only).
 
 A text is lower-cased (A-Z) and reduced to its words joined by one space.
-Texts without the gate word are done at once.  For the others each rule is
-tried only if its keyword occurs (the prefilter); a rule that matches marks
+Every rule names its stems, of which each of its matches holds at least one;
+texts whose words hold no stem of any rule are done at once.  For the others a
+rule is tried only if one of its stems and its keyword occur (the prefilter,
+also on the collapsed words); a rule that matches marks
 its places in the word sequence, which gives intervals of words.  Resolution
 is linear: of the intervals that start at a word the longest stays, of equal
 ones the rule that stands first (its priority); then every interval that
@@ -19,6 +21,7 @@ not read.
 
 from __future__ import annotations
 
+import functools
 import json
 from dataclasses import dataclass
 
@@ -31,8 +34,9 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Separators and word characters of a lower-cased text.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: A text without any of these stems has no detection.
-GATE = r"(?i)licen|spdx|copyleft|gpl|public domain|permission is hereby granted|redistribution and use|all rights reserved|unlicense"
+# FIXED VALUES: stems of the rules of names, of grants and of Creative Commons.
+NAMED, GRANTED = ("licen",), ("ed under ", "available under ")
+COMMONS = (" cc by ", " cc attribution ", " creative commons by ", " creative commons attribution ")
 #: The contract's base phrases and their labels.
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 #: Words that the longest rule can span.
@@ -89,31 +93,34 @@ CC_ELEMENTS = (
     ("by", ("by", "attribution")),
 )
 CC_VERSIONS = ("1 0", "2 0", "2 5", "3 0", "4 0")
-# FIXED VALUES: opening words of well-known licence texts, their label and weight.
+# FIXED VALUES: opening words of well-known licence texts, their label, keyword, weight and (if the keyword is none) stems.
 TEXTS = (
-    ("permission is hereby granted free of charge to any person obtaining a copy", "mit", "permission", 1.0),
-    ("permission to use copy modify and or distribute this software for any purpose", "isc", "permission", 1.0),
+    ("permission is hereby granted free of charge to any person obtaining a copy", "mit", "permission is hereby", 1.0),
+    ("permission to use copy modify and or distribute this software for any purpose", "isc", "permission to use", 1.0),
     ("redistribution and use in source and binary forms with or without modification are permitted", "bsd",
-     "redistribution", 1.0),
-    ("this program is free software you can redistribute it and or modify it under the terms of the gnu", "gpl", "redistribute", 0.9),
-    ("either version 2 of the license or (?:at your option|\\(at your option\\)) any later version", "gpl-2.0-or-later", "option", 0.9),
-    ("either version 3 of the license or (?:at your option|\\(at your option\\)) any later version", "gpl-3.0-or-later", "option", 0.9),
-    ("this software is provided as is without any express or implied warranty", "zlib", "warranty", 0.7),
+     "redistribution and use", 1.0),
+    ("this program is free software you can redistribute it and or modify it under the terms of the gnu", "gpl", "program is free software", 0.9),
+    ("either version 2 of the license or (?:at your option|\\(at your option\\)) any later version", "gpl-2.0-or-later", "either version 2", 0.9),
+    ("either version 3 of the license or (?:at your option|\\(at your option\\)) any later version", "gpl-3.0-or-later", "either version 3", 0.9),
+    ("this software is provided as is without any express or implied warranty", "zlib", "software is provided as is", 0.7),
     ("this is free and unencumbered software released into the public domain", "unlicense", "unencumbered", 1.0),
-    ("(?:dedicated|released|placed) (?:to|into|in) the public domain", "public-domain", "domain", 0.8),
-    ("all rights reserved", "proprietary", "reserved", 0.4),
-    ("(?:proprietary|confidential) and (?:proprietary|confidential)", "proprietary", "proprietary", 0.6),
+    ("(?:dedicated|released|placed) (?:to|into|in) the public domain", "public-domain", "the public domain", 0.8),
+    ("all rights reserved", "proprietary", "all rights reserved", 0.4),
+    ("(?:proprietary|confidential) and (?:proprietary|confidential)", "proprietary", " and ", 0.6,
+     ("proprietary and ", "confidential and ")),
     ("cc0(?: 1 0)?(?: universal)?", "cc0-1.0", "cc0", 1.0),
 )
 
 
 @dataclass(frozen=True)
 class Rule:
-    """A signature: a pattern over words, its keyword, label and weight."""
+    """A signature: a pattern over words, its keyword, label and weight, and
+    the stems of which each match holds one (none: the keyword alone)."""
     pattern: str
     keyword: str
     label: str
     weight: float
+    stems: tuple[str, ...] = ()
 
 
 def signature_rules() -> list[Rule]:
@@ -126,32 +133,38 @@ def signature_rules() -> list[Rule]:
         for v in versions:
             label = f"{ident}-{v.replace(' ', '.') if ' ' in v else v + '.0'}"
             loose = v + ("(?: 0)?" if " " not in v else "")
-            out.append(Rule(rf"spdx license identifier {spdx} {loose}(?: only| or later)?", spdx.split()[0], label, 1.0))
+            out.append(Rule(rf"spdx license identifier {spdx} {loose}(?: only| or later)?", spdx.split()[0], label, 1.0, NAMED))
             for name in names:
-                out.append(Rule(rf"{grant}{name} (?:licen[cs]e )?(?:version |v )?{loose}(?: or (?:any )?later(?: version)?)?", key(name), label, 1.0))
-                out.append(Rule(rf"{name} licen[cs]e (?:version |v )?{loose}(?: or (?:any )?later(?: version)?)?", key(name), label, 0.9))
-        out.append(Rule(rf"spdx license identifier {spdx}", spdx.split()[0], ident, 1.0))
+                out.append(Rule(rf"{grant}{name} (?:licen[cs]e )?(?:version |v )?{loose}(?: or (?:any )?later(?: version)?)?", key(name), label, 1.0, GRANTED))
+                out.append(Rule(rf"{name} licen[cs]e (?:version |v )?{loose}(?: or (?:any )?later(?: version)?)?", key(name), label, 0.9, NAMED))
+        out.append(Rule(rf"spdx license identifier {spdx}", spdx.split()[0], ident, 1.0, NAMED))
         for name in names:
-            out.append(Rule(rf"{grant}{name}(?: style)? licen[cs]es?", key(name), ident, 0.9))
-            out.append(Rule(rf"licen[cs]e {name}", key(name), ident, 0.6))
-            out.append(Rule(rf"{name}(?: style)? licen[cs]es?", key(name), ident, 0.7))
+            out.append(Rule(rf"{grant}{name}(?: style)? licen[cs]es?", key(name), ident, 0.9, NAMED))
+            out.append(Rule(rf"licen[cs]e {name}", key(name), ident, 0.6, NAMED))
+            out.append(Rule(rf"{name}(?: style)? licen[cs]es?", key(name), ident, 0.7, NAMED))
     for element, names in CC_ELEMENTS:
         for name in names:
             for v in CC_VERSIONS:
                 label = f"cc-{element}-{v.replace(' ', '.')}"
-                out.append(Rule(rf"(?:{grant})?(?:a )?(?:cc|creative commons) {name} (?:licen[cs]e )?(?:v |version )?{v}(?: international| unported| generic)?(?: licen[cs]e)?", name.split()[0], label, 1.0))
-            out.append(Rule(rf"(?:{grant})?(?:a )?(?:cc|creative commons) {name}(?: licen[cs]e)?", name.split()[0], f"cc-{element}", 0.8))
+                out.append(Rule(rf"(?:{grant})?(?:a )?(?:cc|creative commons) {name} (?:licen[cs]e )?(?:v |version )?{v}(?: international| unported| generic)?(?: licen[cs]e)?", name, label, 1.0, COMMONS))
+            out.append(Rule(rf"(?:{grant})?(?:a )?(?:cc|creative commons) {name}(?: licen[cs]e)?", name, f"cc-{element}", 0.8, COMMONS))
         for v in CC_VERSIONS:
-            out.append(Rule(rf"creativecommons org licenses {element.replace('-', ' ')} {v}", "creativecommons", f"cc-{element}-{v.replace(' ', '.')}", 1.0))
-    out += [Rule(pattern, keyword, label, weight) for pattern, label, keyword, weight in TEXTS]
+            out.append(Rule(rf"creativecommons org licenses {element.replace('-', ' ')} {v}", "creativecommons", f"cc-{element}-{v.replace(' ', '.')}", 1.0, NAMED))
+    out += [Rule(pattern, keyword, label, weight, *stems) for pattern, label, keyword, weight, *stems in TEXTS]
     return out
 
 
+def _stems(rules: list[Rule]) -> list[tuple[str, ...]]:
+    """The distinct stems of the rules."""
+    return sorted({r.stems or (r.keyword,) for r in rules})
+
+
 def _literal(rules: list[Rule]) -> Column:
     """The rules as one constant (Catalyst folds the parsing of it)."""
-    rows = [{"p": rf"(?<= )(?:{r.pattern})(?= )", "k": r.keyword, "l": r.label, "w": r.weight, "o": i}
+    number = {stems: i for i, stems in enumerate(_stems(rules))}
+    rows = [{"p": rf"(?<= )(?:{r.pattern})(?= )", "k": r.keyword, "g": number[r.stems or (r.keyword,)], "l": r.label, "w": r.weight, "o": i}
             for i, r in enumerate(rules)]
-    return F.from_json(F.lit(json.dumps(rows)), "array<struct<p:string,k:string,l:string,w:double,o:int>>")
+    return F.from_json(F.lit(json.dumps(rows)), "array<struct<p:string,k:string,g:int,l:string,w:double,o:int>>")
 
 
 def _places(padded: Column, rule: Column) -> Column:
@@ -178,22 +191,23 @@ def _resolve(found: Column) -> Column:
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``n_words``, ``base`` (array of label, s) and
     ``detections`` (array of s, e, label, weight; words from 0)."""
-    rules, base = signature_rules(), [Rule(p, p.split()[0], label, 0.7) for p, label in BASE]
+    rules, base = signature_rules(), [Rule(p, p.split()[0], label, 0.7, NAMED) for p, label in BASE]
     raw = text_of(text)
     lowered = F.translate(raw, UPPER, LOWER)
     padded = F.concat(F.lit(" "), F.trim(F.regexp_replace(lowered, GAP, " ")), F.lit(" "))
 
     def hits(p, some):
-        return F.flatten(F.filter(F.transform(
-            F.filter(_literal(some), lambda r: F.contains(p, r["k"])), lambda r: _places(p, r)), lambda x: x.isNotNull()))
+        present = F.array(*[functools.reduce(Column.__or__, [F.contains(p, F.lit(x)) for x in stems]) for stems in _stems(some)])
+        return let(present, lambda there: F.when(F.array_contains(there, F.lit(True)), F.flatten(F.filter(F.transform(
+            F.filter(_literal(some), lambda r: F.get(there, r["g"]) & F.contains(p, r["k"])), lambda r: _places(p, r)),
+            lambda x: x.isNotNull()))))
 
-    gated = F.when(raw.rlike(GATE), padded)
     return docs.withColumns({
         "n_words": F.regexp_count(raw, F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")).cast("long"),
-        "_padded": gated,
+        "_padded": padded,
     }).withColumns({
-        "base": F.sort_array(F.when(F.col("_padded").isNotNull(), let(F.col("_padded"), lambda p: hits(p, base)))),
-        "detections": F.when(F.col("_padded").isNotNull(), _resolve(let(F.col("_padded"), lambda p: hits(p, rules)))),
+        "base": F.sort_array(let(F.col("_padded"), lambda p: hits(p, base))),
+        "detections": _resolve(let(F.col("_padded"), lambda p: hits(p, rules))),
     }).drop("_padded")
 
 
