@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 
-from txrisk.llm import licenses, packing
+from txrisk.llm import licenses, packing, secrets
 
 
 def test_white_space_before_a_word_keeps_the_tokenizers_ids():
@@ -37,3 +37,23 @@ def test_license_rules_fire_without_a_gate_word(spark):
     df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
     got = {r.doc_id: r.labels.split(",") for r in licenses.digest(df).collect()}
     assert [(t, label) for i, (t, label) in enumerate(rows) if label not in got[i]] == []
+
+
+def test_ordinary_secrets_reach_the_forest(spark):
+    body = "\n".join("MIIEow" + "Ab3/" * 14 for _ in range(400))
+    rsa = f"-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B2C\n\n{body}\n-----END RSA PRIVATE KEY-----"
+    line = f"-----BEGIN PRIVATE KEY-----\\n{body[:60]}\\n-----END PRIVATE KEY-----\\n"
+    pgp = f"-----BEGIN PGP PRIVATE KEY BLOCK-----\nVersion: GnuPG v2\n\n{body}\n=a1B2\n-----END PGP PRIVATE KEY BLOCK-----"
+    texts = {"password: Tr0ub4dor&3x": "Tr0ub4dor&3x", "password: correct-horse-battery-staple": "correct-horse-battery-staple",
+             "DB_PASSWORD = S3cr3t!pass#word": "S3cr3t!pass#word", "PASS1=Tr0ub4dor&3x": "Tr0ub4dor&3x",
+             "\"db_password\" : \"Vx!9 q#Lm@2z\",": "Vx!9 q#Lm@2z", "password      => 'hJ7$kk2!pQ'": "hJ7$kk2!pQ", "x=1;password=Gr8!w4ter#Q": "Gr8!w4ter#Q",
+             "u=https://h/p?a=1&pwd=Zk4!w9Rt&n=2": "Zk4!w9Rt", "Authorization: Bearer qWx-Zr9~kP.0vT_b": "qWx-Zr9~kP.0vT_b", rsa: rsa, f"key = \"{line}\"": line[:-2], pgp: pgp}
+    known = {"a: password: getPassword()": "getPassword()", "password: required": "required", "password = None": "None",
+             "secret: ${DB_SECRET}": "${DB_SECRET}", "Author: Winter and": "Winter"}
+    rows = [*texts.items(), *known.items()]
+    huge = [(-1, "password=" + "a&b,c;d" * 200_000), (-2, 'pwd="' + "a\\\\b" * 200_000 + '"'), (-3, "x=" + "a-b" * 300_000)]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)] + huge, "doc_id long, text string")
+    judged = secrets.scan(df).collect()
+    got = {i: {r.value: r.is_secret for r in judged if r.doc_id == i} for i in range(len(rows))}
+    assert [(t, got[i]) for i, (t, v) in enumerate(rows) if v not in got[i]] == []
+    assert [(t, got[i]) for i, (t, v) in enumerate(rows) if got[i][v] != (i < len(texts))] == []

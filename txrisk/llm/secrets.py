@@ -1,8 +1,12 @@
 """Secret scan: candidate rules, then a random forest that removes false
 positives (DataFrame functions and JVM-side Spark ML only).
 
-Rules mark candidate strings in a text: private-key blocks, tokens with a
-provider's prefix, values that are assigned, and long tokens with a digit.
+Rules mark candidate strings in a text: private-key blocks (also with header
+lines, with line ends written out, and of PGP), tokens with a provider's
+prefix, every value of ``LEAST`` characters or more that is assigned to a
+credential-like name (quoted: to the closing quote; else to the next blank,
+the next quote or the next parameter of a query string), other long values
+that are assigned, and long tokens with a digit.
 Each candidate becomes a row with its neighbouring characters and these
 features: length, shares and transitions of character classes, distinct
 characters, dictionary coverage, path shape, and the words beside it
@@ -38,17 +42,34 @@ BEFORE, AFTER = 60, 30
 MARK = "[SECRET]"
 
 # FIXED VALUES: shapes of candidates.
-PEM = r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[A-Za-z0-9+/=\s]{20,}-----END [A-Z ]{0,30}PRIVATE KEY-----"
+PEM = (r"-----BEGIN [A-Z0-9 ]{0,30}PRIVATE KEY(?: BLOCK)?-----(?:[^\-]|-(?!----)){20,}+"
+       r"-----END [A-Z0-9 ]{0,30}PRIVATE KEY(?: BLOCK)?-----")
 KNOWN = (r"(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{30,}|github_pat_[A-Za-z0-9_]{22,}|glpat-[A-Za-z0-9_\-]{20,}"
          r"|xox[abprs]-[A-Za-z0-9\-]{10,}|sk_(?:live|test)_[A-Za-z0-9]{16,}|AIza[0-9A-Za-z_\-]{35}|npm_[A-Za-z0-9]{36}"
          r"|eyJ[A-Za-z0-9_\-]{8,}\.[A-Za-z0-9_\-]{8,}\.[A-Za-z0-9_\-]{8,}")
-ASSIGNED = r"(?<=[:=]\s{0,3}[\"'])[^\s\"']{8,}(?=[\"'])|(?<=[A-Za-z]=)[^\s\"'&]{8,}"
+#: Least characters of a value that is assigned to a credential-like name.
+LEAST = 4
+NAME = (r"(?i:token|secret|passw|pass[ _\-]?(?:phrase|code|key)|pass(?![a-z])|pwd|credential|private|bearer|signing|auth"
+        r"|(?:api|access|client|account|encryption|master|ssh)[ _.\-]?key)[A-Za-z0-9_.\-]{0,24}[\"']?")
+_SIGN = r"[:=>][ \t]{0,20}"
+_SCHEME = r"(?:[\"']?(?i:bearer|basic|token)[ \t]{1,3})?"
+_GIVEN = NAME + r"[ \t]{0,20}[:=]{1,2}>?[ \t]{0,20}"
+_NO_SCHEME = r"(?!(?i:bearer|basic|token)[ \t])"
+#: The cheap tests stand first: what is before a value, then its name.
+CREDENTIAL_VALUE = (
+    rf"(?<=[:=> \t])(?![\s\"'])(?<={_SIGN}{_SCHEME}){_NO_SCHEME}(?<={_GIVEN}{_SCHEME})"
+    rf"(?:[^\s\"'&,;]|[&,;](?![A-Za-z0-9_.\-]{{1,40}}=|[\s\"']|$)){{{LEAST},}}+"
+    rf"|(?<=\")(?<={_SIGN}\"){_NO_SCHEME}(?<={_GIVEN}\")(?:[^\"\\\r\n]|\\[^\r\n]){{{LEAST},}}+(?=\")"
+    rf"|(?<=')(?<={_SIGN}'){_NO_SCHEME}(?<={_GIVEN}')(?:[^'\\\r\n]|\\[^\r\n]){{{LEAST},}}+(?=')")
+#: Other assigned values; an unquoted one ends where a credential-like name is given a value.
+ASSIGNED = (r"(?<=[:=]\s{0,3}[\"'])[^\s\"']{8,}(?=[\"'])"
+            r"|(?<=[A-Za-z]=)(?:(?!" + NAME + r"[:=])[^\s\"'&]){8,}+")
 TOKEN = r"(?<![A-Za-z0-9+/_\-])(?=[A-Za-z+/_\-]{0,100}[0-9])[A-Za-z0-9+/_\-]{16,}={0,2}"
-CANDIDATE = f"{PEM}|{KNOWN}|{ASSIGNED}|{TOKEN}"
-#: A text without a digit, an equals sign or a quoted value has no candidate.
-GATE = r"[0-9=]|[:]\s{0,3}[\"']|-----BEGIN"
+CANDIDATE = f"{PEM}|{KNOWN}|{CREDENTIAL_VALUE}|{ASSIGNED}|{TOKEN}"
+#: A text without a digit, a colon, an equals sign, a key block or a provider's prefix has no candidate.
+GATE = f"[0-9=:]|-----BEGIN|{KNOWN}"
 # FIXED VALUES: words beside or inside a candidate.
-CREDENTIAL = r"(?i)(token|secret|passw|passphrase|pwd|api.?key|access.?key|auth|credential|private|bearer|signing|client.?key)"
+CREDENTIAL = r"(?i)(token|secret|passw|pass[ _\-]?(?:phrase|code|key)|pass[0-9_.\-]{0,8}[\"']?\s?[:=]|pwd|api.?key|access.?key|auth|credential|private|bearer|signing|client.?key)"
 DIGEST = r"(?i)(sha-?\d*|md5|commit|checksum|digest|hash|uuid|guid|etag|integrity|revision|isbn|order|invoice|card|phone|build|version|file|path|url|image)"
 PLACEHOLDER = r"(?i)(example|sample|dummy|placeholder|your|x{4,}|changeme|fake|redacted|insert|todo|<|\$\{|%s|\*{3,}|0{6,}|1234567|abcdef)"
 DICTIONARY = ("access account action address admin application archive array asset author backup binary branch bucket build "
@@ -63,6 +84,11 @@ DICTIONARY = ("access account action address admin application archive array ass
               "service session setting shared source spark stage start state static status storage stream string style "
               "support system table target task template test text theme thread time title token tool type update upload "
               "user utils value version video view widget window world write").split()
+# FIXED VALUES: words of the labelled passphrases.
+COMMON = ("apple arrow autumn basket battery bird bottle bread candle castle cloud copper correct cotton dragon eagle early "
+          "feather finger forest garden ginger hammer harbor horse hungry island jacket jungle kettle ladder lemon mellow "
+          "mirror monkey orange paper pencil pepper planet purple rabbit river rocket saddle silver staple sugar summer "
+          "thunder tiger tunnel velvet walnut window winter yellow").split()
 _DICT = "(?i)(" + "|".join(sorted(DICTIONARY, key=lambda w: (-len(w), w))) + ")"
 
 FEATURES = ("length", "digits", "uppers", "lowers", "others", "vowels", "distinct_chars", "transitions", "hex", "only_digits",
@@ -95,7 +121,7 @@ def with_features(found: DataFrame) -> DataFrame:
 
     classes = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(
         value, "[0-9]", "\x03"), "[a-z]", "\x04"), "[A-Z]", "\x05"), "[^\x03\x04\x05]", "\x06")
-    near = F.right(before, F.lit(24))
+    near = F.right(F.regexp_replace(before, r"\s+", " "), F.lit(24))
     return found.withColumns({
         "length": size, "digits": share("[0-9]+"), "uppers": share("[A-Z]+"), "lowers": share("[a-z]+"),
         "others": share("[^A-Za-z0-9]+"), "vowels": share("(?i)[aeiou]+"),
@@ -106,7 +132,7 @@ def with_features(found: DataFrame) -> DataFrame:
         "extension": flag(value.rlike(r"\.[a-z]{2,4}$") | after.rlike(r"^\.[a-z]{2,4}\b")),
         "uuid": flag(value.rlike("(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$")),
         "known": flag(value.rlike(f"^(?:{KNOWN})")), "pem": flag(F.startswith(value, F.lit("-----BEGIN"))),
-        "assigned": flag(before.rlike(r"[:=]\s{0,3}[\"']?$")), "quoted": flag(before.rlike("[\"']$") & after.rlike("^[\"']")),
+        "assigned": flag(before.rlike(r"[:=]>?\s{0,20}[\"']?$")), "quoted": flag(before.rlike("[\"']$") & after.rlike("^[\"']")),
         "credential": flag(near.rlike(CREDENTIAL)), "digest": flag(near.rlike(DIGEST)),
         "placeholder": flag(value.rlike(PLACEHOLDER)),
     })
@@ -126,6 +152,19 @@ def labelled_findings(spark: SparkSession, per_kind: int = LABELLED_PER_KIND) ->
         return F.element_at(F.array(*map(F.lit, options)), (F.pmod(F.xxhash64(F.lit(5), "id"), F.lit(len(options))) + 1).cast("int"))
 
     keys = one("token = \"", "secret: \"", "api_key=\"", "password = '", "ACCESS_KEY: \"", "auth_token=", "client_secret = \"", "TOKEN = \"")
+    plain_keys = one("password: ", "DB_PASSWORD = ", "PASS1=", "passwd: ", "PGPASSWORD=", "secret: ", "user_pwd = ", "passphrase: ",
+                     "password => ", "auth_token: ", "client_secret = ", "pass2 = ", "api_key: ")
+    quoted = one("password: \"", "\"password\": \"", "PASSPHRASE = \"", "pwd=\"", "db_passwd = \"", "pass1: \"")
+    mark, mark2 = one("!", "&", "#", "@", "$", "*", "%", "^"), one("x", "Q", "7v", "!", "zK", "?")
+    leet = F.concat(F.initcap(F.translate(word, "oeia", "0314")), mark, F.substring(digits, 5, 2), mark2)
+    mixed = F.concat(F.substring(b64, 9, 4), mark, F.substring(b64, 15, 4))
+
+    def common(salt: int) -> Column:
+        return F.element_at(F.array(*map(F.lit, COMMON)), (F.pmod(F.xxhash64(F.lit(salt), "id"), F.lit(len(COMMON))) + 1).cast("int"))
+
+    def key_block(kind: str, *head: str, gap: str = "\n") -> Column:
+        return F.concat(F.lit(gap.join([f"-----BEGIN {kind}-----", *head, ""])), b64, F.lit(f"{gap}-----END {kind}-----"))
+
     prose = one("and then the ", "see also ", "of the ", "with ", "| ", "for ")
     uuid = F.concat_ws("-", F.substring(hexa, 1, 8), F.substring(hexa, 9, 4), F.substring(hexa, 13, 4), F.substring(hexa, 17, 4), F.substring(hexa, 21, 12))
     kinds = [  # value, before, after, label
@@ -138,6 +177,22 @@ def labelled_findings(spark: SparkSession, per_kind: int = LABELLED_PER_KIND) ->
         (F.concat(F.lit("xoxb-"), F.substring(digits, 1, 12), F.lit("-"), F.substring(hexa, 1, 24)), prose, F.lit(" "), 1),
         (F.concat(F.lit("eyJ"), F.substring(hexa, 1, 20), F.lit(".eyJ"), F.substring(hexa, 20, 20), F.lit("."), F.substring(hexa, 30, 30)), one("Bearer ", "auth "), F.lit(""), 1),
         (F.concat(F.lit("-----BEGIN PRIVATE KEY-----\n"), b64, F.lit("\n-----END PRIVATE KEY-----")), prose, F.lit(" "), 1),
+        (key_block("RSA PRIVATE KEY", "Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC,0A1B2C3D4E5F", ""), prose, F.lit(" "), 1),
+        (key_block("EC PRIVATE KEY", gap="\\n"), one("key = \"", "\"private_key\": \""), F.lit("\\n\""), 1),
+        (key_block("PGP PRIVATE KEY BLOCK", "Version: GnuPG v2", ""), prose, F.lit(" "), 1),
+        (leet, plain_keys, one("", "\n", " "), 1), (leet, quoted, F.lit("\""), 1), (mixed, plain_keys, one("", "\n", " "), 1),
+        (F.concat(leet, mark, F.substring(b64, 3, 6)), plain_keys, one("", "\n", " "), 1),
+        (F.concat_ws("-", common(1), common(2), common(3), common(4)), plain_keys, one("", "\n", " "), 1),
+        (F.concat_ws(" ", common(1), common(2), common(3), common(4)), one("passphrase: \"", "password = \"", "PASS1 = \""), F.lit("\""), 1),
+        (F.substring(hexa, 1, 32), plain_keys, one("", "\n", " "), 1), (F.substring(b64, 1, 24), plain_keys, one("", "\n", " "), 1),
+        (one("None", "null", "true", "false", "required", "string", "optional", "str", "undefined", "hidden", "text", "None,"), plain_keys, one("", "\n", " "), 0),
+        (F.concat(F.lit("get"), F.initcap(word), one("()", "();", "(self)", "(request)", "(user.name)")), plain_keys, one("", "\n", " "), 0),
+        (F.concat(one("self.", "request.", "config.", "args.", "process.env.", "os.environ."), word, F.lit("_"), other), plain_keys, one("", "\n", " "), 0),
+        (F.concat(one("${", "{{", "<", "%(", "$(", "["), word, F.lit("_"), other, one("}", "}}", ">", ")s", ")", "]")), plain_keys, one("", "\n", " "), 0),
+        (one("must", "should", "that", "this", "which", "with", "when", "cannot", "please", "click", "enter", "their", "never", "about"), plain_keys, one(" be", " the", " a"), 0),
+        (common(1), one("password: ", "auth: ", "secret: ", "author: ", "authority: ", "private: ", "token: "), one(" the", " is", " and"), 0),
+        (F.concat_ws(" ", common(1), word, other), one("password: \"", "\"token\": \"", "secret = '", "author: \"", "auth_error = \""), F.lit("\""), 0),
+        (word, one("author: \"", "token_type=\"", "auth_method: ", "private: "), one("\"", "", "\n"), 0), (F.substring(digits, 1, 4), one("token_limit = ", "auth_port: ", "password_length="), one("", "\n"), 0),
         (F.substring(hexa, 1, 40), one("commit ", "sha1: ", "revision ", "checksum = "), F.lit(" of"), 0),
         (hexa, one("sha256:", "digest: \"", "integrity ", "hash="), F.lit(" "), 0), (F.substring(hexa, 1, 32), one("md5 ", "etag: \""), F.lit(" "), 0),
         (F.substring(hexa, 1, 40), prose, F.lit(" the"), 0), (uuid, one("id = \"", "uuid ", "request ", "order "), F.lit("\""), 0),
