@@ -8,7 +8,9 @@ about a fifth or more.  Each window's MinHash values are looked up among the
 items' values (one hash a band, ``HASHES`` bands); what matches in any band
 is a candidate, and a candidate is verified by exact shingle containment in
 the whole document.  Window minima are built from minima of 8 shingles, so
-the documents are hashed once for all sizes.
+the documents are hashed once for all sizes.  An item of at most ``FEW``
+shingles would be too small a part of its window; every document that holds
+any of its shingles is a candidate.
 
 Items travel to the tasks in blocks of ``ITEMS_PER_BLOCK``; more items mean
 more passes over the documents, never a larger broadcast.  The documents are
@@ -37,6 +39,8 @@ HASHES = 64
 CONTAINMENT = 0.8
 ITEMS_PER_BLOCK = 5000
 LEAST_WINDOW = 8
+#: Items of at most so many shingles are looked up by the shingles themselves.
+FEW = 4
 
 _MULTIPLIER = np.random.default_rng(7).integers(1, 2**63, HASHES, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
 
@@ -55,7 +59,7 @@ class Items:
     """A bounded block of items with their shingles and MinHash values."""
 
     def __init__(self, rows: list[tuple]) -> None:
-        self.ids, self.short, self.sets, groups = [], {}, [], {}
+        self.ids, self.short, self.sets, groups, few = [], {}, [], {}, []
         for item_id, text in rows:
             raw = (text or "").encode()
             data, offsets = np.frombuffer(raw, np.uint8), np.array([0, len(raw)])
@@ -69,17 +73,34 @@ class Items:
             self.sets.append(found)
             if width < SHINGLE:
                 self.short.setdefault(width, []).append(k)
+            elif len(found) <= FEW:
+                few.append(k)
             else:
                 u = LEAST_WINDOW
                 while u < len(found):
                     u *= 2
                 groups.setdefault(u, []).append(k)
+        shingles = np.concatenate([self.sets[k] for k in few]) if few else np.zeros(0, np.uint64)
+        order = np.argsort(shingles, kind="stable")
+        self.few = shingles[order], np.repeat(few, [len(self.sets[k]) for k in few]).astype(np.int64)[order]
         self.groups = {}
         for u, members in sorted(groups.items()):
             values = np.array([[(self.sets[k] * m).min() for m in _MULTIPLIER] for k in members])
             order = np.argsort(values, axis=0, kind="stable")
             self.groups[u] = (np.array(members), np.take_along_axis(values, order, 0), order)
 
+    def _few_candidates(self, x: np.ndarray, first: np.ndarray) -> set[tuple[int, int]]:
+        """(document, item) pairs that share a shingle, for items of few shingles."""
+        values, members = self.few
+        if not len(x) or not len(values):
+            return set()
+        lo = np.searchsorted(values, x, "left")
+        hits = np.flatnonzero(values[np.minimum(lo, len(values) - 1)] == x)
+        count = np.searchsorted(values, x[hits], "right") - lo[hits]
+        at = np.arange(int(count.sum())) + np.repeat(lo[hits] - np.concatenate(([0], np.cumsum(count)[:-1])), count)
+        doc = np.repeat(np.searchsorted(first, hits, "right") - 1, count)
+        return set(zip(doc.tolist(), members[at].tolist(), strict=True))
+
     def _candidates(self, x: np.ndarray, first: np.ndarray) -> set[tuple[int, int]]:
         """(document, item) pairs of which a window and the item share a MinHash."""
         out: set[tuple[int, int]] = set()
@@ -113,7 +134,7 @@ class Items:
         """(document, item, shared shingles) of all verified pairs, sorted."""
         out = []
         x, first = _shingles(data, offsets, SHINGLE)
-        pairs = sorted(self._candidates(x, first))
+        pairs = sorted(self._candidates(x, first) | self._few_candidates(x, first))
         cache: tuple[int, np.ndarray] = (-1, x)
         for doc, k in pairs:
             if cache[0] != doc:
