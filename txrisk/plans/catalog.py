@@ -490,16 +490,25 @@ register("fraud_rate_overall", lambda s, sf: profile.overall_rate(av(s, sf, "lin
 # --------------------------------------------------------------------------
 
 
-# FIXED VALUES: the columns of the pivots (banks are nations, merchant categories are part types)
+# FIXED VALUES: the columns that the pivots always have (banks are nations, merchant categories are part types)
 PIVOT_VALUES = {"bank": [f"NATION_{i}" for i in range(25)],
                 "merchant_category": ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]}
 
 
+def pivot_values(df, rows, cols):
+    """The fixed columns, then those of all other values in the table."""
+    fixed, bound = PIVOT_VALUES[cols], int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+    other = df.where(F.col(rows).isNotNull() & ~F.col(cols).isin(fixed)).select(cols).distinct().limit(bound + 1).collect()
+    if len(fixed) + len(other) > bound:
+        raise ValueError(f"the pivot by {cols} has more than {bound} columns (spark.sql.pivotMaxValues)")
+    return fixed + sorted(r[0] for r in other)
+
+
 def pivot_query(src, rows, cols):
     def run(spark, sf):
         df = av(spark, sf, src)
         okeys = [calendar.month_num_of_name(F.col(rows))] if rows == "month" else None
-        return rates.pivot_rate(df, rows, cols, values=PIVOT_VALUES[cols], order_keys=okeys)
+        return rates.pivot_rate(df, rows, cols, values=pivot_values(df, rows, cols), order_keys=okeys)
     cells = ", ".join(
         f"COALESCE(AVG(CASE WHEN {O.q(cols)} = '{v}' THEN CAST({LABEL} AS DOUBLE) END) * {O.d(100.0)}, 0) AS {O.q(v)}"
         for v in PIVOT_VALUES[cols])
