@@ -1,13 +1,14 @@
-"""N-gram Jaccard self-join by a MinHash LSH forest, verified exactly.
+"""N-gram Jaccard self-join by banded MinHash, verified exactly.
 
 1. Each text becomes the set of its five-word shingles.  Texts of equal sets
    collapse to one representative with a number of copies.
-2. A forest of ``TREES`` prefix tries: a representative's label in a tree is
-   a sequence of up to ``DEPTH`` MinHash values.  The matched prefix starts
-   at the full depth and is shortened until a pair at the threshold shares a
-   prefix in some tree with at least the target recall; representatives that
-   meet under such a prefix are linked to the bucket's least one (a star,
-   never all pairs), and components of the stars are the candidate groups.
+2. A representative has ``TREES`` keys (bands), each the hash of as many
+   MinHash values as ``matched_prefix`` gives: the most, up to ``DEPTH``, with
+   which a pair at the threshold shares a key with at least the target recall.
+   The number follows from the constants alone; no trie is built, and nothing
+   is shortened against the data.  Representatives that share a key are linked
+   to the bucket's least one (a star, never all pairs), and components of the
+   stars are the candidate groups.
 3. Groups are verified exactly.  A group is dealt into blocks of bounded
    weight, every two blocks of it meet in one task, and the task counts the
    common shingles of all its pairs at once.  It returns per representative
@@ -15,7 +16,7 @@
 4. Components of the verified edges are the classes.
 
 Links therefore hold exactly the pairs of Jaccard >= threshold inside the
-candidate groups; a pair is missed only if no chain of forest matches joins
+candidate groups; a pair is missed only if no chain of shared keys joins
 it (probability below 1 - ``RECALL`` at the threshold, less above it).
 
 Words are ``[^\x20\x09-\x0D]+`` unchanged; a text of one to four words has
