@@ -5,11 +5,10 @@ bytes share the anchor of those bytes.  So the runs of windows (see
 ``repeats``) are the partitions of a distributed suffix sort: copies of a
 whole run collapse to a head, and the heads whose anchor has several
 contents are sorted in blocks of whole anchors.  A block's text gets its
-suffix array by prefix doubling up to the match length; in suffix order, the
-previous and next smaller positions of a suffix give its longest previous
-factor, and the previous and next larger ones its longest next factor.  A
-previous factor of full length marks a later copy, a next factor an earlier
-one; ``keep`` says which of them go:
+suffix array by prefix doubling up to the match length; in that order equal
+neighbours share the full length.  Lengths of factors are not computed, only
+whether they reach it: a previous factor of full length marks a later copy, a
+next factor an earlier one; ``keep`` says which of them go:
 
 * ``"none"`` (the contract's query): every byte of a repeated string goes;
 * ``"first"``: the first place of a repeated string stays.
