@@ -117,12 +117,14 @@ def test_every_branch_occurs_in_the_data(spark):
 
 
 def test_stored_layers_follow_their_source(spark, tmp_path):
-    import shutil
-
-    shutil.copytree(SF, tmp_path / "sf")
-    key = lambda: E.queries()["features"](spark, str(tmp_path / "sf")).count()
-    before = key()
-    half = spark.read.parquet(f"{SF}/events.parquet").limit(10).toPandas()
-    os.remove(tmp_path / "sf" / "events.parquet")
-    half.to_parquet(tmp_path / "sf" / "events.parquet", coerce_timestamps="us")
-    assert before > 10 and key() == 10
+    events = spark.read.parquet(f"{SF}/events.parquet").toPandas()
+    (tmp_path / "sf").mkdir()
+    for name in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem"):
+        spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(str(tmp_path / "sf" / f"{name}.parquet"))
+
+    def rows_of(part):
+        part.to_parquet(tmp_path / "sf" / "events.parquet", coerce_timestamps="us")
+        return E.queries()["features"](spark, str(tmp_path / "sf")).count()
+
+    assert rows_of(events) == len(events) > 10
+    assert rows_of(events.head(10)) == 10
