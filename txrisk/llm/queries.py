@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from txrisk.llm import (
-    debruijn, decontaminate, licenses, neighbours, ngram_join, packing, quality_rules, secrets, suffix_dedup, warc,
+    debruijn, decontaminate, licenses, neighbours, ngram_join, packing, quality_rules, secrets, suffix_dedup, topk,
+    warc,
 )
 from txrisk.llm.common import prepare, table
 
@@ -58,6 +59,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(table(spark, sf_dir, "documents"))
 
 
+def op12_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.digest(table(spark, sf_dir, "embeddings"))
+
+
 def _prepared(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return query(prepare(spark), sf_dir)
@@ -66,10 +71,10 @@ def _prepared(query: Query) -> Query:
 
 def queries() -> dict[str, Query]:
     every = (op1_license_scan, op2_ngram_join, op3_warc, op4_neighbour_quality, op5_quality_rules, op6_suffix_dedup,
-             op7_best_fit_packing, op8_decontamination, op9_substring_dedup, op10_secret_scan)
+             op7_best_fit_packing, op8_decontamination, op9_substring_dedup, op10_secret_scan, op12_exact_topk)
     return {f.__name__: _prepared(f) for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express."""
-    return {}
+    return {"op12_exact_topk": topk.SQL}
