@@ -303,10 +303,10 @@ def digest(embeddings: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
 #: DuckDB SQL for ``digest``'s rows (double sums are exact: scores stay under 2**53).
 SQL = """
 WITH v AS (
-  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS e
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
   FROM embeddings
   WHERE embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
 scored AS (
   SELECT q.r AS qr, q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
   FROM v q JOIN v c ON q.r <> c.r AND len(q.e) = len(c.e)
