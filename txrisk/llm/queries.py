@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from txrisk.llm import (
-    debruijn, decontaminate, licenses, neighbours, ngram_join, packing, quality_rules, secrets, suffix_dedup, topk,
-    warc,
+    debruijn, decontaminate, licenses, neighbours, ngram_join, packing, prefix_trie, quality_rules, secrets, suffix_dedup,
+    topk, warc,
 )
 from txrisk.llm.common import prepare, table
 
@@ -63,6 +63,10 @@ def op12_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.digest(table(spark, sf_dir, "embeddings"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.digest(table(spark, sf_dir, "conversations"))
+
+
 def _prepared(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return query(prepare(spark), sf_dir)
@@ -71,10 +75,10 @@ def _prepared(query: Query) -> Query:
 
 def queries() -> dict[str, Query]:
     every = (op1_license_scan, op2_ngram_join, op3_warc, op4_neighbour_quality, op5_quality_rules, op6_suffix_dedup,
-             op7_best_fit_packing, op8_decontamination, op9_substring_dedup, op10_secret_scan, op12_exact_topk)
+             op7_best_fit_packing, op8_decontamination, op9_substring_dedup, op10_secret_scan, op12_exact_topk, op13_prefix_trie)
     return {f.__name__: _prepared(f) for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express."""
-    return {"op12_exact_topk": topk.SQL}
+    return {"op12_exact_topk": topk.SQL, "op13_prefix_trie": prefix_trie.SQL}
