@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from txrisk.llm import (
-    debruijn, decontaminate, licenses, neighbours, ngram_join, packing, prefix_trie, quality_rules, secrets, suffix_dedup,
-    topk, warc,
+    alignment, debruijn, decontaminate, licenses, neighbours, ngram_join, packing, prefix_trie, quality_rules, secrets,
+    suffix_dedup, topk, warc,
 )
 from txrisk.llm.common import prepare, table
 
@@ -59,6 +59,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.digest(table(spark, sf_dir, "documents"))
+
+
 def op12_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.digest(table(spark, sf_dir, "embeddings"))
 
@@ -75,7 +79,8 @@ def _prepared(query: Query) -> Query:
 
 def queries() -> dict[str, Query]:
     every = (op1_license_scan, op2_ngram_join, op3_warc, op4_neighbour_quality, op5_quality_rules, op6_suffix_dedup,
-             op7_best_fit_packing, op8_decontamination, op9_substring_dedup, op10_secret_scan, op12_exact_topk, op13_prefix_trie)
+             op7_best_fit_packing, op8_decontamination, op9_substring_dedup, op10_secret_scan,
+             op11_token_alignment, op12_exact_topk, op13_prefix_trie)
     return {f.__name__: _prepared(f) for f in every}
 
 
