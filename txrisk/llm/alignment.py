@@ -98,35 +98,44 @@ def marks(at: np.ndarray, columns: int) -> Csr:
     return Csr(np.arange(len(at) + 1), at, np.ones(len(at), np.int64), columns)
 
 
-class Links(NamedTuple):
-    overlap: Csr
-    together: Csr
-    grouped: Csr
-    group_a: np.ndarray
-    group_b: np.ndarray
+def overlaps(ends_a: np.ndarray, ends_b: np.ndarray) -> Csr:
+    """A · Bᵀ over bytes: shared bytes of two cuts of the same bytes."""
+    size = int(ends_a[-1]) if len(ends_a) else 0
+    return incidence(ends_a, size).product(incidence(ends_b, size).transposed())
 
 
-def align(ends_a: np.ndarray, ends_b: np.ndarray) -> Links:
-    """All three kinds of links of two cuts of the same bytes."""
+def together(ends_a: np.ndarray, ends_b: np.ndarray) -> Csr:
+    """The same over last bytes only: tokens that end together."""
     size = int(ends_a[-1]) if len(ends_a) else 0
-    overlap = incidence(ends_a, size).product(incidence(ends_b, size).transposed())
-    together = marks(ends_a - 1, size).product(marks(ends_b - 1, size).transposed())
-    both = np.intersect1d(ends_a, ends_b)
-    group_a, group_b = np.searchsorted(both, ends_a), np.searchsorted(both, ends_b)
-    grouped = marks(group_a, len(both)).product(marks(group_b, len(both)).transposed())
-    return Links(overlap, together, grouped, group_a, group_b)
-
-
-class Chunk(NamedTuple):
-    n_a: int
-    n_b: int
-    n_groups: int
-    text: str                    # groups as decimal ids
-    pairs: tuple[int, ...]       # id_a << 32 | id_b of tokens that end together
-    a: np.ndarray
-    b: np.ndarray
-    ends_a: np.ndarray
-    ends_b: np.ndarray
+    return marks(ends_a - 1, size).product(marks(ends_b - 1, size).transposed())
+
+
+def groups(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ends of the groups, and the group of each A and B token."""
+    both = np.intersect1d(ends_a, ends_b, assume_unique=True)
+    return both, np.searchsorted(both, ends_a), np.searchsorted(both, ends_b)
+
+
+def grouped(ends_a: np.ndarray, ends_b: np.ndarray) -> Csr:
+    """Group incidence: tokens of one group."""
+    both, group_a, group_b = groups(ends_a, ends_b)
+    return marks(group_a, len(both)).product(marks(group_b, len(both)).transposed())
+
+
+KINDS = {"overlap": overlaps, "together": together, "grouped": grouped}
+
+
+class Grown:
+    """Numbers in an array that doubles as it fills."""
+
+    def __init__(self) -> None:
+        self.n, self.at = 0, np.zeros(1 << 12, np.int64)
+
+    def extend(self, values: np.ndarray) -> None:
+        while self.n + len(values) > len(self.at):
+            self.at = np.concatenate([self.at, np.zeros(len(self.at), np.int64)])
+        self.at[self.n: self.n + len(values)] = values
+        self.n += len(values)
 
 
 def default_tokenizers() -> tuple[str, str, str]:
@@ -156,55 +165,92 @@ class Aligner:
             table = {base64.b64decode(t): int(i) for t, i in map(bytes.split, lines)}
         self.bytes_a = {i: t for t, i in table.items()}
         self.encode_a = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=table, special_tokens={}).encode_ordinary
+        self.bytes_a = [b""] * (max(table.values()) + 2)
+        for token, i in table.items():
+            self.bytes_a[i] = token
         self.b = sentencepiece.SentencePieceProcessor(model_file=b)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        self.length_a, self.length_b = (np.array([len(x) for x in y]) for y in (self.bytes_a, self.bytes_b))
         #: no piece goes on with a space after another character
         self.separable = not any(re.search("[^▁]▁", p) for p in pieces)
-        self.known: dict[bytes, Chunk | None] = {}
-
-    def ids(self, raw: bytes, whole: bool) -> tuple[list[int], list[int]]:
-        text = raw.decode()
-        a = self.whole_a.encode(text, add_special_tokens=False).ids if whole else self.encode_a(text)
-        return a, self.b.encode(text[1:])
-
-    def chunk(self, raw: bytes, whole: bool = False) -> Chunk | None:
-        """Tokens and links of bytes that begin with a space; None if the
-        tokens of a side do not join to them."""
-        a, b = self.ids(raw, whole)
-        parts_a, parts_b = [self.bytes_a.get(i, b"") for i in a], [self.bytes_b[i] for i in b]
-        if b"".join(parts_a) != raw or b"".join(parts_b) != raw:
-            return None
-        ends_a, ends_b = np.cumsum([len(p) for p in parts_a]), np.cumsum([len(p) for p in parts_b])
-        links = align(ends_a, ends_b)
-        i, j = links.together.pairs()
+        self.forget()
+
+    def forget(self) -> None:
+        """Chunk k has the sizes ``sizes[:, k]`` (tokens A, B, groups, links),
+        its groups as text, and the linked pairs up to ``ends[k]``."""
+        self.known: dict[bytes, int] = {}
+        self.texts: list[str] = []
+        self.sizes = [Grown() for _ in range(4)]
+        self.ends, self.pairs = Grown(), Grown()
+
+    def tokens(self, parts: list[bytes], whole: bool = False) -> list[tuple[list[int], list[int]] | None]:
+        """Ids of each part (bytes that begin with a space); None where the
+        tokens of a side do not join to it."""
+        texts = [p.decode() for p in parts]
+        a = [self.whole_a.encode(t, add_special_tokens=False).ids for t in texts] if whole else list(map(self.encode_a, texts))
+        b = self.b.encode([t[1:] for t in texts], num_threads=1)
+        of_a, of_b = self.bytes_a.__getitem__, self.bytes_b.__getitem__
+        return [(x, y) if b"".join(map(of_a, x)) == p == b"".join(map(of_b, y)) else None for p, x, y in zip(parts, a, b, strict=True)]
+
+    def learn(self, tokens: list[tuple[list[int], list[int]]]) -> None:
+        """Adds chunks of these tokens: one block-diagonal product for all."""
+        if not tokens:
+            return
+        a, b = ([i for pair in tokens for i in pair[side]] for side in (0, 1))
         ids_a, ids_b = np.array(a, np.int64), np.array(b, np.int64)
-        cuts = [np.searchsorted(g, np.arange(int(g[-1]) + 2)) for g in (links.group_a, links.group_b)]
-        groups = [",".join(map(str, a[p:q])) + "|" + ",".join(map(str, b[r:s]))
-                  for p, q, r, s in zip(cuts[0], cuts[0][1:], cuts[1], cuts[1][1:], strict=False)]
-        return Chunk(len(a), len(b), len(groups), ";".join(groups), tuple((ids_a[i] << 32 | ids_b[j]).tolist()), ids_a, ids_b, ends_a, ends_b)
-
-    def document(self, text: bytes) -> list[Chunk] | None:
-        """The chunks of a text; None for no tokens."""
-        if not text:
-            return None
-        raw = b" " + text
-        if not self.separable or _ODD.search(text):
-            one = self.chunk(raw, whole=True)
-            return None if one is None else [one]
-        known, out = self.known, []
-        for part in CHUNK.findall(raw):
-            found = known.get(part)
-            if found is None:
-                found = self.chunk(part) if part.startswith(b" ") and len(part) > 1 else None
-                if found is None:      # a chunk that cannot stand alone: the text as one
-                    one = self.chunk(raw, whole=True)
-                    return None if one is None else [one]
-                if len(part) <= REMEMBERED_BYTES:
-                    if len(known) >= REMEMBERED:
-                        known.clear()
-                    known[part] = found
-            out.append(found)
+        n_a, n_b = (np.array([len(pair[side]) for pair in tokens]) for side in (0, 1))
+        ends_a, ends_b = np.cumsum(self.length_a[ids_a]), np.cumsum(self.length_b[ids_b])
+        overlap = overlaps(ends_a, ends_b)
+        i, j = overlap.pairs()
+        end = ends_a[i] == ends_b[j]                  # of the overlapping tokens, those that end together
+        i, j = i[end], j[end]
+        both, group_a, group_b = groups(ends_a, ends_b)
+        each = np.arange(len(both) + 1)
+        cuts_a, cuts_b = np.searchsorted(group_a, each).tolist(), np.searchsorted(group_b, each).tolist()
+        names_a, names_b = list(map(str, a)), list(map(str, b))
+        written = [",".join(names_a[p:q]) + "|" + ",".join(names_b[r:s])
+                   for p, q, r, s in zip(cuts_a, cuts_a[1:], cuts_b, cuts_b[1:], strict=False)]
+        last = np.cumsum(n_a)
+        upto = np.searchsorted(both, ends_a[last - 1], "right")
+        cuts = [0, *upto.tolist()]
+        self.texts += [";".join(written[p:q]) for p, q in zip(cuts, cuts[1:], strict=False)]
+        links = np.searchsorted(i, last)
+        for grown, values in zip(self.sizes, (n_a, n_b, np.diff(cuts), np.diff(links, prepend=0)), strict=True):
+            grown.extend(values)
+        self.ends.extend(self.pairs.n + links)
+        self.pairs.extend(ids_a[i] << 32 | ids_b[j])
+
+    def documents(self, texts: list[bytes]) -> list[list[int]]:
+        """Numbers of the chunks of each text; none for no tokens."""
+        if len(self.known) > REMEMBERED:
+            self.forget()
+        known, alone = self.known, []
+        parts = [None if not t or not self.separable or _ODD.search(t) else CHUNK.findall(b" " + t) for t in texts]
+        new = list(dict.fromkeys(p for some in parts if some for p in some if p not in known))
+        found = self.tokens(new)
+        first = len(self.texts)
+        self.learn([t for t in found if t is not None])
+        long = []
+        for p, t in zip(new, found, strict=True):
+            known[p] = first if t is not None else -1     # -1: cannot stand alone
+            first += t is not None
+            if len(p) > REMEMBERED_BYTES:
+                long.append(p)
+        out: list[list[int]] = []
+        for d, some in enumerate(parts):
+            numbers = [known[p] for p in some] if some else []
+            if texts[d] and (not numbers or -1 in numbers):
+                alone.append(d)
+                numbers = []
+            out.append(numbers)
+        for p in long:
+            del known[p]
+        for d in alone:
+            one = self.tokens([b" " + texts[d]], whole=True)[0]
+            if one is not None:
+                out[d] = [len(self.texts)]
+                self.learn([one])
         return out
 
 
@@ -219,22 +265,18 @@ def _blocks(docs: DataFrame, paths: tuple[str, str, str]) -> DataFrame:
         for batch in batches:
             data, offsets = K.column_bytes(batch.column(1))
             for lo, hi in K.steps(offsets, BLOCK_BYTES):
-                place: dict[int, int] = {}
-                columns, links, used = [], [], []
-                for d in range(lo, hi):
-                    chunks = aligner.document(data[offsets[d]: offsets[d + 1]].tobytes())
-                    mine = [p for c in chunks or () for p in c.pairs]
-                    links.append(np.array([place.setdefault(p, len(place)) for p in mine], np.int32))
-                    text = None if chunks is None else ";".join([c.text for c in chunks])
-                    columns.append((sum(c.n_a for c in chunks or ()), sum(c.n_b for c in chunks or ()),
-                                    sum(c.n_groups for c in chunks or ()), len(mine),
-                                    "" if text is None else hashlib.sha256(text.encode()).hexdigest()))
-                sizes = np.cumsum([0, *map(len, links)])
-                every = np.concatenate(links) if links else np.zeros(0, np.int32)
-                pairs = np.fromiter(place, np.int64, len(place))
+                chunks = aligner.documents([data[offsets[d]: offsets[d + 1]].tobytes() for d in range(lo, hi)])
+                flat = np.array([c for some in chunks for c in some], np.int64)
+                cuts = np.cumsum([0, *map(len, chunks)])
+                sums = [np.diff(np.concatenate(([0], np.cumsum(g.at[flat])))[cuts]) for g in aligner.sizes]
+                count = aligner.sizes[3].at[flat]
+                at = np.arange(int(count.sum())) + np.repeat(aligner.ends.at[flat] - np.cumsum(count), count)
+                pairs, every = np.unique(aligner.pairs.at[at], return_inverse=True)
+                sizes = np.concatenate(([0], np.cumsum(sums[3])))
+                text = aligner.texts.__getitem__
+                hashes = [hashlib.sha256(";".join(map(text, some)).encode()).hexdigest() if some else "" for some in chunks]
                 struct = pa.StructArray.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), *(pa.array(x, t) for x, t in zip(
-                        zip(*columns, strict=True), [pa.int64()] * 4 + [pa.string()], strict=True))],
+                    [batch.column(0).slice(lo, hi - lo), *map(pa.array, sums), pa.array(hashes, pa.string())],
                     ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256"])
                 used = np.bincount(every, minlength=len(pairs)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
@@ -292,12 +334,14 @@ def links(docs: DataFrame, kind: str = "overlap", tokenizers: tuple[str, str, st
         for batch in batches:
             data, offsets = K.column_bytes(batch.column(1))
             for d in range(len(batch)):
-                first_a = first_b = 0
-                for c in aligner.document(data[offsets[d]: offsets[d + 1]].tobytes()) or ():
-                    found: Csr = getattr(align(c.ends_a, c.ends_b), kind)
-                    i, j = found.pairs()
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(pa.array(np.full(len(i), d))), pa.array(i + first_a), pa.array(j + first_b),
-                         pa.array(c.a[i]), pa.array(c.b[j]), pa.array(found.value)], names)
-                    first_a, first_b = first_a + c.n_a, first_b + c.n_b
+                raw = data[offsets[d]: offsets[d + 1]].tobytes()
+                found = aligner.tokens([b" " + raw], whole=True)[0] if raw else None
+                if found is None:
+                    continue
+                a, b = (np.array(x, np.int64) for x in found)
+                linked = KINDS[kind](np.cumsum(aligner.length_a[a]), np.cumsum(aligner.length_b[b]))
+                i, j = linked.pairs()
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(np.full(len(i), d))), pa.array(i), pa.array(j), pa.array(a[i]), pa.array(b[j]),
+                     pa.array(linked.value)], names)
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, " + ", ".join(f"{c} long" for c in names[1:]))
