@@ -42,6 +42,7 @@ def pieces(docs: DataFrame, k: int = K_WORDS, anchor: int = ANCHOR_WORDS) -> Dat
 
     Of a ragged run only the head needs its single edges: every other
     occurrence of the same content is later as a whole."""
+    docs = docs if docs.columns == ["doc_id", "_th", "text"] else R.identified(docs)
     shared = R.shared_places(docs, word_symbols, k, anchor)
     known = R.contents(shared)
     whole = shared.alias("p").join(known.alias("c"), ["anchor", "content", "n"]).where("c.copies > 1").select(
@@ -132,7 +133,8 @@ def keep_words(docs: DataFrame, spans: DataFrame) -> DataFrame:
 
 def deduplicate(docs: DataFrame) -> DataFrame:
     """(doc_id, n_words, n_removed, kept binary) per document."""
-    return keep_words(docs, spans(passages(docs, later_only=True)))
+    known = R.identified(docs)
+    return keep_words(known, spans(passages(known, later_only=True)))
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 """Best-fit packing of tokenized documents by minimum bin slack.
 
-Tokens: chunks of a text are told apart by hash in array form, each distinct
-chunk is tokenized once per worker (from the ranks of the tokenizer's
+Tokens: chunks of a text are told apart in array form (by hash, then byte by
+byte), each distinct chunk is tokenized once per worker (from the ranks of the tokenizer's
 vocabulary, which give the tokenizer's ids), and the ids of a document are
 gathered from its chunks.  Chunks begin and end where pre-tokens of the
 byte-level BPE do: a word with the one space before it, and white space, of
@@ -67,6 +67,8 @@ def encoder_of(tokenizer: str, ranks: str | None) -> Encoder:
 class Encoder:
     """Ids of whole batches of texts; see the module's text."""
 
+    hashes = staticmethod(K.span_hashes)
+
     def __init__(self, tokenizer: str, ranks: str | None = None) -> None:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(tokenizer)
@@ -79,17 +81,17 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.number: dict[int, int] = {}
+        self.number: dict[bytes, int] = {}
         self.known, self.first = 0, np.zeros(REMEMBERED + 1, np.int64)  # chunk k has ids first[k] to first[k + 1]
         self.ids = np.zeros(1 << 16, np.uint32)
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
-    def _learn(self, keys: list[int], chunks: list[str]) -> None:
+    def _learn(self, keys: list[bytes]) -> None:
         a, every, ends, encode = int(self.first[self.known]), [], [], self.chunk_ids
-        for key, chunk in zip(keys, chunks, strict=True):
-            every += encode(chunk)
+        for key in keys:
+            every += encode(key.decode())
             self.number[key] = self.known + len(ends)
             ends.append(a + len(every))
         if self.known + len(ends) >= len(self.first):  # one step alone may have more chunks
@@ -116,14 +118,17 @@ class Encoder:
         begins[1:][last & (data[:-1] == 0x20)] = False  # one space before a word belongs to it
         start = np.flatnonzero(begins)
         end = np.append(start[1:], len(data))
-        hashes = K.span_hashes(data, start, end)
-        distinct, index, inverse = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.number) + len(distinct) > REMEMBERED:
-            self._forget()
-        keys = distinct.tolist()
-        new = [i for i, k in enumerate(keys) if k not in self.number]
+        hashes = self.hashes(data, start, end)
         raw = data.tobytes()
-        self._learn([keys[i] for i in new], [raw[start[index[i]]: end[index[i]]].decode() for i in new])
+        _, index, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        if not K.same_spans(data, start, end, start[index][inverse], end[index][inverse]):  # one hash, different bytes
+            seen: dict[bytes, int] = {}
+            inverse = np.array([seen.setdefault(raw[a:b], len(seen)) for a, b in zip(start, end, strict=True)])
+            _, index = np.unique(inverse, return_index=True)
+        if len(self.number) + len(index) > REMEMBERED:
+            self._forget()
+        keys = [raw[a:b] for a, b in zip(start[index].tolist(), end[index].tolist(), strict=True)]
+        self._learn([k for k in keys if k not in self.number])
         number = np.array([self.number[k] for k in keys])[inverse]
         first = self.first
         count = first[number + 1] - first[number]

@@ -10,8 +10,10 @@ a head (their first place) and a count.  Anchors with several contents are
 "ragged": copies begin or end inside their runs, and single windows must be
 compared, of one head per content.
 
-A document is the pair (doc_id, hash of its text): rows that repeat both are
-one document that stands in several places.
+A document is the pair (doc_id, ``th``): rows that repeat doc_id and text are
+one document that stands in several places.  ``th`` is 0 where no doc_id has
+two texts, else a 64-bit hash of the text that was checked not to join two
+texts of one doc_id (compared by MD5), or taken with another seed.
 """
 
 from __future__ import annotations
@@ -30,12 +32,32 @@ from txrisk.llm.common import stored
 Symbols = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
-def text_hash() -> Column:
-    return F.hash(F.coalesce("text", F.lit("")))
+SEEDS = 4
+
+
+def _joined(rows: DataFrame, *keys: str) -> bool:
+    """Do some rows with equal keys have different texts?"""
+    return rows.groupBy(*keys).agg((F.min("md5") != F.max("md5")).alias("several")).where("several").limit(1).count() > 0
+
+
+def identified(docs: DataFrame, code: Callable[[Column, int], Column] = lambda text, seed: F.xxhash64(F.lit(seed), text)) -> DataFrame:
+    """(doc_id, _th, text): documents with their key (runs one small job)."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select("doc_id", text.alias("text"))
+    coded = rows.select("doc_id", "text", F.md5("text").alias("md5"))
+    if not _joined(coded.select("doc_id", "md5"), "doc_id"):
+        return rows.select("doc_id", F.lit(0).cast("long").alias("_th"), "text")
+    for seed in range(SEEDS):
+        key = code(F.col("text"), seed).cast("long")
+        if not _joined(coded.select("doc_id", "md5", key.alias("th")), "doc_id", "th"):
+            return rows.select("doc_id", key.alias("_th"), "text")
+    raise ValueError("text hashes of one doc_id collide under every seed")
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", text_hash().alias("th"), "text")
+    """(doc_id, th, text) of documents or of what ``identified`` made of them."""
+    known = docs if docs.columns == ["doc_id", "_th", "text"] else identified(docs)
+    return known.select("doc_id", F.col("_th").alias("th"), "text")
 
 
 def same_document(left: str, right: str) -> Column:
@@ -58,7 +80,7 @@ def places(docs: DataFrame, symbols: Symbols, window: int, gram: int) -> DataFra
                      pa.array(found["content"].view(np.int64)), pa.array(found["start"].astype(np.int32)),
                      pa.array(found["n"].astype(np.int32))],
                     ["doc_id", "th", "anchor", "content", "start", "n"])
-    return keyed(docs).mapInArrow(run, f"doc_id {kind}, th int, anchor long, content long, start int, n int")
+    return keyed(docs).mapInArrow(run, f"doc_id {kind}, th long, anchor long, content long, start int, n int")
 
 
 def shared_places(docs: DataFrame, symbols: Symbols, window: int, gram: int) -> DataFrame:
@@ -111,22 +133,24 @@ def head_windows(texts: DataFrame, symbols: Symbols, window: int) -> DataFrame:
             row, head = head_rows(batch)
             for i, j in K.steps(offsets):
                 values, bounds = symbols(data[offsets[i]: offsets[j]], offsets[i: j + 1] - offsets[i])
-                sums = K.prefix_sums(values)
                 mine = np.flatnonzero((row >= i) & (row < j))
                 n = head["n"][mine].astype(np.int64)
                 if not len(mine):
                     continue
+                size = n + window - 1                  # symbols of each head, laid end to end
+                head_at = np.cumsum(size) - size
+                part = np.arange(int(size.sum())) - np.repeat(head_at, size)
+                symbols_of = values[np.repeat(bounds[row[mine] - i] + head["start"][mine], size) + part]
                 own = np.repeat(mine, n)
                 step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-                at = bounds[row[own] - i] + head["start"][own] + step
-                code = K.sums_between(sums, at, at + window)
+                code = K.window_hashes(symbols_of, window)[0][np.repeat(head_at, n) + step]
                 take = pa.array(row[own])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(head["anchor"][own]), pa.array(head["content"][own]), pa.array(head["copies"][own]),
                      batch.column(0).take(take), batch.column(1).take(take), pa.array(head["start"][own].astype(np.int32)),
                      pa.array(step.astype(np.int32)), pa.array(code.view(np.int64))],
                     ["anchor", "content", "copies", "doc_id", "th", "start", "i", "code"])
-    return texts.mapInArrow(run, f"anchor long, content long, copies long, doc_id {kind}, th int, start int, i int, code long")
+    return texts.mapInArrow(run, f"anchor long, content long, copies long, doc_id {kind}, th long, start int, i int, code long")
 
 
 def spans_per_document(docs: DataFrame, spans: DataFrame) -> DataFrame:

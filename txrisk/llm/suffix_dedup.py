@@ -157,6 +157,7 @@ def _sorted_blocks(depth: int, keep: str):
 def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR_BYTES, keep: str = "none") -> DataFrame:
     """(doc_id, th, start, end) of byte ranges to remove (they may overlap)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
+    docs = docs if docs.columns == ["doc_id", "_th", "text"] else R.identified(docs)
     shared = R.shared_places(docs, byte_symbols, length, anchor)
     known = R.contents(shared)
     whole = shared.join(known.where("copies > 1").select("anchor", "content", "n", "head"), ["anchor", "content", "n"])
@@ -167,9 +168,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR_B
     ragged = known.where("kinds > 1")
     columns = ["anchor", "content", "copies", "n"]
     strings = R.with_text(ragged.where(F.col("kinds") <= BLOCK_HEADS), docs, columns).mapInArrow(
-        _head_strings(length), f"anchor long, copies long, doc_id {kind}, th int, start int, bytes binary")
+        _head_strings(length), f"anchor long, copies long, doc_id {kind}, th long, start int, bytes binary")
     blocks = strings.repartition("anchor").dropDuplicates(["anchor", "doc_id", "th", "start"]).sortWithinPartitions("anchor", "doc_id", "th", "start").mapInArrow(
-        _sorted_blocks(length, keep), f"doc_id {kind}, th int, start long, end long")
+        _sorted_blocks(length, keep), f"doc_id {kind}, th long, start long, end long")
     windows = stored(R.head_windows(R.with_text(ragged.where(F.col("kinds") > BLOCK_HEADS), docs, columns), byte_symbols, length))
     where = F.struct("doc_id", "th", (F.col("start") + F.col("i")).alias("start"))
     again = windows.groupBy("anchor", "code").agg(F.sum("copies").alias("m"), F.min(where).alias("first")).where("m > 1")
@@ -209,5 +210,6 @@ def remove(docs: DataFrame, spans: DataFrame) -> DataFrame:
 
 def digest(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
-    return remove(docs, repeated_spans(docs)).select(
+    known = R.identified(docs)
+    return remove(known, repeated_spans(known)).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

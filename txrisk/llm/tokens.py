@@ -1,8 +1,9 @@
 """Array kernels: words, n-grams and winnowed anchors of Arrow text batches.
 
 All functions work on numpy arrays over the raw UTF-8 bytes of a batch, so
-no Python object is made per word.  Hashes are 64-bit polynomial sums with
-wrap-around arithmetic, finished by a mixer.
+no Python object is made per word.  Hashes are 64-bit; every symbol passes a
+mixer together with its place, so no word pattern cancels out by algebra (as
+Thue-Morse words do in polynomial sums modulo 2**64).
 """
 
 from __future__ import annotations
@@ -20,7 +21,9 @@ _rng = np.random.default_rng(20240229)
 BYTE_VALUE = _rng.integers(1, 2**63, 256, dtype=np.uint64) | U64(1)
 GRAM_WEIGHT = _rng.integers(1, 2**63, 64, dtype=np.uint64) | U64(1)
 BASE = U64(0x9E3779B97F4A7C15)
-BASE_INVERSE = U64(pow(int(BASE), -1, 1 << 64))
+SECOND = U64(0xC2B2AE3D27D4EB4F)
+#: Mask of the first k bytes of eight.
+FIRST_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], U64)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -33,29 +36,6 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-class Powers:
-    """Powers of the base and of its inverse, grown on demand."""
-
-    def __init__(self) -> None:
-        self.up = np.ones(1, U64)
-        self.down = np.ones(1, U64)
-
-    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            m = max(n, 1 << 12)
-            with np.errstate(over="ignore"):
-                step = np.full(m, BASE, U64)
-                step[0] = 1
-                self.up = np.multiply.accumulate(step)
-                step = np.full(m, BASE_INVERSE, U64)
-                step[0] = 1
-                self.down = np.multiply.accumulate(step)
-        return self.up[:n], self.down[:n]
-
-
-POWERS = Powers()
-
-
 def byte_set(pattern_bytes: bytes) -> np.ndarray:
     """Boolean table of 256 entries, true for the given bytes."""
     out = np.zeros(256, bool)
@@ -116,16 +96,35 @@ def words(data: np.ndarray, bounds: np.ndarray, separator: np.ndarray) -> tuple[
     return start, end, np.searchsorted(start, bounds).astype(np.int64)
 
 
+def _blocks(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Eight-byte blocks of the spans in a row (the last one of a span filled
+    up with zeros), each block's number in its span, and each span's first block."""
+    count = (length + 7) >> 3
+    first = np.concatenate(([0], np.cumsum(count)[:-1]))
+    number = np.arange(int(count.sum())) - np.repeat(first, count)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(data),), "<u8", padded, strides=(1,))
+    left = np.minimum(np.repeat(length, count) - 8 * number, 8)
+    return eight[np.repeat(start, count) + 8 * number] & FIRST_BYTES[left], number, first
+
+
 def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte span (spans ascend and do not overlap)."""
+    """64-bit hash of each byte span (none empty): the sum of its mixed
+    eight-byte blocks, each mixed once more with its number."""
     if not len(start):
         return np.zeros(0, U64)
     length = end - start
-    first = np.concatenate(([0], np.cumsum(length)[:-1]))
-    at = np.arange(int(length.sum())) - np.repeat(first, length)
-    up, _ = POWERS.upto(int(length.max()) + 1)
-    values = BYTE_VALUE[data[at + np.repeat(start, length)]] * up[at]
-    return mix(np.add.reduceat(values, first) + length.astype(U64) * GRAM_WEIGHT[63])
+    block, number, first = _blocks(data, start, length)
+    block = mix(mix(block) + (number + 1).astype(U64) * BASE)
+    return mix(np.add.reduceat(block, first) + length.astype(U64) * SECOND)
+
+
+def same_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray, other: np.ndarray, other_end: np.ndarray) -> bool:
+    """Are all spans equal to the other ones, byte by byte?"""
+    length = end - start
+    if not np.array_equal(length, other_end - other):
+        return False
+    return not len(start) or np.array_equal(_blocks(data, start, length)[0], _blocks(data, other, length)[0])
 
 
 def grams(symbols: np.ndarray, n: int) -> np.ndarray:
@@ -139,18 +138,30 @@ def grams(symbols: np.ndarray, n: int) -> np.ndarray:
     return mix(total)
 
 
-def prefix_sums(symbols: np.ndarray) -> np.ndarray:
-    """Running polynomial sums, one more than symbols; see ``sums_between``."""
-    up, _ = POWERS.upto(len(symbols) + 1)
-    out = np.zeros(len(symbols) + 1, U64)
-    np.cumsum(symbols * up[:-1], out=out[1:])
-    return out
+def pair(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Hash of two hashes in order."""
+    h = left * BASE
+    h += ((right << U64(32)) | (right >> U64(32))) * SECOND
+    h ^= h >> U64(29)
+    h *= U64(0xBF58476D1CE4E5B9)
+    h ^= h >> U64(32)
+    return h
 
 
-def sums_between(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hash of symbols start..end that does not depend on the position."""
-    _, down = POWERS.upto(len(sums))
-    return mix((sums[end] - sums[start]) * down[start])
+def window_hashes(symbols: np.ndarray, *sizes: int) -> list[np.ndarray]:
+    """Hashes of every ``size`` consecutive symbols, per size: windows of
+    powers of two pair up, and two of them cover a window."""
+    out: dict[int, np.ndarray] = {}
+    level, have = symbols, 1
+    while True:
+        for size in sizes:
+            if have <= size < 2 * have:
+                n = max(len(symbols) - size + 1, 0)
+                out[size] = pair(level[:n], level[size - have: size - have + n])
+        if 2 * have > max(sizes):
+            return [out[size] for size in sizes]
+        level = pair(level[: max(len(level) - have, 0)], level[have:])
+        have *= 2
 
 
 def sliding_min(keys: np.ndarray, w: int) -> np.ndarray:
@@ -172,7 +183,8 @@ def runs(symbols: np.ndarray, bounds: np.ndarray, window: int, gram: int) -> dic
     Every window of ``window`` symbols selects the n-gram of ``gram``
     symbols with the smallest hash in it, the leftmost of equals; equal
     windows select the same one.  Consecutive windows with the same anchor
-    form a run.  Returns per run: doc (index), start (symbol within the
+    form a run, of at most ``window`` windows, so its first and last window
+    cover it.  Returns per run: doc (index), start (symbol within the
     document), n (windows), anchor (hash of the n-gram) and content (hash of
     the symbols the run covers).
     """
@@ -182,10 +194,8 @@ def runs(symbols: np.ndarray, bounds: np.ndarray, window: int, gram: int) -> dic
     at = 0
     while at + window <= total:
         part = symbols[at: at + size + window - 1]
-        sums = prefix_sums(part)
-        n = len(part) - gram + 1
-        index = np.arange(n)
-        hashes = sums_between(sums, index, index + gram)
+        hashes, whole = window_hashes(part, gram, window)
+        index = np.arange(len(hashes))
         least = sliding_min((hashes & ~U64((1 << 20) - 1)) | index.astype(U64), w)
         anchor = (least & U64((1 << 20) - 1)).astype(np.int64)
         begin = np.arange(len(anchor)) + at
@@ -199,7 +209,7 @@ def runs(symbols: np.ndarray, bounds: np.ndarray, window: int, gram: int) -> dic
             count = np.diff(np.append(first, len(begin)))
             lo = begin[first] - at
             out.append((doc[first], begin[first] - bounds[doc[first]], count, hashes[anchor[first]],
-                        sums_between(sums, lo, lo + count + window - 1)))
+                        mix(pair(whole[lo], whole[lo + count - 1]) + count.astype(U64))))
         at += size
     if not out:
         out = [tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, U64, U64))]
