@@ -96,7 +96,7 @@ def test_range_windows_match_bruteforce_across_buckets(spark):
                          float(np.round(rng.uniform(1, 100), 2))))
     df = spark.createDataFrame(recs, "customer_id int, timestamp timestamp_ntz, amount double")
     got = range_window_features(df).toPandas().sort_values(["customer_id", "timestamp", "amount"])
-    fine = range_window_features(df, bucket_us=86_400_000_000).toPandas().sort_values(
+    fine = range_window_features(df, slice_rows=8).toPandas().sort_values(
         ["customer_id", "timestamp", "amount"])
     assert fine.tx_count_24h.tolist() == got.tx_count_24h.tolist()
     assert np.allclose(fine.amount_mean_7d.tolist(), got.amount_mean_7d.tolist())
@@ -336,21 +336,36 @@ def test_features_keep_rows_without_customer(spark):
     assert {r.online_channel_ratio for r in out} == {1.0}
 
 
-def test_dense_key_windows_grow_linearly(spark):
-    import time
-    from pyspark.sql import functions as F
-    from txrisk.operators.windows import range_window_features
-
-    def seconds(n):
-        df = spark.range(n).select(F.lit("c").alias("customer_id"), F.lit(1.5).alias("amount"),
-                                   F.timestamp_seconds(F.col("id") * (500_000 / n)).cast("timestamp_ntz").alias("timestamp"))
-        began = time.perf_counter()
-        range_window_features(df).write.format("noop").mode("overwrite").save()
-        return time.perf_counter() - began
-
-    seconds(2000)
-    small, large = seconds(10_000), seconds(40_000)
-    assert large < 8 * max(small, 0.5)
+def test_dense_key_is_cut_into_even_tasks(spark):
+    """A customer with a third of all rows: same features, no large task."""
+    from txrisk.operators import windows
+    rng = np.random.default_rng(3)
+    base = dt.datetime(2023, 1, 1)
+    n = 6000
+    keys = np.where(rng.random(n) < 0.34, "hot", np.char.add("c", rng.integers(0, 400, n).astype(str)))
+    seconds = rng.integers(0, 30 * 86400, n)
+    seconds[::50] = 86400 * 9                                   # peers of one instant
+    recs = [(None if k == "c7" else str(k), base + dt.timedelta(seconds=int(t)), None if t % 97 == 0 else float(t % 1000) / 4)
+            for k, t in zip(keys, seconds, strict=True)]
+    recs += [("hot", None, 2.5), ("hot", None, 1.0), ("hot", base, 1e11), ("hot", base, -1e11)]   # no time, wide squares
+    df = spark.createDataFrame(recs, "customer_id string, timestamp timestamp_ntz, amount double").repartition(6)
+    order = ["customer_id", "timestamp", "amount", "tx_count_24h"]
+
+    def rows(out):
+        return sorted(out.collect(), key=lambda r: str([r[c] for c in order]))
+    whole, cut = rows(windows.range_window_features(df)), rows(windows.range_window_features(df, slice_rows=100))
+    assert whole == cut and len(cut) == len(recs)
+    prefix = rows(windows.range_window_features_prefix(df.where("timestamp is not null")))
+    timed = [r for r in cut if r.timestamp is not None]
+    assert [r[:6] for r in prefix] == [r[:6] for r in timed]
+    assert np.allclose([r.amount_std_7d for r in prefix], [r.amount_std_7d for r in timed], rtol=1e-12)
+    assert {(r.tx_count_24h, r.amount_sum_24h) for r in cut if r.timestamp is None} == {(2.0, 3.5)}
+    marked = df.select(F.col("customer_id").alias("_key"), windows.epoch_micros(F.col("timestamp")).alias("_t"))
+    slices = windows.dense_slices(marked, 100)
+    assert [r["_dense"] for r in slices.select("_dense").collect()] == ["hot"]
+    parts = marked.join(slices, F.col("_key") == F.col("_dense")).groupBy(windows._slice(F.col("_t")).alias("p")).count()
+    sizes = [r["count"] for r in parts.where("p > 0").collect()]
+    assert max(sizes) <= 3 * 100 and len(sizes) >= 15
 
 
 def test_sample_is_deterministic(spark):

@@ -13,12 +13,14 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_window_shuffles_on_customer_and_bucket(spark):
+def test_window_shuffles_on_customer_and_slice(spark):
     rows = [(c, dt.datetime(2023, 1, 1) + dt.timedelta(hours=i), float(i)) for c in range(3) for i in range(20)]
     df = spark.createDataFrame(rows, "customer_id int, timestamp timestamp_ntz, amount double")
-    # an upstream customer-only partitioning must not be reused by the window
+    # an upstream customer-only partitioning must not be reused; no row is added per frame
     p = plan(range_window_features(df.repartition("customer_id")))
-    assert "hashpartitioning(customer_id" in p and "_bucket" in p.split("Window")[1]
+    assert p.count("hashpartitioning(_key") == 1 and "_part" in p.split("hashpartitioning(_key")[1][:40]
+    assert "Generate" not in p and "Window" not in p
+    assert "Generate" in plan(range_window_features(df, slice_rows=5))
 
 
 def test_report_scan_is_pruned_and_filtered(spark, tmp_path):

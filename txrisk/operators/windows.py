@@ -1,22 +1,29 @@
 """Behavioural features: per-customer time-range windows and totals.
 
-Frames are evaluated per (customer, time bucket) instead of per customer, so
-one very active customer is spread over many tasks.  Each row is emitted
-into its own bucket and, with its payload nulled, into the next buckets that
-a 7-day frame can reach (one with the default 7-day bucket), so everything a
-frame needs is inside one partition.  A frame aggregate is the difference of
-two running sums: at the row's time, and at a boundary point that each row
-puts at the beginning of its frame.  Work per partition is one sort and a
-linear pass, whatever the number of rows in a frame.
-
-:func:`range_window_features_prefix` computes the same features for keys
-that are dense even inside one bucket: its running sums go over one
-range-partitioned sort of (key, time).
+A frame aggregate is the difference of two running sums, at the row's time
+and at the beginning of its frame.  Both are looked up in sorted arrays, so a
+partition costs one sort and one linear pass whatever the frames hold, and no
+row is added per frame.
+
+A customer is one group, unless it is dense: then its time is cut in slices of
+about ``SLICE_ROWS`` rows.  A row of a dense customer goes to its own slice and
+as halo, without payload, to the one slice per frame length in which it leaves
+the frames (a slice needs single rows only where its frames begin).  What lies
+between is the carry: rows before the slice less the rows that have left before
+it, two running sums over the slices' totals.
+
+:func:`range_window_features_prefix` computes the same features by running
+sums over one range-partitioned sort of (key, time).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from txrisk.functions.calendar import epoch_micros
@@ -26,59 +33,218 @@ from txrisk.schema import ONLINE_CHANNELS
 
 DAY_US = 86_400_000_000
 WEEK_US = 7 * DAY_US
+FRAMES = {"1": DAY_US, "7": WEEK_US}
+
+#: Rows of a slice of a dense key; at most about ``SLICES`` slices in all (the
+#: broadcast tables of slices and carries hold one row each).
+SLICE_ROWS = 1 << 15
+SLICES = 1 << 16
+#: Dense keys are cut between ticks of this length.
+TICK_US = 60_000_000
+#: Rows that one array step takes at least (whole groups).
+STEP_ROWS = 1 << 16
+
+_LOW = 20  # a squared amount is split in parts of so many bits
+_MEASURES = ("n", "m", "s", "hi", "lo")
+
+
+def dense_slices(rows: DataFrame, slice_rows: int) -> DataFrame | None:
+    """(_dense, starts): keys with more rows than two slices and the times at
+    which their slices begin; None if there are none.  Runs one job."""
+    counts = rows.groupBy("_key").agg(F.count("*").alias("n"))
+    total, most = counts.agg(F.sum("n"), F.max("n")).first()
+    limit = max(slice_rows, (total or 0) // SLICES)
+    if (most or 0) <= 2 * limit:
+        return None
+    dense = counts.where(F.col("n") > 2 * limit).select(F.col("_key").alias("_dense"))
+    tick = F.floor(F.col("_t") / TICK_US) * TICK_US
+    ticks = rows.where(F.col("_t").isNotNull()).join(F.broadcast(dense), F.col("_key").eqNullSafe(F.col("_dense"))) \
+        .groupBy("_dense", tick.alias("tick")).agg(F.count("*").alias("c"))
+    before = Window.partitionBy("_dense").orderBy("tick").rowsBetween(Window.unboundedPreceding, -1)
+    return ticks.withColumn("cut", F.floor(F.coalesce(F.sum("c").over(before), F.lit(0)) / limit)) \
+        .groupBy("_dense", "cut").agg(F.min("tick").alias("start")) \
+        .groupBy("_dense").agg(F.sort_array(F.collect_list("start")).alias("starts"))
+
+
+def _slice(time: Column) -> Column:
+    """Number of the slice that holds a time: from 1 for dense keys, 0 for
+    others, -1 for rows without time (they are peers of each other)."""
+    return F.when(time.isNull(), -1).when(F.col("starts").isNull(), 0).otherwise(F.size(F.filter("starts", lambda x: x <= time)))
+
+
+def _carries(rows: DataFrame) -> DataFrame:
+    """(_dense, _part, <measure><frame>): what a slice's frames hold of the
+    rows before it that neither it nor its halo shows."""
+    square = F.col("_cents").cast("decimal(38,0)") * F.col("_cents").cast("decimal(38,0)")
+    entries = [F.struct(F.lit(f).alias("frame"), F.lit(sign).alias("sign"), _slice(F.col("_t") + shift).alias("part"))
+               for f, us in FRAMES.items() for sign, shift in ((1, 0), (-1, us))]
+    some = rows.where(F.col("starts").isNotNull() & F.col("_t").isNotNull()).select(
+        "_dense", "_cents", square.alias("square"), F.explode(F.array(*entries)).alias("e"))
+    sign = F.col("e.sign")
+    totals = some.groupBy("_dense", F.col("e.part").alias("_part"), F.col("e.frame").alias("frame")).agg(
+        F.sum(sign).alias("n"), F.sum(F.when(F.col("_cents").isNotNull(), sign)).alias("m"), F.sum(sign * F.col("_cents")).alias("s"),
+        F.sum(sign * F.col("square")).alias("ss"))
+    before = Window.partitionBy("_dense", "frame").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    running = totals.select("_dense", "_part", "frame", *[F.coalesce(F.sum(x).over(before), F.lit(0)).alias(x) for x in ("n", "m", "s", "ss")])
+    return running.groupBy("_dense", "_part").agg(*[
+        F.max(F.when(F.col("frame") == f, F.col(x))).alias(f"_c{x}{f}") for f in FRAMES for x in ("n", "m", "s", "ss")])
+
+
+def _running(values: np.ndarray) -> np.ndarray:
+    return np.concatenate([np.zeros(1, values.dtype), np.cumsum(values)])
+
+
+def _squares(amounts: np.ndarray) -> tuple[list[np.ndarray], bool]:
+    """Running sums from which a frame's sum of squares follows exactly."""
+    if len(amounts) and max(abs(int(amounts.min())), abs(int(amounts.max()))) >= 1 << 40:
+        return [_running(np.array([int(x) * int(x) for x in amounts], object))], False
+    low, high = amounts & ((1 << _LOW) - 1), amounts >> _LOW
+    return [_running(high * high), _running(high * low), _running(low * low)], True
+
+
+def _high_low(parts: list[np.ndarray], plain: bool) -> tuple[np.ndarray, np.ndarray]:
+    """A sum of squares as ``high * 2**40 + low``."""
+    if not plain:
+        return np.array([int(x) >> 40 for x in parts[0]], np.int64), np.array([int(x) & ((1 << 40) - 1) for x in parts[0]], np.int64)
+    twice = 2 * parts[1]
+    return parts[0] + (twice >> _LOW), ((twice & ((1 << _LOW) - 1)) << _LOW) + parts[2]
+
+
+def _frames(group: np.ndarray, time: np.ndarray, amount: np.ndarray, there: np.ndarray, kind: np.ndarray,
+            leaves: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Measures of the frames of the rows of kind 0 (rows by group and time)."""
+    span = int(time.max()) - int(time.min()) + WEEK_US + DAY_US
+    at = group * span + (time - time.min())
+    own = kind == 0
+    ends = np.searchsorted(at[own], at[own], "right")
+    starts = np.searchsorted(at[own], group[own] * span, "left")
+    out: dict[str, np.ndarray] = {}
+
+    def sums(rows: np.ndarray, a: np.ndarray, b: np.ndarray) -> list:
+        value = np.where(there[rows], amount[rows], 0)
+        squares, plain = _squares(value)
+        return [b - a, *(r[b] - r[a] for r in (_running(there[rows].astype(np.int64)), _running(value))),
+                [r[b] - r[a] for r in squares], plain]
+
+    now = sums(own, starts, ends)
+    for f, us in FRAMES.items():
+        rows = leaves[f]
+        gone_to = np.searchsorted(at[rows], at[own] - us, "left")
+        gone_from = np.searchsorted(at[rows], group[own] * span, "left")
+        gone = sums(rows, gone_from, gone_to)
+        if now[4] != gone[4]:  # one side needs whole numbers of any size
+            now[3], gone[3] = ([_whole(x)] if plain else x for x, plain in ((now[3], now[4]), (gone[3], gone[4])))
+        both = now[4] and gone[4]
+        high, low = _high_low([x - y for x, y in zip(now[3], gone[3], strict=True)], both)
+        now[4] = both
+        out |= {f"n{f}": now[0] - gone[0], f"m{f}": now[1] - gone[1], f"s{f}": now[2] - gone[2], f"hi{f}": high, f"lo{f}": low}
+    return out
+
+
+def _whole(parts: list[np.ndarray]) -> np.ndarray:
+    high, cross, low = (x.astype(object) for x in parts)
+    return high * (1 << 2 * _LOW) + cross * (1 << _LOW + 1) + low
+
+
+def _groups(table: pa.Table) -> np.ndarray:
+    """Number of each row's (_key, _part) in a sorted table."""
+    key = pc.dictionary_encode(table.column("_key").combine_chunks(), null_encoding="encode").indices.to_numpy()
+    part = table.column("_part").to_numpy()
+    return np.cumsum(np.append(0, (key[1:] != key[:-1]) | (part[1:] != part[:-1]))) if len(key) else np.zeros(0, np.int64)
+
+
+def _measured(table: pa.Table, group: np.ndarray, payload: list[str]) -> Iterator[pa.RecordBatch]:
+    time = table.column("_t")
+    least = pc.min(time).as_py() or 0
+    time = time.fill_null(least).to_numpy()
+    there = table.column("_cents").is_valid().to_numpy()
+    amount = table.column("_cents").fill_null(0).to_numpy()
+    kind = table.column("_kind").to_numpy()
+    leaves = {f: table.column(f"_leaves{f}").to_numpy() for f in FRAMES}
+    at_once = max(1, (1 << 62) // (int(time.max()) - int(time.min()) + WEEK_US + DAY_US))
+    for first in range(0, int(group[-1]) + 1, at_once):
+        a, b = np.searchsorted(group, [first, first + at_once])
+        found = _frames(group[a:b] - first, time[a:b], amount[a:b], there[a:b], kind[a:b], {f: x[a:b] for f, x in leaves.items()})
+        rows = table.slice(a, b - a)
+        if kind[a:b].any():
+            rows = rows.filter(pa.array(kind[a:b] == 0))
+        rows = rows.select([*payload, "_key", "_part"])
+        for name, values in found.items():
+            rows = rows.append_column(name, pa.array(values))
+        yield from rows.combine_chunks().to_batches(max_chunksize=20_000)
+
+
+def _linear_pass(payload: list[str]):
+    """mapInArrow function over rows sorted by (_key, _part, _t)."""
+    def run(batches):
+        waiting, size, target = [], 0, STEP_ROWS
+        for batch in batches:
+            waiting.append(batch)
+            size += len(batch)
+            if size >= target:
+                table = pa.Table.from_batches(waiting)
+                group = _groups(table)
+                edge = int(np.searchsorted(group, group[-1]))  # the last group may go on
+                if edge:
+                    yield from _measured(table.slice(0, edge), group[:edge], payload)
+                waiting, size = table.slice(edge).to_batches(), size - edge
+                target = max(STEP_ROWS, 2 * size)
+        if size:
+            table = pa.Table.from_batches(waiting)
+            yield from _measured(table, _groups(table), payload)
+    return run
 
 
-def range_window_features(df: DataFrame, key: str = "customer_id", ts: str = "timestamp",
-                          amount: str = "amount", bucket_us: int = WEEK_US) -> DataFrame:
+def range_window_features(df: DataFrame, key: str = "customer_id", ts: str = "timestamp", amount: str = "amount",
+                          slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Adds tx_count_24h, amount_sum_24h, amount_mean_7d, amount_std_7d.
 
     Frames are ``RANGE BETWEEN <span> PRECEDING AND CURRENT ROW`` on the
     event time (both ends inclusive, peers of the current row included).
     Counts are of rows; sums, mean and deviation are of the amounts that are
     there (NULL and NaN are not), exact in integer cents.  A NULL key is a
-    key like others.  A finer ``bucket_us`` (e.g. one day) splits an
-    extremely dense key further at the price of more context copies.
+    key like others; rows without time are each other's peers.  A key of any
+    density is cut in slices (see the module's text); finding dense keys
+    takes one job over the key column.
     """
-    copies = -(-WEEK_US // bucket_us)  # buckets a 7-day frame can reach back
     dec = "decimal(38,0)"
-    payload = F.struct(*[F.col(c) for c in df.columns])
-    own = F.floor(F.col("_t") / F.lit(bucket_us))
-    points = [(0, own, F.col("_t")), *[(3, own + i, F.col("_t")) for i in range(1, copies + 1)],
-              (1, own, F.col("_t") - F.lit(DAY_US)), (2, own, F.col("_t") - F.lit(WEEK_US))]
+    payload = [f"_p{i}" for i in range(len(df.columns))]
     base = df.select(F.col(key).alias("_key"), epoch_micros(F.col(ts)).alias("_t"), cents(F.col(amount)).alias("_cents"),
-                     payload.alias("_row"))
-    spread = base.withColumn("_p", F.explode(F.array(*[
-        F.struct(F.lit(kind).alias("kind"), bucket.alias("bucket"), at.alias("q")) for kind, bucket, at in points])))
-    event = F.col("_p.kind").isin(0, 3)
-    value = F.when(event, F.col("_cents"))
-    # Explicit shuffle on (customer, bucket): without it Catalyst may reuse an
-    # upstream customer-only partitioning, which keeps a hot customer in one task.
-    spread = spread.select(
-        "_key", "_t", F.col("_p.kind").alias("_kind"), F.col("_p.bucket").alias("_bucket"), F.col("_p.q").alias("_q"),
-        F.when(event, 1).otherwise(0).alias("_order"), value.alias("_value"),
-        F.when(F.col("_p.kind") == 0, F.col("_row")).alias("_row")).repartition("_key", "_bucket")
-    running = Window.partitionBy("_key", "_bucket").orderBy("_q", "_order").rowsBetween(Window.unboundedPreceding, 0)
-    sums = F.struct(F.sum("_order").over(running).alias("n"), F.count("_value").over(running).alias("m"),
-                    F.coalesce(F.sum("_value").over(running), F.lit(0)).alias("s"),
-                    F.coalesce(F.sum(F.col("_value").cast(dec) * F.col("_value").cast(dec)).over(running).cast(dec),
-                               F.lit(0).cast(dec)).alias("ss"))
-    # rows of one time have the sums of its last row: the one with the most rows before it
-    together = Window.partitionBy("_key", "_bucket", "_t")
-
-    def at(*kinds):
-        return F.max(F.when(F.col("_kind").isin(*kinds), F.col("_sums"))).over(together)
-
-    found = spread.withColumn("_sums", sums).select(
-        "_kind", "_row", at(0, 3).alias("_now"), at(1).alias("_day"), at(2).alias("_week")).where("_kind = 0")
-    n7 = F.col("_now.m") - F.col("_week.m")
-    s7 = F.col("_now.s") - F.col("_week.s")
-    ss7 = (F.col("_now.ss") - F.col("_week.ss")).cast(dec)
-    spread7 = (n7.cast(dec) * ss7 - s7.cast(dec) * s7.cast(dec)).cast("double")
-    has24 = F.col("_now.m") - F.col("_day.m") > 0
+                     *[F.col(c).alias(p) for c, p in zip(df.columns, payload, strict=True)])
+    slices = dense_slices(base.select("_key", "_t"), slice_rows)
+    plain = ["_key", "_t", "_cents"]
+    if slices is None:
+        rows = base.select(*plain, *payload, F.when(F.col("_t").isNull(), -1).otherwise(0).alias("_part"), F.lit(0).alias("_kind"),
+                           *[F.lit(True).alias(f"_leaves{f}") for f in FRAMES])
+    else:
+        marked = base.join(F.broadcast(slices), F.col("_key").eqNullSafe(F.col("_dense")), "left")
+        own = marked.select("*", _slice(F.col("_t")).alias("_part"), *[_slice(F.col("_t") + us).alias(f"_out{f}") for f, us in FRAMES.items()])
+        copies = F.array(F.struct(F.lit(0).alias("kind"), F.col("_part").alias("part")), *[
+            F.when(F.col(f"_out{f}") != F.col("_part"), F.struct(F.lit(int(f)).alias("kind"), F.col(f"_out{f}").alias("part"))) for f in FRAMES])
+        spread = own.withColumn("_e", F.explode(F.filter(copies, lambda x: x.isNotNull())))
+        kind = F.col("_e.kind")
+        rows = spread.select(*plain, *[F.when(kind == 0, F.col(p)).alias(p) for p in payload], F.col("_e.part").alias("_part"),
+                             kind.alias("_kind"), *[((kind == int(f)) | ((kind == 0) & (F.col(f"_out{f}") == F.col("_part")))).alias(f"_leaves{f}")
+                                                    for f in FRAMES])
+    schema = ", ".join(f"{p} {f.dataType.simpleString()}" for p, f in zip(payload, df.schema, strict=True)) \
+        + f", _key {base.schema['_key'].dataType.simpleString()}, _part int, " + ", ".join(f"{x}{f} long" for f in FRAMES for x in _MEASURES)
+    # An explicit shuffle on (key, slice): an upstream partitioning by the key
+    # alone would keep a dense key in one task.
+    found = rows.repartition("_key", "_part").sortWithinPartitions("_key", "_part", "_t").mapInArrow(_linear_pass(payload), schema)
+    measure = {f"{x}{f}": F.col(f"{x}{f}") for f in FRAMES for x in ("n", "m", "s")}
+    measure["ss7"] = (F.col("hi7").cast(dec) * F.lit(1 << 40).cast("decimal(13,0)")).cast(dec) + F.col("lo7")
+    if slices is not None:
+        carry = _carries(base.select(*plain).join(F.broadcast(slices), F.col("_key").eqNullSafe(F.col("_dense"))))
+        found = found.join(F.broadcast(carry.withColumnRenamed("_part", "_of")), F.col("_key").eqNullSafe(F.col("_dense"))
+                           & (F.col("_part") == F.col("_of")), "left")
+        measure = {x: (c + F.coalesce(F.col(f"_c{x}"), F.lit(0))).cast(dec if x == "ss7" else "long") for x, c in measure.items()}
+    found = found.select(*[F.col(p).alias(c) for c, p in zip(df.columns, payload, strict=True)], *[c.alias(f"_{x}") for x, c in measure.items()])
+    n7, s7 = F.col("_m7"), F.col("_s7")
+    spread7 = (n7.cast(dec) * F.col("_ss7").cast(dec) - s7.cast(dec) * s7.cast(dec)).cast("double")
     return found.select(
-        "_row.*",
-        (F.col("_now.n") - F.col("_day.n")).cast("double").alias("tx_count_24h"),
-        F.when(has24, (F.col("_now.s") - F.col("_day.s")) / F.lit(100.0)).alias("amount_sum_24h"),
+        *df.columns,
+        F.col("_n1").cast("double").alias("tx_count_24h"),
+        F.when(F.col("_m1") > 0, F.col("_s1") / F.lit(100.0)).alias("amount_sum_24h"),
         F.when(n7 > 0, s7.cast("double") / n7 / F.lit(100.0)).alias("amount_mean_7d"),
         F.when(n7 > 1, F.sqrt(spread7 / (n7 * (n7 - 1)).cast("double")) / F.lit(100.0)).otherwise(F.lit(0.0))
         .alias("amount_std_7d"),
