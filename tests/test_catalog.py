@@ -46,7 +46,7 @@ def duck():
 def test_every_query_has_oracle_or_is_a_sample():
     qs, sqls = E.queries(), E.oracle_sql()
     assert len(qs) >= 100
-    assert set(qs) - set(sqls) == {"scatter_sample", *(k for k in qs if k == "pipeline" or k.startswith("op"))}
+    assert all(k == "pipeline" or k.startswith("op") for k in set(qs) - set(sqls))
     assert "describe_datetime" in sqls and "window_features_prefix" in sqls
 
 

@@ -243,6 +243,35 @@ def test_exact_quantiles_edges(spark):
     assert not any(k[1] == "y" for k in got)
 
 
+@pytest.mark.parametrize("discrete", [False, True])
+def test_bracketed_quantiles_beyond_a_whole_column(spark, monkeypatch, discrete):
+    """Columns that are larger than their bracket: spread, tied and skewed values."""
+    from txrisk.operators import quantile
+    monkeypatch.setattr(quantile, "WHOLE", 50)
+    rng = np.random.default_rng(5)
+    n = 8000
+    data = {"x": rng.normal(size=n), "y": np.round(rng.exponential(size=n), 1), "z": (rng.random(n) < 0.3) * 1.0,
+            "w": np.where(rng.random(n) < 0.4, 7.0, rng.integers(0, 50, n))}
+    frame = pd.DataFrame(data | {"g": rng.integers(0, 2, n)})
+    df = spark.createDataFrame(frame).repartition(5)
+    probs = [0.0, 0.1, 0.25, 0.5, 0.9, 0.99, 1.0]
+    how = "inverted_cdf" if discrete else "linear"
+    for accuracy in (100, 10_000):
+        got = {(r.column, r.p): r.value for r in quantile.exact_quantiles(df, list(data), probs, discrete=discrete, accuracy=accuracy).collect()}
+        assert got == {(c, p): pytest.approx(np.quantile(v, p, method=how), abs=1e-12) for c, v in data.items() for p in probs}
+    got = {(r.g, r.p): r.value for r in quantile.exact_quantiles(df, ["x"], probs, by=["g"], discrete=discrete, accuracy=200).collect()}
+    assert got == {(g, p): pytest.approx(np.quantile(frame[frame.g == g].x, p, method=how), abs=1e-12) for g in (0, 1) for p in probs}
+
+
+def test_rank_outside_its_bracket_is_an_error(spark, monkeypatch):
+    from txrisk.operators import quantile
+    monkeypatch.setattr(quantile, "WHOLE", 5)
+    monkeypatch.setattr(quantile, "MARGIN", -3000)   # brackets that lie beside the rank
+    df = spark.range(1000).selectExpr("CAST(id AS DOUBLE) AS x")
+    with pytest.raises(Exception, match="bracket"):
+        quantile.exact_quantiles(df, ["x"], [0.5]).collect()
+
+
 def test_prefix_window_matches_bruteforce_dense_key(spark):
     from txrisk.operators.windows import range_window_features_prefix
     rng = np.random.default_rng(9)

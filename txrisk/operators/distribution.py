@@ -10,11 +10,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from txrisk.functions.fixedpoint import nan_to_null
-from txrisk.operators.quantile import exact_quantiles
+from txrisk.operators.quantile import exact_quantiles, with_group_stats
 from txrisk.operators.stats import attach
 from txrisk.schema import LABEL
 
@@ -63,17 +63,6 @@ def _quartiles(df: DataFrame, column: str, by: str, exact: bool) -> DataFrame:
                      (F.col("q3") + F.lit(1.5) * iqr).alias("upper_fence"))
 
 
-def _with_group_stats(rows: DataFrame, stats: DataFrame, by: str) -> DataFrame:
-    """Rows of present groups joined with their group's statistics on (group,
-    salt): a group's rows are dealt over as many tasks as a shuffle has
-    partitions, and the statistics (a row a group) are repeated per salt.
-    The salt is the input partition, which a repeated task does not change."""
-    salts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = rows.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
-    copies = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return dealt.join(copies, [by, "_salt"])
-
-
 def box_stats(df: DataFrame, column: str, by: str = LABEL, exact: bool = True) -> DataFrame:
     """Per group: quartiles (linear), IQR, fences, whiskers (extreme values
     inside the fences), outlier count, min, max, n."""
@@ -81,7 +70,7 @@ def box_stats(df: DataFrame, column: str, by: str = LABEL, exact: bool = True) -
     st = _quartiles(src, column, by, exact)
     x = F.col(column)
     inside = (x >= F.col("lower_fence")) & (x <= F.col("upper_fence"))
-    found = _with_group_stats(src.where(F.col(by).isNotNull() & x.isNotNull()), st, by)
+    found = with_group_stats(src.where(F.col(by).isNotNull() & x.isNotNull()), st, [by])
     parts = found.groupBy(by, "_salt").agg(
         *[F.first(c).alias(c) for c in st.columns if c != by],
         F.min(F.when(inside, x)).alias("whisker_low"), F.max(F.when(inside, x)).alias("whisker_high"),
@@ -98,8 +87,8 @@ def box_outliers(df: DataFrame, column: str, by: str = LABEL, exact: bool = True
     src = df.select(by, nan_to_null(F.col(column).cast("double")).alias(column))
     st = _quartiles(src, column, by, exact)
     x = F.col(column)
-    return (_with_group_stats(src.where(F.col(by).isNotNull() & x.isNotNull()),
-                              st.select(by, "lower_fence", "upper_fence"), by)
+    return (with_group_stats(src.where(F.col(by).isNotNull() & x.isNotNull()),
+                             st.select(by, "lower_fence", "upper_fence"), [by])
             .where((x < F.col("lower_fence")) | (x > F.col("upper_fence")))
             .select(by, column))
 
@@ -120,7 +109,7 @@ def kde(df: DataFrame, column: str, by: str = LABEL, points: int = 64) -> DataFr
     h = F.lit(1.06) * F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2))
     st = st.select(by, "_lo", "_hi", "_n", F.when(h > 0, h).otherwise(F.lit(1.0)).alias("_h"))
     vals = src.groupBy(by, "_x").agg(F.count(F.lit(1)).alias("_c"))
-    joined = _with_group_stats(vals, st, by)
+    joined = with_group_stats(vals, st, [by])
     step = (F.col("_hi") - F.col("_lo")) / F.lit(float(max(points - 1, 1)))
     norm = F.lit(1.0 / math.sqrt(2.0 * math.pi))
     sums = []
@@ -142,17 +131,15 @@ def kde(df: DataFrame, column: str, by: str = LABEL, points: int = 64) -> DataFr
     ).orderBy(by, "point")
 
 
-def sample_rows(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
+def sample_rows(df: DataFrame, n: int, seed: int = 42, key: str | None = None) -> DataFrame:
     """Uniform sample of min(n, rows) rows without replacement, lazily.
 
-    Each row's key is a hash of its content and the seed, so the same rows
-    come out under any partitioning.  Rows are counted per hash prefix (a
-    small group-by); a running sum over the prefixes tells up to which one n
-    rows stand, so the final top-n sees about n rows.
+    The n rows with the smallest MD5 of (seed, ``key``) are taken (default:
+    the transaction id, else the first column), so the same rows come out
+    under any partitioning, and in SQL.  Spark keeps the n smallest of each
+    partition in a heap and merges them; only the key is hashed.  Rows that
+    share a key tie and are taken in the order of their other columns.
     """
-    rows = df.withColumn("_h", F.xxhash64(F.lit(seed), *df.columns)).withColumn("_prefix", F.shiftright("_h", 48))
-    counts = rows.groupBy("_prefix").agg(F.count("*").alias("_c"))
-    before = F.coalesce(F.sum("_c").over(Window.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    last = counts.withColumn("_before", before).where(F.col("_before") < n).agg(F.max("_prefix").alias("_last"))
-    rows, stat = attach(rows, last, "_sampled")
-    return rows.where(F.col("_prefix") <= stat["_last"]).orderBy("_h").limit(n).select(*df.columns)
+    key = key or ("transaction_id" if "transaction_id" in df.columns else df.columns[0])
+    hashed = F.md5(F.concat(F.lit(f"{seed}/"), F.coalesce(F.col(key).cast("string"), F.lit(""))).cast("binary"))
+    return df.withColumn("_h", hashed).orderBy("_h", *[c for c in df.columns if c != key]).limit(n).drop("_h")

@@ -1,7 +1,6 @@
 """Quantile bins with pandas ``qcut`` semantics (E7, E8).
 
-Edges are the linear-interpolated quantiles at 0, 1/q, ..., 1 (one global
-aggregate -> one row, read through one scalar subquery).  Duplicate edges collapse; bins are
+Edges are the linear-interpolated quantiles at 0, 1/q, ..., 1 (one row).  Duplicate edges collapse; bins are
 right-closed with the first one closed on the left, so a value's bin is
 the number of distinct edges strictly below it, minus one (floored at 0).
 The edge count is unrolled into q+1 comparisons so the projection stays
@@ -15,8 +14,14 @@ from pyspark.sql import functions as F
 
 from txrisk.functions.fixedpoint import nan_to_null
 from txrisk.operators.impute import APPROX_ACCURACY
-from txrisk.operators.stats import attach
-from txrisk.session import cut_lineage
+from txrisk.operators.stats import attach, beside
+
+#: Accuracy of the quantile sketch (rank error 1 / SKETCH), ranks around a
+#: probability that its bracket takes (in units of that error), and up to how
+#: many values a column is its own bracket.
+SKETCH = 10_000
+MARGIN = 4
+WHOLE = 10_000
 
 
 def _edges_row(df: DataFrame, specs: list[tuple[str, str]], q: int, exact: bool) -> DataFrame:
@@ -64,82 +69,121 @@ def add_qcuts(df: DataFrame, specs: list[tuple[str, str, int]], q: int = 10, exa
 
     ``specs``: (source column, output column, label base).
     """
-    src, edges = attach(df, _edges_row(df, [(column, f"_e_{out}_") for column, out, _ in specs], q, exact), "_edges")
+    row = _edges_row(df, [(column, f"_e_{out}_") for column, out, _ in specs], q, exact)
+    if exact:
+        src, edges = beside(df, row, "_edges"), {c: F.col(f"_edges.{c}") for c in row.columns}
+    else:
+        src, edges = attach(df, row, "_edges")
     return src.select(*df.columns, *[qcut_bin(F.col(column), q, f"_e_{out}_", base, edges).alias(out)
                                      for column, out, base in specs])
 
 
+def with_group_stats(rows: DataFrame, stats: DataFrame, by: list[str]) -> DataFrame:
+    """Rows of present groups joined with their group's statistics on (group,
+    salt): a group's rows are dealt over as many tasks as a shuffle has
+    partitions, and the statistics (a row a group) are repeated per salt.
+    The salt is the input partition, which a repeated task does not change."""
+    salts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+    copies = stats.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return dealt.join(copies, [*by, "_salt"])
+
+
+def _bracketed(src: DataFrame, values: list[str], probs: list[float], by: list[str], accuracy: int) -> DataFrame:
+    """The rows with ``_b.<value>``: the number ``n`` of values and ``cells``,
+    per probability two values of the column between which its rank lies."""
+    margin = MARGIN / accuracy
+    sides = sorted({x for p in probs for x in (max(p - margin, 0.0), min(p + margin, 1.0))})
+    at = {x: i for i, x in enumerate(sides)}
+    fields = {}
+    for v in values:
+        q = F.percentile_approx(v, F.array(*[F.lit(x) for x in sides]), accuracy)
+        fields[v] = F.struct(F.count(v).alias("n"), F.min(v).alias("least"), F.max(v).alias("most"), q.alias("q"))
+    sketch = src.groupBy(*by).agg(*[f.alias(v) for v, f in fields.items()])
+
+    def side(v: str, x: float, whole: str) -> Column:
+        s = F.col(v)
+        return F.when(s["n"] <= WHOLE, s[whole]).otherwise(s["q"][at[x]])
+
+    bounds = [F.struct(F.col(v)["n"].alias("n"), F.array(*[
+        F.struct(F.lit(j).alias("j"), side(v, max(p - margin, 0.0), "least").alias("lo"), side(v, min(p + margin, 1.0), "most").alias("hi"))
+        for j, p in enumerate(probs)]).alias("cells")).alias(v) for v in values]
+    if by:
+        return with_group_stats(src, sketch.select(*by, F.struct(*bounds).alias("_b")), by)
+    return beside(src, sketch.select(*bounds), "_b")
+
+
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float], by: list[str] | None = None,
-                    partitions: int | None = None, discrete: bool = False) -> DataFrame:
-    """Exact linear-interpolated quantiles, distributed (long form).
-
-    Output: (*by, column, p, value).  No task ever holds a whole column:
-
-    1. values -> (group, column, value, count): a group-by with map-side
-       combine, so a value repeated by a third of all rows is one row;
-    2. the distinct values are range-partitioned on (group, column, value)
-       and checkpointed (the partition ids must be the same for both uses);
-       each partition's total (a few rows per partition) gives the offset of
-       the partition through a small window, and a running sum inside each
-       range partition gives the global rank span of every value;
-    3. the offsets tell which range partition holds a rank position
-       p*(n-1); partitions and positions are joined on (partition, group,
-       column), so the rows of a column stay spread, and interpolated as
-       ``lo + (hi - lo) * frac``.
+                    discrete: bool = False, accuracy: int = SKETCH) -> DataFrame:
+    """Exact linear-interpolated quantiles, distributed (long form), by
+    sketch-bracketed selection.
+
+    Output: (*by, column, p, value).
+
+    1. A mergeable quantile sketch of each column (one aggregate, no row is
+       copied) gives per probability two values of the column that enclose
+       the rank; up to ``WHOLE`` values, they are the extremes.
+    2. One more aggregate counts the values up to each of the two.
+    3. Only values strictly between the two, about ``2 * MARGIN / accuracy``
+       of a column and none that a tie makes frequent, are counted per value
+       and summed up in order; the ranks ``p * (n - 1)`` are read off and
+       interpolated as ``lo + (hi - lo) * frac``.
+
+    Lazy; nothing is stored.  The sketch only brackets: a rank outside its
+    bracket (which its error bound excludes) is an error, never a wrong value.
 
     ``discrete=True`` returns an element instead (``percentile_disc``: the
     value at 0-based rank ceil(p * n) - 1).
     """
     by = list(by or [])
-    keys = [*by, "column"]
-    spark = df.sparkSession
-    nparts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    items = [F.struct(F.lit(c).alias("column"), nan_to_null(F.col(c).cast("double")).alias("v")) for c in columns]
-    src = df
+    keys = [*by, "column", "j"]
+    values = [f"_v{i}" for i in range(len(columns))]
+    src = df.select(*by, *[nan_to_null(F.col(c).cast("double")).alias(v) for c, v in zip(columns, values, strict=True)])
     for b in by:
         src = src.where(F.col(b).isNotNull())
-    long = (src.select(*by, F.explode(F.array(*items)).alias("_kv"))
-            .select(*by, "_kv.column", "_kv.v").where(F.col("v").isNotNull()))
-    counts = long.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("_c"))
-    ranged = counts.repartitionByRange(nparts, *keys, "v").withColumn("_pid", F.spark_partition_id())
-    # The range bounds come from sampling that may differ between two
-    # evaluations, so the partition ids are frozen before both uses below.
-    ranged = cut_lineage(ranged)
-    run = Window.partitionBy("_pid", *keys).orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    totals = ranged.groupBy("_pid", *keys).agg(F.sum("_c").alias("_ps"))
-    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_pid", *keys, "_ps", F.coalesce(F.sum("_ps").over(before), F.lit(0)).alias("_off"),
-                            F.sum("_ps").over(Window.partitionBy(*keys)).alias("_n"))
-    asked = offsets.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+    rows = _bracketed(src, values, probs, by, accuracy)
+
+    def bound(v: str, j: int, name: str) -> Column:
+        return F.col("_b")[v]["cells"][j][name]
+
+    cells = [(c, v, j, p) for c, v in zip(columns, values, strict=True) for j, p in enumerate(probs)]
+    counted = rows.groupBy(*by).agg(F.first("_b").alias("_b"), *[
+        F.count(F.when(test, 1)).alias(f"{name}{v}_{j}") for _, v, j, _ in cells
+        for name, test in (("lt", F.col(v) < bound(v, j, "lo")), ("le", F.col(v) <= bound(v, j, "lo")),
+                           ("in", F.col(v) <= bound(v, j, "hi")))])
+    long = counted.select(*by, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.lit(j).alias("j"), F.lit(float(p)).alias("p"), F.col("_b")[v]["n"].alias("n"),
+                 bound(v, j, "lo").alias("lo"), bound(v, j, "hi").alias("hi"),
+                 *[F.col(f"{name}{v}_{j}").alias(name) for name in ("lt", "le", "in")]) for c, v, j, p in cells])).alias("_e")) \
+        .select(*by, "_e.*").where(F.col("n") > 0)
     if discrete:
-        k = F.greatest(F.ceil(F.col("p") * F.col("_n").cast("double")) - 1, F.lit(0))
-        ranks = {"_klo": k, "_khi": k, "_frac": F.lit(0.0)}
+        k = F.greatest(F.ceil(F.col("p") * F.col("n").cast("double")) - 1, F.lit(0))
+        first, second, part = k, k, F.lit(0.0)
     else:
-        pos = (F.col("_n") - 1).cast("double") * F.col("p")
-        ranks = {"_klo": F.floor(pos), "_khi": F.ceil(pos), "_frac": pos - F.floor(pos)}
-
-    def between(k: str, first: Column, end: Column) -> Column:
-        return (first <= F.col(k)) & (F.col(k) < end)
-
-    # only the one or two partitions that hold a rank are looked through
-    asked = asked.withColumns(ranks)
-    first, end = F.col("_off"), F.col("_off") + F.col("_ps")
-    asked = (asked.where(between("_klo", first, end) | between("_khi", first, end))
-             .groupBy("_pid", *keys, "_off")
-             .agg(F.collect_list(F.struct("p", "_klo", "_khi", "_frac")).alias("_asked")))
-    local = ranged.select(*keys, "v", "_c", "_pid", F.sum("_c").over(run).alias("_local"))
-    hits = (local.join(asked, ["_pid", *keys])
-            .select(*keys, "v", (F.col("_off") + F.col("_local") - F.col("_c")).alias("_first"),
-                    (F.col("_off") + F.col("_local")).alias("_end"), "_asked"))
-
-    def covers(k: str) -> Column:
-        return between(k, F.col("_first"), F.col("_end"))
-
-    hits = hits.withColumn("_asked", F.filter("_asked", lambda x: (
-        ((F.col("_first") <= x["_klo"]) & (x["_klo"] < F.col("_end")))
-        | ((F.col("_first") <= x["_khi"]) & (x["_khi"] < F.col("_end"))))))
-    hits = (hits.where(F.size("_asked") > 0).withColumn("_asked", F.explode("_asked"))
-            .select(*keys, "v", "_first", "_end", "_asked.*"))
-    agg = hits.groupBy(*keys, "p", "_frac").agg(F.max(F.when(covers("_klo"), F.col("v"))).alias("_lo"),
-                                                F.max(F.when(covers("_khi"), F.col("v"))).alias("_hi"))
-    return agg.select(*keys, "p", (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_frac")).alias("value"))
+        pos = (F.col("n") - 1).cast("double") * F.col("p")
+        first, second, part = F.floor(pos), F.ceil(pos), pos - F.floor(pos)
+    long = long.withColumns({"k0": first, "k1": second, "part": part})
+
+    def strictly(c: str, v: str) -> Column:
+        cells = F.filter(F.col("_b")[v]["cells"], lambda x: (x["lo"] < F.col(v)) & (F.col(v) < x["hi"]))
+        return F.transform(cells, lambda x: F.struct(F.lit(c).alias("column"), x["j"].alias("j"), F.col(v).alias("v")))
+
+    inside = rows.select(*by, F.explode(F.concat(*[strictly(c, v) for c, v in zip(columns, values, strict=True)])).alias("_e")) \
+        .groupBy(*by, F.col("_e.column").alias("column"), F.col("_e.j").alias("j"), F.col("_e.v").alias("v")).agg(F.count("*").alias("c"))
+    upto = F.sum("c").over(Window.partitionBy(*keys).orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = inside.withColumn("upto", upto).join(long.select(*keys, "le", "k0", "k1"), keys)
+
+    def here(k: str) -> Column:
+        return F.max(F.when((F.col("le") + F.col("upto") - F.col("c") <= F.col(k)) & (F.col(k) < F.col("le") + F.col("upto")), F.col("v")))
+
+    found = ranked.groupBy(*keys).agg(F.max("upto").alias("between"), here("k0").alias("v0"), here("k1").alias("v1"))
+    joined = long.join(found, keys, "left")
+
+    def element(k: str, v: str) -> Column:
+        missed = (F.col(k) < F.col("lt")) | (F.col(k) >= F.col("in"))
+        return F.when(missed, F.raise_error(F.lit("a rank lies outside its quantile bracket")).cast("double")) \
+            .when(F.col(k) < F.col("le"), F.col("lo")) \
+            .when(F.col(k) >= F.col("le") + F.coalesce("between", F.lit(0)), F.col("hi")).otherwise(F.col(v))
+
+    low, high = element("k0", "v0"), element("k1", "v1")
+    return joined.select(*by, "column", "p", (low + (high - low) * F.col("part")).alias("value"))

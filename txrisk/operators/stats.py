@@ -18,3 +18,15 @@ def attach(df: DataFrame, one_row: DataFrame, name: str = "_stats") -> tuple[Dat
     values, and a map from each statistic to its field Column."""
     packed = one_row.select(F.struct(*one_row.columns).alias(name)).scalar()
     return df.withColumn(name, packed), {c: F.col(f"{name}.{c}") for c in one_row.columns}
+
+
+def beside(df: DataFrame, one_row: DataFrame, name: str = "_stats") -> DataFrame:
+    """``df`` plus the struct column ``name`` of a one-row frame whose own plan
+    is large: an equi-join of the input partition with one copy per salt, a
+    broadcast of as many rows as a shuffle has partitions.  (A subquery would
+    be planned once per field that a filter reads.)"""
+    salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    copies = one_row.select(F.struct(*one_row.columns).alias(name)) \
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    dealt = df.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+    return dealt.join(F.broadcast(copies), "_salt").drop("_salt")
