@@ -256,7 +256,9 @@ def test_bracketed_quantiles_beyond_a_whole_column(spark, monkeypatch, discrete)
     df = spark.createDataFrame(frame).repartition(5)
     probs = [0.0, 0.1, 0.25, 0.5, 0.9, 0.99, 1.0]
     how = "inverted_cdf" if discrete else "linear"
-    for accuracy in (100, 10_000):
+    for accuracy, buffer, step in ((100, 8192, 16), (10_000, 700, 16), (10_000, 100, 50), (1000, 8192, 1)):
+        monkeypatch.setattr(quantile, "BUFFER_ROWS", buffer)
+        monkeypatch.setattr(quantile, "STEP", step)
         got = {(r.column, r.p): r.value for r in quantile.exact_quantiles(df, list(data), probs, discrete=discrete, accuracy=accuracy).collect()}
         assert got == {(c, p): pytest.approx(np.quantile(v, p, method=how), abs=1e-12) for c, v in data.items() for p in probs}
     got = {(r.g, r.p): r.value for r in quantile.exact_quantiles(df, ["x"], probs, by=["g"], discrete=discrete, accuracy=200).collect()}
@@ -266,7 +268,9 @@ def test_bracketed_quantiles_beyond_a_whole_column(spark, monkeypatch, discrete)
 def test_rank_outside_its_bracket_is_an_error(spark, monkeypatch):
     from txrisk.operators import quantile
     monkeypatch.setattr(quantile, "WHOLE", 5)
-    monkeypatch.setattr(quantile, "MARGIN", -3000)   # brackets that lie beside the rank
+    monkeypatch.setattr(quantile, "MARGINS", (0.3,))
+    monkeypatch.setattr(quantile, "_summaries", lambda *_: {0: {   # brackets that lie beside the rank
+        "n": 1000, "least": 0.0, "most": 999.0, "buffers": 0, "at": {0.2: 700.0, 0.8: 900.0}}})
     df = spark.range(1000).selectExpr("CAST(id AS DOUBLE) AS x")
     with pytest.raises(Exception, match="bracket"):
         quantile.exact_quantiles(df, ["x"], [0.5]).collect()

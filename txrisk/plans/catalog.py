@@ -803,8 +803,9 @@ FROM (
       ("kv", f"SELECT {LABEL}, _x, COUNT(*) AS _c FROM kx GROUP BY ALL")])
 register("kde_velocity_by_label", kde_q, _KDE_SQL)
 
-register("scatter_sample", lambda s, sf: distribution.sample_rows(av(s, sf, "line"), SCATTER_SAMPLE_CAP, 42), O.with_layers(
-    "av", "line", f"SELECT * FROM av ORDER BY md5('42/' || coalesce(transaction_id, '')) LIMIT {SCATTER_SAMPLE_CAP}"))
+register("scatter_sample", lambda s, sf: layers.analysis_view(distribution.sample_rows(gold(s, sf, "line"), SCATTER_SAMPLE_CAP, 42)),
+         O.with_layers("av", "line", "SELECT * FROM av").replace(
+             "\nFROM gold", f"\nFROM (SELECT * FROM gold ORDER BY md5('42/' || coalesce(transaction_id, '')) LIMIT {SCATTER_SAMPLE_CAP})"))
 _PAIR_COLS = [*PAIRPLOT_FEATURES, LABEL]
 register("pairplot_points", lambda s, sf: av(s, sf, "line").select(*_PAIR_COLS),
          O.with_layers("av", "line", f"SELECT {_sel(_PAIR_COLS)} FROM av"))
