@@ -26,6 +26,7 @@ import base64
 import hashlib
 import json
 import struct
+import time
 import uuid
 import zlib
 from dataclasses import dataclass
@@ -42,7 +43,8 @@ from txrisk.llm.common import shared_folder
 
 SCHEMA = ("record_type string, record_id string, target_uri string, refers_to string, payload_digest string, "
           "payload_bytes long, payload binary")
-MANIFEST = "_records.json"
+MANIFEST = "_records"
+OVERWRITE = "-overwrite"
 HEAD_BYTES = 4096
 # FIXED VALUES: names of the header lines in a WARC 1.1 record.
 HEADERS = {"record_type": "WARC-Type", "record_id": "WARC-Record-ID", "target_uri": "WARC-Target-URI",
@@ -96,20 +98,48 @@ class Written(WriterCommitMessage):
     files: list
 
 
+def _write(system, name: str, raw: bytes) -> None:
+    with system.open_output_stream(name, compression=None) as out:
+        out.write(raw)
+
+
+def manifests(system, folder: str) -> list[str]:
+    """Manifests of the committed jobs that count: those since the last
+    overwrite (names sort by time of commit; an overwrite's says so)."""
+    found = sorted(i.path for i in system.get_file_info(fs.FileSelector(folder, allow_not_found=True))
+                   if i.base_name.startswith(MANIFEST))
+    last = max((k for k, name in enumerate(found) if name.endswith(OVERWRITE)), default=0)
+    return found[last:]
+
+
+def committed(system, folder: str) -> list[list]:
+    """[name, bytes] of every archive of the committed jobs."""
+    out = []
+    for name in manifests(system, folder):
+        with system.open_input_stream(name, compression=None) as file:
+            out += json.loads(file.read())
+    return out
+
+
 class Writer(DataSourceArrowWriter):
-    def __init__(self, options) -> None:
-        self.path, self.roll = options["path"], int(options.get("roll_bytes", 128 << 20))
+    """Archives of one job; its manifest, written at commit, makes them count.
+    ``append`` adds a manifest; ``overwrite`` adds one that hides the earlier
+    ones and then deletes what they named."""
+
+    def __init__(self, options, overwrite: bool = False) -> None:
+        self.path, self.roll, self.overwrite = options["path"], int(options.get("roll_bytes", 128 << 20)), overwrite
 
     def write(self, iterator) -> Written:
         system, folder = open_folder(self.path)
         system.create_dir(folder, recursive=True)
         files, out, size = [], None, 0
         for batch in iterator:
-            for row in batch.to_pylist():
+            columns = {name: batch.column(name) for name in batch.schema.names}
+            for i in range(batch.num_rows):
                 if out is None:
                     files.append([f"part-{uuid.uuid4().hex}.warc.gz", 0])
                     out, size = system.open_output_stream(f"{folder}/{files[-1][0]}", compression=None), 0
-                size += out.write(member(record_bytes(row)))
+                size += out.write(member(record_bytes({name: c[i].as_py() for name, c in columns.items()})))
                 files[-1][1] = size
                 if size >= self.roll:
                     out.close()
@@ -121,8 +151,12 @@ class Writer(DataSourceArrowWriter):
     def commit(self, messages) -> None:
         system, folder = open_folder(self.path)
         system.create_dir(folder, recursive=True)
-        with system.open_output_stream(f"{folder}/{MANIFEST}") as out:
-            out.write(json.dumps([f for m in messages if m for f in m.files]).encode())
+        before = (manifests(system, folder), committed(system, folder)) if self.overwrite else ([], [])
+        files = [f for m in messages if m for f in m.files]
+        name = f"{folder}/{MANIFEST}-{time.time_ns():020d}-{uuid.uuid4().hex}{OVERWRITE if self.overwrite else ''}"
+        _write(system, name, json.dumps(files).encode())
+        for old in [*before[0], *(f"{folder}/{f[0]}" for f in before[1])]:
+            system.delete_file(old)
 
     def abort(self, messages) -> None:
         """Nothing to undo: files outside a manifest are never read."""
@@ -151,9 +185,8 @@ class Reader(DataSourceReader):
 
     def partitions(self) -> list:
         system, folder = open_folder(self.path)
-        if system.get_file_info(f"{folder}/{MANIFEST}").type == fs.FileType.File:
-            with system.open_input_stream(f"{folder}/{MANIFEST}") as source:
-                files = json.loads(source.read())
+        if manifests(system, folder):
+            files = committed(system, folder)
         else:
             found = system.get_file_info(fs.FileSelector(folder, recursive=True, allow_not_found=True))
             files = [[f.path[len(folder.rstrip("/")) + 1:], f.size] for f in found if f.path.endswith((".warc.gz", ".warc"))]
@@ -298,7 +331,7 @@ class WarcDataSource(DataSource):
         return Reader(self.options)
 
     def writer(self, schema, overwrite) -> Writer:
-        return Writer(self.options)
+        return Writer(self.options, overwrite)
 
 
 def register(spark: SparkSession) -> None:
