@@ -803,7 +803,7 @@ FROM (
       ("kv", f"SELECT {LABEL}, _x, COUNT(*) AS _c FROM kx GROUP BY ALL")])
 register("kde_velocity_by_label", kde_q, _KDE_SQL)
 
-register("scatter_sample", lambda s, sf: layers.analysis_view(distribution.sample_rows(gold(s, sf, "line"), SCATTER_SAMPLE_CAP, 42)),
+register("scatter_sample", lambda s, sf: layers.analysis_view(distribution.sample_rows(gold(s, sf, "line"), SCATTER_SAMPLE_CAP, 42)).drop("gold_processed_timestamp"),
          O.with_layers("av", "line", "SELECT * FROM av").replace(
              "\nFROM gold", f"\nFROM (SELECT * FROM gold ORDER BY md5('42/' || coalesce(transaction_id, '')) LIMIT {SCATTER_SAMPLE_CAP})"))
 _PAIR_COLS = [*PAIRPLOT_FEATURES, LABEL]
