@@ -134,12 +134,11 @@ class Writer(DataSourceArrowWriter):
         system.create_dir(folder, recursive=True)
         files, out, size = [], None, 0
         for batch in iterator:
-            columns = {name: batch.column(name) for name in batch.schema.names}
-            for i in range(batch.num_rows):
+            for row in zip(*(column.to_pylist() for column in batch.columns), strict=True):
                 if out is None:
                     files.append([f"part-{uuid.uuid4().hex}.warc.gz", 0])
                     out, size = system.open_output_stream(f"{folder}/{files[-1][0]}", compression=None), 0
-                size += out.write(member(record_bytes({name: c[i].as_py() for name, c in columns.items()})))
+                size += out.write(member(record_bytes(dict(zip(batch.schema.names, row, strict=True)))))
                 files[-1][1] = size
                 if size >= self.roll:
                     out.close()
