@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from txrisk.llm import (
-    alignment, debruijn, decontaminate, licenses, neighbours, ngram_join, packing, prefix_trie, quality_rules, secrets,
-    suffix_dedup, topk, warc,
+    alignment, debruijn, decontaminate, licenses, neighbours, ngram_join, oracles, packing, prefix_trie, quality_rules,
+    secrets, suffix_dedup, topk, warc,
 )
 from txrisk.llm.common import prepare, table
 
@@ -86,4 +86,6 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL of the queries that SQL can express."""
-    return {"op12_exact_topk": topk.SQL, "op13_prefix_trie": prefix_trie.SQL}
+    return {"op1_license_scan": oracles.license_sql(), "op3_warc": oracles.WARC, "op5_quality_rules": oracles.QUALITY,
+            "op6_suffix_dedup": oracles.BYTES, "op9_substring_dedup": oracles.SUBSTRINGS,
+            "op12_exact_topk": topk.SQL, "op13_prefix_trie": prefix_trie.SQL}
