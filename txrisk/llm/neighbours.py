@@ -11,11 +11,15 @@ labelled documents of its class a picked one stands for.
 Every document is then compared with every labelled vector, in blocks: one
 matrix product of cosines, the ``NEIGHBOURS`` nearest, and a vote weighted
 by a power of the similarity.  The documents are mapped, never shuffled.
-
-Null and empty texts have the zero vector; their score is the share of the
-class among equally empty labelled texts, or the overall share.  Without any
-labels every score is 0.5.  Rows that repeat are scored alike.  Labels, lang,
-source and doc_id are no inputs of a score.
+Cosines are rounded to ``DIGITS`` places, and every vector as near as the last
+of the nearest votes too, so ties need no order and a score does not depend on
+the batch that a document comes in.
+
+Null and empty texts have no features; their score is the share of good ones
+among the labelled texts without features, or the overall share where there
+are none.  Without any labels every score is 0.5.  Rows that repeat are scored
+alike; of labelled rows that share a doc_id the smallest text is learned from.
+Labels, lang, source and doc_id are no inputs of a score.
 """
 
 from __future__ import annotations
@@ -36,6 +40,7 @@ NEIGHBOURS = 25
 SHARPNESS = 8
 CUT = 0.7
 BLOCK = 512
+DIGITS = 5
 #: Shape features appended to the hashed pairs.
 SHAPES = 8
 _PAIR = (np.random.default_rng(3).permutation(1 << 16) % FEATURES).astype(np.int64)
@@ -80,6 +85,7 @@ class Model:
     labels: np.ndarray
     mass: np.ndarray        # labelled documents that a vector stands for
     prior: float
+    empty: float            # score of a text without features
 
     def project(self, x: np.ndarray) -> np.ndarray:
         y = (x * self.weight) @ self.topics
@@ -91,12 +97,17 @@ class Model:
             return out
         k = min(NEIGHBOURS, len(self.labels))
         for a in range(0, len(x), BLOCK):
-            cosine = self.project(x[a: a + BLOCK]) @ self.vectors.T
-            near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
-            vote = np.maximum(np.take_along_axis(cosine, near, 1), 0) ** SHARPNESS * self.mass[near]
-            total = vote.sum(axis=1)
-            good = (vote * self.labels[near]).sum(axis=1)
-            out[a: a + BLOCK] = np.where(total > 1e-9, (good + 1e-3 * self.prior) / (total + 1e-3), self.prior)
+            block = np.zeros((BLOCK, x.shape[1]), np.float32)
+            n = len(x[a: a + BLOCK])
+            block[:n] = x[a: a + BLOCK]
+            cosine = np.round(self.project(block) @ self.vectors.T, DIGITS)[:n]
+            last = np.partition(cosine, len(self.labels) - k, axis=1)[:, len(self.labels) - k]
+            row, near = np.nonzero(cosine >= np.maximum(last, 10.0 ** -DIGITS)[:, None])
+            vote = cosine[row, near].astype(np.float64) ** SHARPNESS * self.mass[near]
+            total = np.bincount(row, vote, n)
+            good = np.bincount(row, vote * self.labels[near], n)
+            out[a: a + n] = np.where(total > 1e-9, (good + 1e-3 * self.prior) / (total + 1e-3), self.prior)
+        out[~x.any(axis=1)] = self.empty
         return np.clip(out, 0, 1)
 
 
@@ -110,12 +121,14 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: i
     if not total:
         none = np.zeros((0, TOPICS), np.float32)
         width = FEATURES + SHAPES
-        return Model(np.ones(width, np.float32), np.zeros((width, TOPICS), np.float32), none, np.zeros(0), np.zeros(0), 0.5)
+        return Model(np.ones(width, np.float32), np.zeros((width, TOPICS), np.float32), none, np.zeros(0), np.zeros(0), 0.5, 0.5)
     picked = None
     for value in sorted(counts):
         some = known.where(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         picked = some if picked is None else picked.union(some)
-    texts = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("label", "text")
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")) \
+        .join(F.broadcast(picked.select("doc_id").distinct()), "doc_id", "left_semi") \
+        .groupBy("doc_id").agg(F.min("text").alias("text")).join(F.broadcast(picked), "doc_id").select("label", "text")
 
     def vectors(batches):
         for batch in batches:
@@ -125,11 +138,14 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: i
     rows.sort(key=lambda r: (r["label"], bytes(r["x"])))
     x = np.frombuffer(b"".join(r["x"] for r in rows), np.float32).reshape(len(rows), FEATURES + SHAPES)
     y = np.array([r["label"] for r in rows])
+    mass = np.array([counts[v] / max((y == v).sum(), 1) for v in y])
+    prior, blank = counts.get(1, 0) / total, ~x.any(axis=1)
+    empty = float((mass * y)[blank].sum() / mass[blank].sum()) if blank.any() else prior
     weight = (np.log((1 + len(x)) / (1 + (x > 0).sum(axis=0))) + 1).astype(np.float32)
     weighted = x * weight
     values, topics = np.linalg.eigh((weighted.T @ weighted).astype(np.float64))
     model = Model(weight, topics[:, ::-1][:, :TOPICS].astype(np.float32), None, y,
-                  np.array([counts[v] / max((y == v).sum(), 1) for v in y]), counts.get(1, 0) / total)
+                  mass, prior, empty)
     model.vectors = model.project(x).astype(np.float32)
     return model
 
