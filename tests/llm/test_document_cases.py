@@ -1,10 +1,12 @@
 """Cases in which an operator once did less than its whole job."""
 
+import hashlib
 import random
 
 import numpy as np
 
-from txrisk.llm import decontaminate, licenses, packing, secrets
+from txrisk.llm import decontaminate, licenses, neighbours, packing, secrets
+from txrisk.llm.common import prepare
 
 
 def test_white_space_before_a_word_keeps_the_tokenizers_ids():
@@ -69,3 +71,47 @@ def test_ordinary_secrets_reach_the_forest(spark):
     got = {i: {r.value: r.is_secret for r in judged if r.doc_id == i} for i in range(len(rows))}
     assert [(t, got[i]) for i, (t, v) in enumerate(rows) if v not in got[i]] == []
     assert [(t, got[i]) for i, (t, v) in enumerate(rows) if got[i][v] != (i < len(texts))] == []
+
+
+def test_redact_by_place(spark):
+    """Secrets go at their places; control characters, substrings and repeated rows stay whole."""
+    prepare(spark)
+    key = hashlib.sha1(b"place").hexdigest()
+    long_token = "q" * 499 + "7" + hashlib.sha256(b"x").hexdigest()
+    texts = ['password="Zx9!\x01qL#42" end \x02\x03', f'token = "{key}" but {key}x is no key and \x03\x04 stays', None, "", "\x01\x02\x03",
+             f'api_key="{key}"', f'api_key="{key}"', f"see {long_token} here", "passwd: Tr0ub4dor&3x and Tr0ub4dor&3xyz"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    forest = secrets.train(secrets.labelled_findings(spark))
+    found = {}
+    for r in secrets.scan(df, forest).collect():
+        found.setdefault(r.doc_id, []).append((r.finding, r.value, r.is_secret))
+    got = {r.doc_id: r.text for r in secrets.redact(df, forest).collect()}
+    for i, text in enumerate(texts):
+        want, at = "", 0
+        for _, value, secret in sorted(found.get(i, [])):
+            place = text.index(value, at)
+            want += text[at:place] + (secrets.MARK if secret else value)
+            at = place + len(value)
+        assert got[i] == (want + text[at:] if text is not None else None)
+    assert got[0] == 'password="[SECRET]" end \x02\x03'
+    assert got[5] == got[6] == 'api_key="[SECRET]"'
+    assert got[8] == "passwd: [SECRET] and Tr0ub4dor&3xyz"
+    assert [v for _, v, _ in found[7]] == [long_token]
+
+
+def test_votes_of_empties_and_ties(spark):
+    """Empty texts vote among empties; equal cosines vote together; batches do not matter."""
+    prepare(spark)
+    texts = ["", None, "", " ", *["good words of a river and a stone"] * 40, *["### $$$ %%%"] * 40]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(3 < i < 44)) for i in range(len(texts))], "doc_id long, quality int")
+    model = neighbours.fit(docs, labels)
+    got = {r.doc_id: r.score for r in neighbours.score(docs, model).collect()}
+    assert got[0] == got[1] == got[2] == 0.0
+    assert len({got[i] for i in range(4, 44)}) == 1 and got[4] > 0.9 and got[60] < 0.1
+    alone = {r.doc_id: r.score for i in (5, 70) for r in neighbours.score(docs.where(f"doc_id = {i}"), model).collect()}
+    assert alone == {i: got[i] for i in alone}
+    mixed = neighbours.fit(docs, spark.createDataFrame([(0, 1), (1, 0), (2, 0), (9, 1)], "doc_id long, quality int"))
+    assert abs(mixed.scores(np.zeros((1, neighbours.FEATURES + neighbours.SHAPES), np.float32))[0] - 1 / 3) < 1e-9
+    twice = docs.union(docs).union(docs.selectExpr("doc_id", "concat(text, ' z') as text"))
+    assert len(neighbours.fit(twice, labels).labels) == len(texts)

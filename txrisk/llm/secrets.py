@@ -20,12 +20,20 @@ look-alikes such as commit ids, checksums, UUIDs, card numbers, paths and
 placeholders.  ``train`` takes any frame of the same columns instead.
 
 Null and empty texts have no findings.  Repeated rows give repeated findings.
-Control characters 1 and 2 count as blanks.  An empty table gives an empty
-result.  ``redact`` keeps all rows and columns of its input.
+Control characters are characters like any other.  An empty table gives an
+empty result.  ``redact`` keeps all rows and columns of its input and replaces
+secrets at their places only.
+
+A name's distance to its value is bounded, since it is looked for backwards:
+at most ``NAME_TAIL`` characters of the name follow the credential word and at
+most ``BLANKS`` blanks stand on a side of the sign.  Candidates themselves are
+of any length.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -40,34 +48,39 @@ LABELLED_PER_KIND = 80
 CUT = 0.5
 BEFORE, AFTER = 60, 30
 MARK = "[SECRET]"
+NAME_TAIL, BLANKS = 24, 20
+#: Labelled findings that one task of the training holds.
+LABELLED_A_TASK = 50_000
 
 # FIXED VALUES: shapes of candidates.
-PEM = (r"-----BEGIN [A-Z0-9 ]{0,30}PRIVATE KEY(?: BLOCK)?-----(?:[^\-]|-(?!----)){20,}+"
-       r"-----END [A-Z0-9 ]{0,30}PRIVATE KEY(?: BLOCK)?-----")
+PEM = (r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----(?:[^\-]|-(?!----)){20,}+"
+       r"-----END [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----")
 KNOWN = (r"(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{30,}|github_pat_[A-Za-z0-9_]{22,}|glpat-[A-Za-z0-9_\-]{20,}"
          r"|xox[abprs]-[A-Za-z0-9\-]{10,}|sk_(?:live|test)_[A-Za-z0-9]{16,}|AIza[0-9A-Za-z_\-]{35}|npm_[A-Za-z0-9]{36}"
          r"|eyJ[A-Za-z0-9_\-]{8,}\.[A-Za-z0-9_\-]{8,}\.[A-Za-z0-9_\-]{8,}")
 #: Least characters of a value that is assigned to a credential-like name.
 LEAST = 4
 NAME = (r"(?i:token|secret|passw|pass[ _\-]?(?:phrase|code|key)|pass(?![a-z])|pwd|credential|private|bearer|signing|auth"
-        r"|(?:api|access|client|account|encryption|master|ssh)[ _.\-]?key)[A-Za-z0-9_.\-]{0,24}[\"']?")
-_SIGN = r"[:=>][ \t]{0,20}"
+        r"|(?:api|access|client|account|encryption|master|ssh)[ _.\-]?key)[A-Za-z0-9_.\-]{0,%d}[\"']?" % NAME_TAIL)
+_SIGN = rf"[:=>][ \t]{{0,{BLANKS}}}"
 _SCHEME = r"(?:[\"']?(?i:bearer|basic|token)[ \t]{1,3})?"
-_GIVEN = NAME + r"[ \t]{0,20}[:=]{1,2}>?[ \t]{0,20}"
+_GIVEN = NAME + rf"[ \t]{{0,{BLANKS}}}[:=]{{1,2}}>?[ \t]{{0,{BLANKS}}}"
 _NO_SCHEME = r"(?!(?i:bearer|basic|token)[ \t])"
 #: The cheap tests stand first: what is before a value, then its name.
 CREDENTIAL_VALUE = (
     rf"(?<=[:=> \t])(?![\s\"'])(?<={_SIGN}{_SCHEME}){_NO_SCHEME}(?<={_GIVEN}{_SCHEME})"
-    rf"(?:[^\s\"'&,;]|[&,;](?![A-Za-z0-9_.\-]{{1,40}}=|[\s\"']|$)){{{LEAST},}}+"
+    rf"(?:[^\s\"'&,;]|[&,;](?![A-Za-z0-9_.\-]++=|[\s\"']|$)){{{LEAST},}}+"
     rf"|(?<=\")(?<={_SIGN}\"){_NO_SCHEME}(?<={_GIVEN}\")(?:[^\"\\\r\n]|\\[^\r\n]){{{LEAST},}}+(?=\")"
     rf"|(?<=')(?<={_SIGN}'){_NO_SCHEME}(?<={_GIVEN}')(?:[^'\\\r\n]|\\[^\r\n]){{{LEAST},}}+(?=')")
 #: Other assigned values; an unquoted one ends where a credential-like name is given a value.
 ASSIGNED = (r"(?<=[:=]\s{0,3}[\"'])[^\s\"']{8,}(?=[\"'])"
             r"|(?<=[A-Za-z]=)(?:(?!" + NAME + r"[:=])[^\s\"'&]){8,}+")
-TOKEN = r"(?<![A-Za-z0-9+/_\-])(?=[A-Za-z+/_\-]{0,100}[0-9])[A-Za-z0-9+/_\-]{16,}={0,2}"
+TOKEN = r"(?<![A-Za-z0-9+/_\-])(?=[A-Za-z+/_\-]*+[0-9])[A-Za-z0-9+/_\-]{16,}={0,2}"
 CANDIDATE = f"{PEM}|{KNOWN}|{CREDENTIAL_VALUE}|{ASSIGNED}|{TOKEN}"
 #: A text without a digit, a colon, an equals sign, a key block or a provider's prefix has no candidate.
 GATE = f"[0-9=:]|-----BEGIN|{KNOWN}"
+#: Pairs for control characters that mark candidates; 3 itself first.
+ESCAPES = (("\x03", "\x03\x06"), ("\x01", "\x03\x04"), ("\x02", "\x03\x05"))
 # FIXED VALUES: words beside or inside a candidate.
 CREDENTIAL = r"(?i)(token|secret|passw|pass[ _\-]?(?:phrase|code|key)|pass[0-9_.\-]{0,8}[\"']?\s?[:=]|pwd|api.?key|access.?key|auth|credential|private|bearer|signing|client.?key)"
 DIGEST = r"(?i)(sha-?\d*|md5|commit|checksum|digest|hash|uuid|guid|etag|integrity|revision|isbn|order|invoice|card|phone|build|version|file|path|url|image)"
@@ -96,15 +109,32 @@ FEATURES = ("length", "digits", "uppers", "lowers", "others", "vowels", "distinc
             "credential", "digest", "placeholder")
 
 
+def _escaped(text: Column) -> Column:
+    """The text without control characters 1 and 2 (written as pairs that start with 3)."""
+    pairs = functools.reduce(lambda t, x: F.replace(t, F.lit(x[0]), F.lit(x[1])), ESCAPES, text)
+    return F.when(text.rlike("[\x01-\x03]"), pairs).otherwise(text)
+
+
+def _plain(text: Column) -> Column:
+    pairs = functools.reduce(lambda t, x: F.replace(t, F.lit(x[1]), F.lit(x[0])), reversed(ESCAPES), text)
+    return F.when(F.instr(text, "\x03") > 0, pairs).otherwise(text)
+
+
+def _marked(text: Column) -> Column:
+    """The escaped text with each candidate between control characters 1 and
+    2; null where there is none."""
+    escaped = _escaped(text)
+    marked = F.when(escaped.rlike(GATE), F.regexp_replace(escaped, f"({CANDIDATE})", "\x01$1\x02"))
+    return F.when(F.instr(marked, "\x01") > 0, marked)
+
+
 def candidates(docs: DataFrame, *keep: str) -> DataFrame:
     """Rows (keep.., finding, value, before, after) of every candidate."""
-    plain = F.translate(text_of(), "\x01\x02", "  ")
-    marked = F.when(plain.rlike(GATE), F.regexp_replace(plain, f"({CANDIDATE})", "\x01$1\x02"))
-    found = F.when(F.instr(marked, "\x01") > 0, let(F.split(marked, "\x01"), lambda parts: F.transform(
+    found = let(F.split(_marked(text_of()), "\x01"), lambda parts: F.transform(
         F.sequence(F.lit(1), F.size(parts) - 1), lambda i: F.struct(
-            (i - 1).alias("finding"), F.substring_index(F.get(parts, i), "\x02", 1).alias("value"),
-            F.right(F.substring_index(F.get(parts, i - 1), "\x02", -1), F.lit(BEFORE)).alias("before"),
-            F.left(F.substring_index(F.get(parts, i), "\x02", -1), F.lit(AFTER)).alias("after")))))
+            (i - 1).alias("finding"), _plain(F.substring_index(F.get(parts, i), "\x02", 1)).alias("value"),
+            _plain(F.right(F.substring_index(F.get(parts, i - 1), "\x02", -1), F.lit(BEFORE))).alias("before"),
+            _plain(F.left(F.substring_index(F.get(parts, i), "\x02", -1), F.lit(AFTER))).alias("after"))))
     return docs.select(*keep, F.explode(found).alias("_c")).select(*keep, "_c.*")
 
 
@@ -211,10 +241,16 @@ def labelled_findings(spark: SparkSession, per_kind: int = LABELLED_PER_KIND) ->
 
 
 def train(labelled: DataFrame) -> RandomForestClassificationModel:
-    """Forest on labelled findings (value, before, after, label 0 or 1)."""
-    rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(with_features(labelled))
+    """Forest on labelled findings (value, before, after, label 0 or 1).
+
+    The rows are spread and sorted by their content, so that the forest does
+    not depend on the order in which they come."""
+    known = with_features(labelled).select(*FEATURES, F.col("label").cast("double").alias("label"))
+    tasks = max(1, -(-labelled.count() // LABELLED_A_TASK))
+    spread = known.repartition(tasks, *FEATURES).sortWithinPartitions(*FEATURES, "label")
+    rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(spread)
     return RandomForestClassifier(numTrees=TREES, maxDepth=TREE_DEPTH, seed=SEED, labelCol="label",
-                                  featuresCol="features").fit(rows.select("features", F.col("label").cast("double")).coalesce(1))
+                                  featuresCol="features").fit(rows.select("features", "label"))
 
 
 def score(found: DataFrame, model: RandomForestClassificationModel) -> DataFrame:
@@ -236,24 +272,36 @@ def scan(docs: DataFrame, model: RandomForestClassificationModel | None = None)
     return score(candidates(docs.select("doc_id", "text"), "doc_id"), forest)
 
 
+def _replaced(text: Column, flags: Column) -> Column:
+    """The text with ``MARK`` in the place of each candidate whose flag is set."""
+    def pieces(parts):
+        return F.concat(F.slice(parts, 1, 1), F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda i: F.concat(
+            F.when(F.get(flags, i - 1)["is_secret"], MARK).otherwise(F.substring_index(F.get(parts, i), "\x02", 1)),
+            F.substring_index(F.get(parts, i), "\x02", -1))))
+    return _plain(let(F.split(_marked(text), "\x01"), lambda parts: F.array_join(pieces(parts), "")))
+
+
 def redact(docs: DataFrame, model: RandomForestClassificationModel | None = None) -> DataFrame:
-    """``docs`` with every secret in ``text`` replaced by ``MARK`` and
-    ``n_chars`` (where there is one) brought up to date.
+    """``docs`` with every secret in ``text`` replaced by ``MARK`` at its place
+    and ``n_chars`` (where there is one) brought up to date.
 
     Only texts that the gate and the rules mark take part in the join; it is
-    by the text's hash, so null or repeated ids do no harm."""
+    by the text's hash, so null or repeated ids do no harm.  What joins is a
+    flag for each candidate of a text, in their order."""
     forest = model or train(labelled_findings(docs.sparkSession))
-    key = F.sha2(text_of(), 256)
-    marked = F.coalesce(F.col("text").rlike(GATE) & F.col("text").rlike(CANDIDATE), F.lit(False))
+    key, escaped = F.sha2(text_of(), 256), _escaped(text_of())
+    marked = escaped.rlike(GATE) & escaped.rlike(CANDIDATE)
     suspects = docs.where(marked).select(F.struct("*").alias("_row"), key.alias("_key"))
-    secrets = score(candidates(docs.where(marked).select("text", key.alias("_key")).dropDuplicates(["_key"]), "_key"), forest) \
-        .where("is_secret").groupBy("_key").agg(F.collect_set("value").alias("_values"))
-    longest = F.array_sort(F.col("_values"), lambda a, b: F.length(b) - F.length(a))
-    cleaned = F.coalesce(F.aggregate(longest, F.col("_row.text"), lambda t, v: F.replace(t, v, F.lit(MARK))), F.col("_row.text"))
-    joined = suspects.join(secrets, "_key", "left").withColumn("_text", cleaned).select(*[
-        F.col("_text").alias(c) if c == "text"
-        else F.when(F.col("_values").isNotNull(), F.length("_text").cast(docs.schema[c].dataType)).otherwise(F.col("_row")[c]).alias(c) if c == "n_chars"
-        else F.col("_row")[c].alias(c) for c in docs.columns])
+    secrets = score(candidates(docs.where(marked).select("text", key.alias("_key")), "_key"), forest) \
+        .groupBy("_key").agg(F.sort_array(F.collect_set(F.struct("finding", "is_secret"))).alias("_flags")) \
+        .where(F.exists("_flags", lambda x: x["is_secret"]))
+    found = F.col("_flags").isNotNull()
+    joined = suspects.join(secrets, "_key", "left") \
+        .withColumn("_text", F.when(found, _replaced(F.col("_row.text"), F.col("_flags"))).otherwise(F.col("_row.text"))) \
+        .select(*[
+            F.col("_text").alias(c) if c == "text"
+            else F.when(found, F.length("_text").cast(docs.schema[c].dataType)).otherwise(F.col("_row")[c]).alias(c) if c == "n_chars"
+            else F.col("_row")[c].alias(c) for c in docs.columns])
     return docs.where(~marked).unionByName(joined)
 
 
