@@ -45,6 +45,25 @@ def test_dedup_with_nulls(spark):
     assert profile.duplicate_count(df).first()[0] == 2
 
 
+def test_repeated_rows_by_fingerprint(spark, monkeypatch):
+    """Forged equal fingerprints, NULLs in different places, NaN, -0.0, nested columns, no and too many repeats."""
+    from txrisk.operators import fingerprint
+    rows = [(1.0, None, 2, [1]), (None, 1.0, 2, [1]), (1.0, None, 2, [1]), (0.0, 1.0, 3, None), (-0.0, 1.0, 3, None),
+            (math.nan, 5.0, None, [2]), (math.nan, 5.0, None, [2]), (math.nan, 5.0, None, [3]), (None, None, None, None)]
+    df = spark.createDataFrame(rows, "a double, `b.c` double, k int, l array<int>").toDF("a", "b", "k", "l")
+    same = lambda frame: F.struct(F.lit(1).cast("long").alias("a"), F.lit(2).cast("long").alias("b"))
+    for way in (fingerprint.row_fingerprint, same):
+        assert dedup_full_row(df, way).count() == 6
+        assert profile.duplicate_count(df, way).first()[0] == 3
+    distinct, rest = fingerprint.split_rows(df)
+    assert (distinct.count(), rest.count()) == (2, 7)
+    assert fingerprint.split_rows(df.limit(2))[1] is None and profile.duplicate_count(df.limit(2)).first()[0] == 0
+    assert dedup_full_row(df.limit(0)).count() == 0 and dedup_full_row(df.limit(2)).columns == df.columns
+    monkeypatch.setattr(fingerprint, "BROADCAST_ROWS", 1)
+    assert fingerprint.split_rows(df)[0] is None
+    assert dedup_full_row(df).count() == 6 and profile.duplicate_count(df).first()[0] == 3
+
+
 def test_encode_skips_booleans_and_excluded(spark):
     df = spark.createDataFrame([("t1", True, 1.234, 3)], "id string, flag boolean, x double, n int")
     out = fixed_point_encode(df, exclude=["id"])
@@ -172,6 +191,20 @@ def test_kde_matches_numpy(spark):
     assert np.allclose([r.density for r in out], dens)
 
 
+def test_kde_of_far_values_and_of_one_value(spark):
+    """Grid points that no value is near to have density 0; a group of one value keeps its grid."""
+    rows = [(1, 0.001 * i) for i in range(200)] + [(1, 1e6), (0, 5.0), (0, 5.0), (None, 3.0), (1, None), (1, math.nan)]
+    df = spark.createDataFrame(rows, "is_fraud int, x double")
+    out = distribution.kde(df, "x", points=64).collect()
+    assert [(r.is_fraud, r.point) for r in out] == [(g, i) for g in (0, 1) for i in range(64)]
+    for g in (0, 1):
+        vals = np.array([x for k, x in rows if k == g and x is not None and x == x])
+        h = 1.06 * vals.std(ddof=1) * len(vals) ** -0.2 or 1.0
+        grid = np.linspace(vals.min(), vals.max(), 64)
+        dens = [np.exp(-0.5 * ((p - vals) / h) ** 2).sum() / (len(vals) * h * math.sqrt(2 * math.pi)) for p in grid]
+        assert np.allclose([r.density for r in out if r.is_fraud == g], dens, rtol=1e-9, atol=1e-15)
+
+
 def test_sample_size(spark):
     df = spark.range(100)
     assert distribution.sample_rows(df, 10).count() == 10

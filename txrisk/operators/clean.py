@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txrisk.functions.fixedpoint import decode, encode, is_scalable
+from txrisk.operators.fingerprint import row_fingerprint, split_rows
 
 
 def fill_null_constant(df: DataFrame, column: str, value) -> DataFrame:
@@ -46,14 +47,17 @@ def drop_columns(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return df.drop(*present) if present else df
 
 
-def dedup_full_row(df: DataFrame) -> DataFrame:
+def dedup_full_row(df: DataFrame, fingerprint: Callable[[DataFrame], Column] = row_fingerprint) -> DataFrame:
     """Full-row deduplication (NULLs compare equal).
 
-    Planned as a hash aggregate with map-side partial aggregation: copies of
-    one row collapse inside each map task before the shuffle, so a row with
-    a huge number of copies does not flood one reducer.
+    Only rows whose fingerprint repeats are shuffled and compared in full; map-side
+    aggregation collapses the copies of a hot row before that shuffle.
     """
-    return df.dropDuplicates()
+    distinct, rest = split_rows(df, fingerprint)
+    if rest is None:
+        return distinct
+    rest = rest.dropDuplicates()
+    return rest if distinct is None else distinct.unionByName(rest)
 
 
 def reorder_columns(df: DataFrame, leading: list[str]) -> DataFrame:

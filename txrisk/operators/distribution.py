@@ -19,6 +19,10 @@ from txrisk.operators.stats import attach
 from txrisk.schema import LABEL
 
 
+#: Bandwidths beyond which a kernel counts as 0.
+REACH = 9.0
+
+
 def histogram(df: DataFrame, column: str, bins: int, by: str | None = None) -> DataFrame:
     """Equal-width histogram over the global [min, max] of ``column``.
 
@@ -97,10 +101,10 @@ def kde(df: DataFrame, column: str, by: str = LABEL, points: int = 64) -> DataFr
     """Gaussian kernel density per group on ``points`` grid points over the
     group's [min, max]; bandwidth h = 1.06 * sd * n^(-1/5) (Silverman).
 
-    Rows are first collapsed to (group, value, count) — repeated values
-    cost one evaluation — then every grid point is one aggregate column of
-    a single pass (no row x grid expansion), and the per-group row is
-    unpivoted to long form.
+    Rows are first collapsed to (group, value, count), so that repeated values
+    cost one evaluation.  A value then meets only the grid points within
+    ``REACH`` bandwidths (beyond, a kernel is below 1e-17), and the sums per
+    (group, grid point) are aggregated partially.
     """
     src = (df.select(by, nan_to_null(F.col(column).cast("double")).alias("_x"))
            .where(F.col(by).isNotNull() & F.col("_x").isNotNull()))
@@ -112,22 +116,22 @@ def kde(df: DataFrame, column: str, by: str = LABEL, points: int = 64) -> DataFr
     joined = with_group_stats(vals, st, [by])
     step = (F.col("_hi") - F.col("_lo")) / F.lit(float(max(points - 1, 1)))
     norm = F.lit(1.0 / math.sqrt(2.0 * math.pi))
-    sums = []
-    for i in range(points):
-        g = F.col("_lo") + F.lit(float(i)) * step
-        u = (g - F.col("_x")) / F.col("_h")
-        sums.append(F.sum(F.col("_c") * F.exp(F.lit(-0.5) * u * u)).alias(f"_k{i}"))
+    x, h, reach = F.col("_x"), F.col("_h"), F.lit(REACH) * F.col("_h")
+    flat = step <= 0  # one value: every grid point stands on it
+    first = F.when(flat, 0).otherwise(F.greatest(F.ceil((x - reach - F.col("_lo")) / step), F.lit(0)))
+    last = F.when(flat, points - 1).otherwise(F.least(F.floor((x + reach - F.col("_lo")) / step), F.lit(points - 1)))
     keys = [by, "_lo", "_hi", "_n", "_h"]
-    parts = joined.groupBy(*keys, "_salt").agg(*sums)
-    wide = parts.groupBy(*keys).agg(*[F.sum(f"_k{i}").alias(f"_k{i}") for i in range(points)])
-    long = wide.select(by, "_lo", "_hi", "_n", "_h", F.explode(F.array(*[
-        F.struct(F.lit(i).alias("point"), F.col(f"_k{i}").alias("_s")) for i in range(points)
-    ])).alias("_p"))
+    near = joined.withColumns({"_first": first.cast("int"), "_last": last.cast("int")}) \
+        .select(*keys, "_x", "_c", F.explode(F.when(F.col("_first") <= F.col("_last"), F.sequence("_first", "_last"))).alias("point"))
+    u = (F.col("_lo") + F.col("point") * step - x) / h
+    sums = near.groupBy(*keys, "point").agg(F.sum(F.col("_c") * F.exp(F.lit(-0.5) * u * u)).alias("_s"))
+    # at most ``points`` sums a group; a grid point that no value is near to has density 0
+    wide = sums.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("point", "_s"))).alias("_sums"))
+    long = wide.select(*keys, "_sums", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
     return long.select(
-        by, F.col("_p.point").alias("point"),
-        (F.col("_lo") + F.col("_p.point") * (F.col("_hi") - F.col("_lo")) / F.lit(float(max(points - 1, 1))))
-        .alias("x"),
-        (F.col("_p._s") * norm / (F.col("_n") * F.col("_h"))).alias("density"),
+        by, "point",
+        (F.col("_lo") + F.col("point") * (F.col("_hi") - F.col("_lo")) / F.lit(float(max(points - 1, 1)))).alias("x"),
+        (F.coalesce(F.try_element_at("_sums", F.col("point")), F.lit(0.0)) * norm / (F.col("_n") * h)).alias("density"),
     ).orderBy(by, "point")
 
 

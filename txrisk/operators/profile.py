@@ -6,11 +6,15 @@ unpivoted afterwards (the aggregate row is a single row).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from txrisk.functions.fixedpoint import nan_to_null
 from pyspark.sql.types import BooleanType, DateType, NumericType, TimestampNTZType, TimestampType
 
+from txrisk.functions.fixedpoint import nan_to_null
+from txrisk.operators.fingerprint import row_fingerprint, split_rows
+
 
 def numeric_columns(df: DataFrame, include_bool: bool = False) -> list[str]:
     """Numeric columns by type (booleans only when asked)."""
@@ -56,12 +60,16 @@ def null_total(df: DataFrame) -> DataFrame:
     return null_counts(df).agg(F.sum("null_count").alias("null_total"))
 
 
-def duplicate_count(df: DataFrame) -> DataFrame:
+def duplicate_count(df: DataFrame, fingerprint: Callable[[DataFrame], Column] = row_fingerprint) -> DataFrame:
     """Rows that repeat an earlier identical row (``duplicated().sum()``).
 
-    Group-by over all columns with partial aggregation, then sum(n-1).
+    Rows whose fingerprint repeats are grouped by all columns with partial
+    aggregation, then sum(n-1).
     """
-    groups = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    rest = split_rows(df, fingerprint)[1]
+    if rest is None:
+        return df.sparkSession.range(1).select(F.lit(0).cast("long").alias("duplicate_rows"))
+    groups = rest.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
     return groups.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("duplicate_rows"))
 
 
