@@ -51,17 +51,18 @@ def test_repeated_rows_by_fingerprint(spark, monkeypatch):
     rows = [(1.0, None, 2, [1]), (None, 1.0, 2, [1]), (1.0, None, 2, [1]), (0.0, 1.0, 3, None), (-0.0, 1.0, 3, None),
             (math.nan, 5.0, None, [2]), (math.nan, 5.0, None, [2]), (math.nan, 5.0, None, [3]), (None, None, None, None)]
     df = spark.createDataFrame(rows, "a double, `b.c` double, k int, l array<int>").toDF("a", "b", "k", "l")
-    same = lambda frame: F.struct(F.lit(1).cast("long").alias("a"), F.lit(2).cast("long").alias("b"))
+    same = lambda frame: F.lit(7).cast("long")
     for way in (fingerprint.row_fingerprint, same):
         assert dedup_full_row(df, way).count() == 6
         assert profile.duplicate_count(df, way).first()[0] == 3
     distinct, rest = fingerprint.split_rows(df)
     assert (distinct.count(), rest.count()) == (2, 7)
     assert fingerprint.split_rows(df.limit(2))[1] is None and profile.duplicate_count(df.limit(2)).first()[0] == 0
-    assert dedup_full_row(df.limit(0)).count() == 0 and dedup_full_row(df.limit(2)).columns == df.columns
+    none, two = (dedup_full_row(df.limit(n), fingerprint.row_fingerprint) for n in (0, 2))
+    assert none.count() == 0 and two.columns == df.columns
     monkeypatch.setattr(fingerprint, "BROADCAST_ROWS", 1)
     assert fingerprint.split_rows(df)[0] is None
-    assert dedup_full_row(df).count() == 6 and profile.duplicate_count(df).first()[0] == 3
+    assert dedup_full_row(df, fingerprint.row_fingerprint).count() == dedup_full_row(df).count() == 6 and profile.duplicate_count(df).first()[0] == 3
 
 
 def test_encode_skips_booleans_and_excluded(spark):

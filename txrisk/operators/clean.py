@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from txrisk.functions.fixedpoint import decode, encode, is_scalable
-from txrisk.operators.fingerprint import row_fingerprint, split_rows
+from txrisk.operators.fingerprint import split_rows
 
 
 def fill_null_constant(df: DataFrame, column: str, value) -> DataFrame:
@@ -47,12 +47,17 @@ def drop_columns(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     return df.drop(*present) if present else df
 
 
-def dedup_full_row(df: DataFrame, fingerprint: Callable[[DataFrame], Column] = row_fingerprint) -> DataFrame:
+def dedup_full_row(df: DataFrame, fingerprint: Callable[[DataFrame], Column] | None = None) -> DataFrame:
     """Full-row deduplication (NULLs compare equal).
 
-    Only rows whose fingerprint repeats are shuffled and compared in full; map-side
-    aggregation collapses the copies of a hot row before that shuffle.
+    By default one lazy hash aggregate, whose map-side part collapses the
+    copies of a hot row before the shuffle.  With a ``fingerprint``
+    (``row_fingerprint``) only rows whose fingerprint repeats are shuffled and
+    compared in full; that reads the frame up to three times and runs a job, so
+    it suits stored tables whose rows are wide.
     """
+    if fingerprint is None:
+        return df.dropDuplicates()
     distinct, rest = split_rows(df, fingerprint)
     if rest is None:
         return distinct

@@ -1,9 +1,9 @@
 """Repeated rows by fingerprints first.
 
-Two 64-bit hashes of a row stand for it in the only shuffle that sees every
-row.  Rows whose fingerprint occurs once are distinct and go through as they
+A 64-bit hash of a row stands for it in the only shuffle that sees every row.
+Rows whose fingerprint occurs once are distinct and go through as they
 are; rows that share one are compared in full, so equal fingerprints of
-different rows do no harm.  The repeated fingerprints are a stored table whose
+different rows do no harm (among 10^12 rows some 10^4 pairs).  The repeated fingerprints are a stored table whose
 rows are counted: up to ``BROADCAST_ROWS`` of them are broadcast to the scan,
 beyond that all rows are compared in full by one hash aggregate.
 
@@ -21,32 +21,28 @@ from pyspark.sql import types as T
 
 from txrisk.session import cut_lineage
 
-#: Repeated fingerprints (16 bytes each) that are broadcast.
+#: Repeated fingerprints (8 bytes each) that are broadcast.
 BROADCAST_ROWS = 1_000_000
 _NESTED = (T.ArrayType, T.MapType, T.StructType)
 
 
 def row_fingerprint(df: DataFrame) -> Column:
-    """Two hashes of a row's plain columns; the second sees where NULLs stand."""
-    values, places = [], []
+    """Hash of a row's plain columns and of the places of its NULLs."""
+    parts = []
     for field in df.schema.fields:
         c = F.col(f"`{field.name}`")
         if isinstance(field.dataType, _NESTED) or field.dataType.typeName() == "variant":
             continue
-        values.append(c + F.lit(0.0).cast(field.dataType) if isinstance(field.dataType, (T.DoubleType, T.FloatType)) else c)
-        places.append(c.isNull())
-    return F.struct(F.xxhash64(F.lit(0), *values).alias("a"), F.xxhash64(F.lit(1), *places, *reversed(values)).alias("b"))
-
-
-def _with(df: DataFrame, fingerprint: Callable[[DataFrame], Column]) -> DataFrame:
-    return df.select("*", fingerprint(df).alias("_fp")).select(*[F.col(f"`{c}`") for c in df.columns], "_fp.a", "_fp.b") \
-        .toDF(*df.columns, "_fp_a", "_fp_b")
+        if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+            c = c + F.lit(0.0).cast(field.dataType)
+        parts += [c, c.isNull()] if field.nullable else [c]
+    return F.xxhash64(F.lit(0), *parts)
 
 
 def repeated(df: DataFrame, fingerprint: Callable[[DataFrame], Column] = row_fingerprint) -> DataFrame:
-    """The fingerprints (_fp_a, _fp_b) that more than one row has, stored."""
-    return cut_lineage(_with(df, fingerprint).groupBy("_fp_a", "_fp_b").agg(F.count(F.lit(1)).alias("_n"))
-                       .where("_n > 1").select("_fp_a", "_fp_b"))
+    """The fingerprints (_fp) that more than one row has, stored."""
+    return cut_lineage(df.select(fingerprint(df).alias("_fp")).groupBy("_fp").agg(F.count(F.lit(1)).alias("_n"))
+                       .where("_n > 1").select("_fp"))
 
 
 def split_rows(df: DataFrame, fingerprint: Callable[[DataFrame], Column] = row_fingerprint) -> tuple[DataFrame | None, DataFrame | None]:
@@ -58,6 +54,5 @@ def split_rows(df: DataFrame, fingerprint: Callable[[DataFrame], Column] = row_f
         return df, None
     if n > BROADCAST_ROWS:
         return None, df
-    keyed, keys = _with(df, fingerprint), ["_fp_a", "_fp_b"]
-    return (keyed.join(F.broadcast(twice), keys, "left_anti").drop(*keys),
-            keyed.join(F.broadcast(twice), keys, "left_semi").drop(*keys))
+    keyed = df.withColumn("_fp", fingerprint(df))
+    return keyed.join(F.broadcast(twice), "_fp", "left_anti").drop("_fp"), keyed.join(F.broadcast(twice), "_fp", "left_semi").drop("_fp")

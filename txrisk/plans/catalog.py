@@ -22,6 +22,7 @@ from txrisk.operators import correlation, distribution, profile, rates, windows
 from txrisk.operators.clean import (
     dedup_full_row, drop_columns, fill_null_constant, fixed_point_decode, fixed_point_encode, reorder_columns,
 )
+from txrisk.operators.fingerprint import row_fingerprint
 from txrisk.operators.impute import impute_median, impute_mode
 from txrisk.operators.quantile import add_qcuts
 from txrisk.plans import layers
@@ -249,7 +250,7 @@ register("drop_columns",
          O.with_layers("gold", "line", "SELECT " + ", ".join(
              O.q(c) for c in O.GOLD_COLUMNS_NO_TS if c not in _DROPPED) + " FROM gold"))
 register("dedup_full_row",
-         lambda s, sf: dedup_full_row(testdata.event_type_pairs(s, sf)),
+         lambda s, sf: dedup_full_row(testdata.event_type_pairs(s, sf), row_fingerprint),
          "SELECT DISTINCT event_type, user_id FROM events")
 register("reorder_columns",
          lambda s, sf: reorder_columns(base(s, sf, "line"), GOLD_LEADING),
