@@ -41,16 +41,16 @@ def test_license_rules_fire_without_a_gate_word(spark):
     assert [(t, label) for i, (t, label) in enumerate(rows) if label not in got[i]] == []
 
 
-def test_items_of_five_and_six_words_are_found_inside_long_texts():
+def test_items_of_five_and_six_words_are_found_inside_long_texts(spark):
     r = random.Random(3)
     items = [(k, " ".join(f"i{k}x{j}" for j in range(5 + k % 2))) for k in range(6000)]
     items += [(6000 + k, "a b c d e f g h"[: 2 * n - 1]) for k, n in enumerate((5, 6, 7, 8))]
     texts = [" ".join(f"w{r.randrange(10 ** 6)}" for _ in range(40)) for _ in range(len(items) + 1)]
     texts = [f"{a} {item} {b}" for a, b, (_, item) in zip(texts, texts[1:], items, strict=False)] + ["i0x0 i0x1 i0x2 i0x3", ""]
-    raw = [t.encode() for t in texts]
-    found = decontaminate.Items(items).matches(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]), 0.8)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    found = decontaminate.contaminated(docs, spark.createDataFrame(items, "item_id long, text string").repartition(3))
     want = {(k, k) for k in range(6000)} | {(6000 + d, 6000 + k) for d in range(4) for k in range(d + 1)}
-    assert {(d, k) for d, k, _ in found} == want
+    assert [(r.doc_id, r.item_id) for r in found.orderBy("doc_id", "item_id").collect()] == sorted(want)
 
 
 def test_ordinary_secrets_reach_the_forest(spark):
