@@ -33,6 +33,8 @@ Symbols = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
 SEEDS = 4
+#: Parts over which the rows of one anchor are dealt (bits of one mask).
+PARTS = 32
 
 
 def _joined(rows: DataFrame, *keys: str) -> bool:
@@ -83,11 +85,25 @@ def places(docs: DataFrame, symbols: Symbols, window: int, gram: int) -> DataFra
     return keyed(docs).mapInArrow(run, f"doc_id {kind}, th long, anchor long, content long, start int, n int")
 
 
+def with_anchor_totals(rows: DataFrame, total: Column, *dealt_by: str) -> DataFrame:
+    """``rows`` with a total of their anchor, where an anchor may hold a large
+    share of all rows.
+
+    The rows are dealt by (anchor, part), the part being a hash of ``dealt_by``.
+    The totals are pre-aggregated sums; with them goes a mask of the parts that
+    the anchor has, so each part gets its anchor's total once."""
+    parted = rows.withColumn("part", F.pmod(F.xxhash64(*dealt_by), F.lit(PARTS)).cast("int"))
+    totals = parted.groupBy("anchor").agg(total, F.bit_or(F.expr("shiftleft(1L, part)")).alias("mask"))
+    bits = F.filter(F.sequence(F.lit(0), F.lit(PARTS - 1)), lambda p: F.getbit("mask", p) == 1)
+    each = totals.select("*", F.explode(bits).alias("part")).drop("mask")
+    return parted.join(each, ["anchor", "part"]).drop("part")
+
+
 def shared_places(docs: DataFrame, symbols: Symbols, window: int, gram: int) -> DataFrame:
     """The places whose anchor stands in two places at least, stored."""
     every = places(docs, symbols, window, gram)
-    again = every.groupBy("anchor").agg(F.count("*").alias("m")).where("m > 1").select("anchor")
-    return stored(every.join(again, "anchor").select("doc_id", "th", "anchor", "content", "start", "n"))
+    counted = with_anchor_totals(every, F.count("*").alias("m"), "doc_id", "th", "start")
+    return stored(counted.where("m > 1").select("doc_id", "th", "anchor", "content", "start", "n"))
 
 
 def place() -> Column:
@@ -99,8 +115,7 @@ def contents(shared: DataFrame) -> DataFrame:
     """(anchor, content, n, copies, head, kinds, m): each content once, with
     its first place and the number of contents of its anchor; stored."""
     each = shared.groupBy("anchor", "content", "n").agg(F.count("*").alias("copies"), F.min(place()).alias("head"))
-    kinds = each.groupBy("anchor").agg(F.count("*").alias("kinds"))
-    return stored(each.join(kinds, "anchor"))
+    return stored(with_anchor_totals(each, F.count("*").alias("kinds"), "content", "n"))
 
 
 def with_text(heads: DataFrame, docs: DataFrame, columns: list[str]) -> DataFrame:
