@@ -43,8 +43,8 @@ def pieces(docs: DataFrame, k: int = K_WORDS, anchor: int = ANCHOR_WORDS) -> Dat
     Of a ragged run only the head needs its single edges: every other
     occurrence of the same content is later as a whole."""
     docs = docs if docs.columns == ["doc_id", "_th", "text"] else R.identified(docs)
-    shared = R.shared_places(docs, word_symbols, k, anchor)
-    known = R.contents(shared)
+    shared, heavy = R.shared_places(docs, word_symbols, k, anchor)
+    known = R.contents(shared, heavy)
     whole = shared.alias("p").join(known.alias("c"), ["anchor", "content", "n"]).where("c.copies > 1").select(
         "p.doc_id", "p.th", "p.start", "n", "anchor", "content", "head", "kinds") \
         .withColumn("is_head", F.struct("doc_id", "th", "start").eqNullSafe(F.col("head")))

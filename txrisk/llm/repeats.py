@@ -33,7 +33,9 @@ Symbols = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
 
 
 SEEDS = 4
-#: Parts over which the rows of one anchor are dealt (bits of one mask).
+#: An anchor with more than one in so many of the places is heavy (so there are
+#: fewer heavy anchors than this), and the parts over which its rows are dealt.
+HEAVY = 1000
 PARTS = 32
 
 
@@ -85,25 +87,32 @@ def places(docs: DataFrame, symbols: Symbols, window: int, gram: int) -> DataFra
     return keyed(docs).mapInArrow(run, f"doc_id {kind}, th long, anchor long, content long, start int, n int")
 
 
-def with_anchor_totals(rows: DataFrame, total: Column, *dealt_by: str) -> DataFrame:
-    """``rows`` with a total of their anchor, where an anchor may hold a large
-    share of all rows.
+def heavy_anchors(counts: DataFrame) -> DataFrame:
+    """The anchors that hold more than 1 / ``HEAVY`` of all places, from a
+    stored table (anchor, m): fewer than ``HEAVY`` rows, whatever the input."""
+    total = counts.agg(F.sum("m")).first()[0] or 0
+    return counts.where(F.col("m") * HEAVY > total).select("anchor")
 
-    The rows are dealt by (anchor, part), the part being a hash of ``dealt_by``.
-    The totals are pre-aggregated sums; with them goes a mask of the parts that
-    the anchor has, so each part gets its anchor's total once."""
-    parted = rows.withColumn("part", F.pmod(F.xxhash64(*dealt_by), F.lit(PARTS)).cast("int"))
-    totals = parted.groupBy("anchor").agg(total, F.bit_or(F.expr("shiftleft(1L, part)")).alias("mask"))
-    bits = F.filter(F.sequence(F.lit(0), F.lit(PARTS - 1)), lambda p: F.getbit("mask", p) == 1)
-    each = totals.select("*", F.explode(bits).alias("part")).drop("mask")
-    return parted.join(each, ["anchor", "part"]).drop("part")
 
+def with_anchor_totals(rows: DataFrame, totals: DataFrame, heavy: DataFrame, *dealt_by: str) -> DataFrame:
+    """``rows`` joined with the ``totals`` of their anchors, a heavy anchor's
+    rows dealt over ``PARTS`` by a hash of ``dealt_by``."""
+    flag = F.broadcast(heavy.select("anchor", F.lit(True).alias("heavy")))
+    part = F.when(F.col("heavy"), F.pmod(F.xxhash64(*dealt_by), F.lit(PARTS)).cast("int")).otherwise(F.lit(0))
+    parts = F.when(F.col("heavy"), F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(0)))
+    dealt = rows.join(flag, "anchor", "left").withColumn("part", part).drop("heavy")
+    each = totals.join(flag, "anchor", "left").withColumn("part", F.explode(parts)).drop("heavy")
+    return dealt.join(each, ["anchor", "part"]).drop("part")
 
-def shared_places(docs: DataFrame, symbols: Symbols, window: int, gram: int) -> DataFrame:
-    """The places whose anchor stands in two places at least, stored."""
+
+def shared_places(docs: DataFrame, symbols: Symbols, window: int, gram: int) -> tuple[DataFrame, DataFrame]:
+    """The places whose anchor stands in two places at least, stored, and the
+    heavy ones among these anchors."""
     every = places(docs, symbols, window, gram)
-    counted = with_anchor_totals(every, F.count("*").alias("m"), "doc_id", "th", "start")
-    return stored(counted.where("m > 1").select("doc_id", "th", "anchor", "content", "start", "n"))
+    again = stored(every.groupBy("anchor").agg(F.count("*").alias("m")).where("m > 1"))
+    heavy = heavy_anchors(again)
+    shared = with_anchor_totals(every, again.select("anchor"), heavy, "doc_id", "th", "start")
+    return stored(shared.select("doc_id", "th", "anchor", "content", "start", "n")), heavy
 
 
 def place() -> Column:
@@ -111,11 +120,12 @@ def place() -> Column:
     return F.struct("doc_id", "th", "start")
 
 
-def contents(shared: DataFrame) -> DataFrame:
+def contents(shared: DataFrame, heavy: DataFrame) -> DataFrame:
     """(anchor, content, n, copies, head, kinds, m): each content once, with
     its first place and the number of contents of its anchor; stored."""
     each = shared.groupBy("anchor", "content", "n").agg(F.count("*").alias("copies"), F.min(place()).alias("head"))
-    return stored(with_anchor_totals(each, F.count("*").alias("kinds"), "content", "n"))
+    kinds = each.groupBy("anchor").agg(F.count("*").alias("kinds"))
+    return stored(with_anchor_totals(each, kinds, heavy, "content", "n"))
 
 
 def with_text(heads: DataFrame, docs: DataFrame, columns: list[str]) -> DataFrame:

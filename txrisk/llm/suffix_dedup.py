@@ -158,8 +158,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR_B
     """(doc_id, th, start, end) of byte ranges to remove (they may overlap)."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     docs = docs if docs.columns == ["doc_id", "_th", "text"] else R.identified(docs)
-    shared = R.shared_places(docs, byte_symbols, length, anchor)
-    known = R.contents(shared)
+    shared, heavy = R.shared_places(docs, byte_symbols, length, anchor)
+    known = R.contents(shared, heavy)
     whole = shared.join(known.where("copies > 1").select("anchor", "content", "n", "head"), ["anchor", "content", "n"])
     if keep == "first":
         whole = whole.where(~F.struct("doc_id", "th", "start").eqNullSafe(F.col("head")))
