@@ -12,6 +12,15 @@ def nan_to_null(c: Column) -> Column:
     return F.nanvl(c, F.lit(None).cast("double"))
 
 
+def round_half_up(x: Column) -> Column:
+    """``round(x, 0)`` (HALF_UP) of a double, without Spark's way through a
+    BigDecimal per value: the nearest whole number, ties away from zero.  The
+    difference to it is exact, so only true ties are moved."""
+    size = F.abs(x)
+    near = F.rint(size)
+    return F.signum(x) * (near + F.when(size - near == 0.5, 1.0).otherwise(0.0))
+
+
 def encode(c: Column, scale: int = 100) -> Column:
     """``round(x * scale, 0)`` (HALF_UP on the double product) as bigint.
 
@@ -19,7 +28,7 @@ def encode(c: Column, scale: int = 100) -> Column:
     bigint cast); NaN becomes NULL instead of a cast overflow.
     """
     as_double = nan_to_null(c.cast("double"))
-    return F.round(as_double * F.lit(float(scale)), 0).cast("long")
+    return round_half_up(as_double * F.lit(float(scale))).cast("long")
 
 
 def decode(c: Column, scale: int = 100) -> Column:

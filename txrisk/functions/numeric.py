@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from txrisk.functions.fixedpoint import nan_to_null
+from txrisk.functions.fixedpoint import nan_to_null, round_half_up
 
 
 def cents(amount: Column) -> Column:
@@ -16,7 +16,7 @@ def cents(amount: Column) -> Column:
     Sums of cents are exact and associative, so a total does not depend on
     how partitions were combined (double sums do).  NaN counts as NULL.
     """
-    return F.round(nan_to_null(amount.cast("double")) * F.lit(100.0), 0).cast("long")
+    return round_half_up(nan_to_null(amount.cast("double")) * F.lit(100.0)).cast("long")
 
 
 def cyclic(x: Column, period: int, fn: str) -> Column:

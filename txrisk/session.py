@@ -15,12 +15,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session of the engine wants.  AQE re-plans joins at run
 # time from real sizes (so a broadcast only happens below the threshold),
-# splits skewed shuffle partitions and coalesces tiny ones.
+# splits skewed shuffle partitions and coalesces tiny ones.  The JVM never
+# compiles methods of more than 8000 bytes of code, and a projection of some
+# forty columns in one generated method is longer (interpreted, three times
+# slower); with the limit Spark evaluates it by split methods instead.
 ENGINE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
