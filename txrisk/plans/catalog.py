@@ -63,8 +63,8 @@ def register(key: str, run, sql: str | None) -> None:
 # --------------------------------------------------------------------------
 # layer access
 #
-# bronze (the feature table) and gold are pipeline tables: the first query
-# that needs one writes it as parquet under the session's checkpoint folder,
+# bronze (the feature table, whose last columns are projected on reading) and
+# gold are pipeline tables: the first query that needs one writes it as parquet under the session's checkpoint folder,
 # later queries of the same application read the stored table while the
 # source's files are the same (as the notebook reads the stored gold table).
 # silver and the analysis views are lazy plans over the stored tables.
@@ -96,7 +96,7 @@ def base(spark, sf, src):
 
 
 def bronze(spark, sf, src):
-    return spark.read.parquet(_stored(spark, sf, src, "bronze", lambda: layers.features(base(spark, sf, src))))
+    return layers.scored(spark.read.parquet(_stored(spark, sf, src, "bronze", lambda: layers.feature_rows(base(spark, sf, src)))))
 
 
 def silver(spark, sf, src):
@@ -194,7 +194,7 @@ def materialize_layers(spark, sf):
     previous stored table (what the declared pipeline tables do).  Bronze is
     a projection of the table that ``features`` stores."""
     root = table_path(spark, "layers")
-    b = layers.features(materialize(base(spark, sf, "line"), f"{root}/source"))
+    b = layers.features(materialize(base(spark, sf, "line"), f"{root}/source"), stored=True)
     s = materialize(layers.silver(b), f"{root}/silver")
     return materialize(layers.gold(s), f"{root}/gold").drop("gold_processed_timestamp")
 

@@ -17,6 +17,7 @@ from txrisk.operators.clean import (
     audit_columns, dedup_full_row, drop_columns, fill_null_constant, fixed_point_decode,
     fixed_point_encode, reorder_columns,
 )
+from txrisk.operators.fingerprint import row_fingerprint
 from txrisk.operators.impute import impute
 from txrisk.operators.stats import attach
 from txrisk.operators.windows import customer_totals, range_window_features, range_window_features_prefix
@@ -38,31 +39,38 @@ def _minmax_norm(x: str, stat: dict) -> F.Column:
     return F.when(hi > lo, (F.col(x) - lo) / (hi - lo)).otherwise(F.lit(0.0))
 
 
-def features(base: DataFrame, checkpoint: bool = True, window_method: str = "bucket") -> DataFrame:
+def features(base: DataFrame, checkpoint: bool = True, window_method: str = "bucket", stored: bool = False) -> DataFrame:
     """Raw transactions (38 dictionary columns) from base transaction rows.
 
     Calendar ints, cyclic encodings, log/round flags, RANGE-window
     velocity features, per-customer totals, velocity and composite risk
     (min-max normalised over the input).  NaN in the double columns counts
-    as NULL.  The row set after windows and the customer join feeds both the
+    as NULL.  The row set after windows and totals feeds both the
     global min/max and the rows, so it is stored once as a Parquet table
-    (``checkpoint=False`` keeps the plan fully lazy).
-    ``window_method``: 'bucket' (one shuffle, a customer x 7-day bucket per
-    task) or 'prefix' (prefix sums over a range-partitioned sort: any key
+    (``checkpoint=False`` leaves it lazy); so are the base rows, unless they
+    are a ``stored`` table already.
+    ``window_method``: 'bucket' (windows and totals in one pass after one
+    shuffle) or 'prefix' (prefix sums over a range-partitioned sort: any key
     density, several more shuffles).
     """
+    rows = feature_rows(base, window_method, stored)
+    return scored(cut_lineage(rows) if checkpoint else rows)
+
+
+def feature_rows(base: DataFrame, window_method: str = "bucket", stored: bool = False) -> DataFrame:
+    """Base rows with all that the global minima and maxima are not needed for."""
     ts = F.col("timestamp")
     base = base.select(*[nan_to_null(F.col(c)).alias(c) if t in ("double", "float") else F.col(c)
                          for c, t in base.dtypes])
     if window_method == "prefix":
         windowed = range_window_features_prefix(base.select(*BASE_COLUMNS))
+        totals = customer_totals(base.select("customer_id", "amount", "channel", "location"))
+        # null-safe: rows without a customer are a group of their own
+        totals = totals.withColumnRenamed("customer_id", "_customer")
+        rows = windowed.join(totals, F.col("customer_id").eqNullSafe(F.col("_customer"))).drop("_customer")
     else:
-        windowed = range_window_features(base.select(*BASE_COLUMNS))
-    totals = customer_totals(base.select("customer_id", "amount", "channel", "location"))
-    # null-safe: rows without a customer are a group of their own
-    totals = totals.withColumnRenamed("customer_id", "_customer")
-    rows = windowed.join(totals, F.col("customer_id").eqNullSafe(F.col("_customer"))).drop("_customer")
-    rows = rows.select(
+        rows = range_window_features(base.select(*BASE_COLUMNS), totals=("channel", "location"), stored=stored)
+    return rows.select(
         "*",
         *[e.alias(n) for n, e in calendar.calendar_ints(ts).items()],
         (F.col("amount") / F.when(F.col("amount_mean_total") != 0, F.col("amount_mean_total")))
@@ -70,8 +78,11 @@ def features(base: DataFrame, checkpoint: bool = True, window_method: str = "buc
         velocity_score(F.col("tx_count_24h"), F.col("amount_sum_24h"), F.col("amount_mean_total"))
         .alias("velocity_score"),
     )
-    if checkpoint:
-        rows = cut_lineage(rows)
+
+
+def scored(rows: DataFrame) -> DataFrame:
+    """The 38 dictionary columns of ``feature_rows`` (a stored table): cyclic
+    encodings, log/round flags and the composite risk."""
     rows, stat = attach(rows, rows.agg(
         F.min("amount_vs_mean_ratio").alias("_min_amount_vs_mean_ratio"),
         F.max("amount_vs_mean_ratio").alias("_max_amount_vs_mean_ratio"),
@@ -99,11 +110,12 @@ def features(base: DataFrame, checkpoint: bool = True, window_method: str = "buc
 
 def silver(bronze: DataFrame, scale: int = 100) -> DataFrame:
     """NULL fraud technique -> 'unknown', numerics as fixed point, drop the
-    rescue column, full-row dedup (one projection + one aggregate)."""
+    rescue column, full-row dedup by fingerprints (``bronze`` is a projection
+    of a stored table; only its repeated rows are shuffled in full)."""
     df = drop_columns(bronze, [RESCUED_DATA])
     df = fill_null_constant(df, "fraud_technique", FRAUD_TECHNIQUE_FILL)
     df = fixed_point_encode(df, exclude=[*SILVER_UNSCALED, "fraud_technique"], scale=scale)
-    return dedup_full_row(df)
+    return dedup_full_row(df, row_fingerprint)
 
 
 def gold(silver_df: DataFrame, scale: int = 100, exact_median: bool = False,
