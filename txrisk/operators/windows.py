@@ -153,8 +153,8 @@ def _whole(parts: list[np.ndarray]) -> np.ndarray:
     return high * (1 << 2 * _LOW) + cross * (1 << _LOW + 1) + low
 
 
-def _groups(table: pa.Table, part: str = "_part") -> np.ndarray:
-    """Number of each row's (_key, _part) in a sorted table."""
+def _groups(table: pa.Table, part: str) -> np.ndarray:
+    """Number of each row's key and part in a sorted table."""
     key = pc.dictionary_encode(table.column("_key").combine_chunks(), null_encoding="encode").indices.to_numpy()
     part = table.column(part).to_numpy()
     return np.cumsum(np.append(0, (key[1:] != key[:-1]) | (part[1:] != part[:-1]))) if len(key) else np.zeros(0, np.int64)
@@ -169,8 +169,8 @@ def _diversity(values: pa.ChunkedArray, group: np.ndarray, groups: int) -> np.nd
 
 
 def _group_totals(table: pa.Table, amount: str, channel: str, location: str) -> dict[str, np.ndarray]:
-    """The totals of each row's group of (_key, _to), for every row."""
-    group = _groups(table, "_to")
+    """The totals of each row's group of (_key, _part), for every row."""
+    group = _groups(table, "_part")
     groups = int(group[-1]) + 1
     cents_there = table.column("_cents").is_valid().to_numpy()
     total = np.zeros(groups, np.int64)
@@ -192,7 +192,7 @@ def _group_totals(table: pa.Table, amount: str, channel: str, location: str) ->
 
 
 def _measured(table: pa.Table, payload: list[str], totals: tuple[str, str, str] | None) -> Iterator[pa.RecordBatch]:
-    group = _groups(table)
+    group = _groups(table, "_slice")
     if totals:
         for name, values in _group_totals(table, *totals).items():
             table = table.append_column(f"_total{name}", pa.array(values))
@@ -218,8 +218,8 @@ def _measured(table: pa.Table, payload: list[str], totals: tuple[str, str, str]
 
 
 def _linear_pass(payload: list[str], totals: tuple[str, str, str] | None):
-    """mapInArrow function over rows sorted by (_key, _part, _t); a step takes
-    whole groups of (_key, _to)."""
+    """mapInArrow function over rows sorted by (_key, _part, _slice, _t); a step
+    takes whole groups of (_key, _part)."""
     def run(batches):
         waiting, size, target = [], 0, STEP_ROWS
         for batch in batches:
@@ -227,7 +227,7 @@ def _linear_pass(payload: list[str], totals: tuple[str, str, str] | None):
             size += len(batch)
             if size >= target:
                 table = pa.Table.from_batches(waiting)
-                group = _groups(table, "_to")
+                group = _groups(table, "_part")
                 edge = int(np.searchsorted(group, group[-1]))  # the last group may go on
                 if edge:
                     yield from _measured(table.slice(0, edge), payload, totals)
@@ -261,17 +261,18 @@ def range_window_features(df: DataFrame, key: str = "customer_id", ts: str = "ti
     payload = [f"_p{i}" for i in range(len(df.columns))]
     place = dict(zip(df.columns, payload, strict=True))
 
-    def keyed(rows: DataFrame) -> DataFrame:
+    def keyed(rows: DataFrame, *also: str) -> DataFrame:
         return rows.select(F.col(key).alias("_key"), epoch_micros(F.col(ts)).alias("_t"), cents(F.col(amount)).alias("_cents"),
-                           *[F.col(c).alias(p) for c, p in place.items()])
+                           *[F.col(c).alias(p) for c, p in place.items()], *also)
 
     base = keyed(df)
     slices = dense_slices(base.select("_key", "_t"), slice_rows)
     plain = ["_key", "_t", "_cents"]
     if slices is None:
-        # what is derived from a row is added after the shuffle
-        rows = keyed(df.repartition(key)).select(
-            *plain, *payload, F.when(F.col("_t").isNull(), -1).otherwise(0).alias("_part"), F.lit(0).alias("_to"), F.lit(0).alias("_kind"),
+        # a key is one part; what is derived from a row is added after the shuffle
+        rows = df.withColumns({"_key": F.col(key), "_part": F.col(key).isNull().cast("int")}).repartition("_key", "_part")
+        rows = keyed(rows, "_part").select(
+            *plain, *payload, "_part", F.when(F.col("_t").isNull(), -1).otherwise(0).alias("_slice"), F.lit(0).alias("_kind"),
             *[F.lit(True).alias(f"_leaves{f}") for f in FRAMES])
     else:
         marked = base.join(F.broadcast(slices), F.col("_key").eqNullSafe(F.col("_dense")), "left")
@@ -280,16 +281,16 @@ def range_window_features(df: DataFrame, key: str = "customer_id", ts: str = "ti
             F.when(F.col(f"_out{f}") != F.col("_part"), F.struct(F.lit(int(f)).alias("kind"), F.col(f"_out{f}").alias("part"))) for f in FRAMES])
         spread = own.withColumn("_e", F.explode(F.filter(copies, lambda x: x.isNotNull())))
         kind = F.col("_e.kind")
-        rows = spread.select(*plain, *[F.when(kind == 0, F.col(p)).alias(p) for p in payload], F.col("_e.part").alias("_part"),
-                             F.when(F.col("starts").isNull(), 0).otherwise(F.col("_e.part")).alias("_to"), kind.alias("_kind"), *[((kind == int(f)) | ((kind == 0) & (F.col(f"_out{f}") == F.col("_part")))).alias(f"_leaves{f}")
+        rows = spread.select(*plain, *[F.when(kind == 0, F.col(p)).alias(p) for p in payload], F.col("_e.part").alias("_slice"),
+                             F.when(F.col("starts").isNull(), 0).otherwise(F.col("_e.part")).alias("_part"), kind.alias("_kind"), *[((kind == int(f)) | ((kind == 0) & (F.col(f"_out{f}") == F.col("_part")))).alias(f"_leaves{f}")
                                                     for f in FRAMES])
     schema = ", ".join(f"{p} {f.dataType.simpleString()}" for p, f in zip(payload, df.schema, strict=True)) \
         + (", " + ", ".join(f"_total{x} {t}" for x, t in _TOTALS.items()) if totals else "") \
         + f", _key {base.schema['_key'].dataType.simpleString()}, _part int, " + ", ".join(f"{x}{f} long" for f in FRAMES for x in _MEASURES)
     if slices is not None:
         # (key, slice): by the key alone a dense key would lie in one task
-        rows = rows.repartition("_key", "_to")
-    found = rows.sortWithinPartitions("_key", "_part", "_t").mapInArrow(
+        rows = rows.repartition("_key", "_part")
+    found = rows.sortWithinPartitions("_key", "_part", "_slice", "_t").mapInArrow(
         _linear_pass(payload, (place[amount], *(place[c] for c in totals)) if totals else None), schema)
     whole = [F.col(f"_total{x}").alias(x) for x in _TOTALS] if totals else []
     measure = {f"{x}{f}": F.col(f"{x}{f}") for f in FRAMES for x in ("n", "m", "s")}
