@@ -106,3 +106,29 @@ def test_very_long_word():
     aligner = alignment.Aligner(*alignment.default_tokenizers())
     found = aligner.documents([("ab" * 200_000).encode()])
     assert len(found[0]) == 1 and aligner.sizes[1].at[found[0][0]] > 100_000 and not aligner.known
+
+
+def test_aligner_remembers_a_bounded_number_of_chunks(monkeypatch):
+    monkeypatch.setattr(alignment, "REMEMBERED", 60)
+    monkeypatch.setattr(alignment, "LEARN_CHUNKS", 7)
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(400)]
+    long = ["x" * 150 + str(i) for i in range(20)]
+    odd = [f"one\u00a0two {i} three" for i in range(20)]
+    texts = [" ".join(["the", "same", *rng.sample(words, 12), "words"]).encode() for _ in range(80)] + [x.encode() for x in long + odd]
+    paths = alignment.default_tokenizers()
+    aligner, sizes = alignment.Aligner(*paths), []
+
+    def seen(a, numbers):
+        return [[(*(int(g.at[c]) for g in a.sizes), a.texts[c], a.pairs.at[a.ends.at[c] - a.sizes[3].at[c]: a.ends.at[c]].tolist()) for c in some] for some in numbers]
+
+    for i in range(0, len(texts), 4):
+        numbers = aligner.documents(texts[i: i + 4])
+        fresh = alignment.Aligner(*paths) if i == 0 else fresh
+        fresh.forget()
+        assert seen(aligner, numbers) == seen(fresh, fresh.documents(texts[i: i + 4]))
+        sizes.append(len(aligner.texts))
+    assert max(sizes) <= 60 + 2 * 4 * 15 and b" the" in aligner.known
+    aligner.documents([])
+    assert len(aligner.texts) == aligner.kept == aligner.ends.n == aligner.uses.n and not any("x" * 9 in p.decode() for p in aligner.known)
+    assert len(aligner.texts) <= 60 + 4 * 15

@@ -13,7 +13,8 @@ Texts are cut in chunks before a space that follows a character which is no
 white space.  Neither tokenizer has a token across such a place (for B this is
 checked against its pieces when it is loaded), so a chunk's tokens and links do
 not depend on its text, and each distinct chunk (compared as bytes) is
-tokenized and multiplied once per worker.  Texts with white space outside ASCII
+tokenized and multiplied once per worker, as long as it remembers the chunk
+(``REMEMBERED``).  Texts with white space outside ASCII
 or with the special token's string are one chunk and go to the tokenizers whole.
 
 Corpus-wide counts: documents go in blocks of at most ``BLOCK_BYTES`` of text
@@ -45,9 +46,14 @@ from txrisk.llm.common import stored
 
 #: Text bytes of one block of documents (a longer document is one block).
 BLOCK_BYTES = K.STEP_BYTES
-#: Chunks a worker remembers, and the longest of them in bytes.
-REMEMBERED = 400_000
+#: Chunks a worker remembers (beyond it those used most stay, half as many at
+#: most), and the longest of them in bytes.
+REMEMBERED = 200_000
 REMEMBERED_BYTES = 100
+#: Chunks that are tokenized and multiplied at once.
+LEARN_CHUNKS = 1024
+#: A block is a row of a megabyte or so: pages and row groups end after a few.
+SMALL_PAGES = {"parquet.page.size.row.check.min": "1", "parquet.block.size.row.check.min": "1", "parquet.block.size": str(16 << 20)}
 
 #: A chunk: white space and what follows it up to a space after another
 #: character; white space that ends the text belongs to its last chunk.
@@ -180,9 +186,40 @@ class Aligner:
         """Chunk k has the sizes ``sizes[:, k]`` (tokens A, B, groups, links),
         its groups as text, and the linked pairs up to ``ends[k]``."""
         self.known: dict[bytes, int] = {}
+        self.kept = 0                  # chunks that are remembered; those after them serve one call
         self.texts: list[str] = []
         self.sizes = [Grown() for _ in range(4)]
-        self.ends, self.pairs = Grown(), Grown()
+        self.ends, self.pairs, self.uses = Grown(), Grown(), Grown()
+
+    def drop(self) -> None:
+        """Forgets the chunks that only the last call needed."""
+        del self.texts[self.kept:]
+        for grown in (*self.sizes, self.ends, self.uses):
+            grown.n = self.kept
+        self.pairs.n = int(self.ends.at[self.kept - 1]) if self.kept else 0
+
+    def thin(self) -> None:
+        """Keeps the chunks that were used again since the last time, the most
+        used first, up to half of what is remembered."""
+        self.drop()
+        known, texts, sizes, ends, pairs, uses = self.known, self.texts, self.sizes, self.ends, self.pairs, self.uses
+        used = uses.at[:self.kept]
+        keep = np.flatnonzero(used > 1)
+        if len(keep) > REMEMBERED // 2:
+            keep = np.sort(keep[np.argsort(-used[keep], kind="stable")[: REMEMBERED // 2]])
+        place = np.full(self.kept + 1, -1)
+        place[keep] = np.arange(len(keep))
+        place = place.tolist()
+        self.forget()
+        self.known = {p: place[i] for p, i in known.items() if place[i] >= 0}
+        self.texts, self.kept = [texts[i] for i in keep.tolist()], len(keep)
+        for grown, old in zip((*self.sizes, self.uses), (*sizes, uses), strict=True):
+            grown.extend(old.at[keep])
+        self.uses.at[:self.kept] //= 2
+        count = self.sizes[3].at[:self.kept]
+        upto = np.cumsum(count)
+        self.ends.extend(upto)
+        self.pairs.extend(pairs.at[np.arange(int(count.sum())) + np.repeat(ends.at[keep] - upto, count)])
 
     def tokens(self, parts: list[bytes], whole: bool = False) -> list[tuple[list[int], list[int]] | None]:
         """Ids of each part (bytes that begin with a space); None where the
@@ -219,24 +256,22 @@ class Aligner:
         for grown, values in zip(self.sizes, (n_a, n_b, np.diff(cuts), np.diff(links, prepend=0)), strict=True):
             grown.extend(values)
         self.ends.extend(self.pairs.n + links)
+        self.uses.extend(np.zeros(len(tokens), np.int64))
         self.pairs.extend(ids_a[i] << 32 | ids_b[j])
 
     def documents(self, texts: list[bytes]) -> list[list[int]]:
-        """Numbers of the chunks of each text; none for no tokens."""
+        """Numbers of the chunks of each text, good until the next call; none
+        for no tokens."""
+        self.drop()
         if len(self.known) > REMEMBERED:
-            self.forget()
+            self.thin()
         known, alone = self.known, []
         parts = [None if not t or not self.separable or _ODD.search(t) else CHUNK.findall(b" " + t) for t in texts]
         new = list(dict.fromkeys(p for some in parts if some for p in some if p not in known))
-        found = self.tokens(new)
-        first = len(self.texts)
-        self.learn([t for t in found if t is not None])
-        long = []
-        for p, t in zip(new, found, strict=True):
-            known[p] = first if t is not None else -1     # -1: cannot stand alone
-            first += t is not None
-            if len(p) > REMEMBERED_BYTES:
-                long.append(p)
+        long = [p for p in new if len(p) > REMEMBERED_BYTES]
+        self._know([p for p in new if len(p) <= REMEMBERED_BYTES])
+        self.kept = len(self.texts)
+        self._know(long)
         out: list[list[int]] = []
         for d, some in enumerate(parts):
             numbers = [known[p] for p in some] if some else []
@@ -251,8 +286,20 @@ class Aligner:
             if one is not None:
                 out[d] = [len(self.texts)]
                 self.learn([one])
+        used = np.fromiter((c for some in out for c in some), np.int64)
+        self.uses.at[:self.kept] += np.bincount(used[used < self.kept], minlength=self.kept)
         return out
 
+    def _know(self, parts: list[bytes]) -> None:
+        """Tokenizes and adds chunks, some at a time; -1: cannot stand alone."""
+        for at in range(0, len(parts), LEARN_CHUNKS):
+            some = parts[at: at + LEARN_CHUNKS]
+            found, first = self.tokens(some), len(self.texts)
+            self.learn([t for t in found if t is not None])
+            for p, t in zip(some, found, strict=True):
+                self.known[p] = first if t is not None else -1
+                first += t is not None
+
 
 def _blocks(docs: DataFrame, paths: tuple[str, str, str]) -> DataFrame:
     """Documents in blocks: their columns of the digest, and the block's
@@ -293,7 +340,7 @@ def _blocks(docs: DataFrame, paths: tuple[str, str, str]) -> DataFrame:
 def digest(docs: DataFrame, tokenizers: tuple[str, str, str] | None = None) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    blocks = stored(_blocks(docs, tokenizers or default_tokenizers()))
+    blocks = stored(_blocks(docs, tokenizers or default_tokenizers()), **SMALL_PAGES)
     entries = blocks.select("block", F.posexplode(F.arrays_zip("pairs", "used")).alias("at", "e")) \
         .select("block", "at", F.col("e.pairs").alias("pair"), F.col("e.used").alias("used"))
     counts = entries.groupBy("pair").agg(F.sum("used").alias("count")).withColumn("b", F.col("pair").bitwiseAND(0xFFFFFFFF))

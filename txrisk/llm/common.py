@@ -61,8 +61,8 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, **options: str) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read again."""
     path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
