@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from txrisk.functions.fixedpoint import round_half_up
+from txrisk.operators import fingerprint
 from txrisk.operators.windows import customer_totals, range_window_features
 from txrisk.plans import layers
 from txrisk.session import ENGINE_CONF, cut_lineage
@@ -63,5 +64,16 @@ def test_silver_does_not_shuffle_distinct_rows(spark):
     assert sorted(map(tuple, twice.collect())) == sorted(map(tuple, plain.collect()))
 
 
+def test_silver_finds_repeated_rows_by_base_columns(spark, monkeypatch):
+    rows = spark.createDataFrame([("T1", 1.0, 0.1, None), ("T1", 1.0, 0.2, None), ("T1", 1.0, 0.2, None), (None, None, 0.3, "x"), (None, None, 0.3, "x"),
+                                  ("T2", 1.0, 0.1, None)], "transaction_id string, amount double, velocity_score double, fraud_technique string")
+    read = []
+    monkeypatch.setattr(fingerprint, "cut_lineage", lambda df: read.append(df._jdf.queryExecution().optimizedPlan().toString()) or cut_lineage(df))
+    got = layers.silver(cut_lineage(rows)).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([("T1", 100, 10, "unknown"), ("T1", 100, 20, "unknown"), (None, None, 30, "x"), ("T2", 100, 10, "unknown")], key=str)
+    assert len(read) == 1 and "amount" in read[0]
+    assert not any("velocity_score" in line for line in read[0].splitlines() if "Relation" not in line)
+
+
 def test_long_projections_are_compiled():
     assert int(ENGINE_CONF["spark.sql.codegen.hugeMethodLimit"]) <= 8000

@@ -111,11 +111,15 @@ def scored(rows: DataFrame) -> DataFrame:
 def silver(bronze: DataFrame, scale: int = 100) -> DataFrame:
     """NULL fraud technique -> 'unknown', numerics as fixed point, drop the
     rescue column, full-row dedup by fingerprints (``bronze`` is a projection
-    of a stored table; only its repeated rows are shuffled in full)."""
+    of a stored table; only its repeated rows are shuffled in full).  The
+    fingerprints are of the base columns, from which the others follow, so
+    finding the repeated ones reads and computes no others; the rows that share
+    one are compared in all columns."""
     df = drop_columns(bronze, [RESCUED_DATA])
     df = fill_null_constant(df, "fraud_technique", FRAUD_TECHNIQUE_FILL)
     df = fixed_point_encode(df, exclude=[*SILVER_UNSCALED, "fraud_technique"], scale=scale)
-    return dedup_full_row(df, row_fingerprint)
+    base = [c for c in BASE_COLUMNS if c in df.columns] or df.columns
+    return dedup_full_row(df, lambda rows: row_fingerprint(rows.select(*base)))
 
 
 def gold(silver_df: DataFrame, scale: int = 100, exact_median: bool = False,
