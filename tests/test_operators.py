@@ -1,6 +1,7 @@
 """Operators on small fixtures: imputation, dedup, qcut, windows, corr."""
 
 import datetime as dt
+import hashlib
 import math
 
 import numpy as np
@@ -444,6 +445,27 @@ def test_sample_is_deterministic(spark):
     assert sample_rows(df, 9000).count() == 5000
 
 
+def test_sample_sorts_only_rows_up_to_its_last_hash(spark):
+    """Also under projections, below which the limit does not stay with the sort."""
+    from txrisk.operators.distribution import sample_rows
+    df = spark.range(20000).selectExpr("id", "id % 7 AS g", "cast(id AS string) AS t")
+    some = sample_rows(df, 50).withColumn("x", F.concat("t", "t")).withColumn("y", F.concat("x", "x", "x"))
+    plan = some._jdf.queryExecution().optimizedPlan().toString()
+    assert "scalar-subquery" in plan[plan.index("Sort ["):]
+    rows = sorted(range(20000), key=lambda i: hashlib.md5(f"42/{i}".encode()).hexdigest())[:50]
+    assert [r.id for r in some.collect()] == rows
+    assert sample_rows(df, 0).count() == 0 and sample_rows(df.limit(0), 5).count() == 0
+
+
+def test_sample_of_tied_and_null_keys(spark):
+    from txrisk.operators.distribution import sample_rows
+    df = spark.createDataFrame([(None, 3), ("a", 2), ("a", 1), ("a", 0), (None, None)], "k string, v int")
+    order = sorted([(None, None), (None, 3), ("a", 0), ("a", 1), ("a", 2)],
+                   key=lambda r: (hashlib.md5(f"42/{r[0] or ''}".encode()).hexdigest(), -1 if r[1] is None else r[1]))
+    for n in range(6):
+        assert [tuple(r) for r in sample_rows(df, n).collect()] == order[:n]
+
+
 def test_pivot_width_is_bounded(spark):
     from pyspark.errors import AnalysisException
     from txrisk.operators.rates import pivot_rate

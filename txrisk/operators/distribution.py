@@ -140,10 +140,13 @@ def sample_rows(df: DataFrame, n: int, seed: int = 42, key: str | None = None) -
 
     The n rows with the smallest MD5 of (seed, ``key``) are taken (default:
     the transaction id, else the first column), so the same rows come out
-    under any partitioning, and in SQL.  Spark keeps the n smallest of each
-    partition in a heap and merges them; only the key is hashed.  Rows that
+    under any partitioning, and in SQL.  The n-th smallest hash is found first,
+    from the key alone (a heap per partition), and only rows up to it are
+    sorted: projections on top of the sample can part the limit from the sort,
+    which then moves every row it gets.  The frame is read twice.  Rows that
     share a key tie and are taken in the order of their other columns.
     """
     key = key or ("transaction_id" if "transaction_id" in df.columns else df.columns[0])
     hashed = F.md5(F.concat(F.lit(f"{seed}/"), F.coalesce(F.col(key).cast("string"), F.lit(""))).cast("binary"))
-    return df.withColumn("_h", hashed).orderBy("_h", *[c for c in df.columns if c != key]).limit(n).drop("_h")
+    last = df.select(hashed.alias("_h")).orderBy("_h").limit(n).agg(F.max("_h")).scalar()
+    return df.withColumn("_h", hashed).where(F.col("_h") <= last).orderBy("_h", *[c for c in df.columns if c != key]).limit(n).drop("_h")
