@@ -87,6 +87,19 @@ def places(docs: DataFrame, symbols: Symbols, window: int, gram: int) -> DataFra
     return keyed(docs).mapInArrow(run, f"doc_id {kind}, th long, anchor long, content long, start int, n int")
 
 
+def anchors(docs: DataFrame, symbols: Symbols, window: int, gram: int) -> DataFrame:
+    """(anchor, times): the anchors of ``places``, those of a batch counted;
+    nothing else of a run is computed."""
+    def run(batches):
+        for batch in batches:
+            data, offsets = K.column_bytes(batch.column(0))
+            for i, j in K.steps(offsets):
+                values, bounds = symbols(data[offsets[i]: offsets[j]], offsets[i: j + 1] - offsets[i])
+                anchor, times = np.unique(K.runs(values, bounds, window, gram, contents=False)["anchor"], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(times.astype(np.int64))], ["anchor", "times"])
+    return keyed(docs).select("text").mapInArrow(run, "anchor long, times long")
+
+
 def heavy_anchors(counts: DataFrame) -> DataFrame:
     """The anchors that hold more than 1 / ``HEAVY`` of all places, from a
     stored table (anchor, m): fewer than ``HEAVY`` rows, whatever the input."""
@@ -109,7 +122,7 @@ def shared_places(docs: DataFrame, symbols: Symbols, window: int, gram: int) ->
     """The places whose anchor stands in two places at least, stored, and the
     heavy ones among these anchors."""
     every = places(docs, symbols, window, gram)
-    again = stored(every.groupBy("anchor").agg(F.count("*").alias("m")).where("m > 1"))
+    again = stored(anchors(docs, symbols, window, gram).groupBy("anchor").agg(F.sum("times").alias("m")).where("m > 1"))
     heavy = heavy_anchors(again)
     shared = with_anchor_totals(every, again.select("anchor"), heavy, "doc_id", "th", "start")
     return stored(shared.select("doc_id", "th", "anchor", "content", "start", "n")), heavy

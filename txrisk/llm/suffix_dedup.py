@@ -44,31 +44,65 @@ def byte_symbols(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return K.BYTE_VALUE[data], offsets
 
 
-def _ranks(keys: np.ndarray) -> np.ndarray:
-    """Dense ranks of keys."""
-    order = np.argsort(keys, kind="stable")
-    ordered = keys[order]
-    out = np.empty(len(keys), np.int64)
-    out[order] = np.cumsum(np.append(0, ordered[1:] != ordered[:-1]))
-    return out
-
-
-def suffix_order(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+def _order(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Order of the pairs of two small numbers (ties in any order)."""
+    n, most, wide = len(first), int(first.max(initial=0)), int(second.max(initial=0)).bit_length()
+    place = n.bit_length()
+    if most.bit_length() + wide + place > 63:
+        return np.argsort(first << wide | second)
+    # the place in the lowest bits: sorting values is faster than sorting places
+    packed = np.sort((first << wide | second) << place | np.arange(n))
+    return packed & ((1 << place) - 1)
+
+
+def suffix_order(text: np.ndarray, depth: int, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Positions in the order of their first ``depth`` bytes, ties by
-    position, and the rank of each position in that order (equal: same
-    bytes).  The text's end counts as zeros."""
+    position, and the rank of each position: the place in that order of the
+    first one with the same bytes.  The text's end counts as zeros.  With
+    ``wanted`` (a mask) both hold for the wanted positions only.
+
+    Prefix doubling; a position that shares its rank with no other one keeps
+    it and is not sorted again, nor one that no wanted position looks up."""
     n = len(text)
+    levels = [min(8, depth)]
+    while levels[-1] < depth:
+        levels.append(min(2 * levels[-1], depth))
+    needed = [wanted]  # per level, from the last
+    if wanted is not None:
+        for have, then in zip(levels[-2::-1], levels[:0:-1], strict=True):
+            here = needed[-1].copy()
+            here[then - have:] |= needed[-1][: max(n - (then - have), 0)]
+            needed.append(here)
     padded = np.concatenate([text, np.zeros(8, np.uint8)]).astype(np.uint64)
     key = np.zeros(n, np.uint64)
-    for j in range(min(8, depth)):
+    for j in range(levels[0]):
         key = key << np.uint64(8) | padded[j: j + n]
-    rank, have = _ranks(key), min(8, depth)
-    while have < depth:
-        step = min(have, depth - have)
-        ahead = np.zeros(n, np.int64)
-        ahead[: max(n - step, 0)] = rank[step:] + 1
-        rank, have = _ranks(rank * (n + 1) + ahead), have + step
-    return np.argsort(rank, kind="stable"), rank
+    order = np.argsort(key)
+    key = key[order]
+    place, at = np.arange(n), order  # places in the order that are still sorted, and their positions
+    new, rank = np.append(True, key[1:] != key[:-1])[:n], np.empty(n, np.int64)
+    for k, have in enumerate(levels):
+        first = np.maximum.accumulate(np.where(new, place, 0))
+        rank[at] = first
+        if wanted is not None:
+            keep = needed[len(levels) - 1 - k][at]
+            place, at, first = place[keep], at[keep], first[keep]
+            new = np.append(True, first[1:] != first[:-1])[: len(at)]
+        shared = ~new
+        shared[:-1] |= ~new[1:]
+        place, at, group = place[shared], at[shared], np.cumsum(new[shared])
+        if have == depth or not len(at):
+            break
+        step = levels[k + 1] - have
+        ahead = np.zeros(len(at), np.int64)
+        inside = at + step < n
+        ahead[inside] = rank[at[inside] + step] + 1
+        by = _order(group, ahead)
+        at, group, ahead = at[by], group[by], ahead[by]
+        order[place] = at
+        new = np.append(True, (group[1:] != group[:-1]) | (ahead[1:] != ahead[:-1]))
+    order[place] = at[_order(group, at)]
+    return order, rank
 
 
 def full_factors(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -87,9 +121,9 @@ def full_factors(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
 def _block_factors(text: np.ndarray, bounds: np.ndarray, group: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """As ``full_factors`` for a block of strings: positions with fewer than
     ``depth`` bytes left in their string take no part."""
-    order, rank = suffix_order(text, depth)
-    string = np.searchsorted(bounds, np.arange(len(text)), "right") - 1
+    string = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
     whole = np.arange(len(text)) + depth <= bounds[string + 1]
+    order, rank = suffix_order(text, depth, whole)
     order = order[whole[order]]
     same = (rank[order[1:]] == rank[order[:-1]]) & (group[string[order[1:]]] == group[string[order[:-1]]])
     previous, following = np.zeros(len(text), bool), np.zeros(len(text), bool)

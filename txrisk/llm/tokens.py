@@ -177,7 +177,7 @@ def sliding_min(keys: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(right[: n - w + 1], left[w - 1: n])
 
 
-def runs(symbols: np.ndarray, bounds: np.ndarray, window: int, gram: int) -> dict[str, np.ndarray]:
+def runs(symbols: np.ndarray, bounds: np.ndarray, window: int, gram: int, contents: bool = True) -> dict[str, np.ndarray]:
     """Runs of consecutive windows that share their anchor (super-k-mers).
 
     Every window of ``window`` symbols selects the n-gram of ``gram``
@@ -186,7 +186,7 @@ def runs(symbols: np.ndarray, bounds: np.ndarray, window: int, gram: int) -> dic
     form a run, of at most ``window`` windows, so its first and last window
     cover it.  Returns per run: doc (index), start (symbol within the
     document), n (windows), anchor (hash of the n-gram) and content (hash of
-    the symbols the run covers).
+    the symbols the run covers; left out without ``contents``).
     """
     out: list[tuple] = []
     size, w = 1 << 19, window - gram + 1
@@ -194,7 +194,7 @@ def runs(symbols: np.ndarray, bounds: np.ndarray, window: int, gram: int) -> dic
     at = 0
     while at + window <= total:
         part = symbols[at: at + size + window - 1]
-        hashes, whole = window_hashes(part, gram, window)
+        hashes, *whole = window_hashes(part, gram, window) if contents else window_hashes(part, gram)
         index = np.arange(len(hashes))
         least = sliding_min((hashes & ~U64((1 << 20) - 1)) | index.astype(U64), w)
         anchor = (least & U64((1 << 20) - 1)).astype(np.int64)
@@ -209,9 +209,9 @@ def runs(symbols: np.ndarray, bounds: np.ndarray, window: int, gram: int) -> dic
             count = np.diff(np.append(first, len(begin)))
             lo = begin[first] - at
             out.append((doc[first], begin[first] - bounds[doc[first]], count, hashes[anchor[first]],
-                        mix(pair(whole[lo], whole[lo + count - 1]) + count.astype(U64))))
+                        *(mix(pair(x[lo], x[lo + count - 1]) + count.astype(U64)) for x in whole)))
         at += size
+    names = ["doc", "start", "n", "anchor", *(["content"] if contents else [])]
     if not out:
-        out = [tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, U64, U64))]
-    doc, start, n, anchor, content = (np.concatenate(x) for x in zip(*out, strict=True))
-    return {"doc": doc, "start": start, "n": n, "anchor": anchor, "content": content}
+        out = [tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, U64, U64)[: len(names)])]
+    return dict(zip(names, map(np.concatenate, zip(*out, strict=True)), strict=True))
