@@ -33,6 +33,8 @@ from __future__ import annotations
 import functools
 import hashlib
 import re
+from collections.abc import Callable
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -156,6 +158,13 @@ def aligner_of(paths: tuple[str, str, str]) -> Aligner:
     return Aligner(*paths)
 
 
+def _join(parts: list[bytes], ids: list[list[int]], of: Callable[[int], bytes], length: np.ndarray) -> bool:
+    """Do the tokens of every part join to it?  (All bytes at once, and each part's length.)"""
+    flat = list(chain.from_iterable(ids))
+    ends = np.concatenate(([0], np.cumsum(length[np.array(flat, np.int64)])))[np.cumsum([*map(len, ids)])]
+    return np.array_equal(ends, np.cumsum([*map(len, parts)])) and b"".join(map(of, flat)) == b"".join(parts)
+
+
 class Aligner:
     """Chunks of texts in both tokenizers."""
 
@@ -178,6 +187,9 @@ class Aligner:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         self.length_a, self.length_b = (np.array([len(x) for x in y]) for y in (self.bytes_a, self.bytes_b))
+        #: each id with each mark that follows it in a digest's text
+        self.names = np.array([*(f"{i}{mark}" for i in range(len(self.bytes_a)) for mark in ",|"),
+                               *(f"{i}{mark}" for i in range(len(self.bytes_b)) for mark in (",", ";", ""))], object)
         #: no piece goes on with a space after another character
         self.separable = not any(re.search("[^▁]▁", p) for p in pieces)
         self.forget()
@@ -228,30 +240,30 @@ class Aligner:
         a = [self.whole_a.encode(t, add_special_tokens=False).ids for t in texts] if whole else list(map(self.encode_a, texts))
         b = self.b.encode([t[1:] for t in texts], num_threads=1)
         of_a, of_b = self.bytes_a.__getitem__, self.bytes_b.__getitem__
+        if all(_join(parts, ids, of, length) for ids, of, length in ((a, of_a, self.length_a), (b, of_b, self.length_b))):
+            return list(zip(a, b, strict=True))
         return [(x, y) if b"".join(map(of_a, x)) == p == b"".join(map(of_b, y)) else None for p, x, y in zip(parts, a, b, strict=True)]
 
     def learn(self, tokens: list[tuple[list[int], list[int]]]) -> None:
         """Adds chunks of these tokens: one block-diagonal product for all."""
         if not tokens:
             return
-        a, b = ([i for pair in tokens for i in pair[side]] for side in (0, 1))
-        ids_a, ids_b = np.array(a, np.int64), np.array(b, np.int64)
+        ids_a, ids_b = (np.array(list(chain.from_iterable(pair[side] for pair in tokens)), np.int64) for side in (0, 1))
         n_a, n_b = (np.array([len(pair[side]) for pair in tokens]) for side in (0, 1))
         ends_a, ends_b = np.cumsum(self.length_a[ids_a]), np.cumsum(self.length_b[ids_b])
-        overlap = overlaps(ends_a, ends_b)
-        i, j = overlap.pairs()
-        end = ends_a[i] == ends_b[j]                  # of the overlapping tokens, those that end together
-        i, j = i[end], j[end]
+        i, j = together(ends_a, ends_b).pairs()
         both, group_a, group_b = groups(ends_a, ends_b)
-        each = np.arange(len(both) + 1)
-        cuts_a, cuts_b = np.searchsorted(group_a, each).tolist(), np.searchsorted(group_b, each).tolist()
-        names_a, names_b = list(map(str, a)), list(map(str, b))
-        written = [",".join(names_a[p:q]) + "|" + ",".join(names_b[r:s])
-                   for p, q, r, s in zip(cuts_a, cuts_a[1:], cuts_b, cuts_b[1:], strict=False)]
         last = np.cumsum(n_a)
-        upto = np.searchsorted(both, ends_a[last - 1], "right")
-        cuts = [0, *upto.tolist()]
-        self.texts += [";".join(written[p:q]) for p, q in zip(cuts, cuts[1:], strict=False)]
+        cuts = np.concatenate(([0], np.searchsorted(both, ends_a[last - 1], "right")))
+        # a token's name with the mark that follows it: a comma within its side of
+        # a group, a bar after A, a semicolon after B, nothing after a chunk's last group
+        end_a, end_b = np.diff(group_a, append=-1) != 0, np.diff(group_b, append=-1) != 0
+        mark_b = end_b.astype(np.int64)
+        mark_b[np.cumsum(n_b) - 1] = 2
+        order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
+        names = self.names[np.concatenate([2 * ids_a + end_a, len(self.bytes_a) * 2 + 3 * ids_b + mark_b])[order]].tolist()
+        upto = [0, *np.cumsum(n_a + n_b).tolist()]
+        self.texts += ["".join(names[p:q]) for p, q in zip(upto, upto[1:], strict=False)]
         links = np.searchsorted(i, last)
         for grown, values in zip(self.sizes, (n_a, n_b, np.diff(cuts), np.diff(links, prepend=0)), strict=True):
             grown.extend(values)
@@ -267,14 +279,14 @@ class Aligner:
             self.thin()
         known, alone = self.known, []
         parts = [None if not t or not self.separable or _ODD.search(t) else CHUNK.findall(b" " + t) for t in texts]
-        new = list(dict.fromkeys(p for some in parts if some for p in some if p not in known))
+        new = [p for p in dict.fromkeys(chain.from_iterable(some for some in parts if some)) if p not in known]
         long = [p for p in new if len(p) > REMEMBERED_BYTES]
         self._know([p for p in new if len(p) <= REMEMBERED_BYTES])
         self.kept = len(self.texts)
         self._know(long)
         out: list[list[int]] = []
         for d, some in enumerate(parts):
-            numbers = [known[p] for p in some] if some else []
+            numbers = list(map(known.__getitem__, some)) if some else []
             if texts[d] and (not numbers or -1 in numbers):
                 alone.append(d)
                 numbers = []
@@ -286,7 +298,7 @@ class Aligner:
             if one is not None:
                 out[d] = [len(self.texts)]
                 self.learn([one])
-        used = np.fromiter((c for some in out for c in some), np.int64)
+        used = np.fromiter(chain.from_iterable(out), np.int64)
         self.uses.at[:self.kept] += np.bincount(used[used < self.kept], minlength=self.kept)
         return out
 
@@ -313,7 +325,7 @@ def _blocks(docs: DataFrame, paths: tuple[str, str, str]) -> DataFrame:
             data, offsets = K.column_bytes(batch.column(1))
             for lo, hi in K.steps(offsets, BLOCK_BYTES):
                 chunks = aligner.documents([data[offsets[d]: offsets[d + 1]].tobytes() for d in range(lo, hi)])
-                flat = np.array([c for some in chunks for c in some], np.int64)
+                flat = np.fromiter(chain.from_iterable(chunks), np.int64)
                 cuts = np.cumsum([0, *map(len, chunks)])
                 sums = [np.diff(np.concatenate(([0], np.cumsum(g.at[flat])))[cuts]) for g in aligner.sizes]
                 count = aligner.sizes[3].at[flat]
