@@ -365,3 +365,19 @@ def test_pipeline_stages(spark, corpus, tmp_path):
         before = now.count()
     out = corpus_pipeline.run(spark, str(tmp_path))
     assert {r.doc_id for r in out.collect()} == {r.doc_id for r in now.collect()}
+
+
+def test_secret_training_makes_findings_once_with_a_short_plan(spark):
+    """The driver holds and copies the plan at every step; the count and the
+    forest's jobs used to make the findings anew, with thousands of literals."""
+    every = secrets.labelled_findings(spark, 2)
+    assert every._jdf.queryExecution().analyzed().toJSON().count('"class"') < 3000
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("boolean")
+    def keep(value):
+        made.add(1)
+        return True
+
+    secrets.train(every.where(keep("value")))
+    assert made.value == every.count() > 0

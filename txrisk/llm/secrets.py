@@ -33,6 +33,7 @@ of any length.
 from __future__ import annotations
 
 import functools
+from collections.abc import Sequence
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -40,7 +41,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from txrisk.llm.common import let, text_of
+from txrisk.llm.common import let, stored, text_of
 
 TREES, TREE_DEPTH, SEED = 40, 7, 7
 #: Rows that the rule makes of each kind of labelled finding.
@@ -168,35 +169,51 @@ def with_features(found: DataFrame) -> DataFrame:
     })
 
 
+def _element(words: Sequence[str], place: Column) -> Column:
+    """The word at a place from 0.  The list is one literal that is split once
+    when the plan is made; a literal for each word made plans of thousands of
+    expressions, which the driver copied at every step."""
+    return F.get(F.split(F.lit("\x1f".join(words)), "\x1f"), place.cast("int"))
+
+
 def labelled_findings(spark: SparkSession, per_kind: int = LABELLED_PER_KIND) -> DataFrame:
-    """Labelled findings (value, before, after, label), made from a rule."""
+    """Labelled findings (value, before, after, label), made from a rule.
+
+    What several kinds share is a column of the rows, not an expression that
+    each kind repeats."""
     n = F.col("id").cast("string")
-    hexa = F.sha2(n, 256)
-    upper = F.upper(F.md5(n))
-    b64 = F.translate(F.base64(F.unhex(F.sha2(F.concat(n, F.lit("b")), 512))), "\n\r", "")
-    word = F.element_at(F.array(*map(F.lit, DICTIONARY)), (F.pmod(F.xxhash64("id"), F.lit(len(DICTIONARY))) + 1).cast("int"))
-    other = F.element_at(F.array(*map(F.lit, DICTIONARY)), (F.pmod(F.xxhash64(n), F.lit(len(DICTIONARY))) + 1).cast("int"))
-    digits = F.lpad(F.abs(F.xxhash64("id")).cast("string"), 19, "4")
+    first, then = {}, {}
 
-    def one(*options: str) -> Column:
-        return F.element_at(F.array(*map(F.lit, options)), (F.pmod(F.xxhash64(F.lit(5), "id"), F.lit(len(options))) + 1).cast("int"))
+    def column(made: dict[str, Column], name: str, value: Column) -> Column:
+        made[name] = value
+        return F.col(name)
 
-    keys = one("token = \"", "secret: \"", "api_key=\"", "password = '", "ACCESS_KEY: \"", "auth_token=", "client_secret = \"", "TOKEN = \"")
-    plain_keys = one("password: ", "DB_PASSWORD = ", "PASS1=", "passwd: ", "PGPASSWORD=", "secret: ", "user_pwd = ", "passphrase: ",
-                     "password => ", "auth_token: ", "client_secret = ", "pass2 = ", "api_key: ")
-    quoted = one("password: \"", "\"password\": \"", "PASSPHRASE = \"", "pwd=\"", "db_passwd = \"", "pass1: \"")
-    mark, mark2 = one("!", "&", "#", "@", "$", "*", "%", "^"), one("x", "Q", "7v", "!", "zK", "?")
-    leet = F.concat(F.initcap(F.translate(word, "oeia", "0314")), mark, F.substring(digits, 5, 2), mark2)
-    mixed = F.concat(F.substring(b64, 9, 4), mark, F.substring(b64, 15, 4))
+    def one(*options: str) -> Column:
+        return _element(options, F.pmod(F.xxhash64(F.lit(5), "id"), F.lit(len(options))))
 
     def common(salt: int) -> Column:
-        return F.element_at(F.array(*map(F.lit, COMMON)), (F.pmod(F.xxhash64(F.lit(salt), "id"), F.lit(len(COMMON))) + 1).cast("int"))
-
+        return _element(COMMON, F.pmod(F.xxhash64(F.lit(salt), "id"), F.lit(len(COMMON))))
+
+    hexa = column(first, "hexa", F.sha2(n, 256))
+    upper = column(first, "upper", F.upper(F.md5(n)))
+    b64 = column(first, "b64", F.translate(F.base64(F.unhex(F.sha2(F.concat(n, F.lit("b")), 512))), "\n\r", ""))
+    word = column(first, "word", _element(DICTIONARY, F.pmod(F.xxhash64("id"), F.lit(len(DICTIONARY)))))
+    other = column(first, "other", _element(DICTIONARY, F.pmod(F.xxhash64(n), F.lit(len(DICTIONARY)))))
+    digits = column(first, "digits", F.lpad(F.abs(F.xxhash64("id")).cast("string"), 19, "4"))
+    keys = column(first, "keys", one("token = \"", "secret: \"", "api_key=\"", "password = '", "ACCESS_KEY: \"", "auth_token=", "client_secret = \"", "TOKEN = \""))
+    plain_keys = column(first, "plain_keys", one(
+        "password: ", "DB_PASSWORD = ", "PASS1=", "passwd: ", "PGPASSWORD=", "secret: ", "user_pwd = ", "passphrase: ",
+        "password => ", "auth_token: ", "client_secret = ", "pass2 = ", "api_key: "))
+    quoted = column(first, "quoted", one("password: \"", "\"password\": \"", "PASSPHRASE = \"", "pwd=\"", "db_passwd = \"", "pass1: \""))
+    mark = column(first, "mark", one("!", "&", "#", "@", "$", "*", "%", "^"))
+    mark2 = column(first, "mark2", one("x", "Q", "7v", "!", "zK", "?"))
+    leet = column(then, "leet", F.concat(F.initcap(F.translate(word, "oeia", "0314")), mark, F.substring(digits, 5, 2), mark2))
+    mixed = column(then, "mixed", F.concat(F.substring(b64, 9, 4), mark, F.substring(b64, 15, 4)))
     def key_block(kind: str, *head: str, gap: str = "\n") -> Column:
         return F.concat(F.lit(gap.join([f"-----BEGIN {kind}-----", *head, ""])), b64, F.lit(f"{gap}-----END {kind}-----"))
 
-    prose = one("and then the ", "see also ", "of the ", "with ", "| ", "for ")
-    uuid = F.concat_ws("-", F.substring(hexa, 1, 8), F.substring(hexa, 9, 4), F.substring(hexa, 13, 4), F.substring(hexa, 17, 4), F.substring(hexa, 21, 12))
+    prose = column(first, "prose", one("and then the ", "see also ", "of the ", "with ", "| ", "for "))
+    uuid = column(then, "uuid", F.concat_ws("-", F.substring(hexa, 1, 8), F.substring(hexa, 9, 4), F.substring(hexa, 13, 4), F.substring(hexa, 17, 4), F.substring(hexa, 21, 12)))
     kinds = [  # value, before, after, label
         (F.substring(hexa, 1, 40), keys, F.lit("\" the"), 1), (F.upper(F.substring(hexa, 1, 40)), keys, F.lit("\"!! A"), 1),
         (F.substring(hexa, 1, 32), keys, F.lit("\""), 1), (hexa, keys, F.lit("\" "), 1),
@@ -237,16 +254,18 @@ def labelled_findings(spark: SparkSession, per_kind: int = LABELLED_PER_KIND) ->
         (F.concat(word, other), one("type = \"", "class=\"", "name: \""), F.lit("\""), 0),
     ]
     rows = F.array(*[F.struct(v.cast("string").alias("value"), b.alias("before"), a.alias("after"), F.lit(y).alias("label")) for v, b, a, y in kinds])
-    return spark.range(per_kind).select(F.explode(rows).alias("r")).select("r.*")
+    return spark.range(per_kind).withColumns(first).withColumns(then).select(F.explode(rows).alias("r")).select("r.*")
 
 
 def train(labelled: DataFrame) -> RandomForestClassificationModel:
     """Forest on labelled findings (value, before, after, label 0 or 1).
 
     The rows are spread and sorted by their content, so that the forest does
-    not depend on the order in which they come."""
-    known = with_features(labelled).select(*FEATURES, F.col("label").cast("double").alias("label"))
-    tasks = max(1, -(-labelled.count() // LABELLED_A_TASK))
+    not depend on the order in which they come.  Their features are a stored
+    table: the count and the forest's jobs read it, with a short plan, and
+    neither the findings nor the features are computed again."""
+    known = stored(with_features(labelled).select(*FEATURES, F.col("label").cast("double").alias("label")))
+    tasks = max(1, -(-known.count() // LABELLED_A_TASK))
     spread = known.repartition(tasks, *FEATURES).sortWithinPartitions(*FEATURES, "label")
     rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(spread)
     return RandomForestClassifier(numTrees=TREES, maxDepth=TREE_DEPTH, seed=SEED, labelCol="label",
