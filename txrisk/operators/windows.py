@@ -16,7 +16,9 @@ between is the carry: rows before the slice less the rows that have left before
 it, two running sums over the slices' totals.
 
 :func:`range_window_features_prefix` computes the same features by running
-sums over one range-partitioned sort of (key, time).
+sums over one range-partitioned sort of (key, time): a task has a stretch of
+the sorted rows instead of hashed keys, the slices are as long as the stretches,
+and sums of any size are exact.
 """
 
 from __future__ import annotations
@@ -47,9 +49,13 @@ SLICES = 1 << 16
 TICK_US = 60_000_000
 #: Rows that one array step takes at least (whole groups).
 STEP_ROWS = 1 << 16
+#: Rows of a range of the sorted rows, about: a task sorts them without spilling.
+RANGE_ROWS = 1 << 17
 
 _LOW = 20  # a squared amount is split in parts of so many bits
 _MEASURES = ("n", "m", "s", "hi", "lo")
+_WIDE = ("sx", "hx")  # what s and hi have beyond _WORD bits
+_WORD = 62
 _TOTALS = {"tx_count_total": "int", "_total_cents": "long", "_amounts": "long", "amount_std_total": "double",
            "channel_diversity": "int", "location_diversity": "int", "_online": "long"}
 
@@ -79,17 +85,34 @@ def _slice(time: Column) -> Column:
     return F.when(time.isNull(), -1).when(F.col("starts").isNull(), 0).otherwise(F.size(F.filter("starts", lambda x: x <= time)))
 
 
-def _carries(rows: DataFrame) -> DataFrame:
+def _stays(us: int) -> Column:
+    """Whether a row leaves a frame in its own slice (``_end``: the next one's start)."""
+    return F.coalesce(F.col("_t") + us < F.col("_end"), F.lit(True))
+
+
+def _sliced(rows: DataFrame) -> DataFrame:
+    """Rows with the number of their slice (_part) and its _end."""
+    return rows.withColumn("_part", _slice(F.col("_t"))).withColumn("_end", F.get("starts", "_part"))
+
+
+def _leaving(rows: DataFrame) -> DataFrame:
+    """Timed rows of dense keys with their slice and those in which they leave the frames (_out<frame>)."""
+    return _sliced(rows.where(F.col("starts").isNotNull() & F.col("_t").isNotNull())).withColumns({
+        f"_out{f}": F.when(_stays(us), F.col("_part")).otherwise(_slice(F.col("_t") + us)) for f, us in FRAMES.items()})
+
+
+def _carries(rows: DataFrame, wide: bool = False) -> DataFrame:
     """(_dense, _part, <measure><frame>): what a slice's frames hold of the
     rows before it that neither it nor its halo shows."""
     square = F.col("_cents").cast("decimal(38,0)") * F.col("_cents").cast("decimal(38,0)")
-    entries = [F.struct(F.lit(f).alias("frame"), F.lit(sign).alias("sign"), _slice(F.col("_t") + shift).alias("part"))
-               for f, us in FRAMES.items() for sign, shift in ((1, 0), (-1, us))]
-    some = rows.where(F.col("starts").isNotNull() & F.col("_t").isNotNull()).select(
+    amount = F.col("_cents").cast("decimal(38,0)") if wide else F.col("_cents")
+    entries = [F.struct(F.lit(f).alias("frame"), F.lit(sign).alias("sign"), F.col(part).alias("part"))
+               for f in FRAMES for sign, part in ((1, "_part"), (-1, f"_out{f}"))]
+    some = _leaving(rows).select(
         "_dense", "_cents", square.alias("square"), F.explode(F.array(*entries)).alias("e"))
     sign = F.col("e.sign")
     totals = some.groupBy("_dense", F.col("e.part").alias("_part"), F.col("e.frame").alias("frame")).agg(
-        F.sum(sign).alias("n"), F.sum(F.when(F.col("_cents").isNotNull(), sign)).alias("m"), F.sum(sign * F.col("_cents")).alias("s"),
+        F.sum(sign).alias("n"), F.sum(F.when(F.col("_cents").isNotNull(), sign)).alias("m"), F.sum(sign * amount).alias("s"),
         F.sum(sign * F.col("square")).alias("ss"))
     before = Window.partitionBy("_dense", "frame").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     running = totals.select("_dense", "_part", "frame", *[F.coalesce(F.sum(x).over(before), F.lit(0)).alias(x) for x in ("n", "m", "s", "ss")])
@@ -109,17 +132,27 @@ def _squares(amounts: np.ndarray) -> tuple[list[np.ndarray], bool]:
     return [_running(high * high), _running(high * low), _running(low * low)], True
 
 
-def _high_low(parts: list[np.ndarray], plain: bool) -> tuple[np.ndarray, np.ndarray]:
+def _high_low(parts: list[np.ndarray], plain: bool, wide: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """A sum of squares as ``high * 2**40 + low``."""
     if not plain:
-        return np.array([int(x) >> 40 for x in parts[0]], np.int64), np.array([int(x) & ((1 << 40) - 1) for x in parts[0]], np.int64)
+        return (np.array([int(x) >> 40 for x in parts[0]], object if wide else np.int64),
+                np.array([int(x) & ((1 << 40) - 1) for x in parts[0]], np.int64))
     twice = 2 * parts[1]
     return parts[0] + (twice >> _LOW), ((twice & ((1 << _LOW) - 1)) << _LOW) + parts[2]
 
 
+def _words(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whole numbers of any size as ``high * 2**_WORD + low``."""
+    if values.dtype != object:
+        return np.zeros(len(values), np.int64), values
+    return (np.array([int(x) >> _WORD for x in values], np.int64),
+            np.array([int(x) & ((1 << _WORD) - 1) for x in values], np.int64))
+
+
 def _frames(group: np.ndarray, time: np.ndarray, amount: np.ndarray, there: np.ndarray, kind: np.ndarray,
-            leaves: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-    """Measures of the frames of the rows of kind 0 (rows by group and time)."""
+            leaves: dict[str, np.ndarray], wide: bool = False) -> dict[str, np.ndarray]:
+    """Measures of the frames of the rows of kind 0 (rows by group and time).
+    ``wide``: sums may not fit 64 bits (else they must)."""
     span = int(time.max()) - int(time.min()) + WEEK_US + DAY_US
     at = group * span + (time - time.min())
     own = kind == 0
@@ -130,6 +163,8 @@ def _frames(group: np.ndarray, time: np.ndarray, amount: np.ndarray, there: np.n
     def sums(rows: np.ndarray, a: np.ndarray, b: np.ndarray) -> list:
         value = np.where(there[rows], amount[rows], 0)
         squares, plain = _squares(value)
+        if wide and len(value) and max(abs(int(value.min())), abs(int(value.max()))) * len(value) >= 1 << _WORD:
+            value = np.array([int(x) for x in value], object)
         return [b - a, *(r[b] - r[a] for r in (_running(there[rows].astype(np.int64)), _running(value))),
                 [r[b] - r[a] for r in squares], plain]
 
@@ -142,9 +177,12 @@ def _frames(group: np.ndarray, time: np.ndarray, amount: np.ndarray, there: np.n
         if now[4] != gone[4]:  # one side needs whole numbers of any size
             now[3], gone[3] = ([_whole(x)] if plain else x for x, plain in ((now[3], now[4]), (gone[3], gone[4])))
         both = now[4] and gone[4]
-        high, low = _high_low([x - y for x, y in zip(now[3], gone[3], strict=True)], both)
+        high, low = _high_low([x - y for x, y in zip(now[3], gone[3], strict=True)], both, wide)
         now[4] = both
         out |= {f"n{f}": now[0] - gone[0], f"m{f}": now[1] - gone[1], f"s{f}": now[2] - gone[2], f"hi{f}": high, f"lo{f}": low}
+        if wide:
+            for whole, beyond in (("s", "sx"), ("hi", "hx")):
+                out[f"{beyond}{f}"], out[f"{whole}{f}"] = _words(out[f"{whole}{f}"])
     return out
 
 
@@ -191,7 +229,11 @@ def _group_totals(table: pa.Table, amount: str, channel: str, location: str) ->
     return {name: values[group] for name, values in found.items()}
 
 
-def _measured(table: pa.Table, payload: list[str], totals: tuple[str, str, str] | None) -> Iterator[pa.RecordBatch]:
+def _measures(wide: bool) -> tuple[str, ...]:
+    return (*_MEASURES, *_WIDE) if wide else _MEASURES
+
+
+def _measured(table: pa.Table, payload: list[str], totals: tuple[str, str, str] | None, wide: bool = False) -> Iterator[pa.RecordBatch]:
     group = _groups(table, "_slice")
     if totals:
         for name, values in _group_totals(table, *totals).items():
@@ -207,17 +249,17 @@ def _measured(table: pa.Table, payload: list[str], totals: tuple[str, str, str]
     at_once = max(1, (1 << 62) // (int(time.max()) - int(time.min()) + WEEK_US + DAY_US))
     for first in range(0, int(group[-1]) + 1, at_once):
         a, b = np.searchsorted(group, [first, first + at_once])
-        found = _frames(group[a:b] - first, time[a:b], amount[a:b], there[a:b], kind[a:b], {f: x[a:b] for f, x in leaves.items()})
+        found = _frames(group[a:b] - first, time[a:b], amount[a:b], there[a:b], kind[a:b], {f: x[a:b] for f, x in leaves.items()}, wide)
         rows = table.slice(a, b - a)
         if kind[a:b].any():
             rows = rows.filter(pa.array(kind[a:b] == 0))
         rows = rows.select([*payload, "_key", "_part"])
-        for name, values in found.items():
-            rows = rows.append_column(name, pa.array(values))
+        for name in (f"{x}{f}" for f in FRAMES for x in _measures(wide)):
+            rows = rows.append_column(name, pa.array(found[name]))
         yield from rows.combine_chunks().to_batches(max_chunksize=20_000)
 
 
-def _linear_pass(payload: list[str], totals: tuple[str, str, str] | None):
+def _linear_pass(payload: list[str], totals: tuple[str, str, str] | None, wide: bool = False):
     """mapInArrow function over rows sorted by (_key, _part, _slice, _t); a step
     takes whole groups of (_key, _part)."""
     def run(batches):
@@ -230,11 +272,11 @@ def _linear_pass(payload: list[str], totals: tuple[str, str, str] | None):
                 group = _groups(table, "_part")
                 edge = int(np.searchsorted(group, group[-1]))  # the last group may go on
                 if edge:
-                    yield from _measured(table.slice(0, edge), payload, totals)
+                    yield from _measured(table.slice(0, edge), payload, totals, wide)
                 waiting, size = table.slice(edge).to_batches(), size - edge
                 target = max(STEP_ROWS, 2 * size)
         if size:
-            yield from _measured(pa.Table.from_batches(waiting), payload, totals)
+            yield from _measured(pa.Table.from_batches(waiting), payload, totals, wide)
     return run
 
 
@@ -255,12 +297,20 @@ def range_window_features(df: DataFrame, key: str = "customer_id", ts: str = "ti
     takes one job over the key column.  The frame is read up to five times, so
     it is stored once, unless it is a ``stored`` table already.
     """
-    if not stored:
-        df = cut_lineage(df)
-    dec = "decimal(38,0)"
+    return _windows(df if stored else cut_lineage(df), key, ts, amount, slice_rows, totals)
+
+
+def _windows(df: DataFrame, key: str, ts: str, amount: str, slice_rows: int, totals: tuple[str, str] | None = None,
+             ranges: int | None = None) -> DataFrame:
+    """The features of a stored frame.  ``ranges``: the rows are dealt out in so
+    many ranges of (key, slice), not by hash, and sums of any size are exact."""
+    dec, wide = "decimal(38,0)", ranges is not None
     payload = [f"_p{i}" for i in range(len(df.columns))]
     place = dict(zip(df.columns, payload, strict=True))
 
+    def dealt(rows: DataFrame) -> DataFrame:
+        return rows.repartition("_key", "_part") if ranges is None else rows.repartitionByRange(ranges, "_key", "_part")
+
     def keyed(rows: DataFrame, *also: str) -> DataFrame:
         return rows.select(F.col(key).alias("_key"), epoch_micros(F.col(ts)).alias("_t"), cents(F.col(amount)).alias("_cents"),
                            *[F.col(c).alias(p) for c, p in place.items()], *also)
@@ -270,33 +320,39 @@ def range_window_features(df: DataFrame, key: str = "customer_id", ts: str = "ti
     plain = ["_key", "_t", "_cents"]
     if slices is None:
         # a key is one part; what is derived from a row is added after the shuffle
-        rows = df.withColumns({"_key": F.col(key), "_part": F.col(key).isNull().cast("int")}).repartition("_key", "_part")
+        rows = dealt(df.withColumns({"_key": F.col(key), "_part": F.col(key).isNull().cast("int")}))
         rows = keyed(rows, "_part").select(
             *plain, *payload, "_part", F.when(F.col("_t").isNull(), -1).otherwise(0).alias("_slice"), F.lit(0).alias("_kind"),
             *[F.lit(True).alias(f"_leaves{f}") for f in FRAMES])
     else:
-        marked = base.join(F.broadcast(slices), F.col("_key").eqNullSafe(F.col("_dense")), "left")
-        own = marked.select("*", _slice(F.col("_t")).alias("_part"), *[_slice(F.col("_t") + us).alias(f"_out{f}") for f, us in FRAMES.items()])
-        copies = F.array(F.struct(F.lit(0).alias("kind"), F.col("_part").alias("part")), *[
-            F.when(F.col(f"_out{f}") != F.col("_part"), F.struct(F.lit(int(f)).alias("kind"), F.col(f"_out{f}").alias("part"))) for f in FRAMES])
-        spread = own.withColumn("_e", F.explode(F.filter(copies, lambda x: x.isNotNull())))
-        kind = F.col("_e.kind")
-        rows = spread.select(*plain, *[F.when(kind == 0, F.col(p)).alias(p) for p in payload], F.col("_e.part").alias("_slice"),
-                             F.when(F.col("starts").isNull(), 0).otherwise(F.col("_e.part")).alias("_part"), kind.alias("_kind"), *[((kind == int(f)) | ((kind == 0) & (F.col(f"_out{f}") == F.col("_part")))).alias(f"_leaves{f}")
-                                                    for f in FRAMES])
+        own = _sliced(base.join(F.broadcast(slices), F.col("_key").eqNullSafe(F.col("_dense")), "left")).select(
+            *plain, *payload, F.col("_part").alias("_slice"), F.when(F.col("starts").isNull(), 0).otherwise(F.col("_part")).alias("_part"),
+            F.lit(0).alias("_kind"), *[_stays(us).alias(f"_leaves{f}") for f, us in FRAMES.items()])
+        dense_rows = base.select(*plain).join(F.broadcast(slices), F.col("_key").eqNullSafe(F.col("_dense")))
+        copies = F.array(*[F.when(F.col(f"_out{f}") != F.col("_part"), F.struct(F.lit(int(f)).alias("kind"), F.col(f"_out{f}").alias("part"))) for f in FRAMES])
+        halo = _leaving(dense_rows).select(*plain, F.explode(F.filter(copies, lambda x: x.isNotNull())).alias("_e")).select(
+            *plain, *[F.lit(None).cast(base.schema[p].dataType).alias(p) for p in payload], F.col("_e.part").alias("_slice"),
+            F.col("_e.part").alias("_part"), F.col("_e.kind").alias("_kind"), *[(F.col("_e.kind") == int(f)).alias(f"_leaves{f}") for f in FRAMES])
+        rows = own.unionByName(halo)
     schema = ", ".join(f"{p} {f.dataType.simpleString()}" for p, f in zip(payload, df.schema, strict=True)) \
         + (", " + ", ".join(f"_total{x} {t}" for x, t in _TOTALS.items()) if totals else "") \
-        + f", _key {base.schema['_key'].dataType.simpleString()}, _part int, " + ", ".join(f"{x}{f} long" for f in FRAMES for x in _MEASURES)
+        + f", _key {base.schema['_key'].dataType.simpleString()}, _part int, " + ", ".join(f"{x}{f} long" for f in FRAMES for x in _measures(wide))
     if slices is not None:
         # (key, slice): by the key alone a dense key would lie in one task
-        rows = rows.repartition("_key", "_part")
+        rows = dealt(rows)
     found = rows.sortWithinPartitions("_key", "_part", "_slice", "_t").mapInArrow(
-        _linear_pass(payload, (place[amount], *(place[c] for c in totals)) if totals else None), schema)
+        _linear_pass(payload, (place[amount], *(place[c] for c in totals)) if totals else None, wide), schema)
     whole = [F.col(f"_total{x}").alias(x) for x in _TOTALS] if totals else []
-    measure = {f"{x}{f}": F.col(f"{x}{f}") for f in FRAMES for x in ("n", "m", "s")}
-    measure["ss7"] = (F.col("hi7").cast(dec) * F.lit(1 << 40).cast("decimal(13,0)")).cast(dec) + F.col("lo7")
+    def whole_number(low: str, beyond: str) -> Column:
+        if not wide:
+            return F.col(low)
+        some = (F.col(beyond).cast(dec) * F.lit(1 << _WORD).cast("decimal(19,0)")).cast(dec) + F.col(low)
+        return F.when(F.col(beyond) == 0, F.col(low).cast(dec)).otherwise(some.cast(dec))
+
+    measure = {f"{x}{f}": F.col(f"{x}{f}") for f in FRAMES for x in ("n", "m")} | {f"s{f}": whole_number(f"s{f}", f"sx{f}") for f in FRAMES}
+    measure["ss7"] = (whole_number("hi7", "hx7").cast(dec) * F.lit(1 << 40).cast("decimal(13,0)")).cast(dec) + F.col("lo7")
     if slices is not None:
-        carry = _carries(base.select(*plain).join(F.broadcast(slices), F.col("_key").eqNullSafe(F.col("_dense"))))
+        carry = _carries(dense_rows, wide)
         if totals:  # a slice does not see the whole of its key
             dense = df.join(F.broadcast(slices.select("_dense")), F.col(key).eqNullSafe(F.col("_dense")), "left_semi")
             sums = _sums(dense, key, amount, *totals).select(F.col(key).alias("_owner"), F.struct(*_TOTALS).alias("_sums"))
@@ -304,7 +360,7 @@ def range_window_features(df: DataFrame, key: str = "customer_id", ts: str = "ti
             whole = [F.coalesce(F.col(f"_sums.{x}"), F.col(f"_total{x}")).alias(x) for x in _TOTALS]
         found = found.join(F.broadcast(carry.withColumnRenamed("_part", "_of")), F.col("_key").eqNullSafe(F.col("_dense"))
                            & (F.col("_part") == F.col("_of")), "left")
-        measure = {x: (c + F.coalesce(F.col(f"_c{x}"), F.lit(0))).cast(dec if x == "ss7" else "long") for x, c in measure.items()}
+        measure = {x: (c + F.coalesce(F.col(f"_c{x}"), F.lit(0))).cast(dec if x == "ss7" or wide and x[0] == "s" else "long") for x, c in measure.items()}
     found = found.select(*[F.col(p).alias(c) for c, p in zip(df.columns, payload, strict=True)], *[c.alias(f"_{x}") for x, c in measure.items()],
                          *whole)
     n7, s7 = F.col("_m7"), F.col("_s7")
@@ -312,7 +368,7 @@ def range_window_features(df: DataFrame, key: str = "customer_id", ts: str = "ti
     return found.select(
         *df.columns,
         F.col("_n1").cast("double").alias("tx_count_24h"),
-        F.when(F.col("_m1") > 0, F.col("_s1") / F.lit(100.0)).alias("amount_sum_24h"),
+        F.when(F.col("_m1") > 0, F.col("_s1").cast("double") / F.lit(100.0)).alias("amount_sum_24h"),
         F.when(n7 > 0, s7.cast("double") / n7 / F.lit(100.0)).alias("amount_mean_7d"),
         F.when(n7 > 1, F.sqrt(spread7 / (n7 * (n7 - 1)).cast("double")) / F.lit(100.0)).otherwise(F.lit(0.0))
         .alias("amount_std_7d"),
@@ -361,65 +417,19 @@ def range_window_features_prefix(df: DataFrame, key: str = "customer_id", ts: st
     Frame aggregates are differences of prefix sums: for a row at time t,
     ``count_24h = N(<= t) - N(< t - 24h)`` and likewise for sums of cents and
     squared cents (exact decimals).  The prefix values come from ONE sort:
-    the rows are unioned with three boundary points per row (t after its
-    peers, t - 24h and t - 7d before theirs), range-partitioned on
-    (key, time) so a dense key is split across tasks by time, summed
-    inside each partition, and offset by the totals of the key's earlier
-    partitions (a table of partitions x keys rows).  The boundary values
-    are then pivoted back per row.  Row ids and range-partition ids are
-    frozen by reliable checkpoints, so recomputation after a lost executor
-    joins back to the same rows and partitions.
+    the rows are range-partitioned on (key, time), so a dense key is split
+    across tasks by time, and summed inside each partition, where a row's own
+    points (t after its peers, t - 24h and t - 7d before theirs) are looked up
+    and are no rows of their own.  A point that lies in an earlier partition is
+    answered by the rows that leave the frames in this one, which come along
+    without payload, and by the totals of the key's earlier partitions (a table
+    of slices of dense keys).  Every row is so stored once and shuffled once.
+    Rows of one key and minute, or of one key without time, stay together.
+    The input is frozen by a stored table; there are as many partitions as the
+    session's shuffles have, more where they would exceed ``RANGE_ROWS`` rows.
     """
-    spark = df.sparkSession
-    nparts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    base = (df.withColumn("_t", epoch_micros(F.col(ts))).withColumn("_cents", cents(F.col(amount)))
-            .withColumn("_rid", F.monotonically_increasing_id()))
-    base = cut_lineage(base)
-    dec = "decimal(38,0)"
-    c = F.col("_cents").cast(dec)
-    zero = F.lit(0).cast(dec)
-    events = base.select(F.col(key), F.col("_t").alias("_q"), F.lit(1).alias("_ord"),
-                         F.lit(None).cast("long").alias("_rid"), F.lit(None).cast("int").alias("_kind"),
-                         F.lit(1).cast("long").alias("_n"), F.when(c.isNotNull(), 1).otherwise(0).cast("long").alias("_m"),
-                         F.coalesce(c, zero).alias("_s"), F.coalesce((c * c).cast(dec), zero).alias("_ss"))
-    bounds = F.explode(F.array(
-        F.struct(F.col("_t").alias("_q"), F.lit(2).alias("_ord"), F.lit(0).alias("_kind")),
-        F.struct((F.col("_t") - F.lit(DAY_US)).alias("_q"), F.lit(0).alias("_ord"), F.lit(1).alias("_kind")),
-        F.struct((F.col("_t") - F.lit(WEEK_US)).alias("_q"), F.lit(0).alias("_ord"), F.lit(2).alias("_kind")),
-    )).alias("_b")
-    points = base.select(F.col(key), F.col("_rid"), bounds).select(
-        F.col(key), F.col("_b._q").alias("_q"), F.col("_b._ord").alias("_ord"), F.col("_rid"),
-        F.col("_b._kind").alias("_kind"), F.lit(0).cast("long").alias("_n"), F.lit(0).cast("long").alias("_m"), zero.alias("_s"), zero.alias("_ss"))
-    ranged = (events.unionByName(points).repartitionByRange(nparts, key, "_q", "_ord")
-              .withColumn("_pid", F.spark_partition_id()))
-    # range bounds come from sampling that may differ between evaluations:
-    # freeze the partition ids before the two uses (running sums, totals)
-    ranged = cut_lineage(ranged)
-    run = Window.partitionBy("_pid", key).orderBy("_q", "_ord").rowsBetween(Window.unboundedPreceding,
-                                                                            Window.currentRow)
-    local = ranged.select(key, "_pid", "_rid", "_kind", *[F.sum(x).over(run).alias(f"_l{x}") for x in ("_n", "_m", "_s", "_ss")])
-    totals = ranged.groupBy("_pid", key).agg(*[F.sum(x).alias(f"_t{x}") for x in ("_n", "_m", "_s", "_ss")])
-    before = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("_pid", key, *[F.coalesce(F.sum(f"_t{x}").over(before), F.lit(0)).alias(f"_o{x}")
-                                           for x in ("_n", "_m", "_s", "_ss")])
-    offsets = offsets.withColumnsRenamed({"_pid": "_opid", key: "_okey"})
-    prefix = local.where(F.col("_rid").isNotNull()).join(
-        offsets, (F.col("_pid") == F.col("_opid")) & F.col(key).eqNullSafe(F.col("_okey"))).select(
-        "_rid", "_kind", *[(F.col(f"_o{x}") + F.col(f"_l{x}")).alias(x) for x in ("_n", "_m", "_s", "_ss")])
-    per_row = prefix.groupBy("_rid").agg(*[
-        F.max(F.when(F.col("_kind") == k, F.col(x))).alias(f"{x}{k}") for k in (0, 1, 2) for x in ("_n", "_m", "_s", "_ss")])
-    out = base.join(per_row, "_rid")
-    n24 = F.col("_n0") - F.col("_n1")
-    n7 = F.col("_m0") - F.col("_m2")
-    s7 = (F.col("_s0") - F.col("_s2")).cast(dec)
-    ss7 = (F.col("_ss0") - F.col("_ss2")).cast(dec)
-    var_num = (n7.cast(dec) * ss7 - s7 * s7).cast("double")
-    std7 = F.when(n7 > 1, F.sqrt(var_num / (n7 * (n7 - 1)).cast("double")) / F.lit(100.0)).otherwise(F.lit(0.0))
-    keep = [x for x in df.columns]
-    return out.select(
-        *keep,
-        n24.cast("double").alias("tx_count_24h"),
-        F.when(F.col("_m0") > F.col("_m1"), (F.col("_s0") - F.col("_s1")).cast("double") / F.lit(100.0)).alias("amount_sum_24h"),
-        F.when(n7 > 0, s7.cast("double") / n7 / F.lit(100.0)).alias("amount_mean_7d"),
-        std7.alias("amount_std_7d"),
-    )
+    df = cut_lineage(df)
+    rows = df.count()
+    ranges = partitions or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // RANGE_ROWS))
+    share = -(-rows // ranges)
+    return _windows(df, key, ts, amount, max(share, 1 if partitions else SLICE_ROWS), ranges=ranges)
