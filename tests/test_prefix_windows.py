@@ -60,3 +60,16 @@ def test_dense_key_takes_one_shuffle_of_its_rows(spark, stored, large):
     assert plan.count("rangepartitioning") == 1 and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
     got = _got(out)
     assert len(got) == 600 and got == _expected(rows)
+
+
+def test_keys_of_few_rows_take_one_shuffle_and_no_join(spark, stored, monkeypatch):
+    monkeypatch.setattr(windows, "RANGE_ROWS", 50)
+    rows = [(name, None if i % 40 == 0 else i % 97, time, amount) for i, (name, _, time, amount) in enumerate(_rows(900))]
+    out = windows.range_window_features_prefix(spark.createDataFrame(rows, SCHEMA).repartition(5))
+    assert stored == [900]
+    plan = _plan(out)
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    ranges = 900 // 50   # more than the session's shuffle partitions
+    assert f"NULLS FIRST, {ranges})" in plan
+    got = _got(out)
+    assert len(got) == 900 and got == _expected(rows)
