@@ -4,6 +4,7 @@ import datetime as dt
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 from txrisk.operators import windows
 
@@ -73,3 +74,12 @@ def test_keys_of_few_rows_take_one_shuffle_and_no_join(spark, stored, monkeypatc
     assert f"NULLS FIRST, {ranges})" in plan
     got = _got(out)
     assert len(got) == 900 and got == _expected(rows)
+
+
+def test_dense_key_is_spread_over_the_session_s_partitions(spark, monkeypatch):
+    monkeypatch.setattr(windows, "SHORT_SLICE", 20)
+    rows = _rows(400)   # 200 rows without customer; 50 rows a range
+    out = windows.range_window_features_prefix(spark.createDataFrame(rows, SCHEMA).repartition(5))
+    slices = [r.n for r in out.where("customer_id is null and timestamp is not null").groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert len(slices) >= 3 and max(slices) <= 150
+    assert _got(out) == _expected(rows)

@@ -51,6 +51,8 @@ TICK_US = 60_000_000
 STEP_ROWS = 1 << 16
 #: Rows of a range of the sorted rows, about: a task sorts them without spilling.
 RANGE_ROWS = 1 << 17
+#: Rows that a slice has at least, however many ranges there are.
+SHORT_SLICE = 1 << 12
 
 _LOW = 20  # a squared amount is split in parts of so many bits
 _MEASURES = ("n", "m", "s", "hi", "lo")
@@ -432,4 +434,4 @@ def range_window_features_prefix(df: DataFrame, key: str = "customer_id", ts: st
     rows = df.count()
     ranges = partitions or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // RANGE_ROWS))
     share = -(-rows // ranges)
-    return _windows(df, key, ts, amount, max(share, 1 if partitions else SLICE_ROWS), ranges=ranges)
+    return _windows(df, key, ts, amount, max(share, 1 if partitions else SHORT_SLICE), ranges=ranges)
